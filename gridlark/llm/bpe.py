@@ -25,10 +25,11 @@ from pyspark.sql import types as T
 
 from gridlark.llm._shared import map_texts
 
-#: Unicode White_Space, spelled out: Python's own \s has more.
-WHITE = "\t-\r \x85\xa0  -     　"
-#: Words that a worker remembers.
-CACHE_WORDS = 200_000
+#: Unicode White_Space, as a character class body. str.split() has these and four separators more.
+WHITE = r"\x09-\x0d \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+NOT_WHITE = regex.compile("[\x1c-\x1f]")
+#: Words that a generation of a worker's memory holds.
+CACHE_WORDS = 150_000
 
 OUT = T.StructType([
     T.StructField("ids", T.BinaryType()),
@@ -53,8 +54,10 @@ class BpeCodec:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model.get("end_of_word_suffix") or ""
-        #: (left, right) ids to (rank, merged id)
-        self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"])}
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        #: left id << 20 | right id to rank; rank to merged id
+        self.ranks = {self.vocab[a] << 20 | self.vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [self.vocab[a + b] for a, b in pairs]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
         steps = spec["normalizer"]["normalizers"] if spec["normalizer"]["type"] == "Sequence" else [spec["normalizer"]]
@@ -67,53 +70,69 @@ class BpeCodec:
         self.bytes = byte_alphabet()
         self.cache_words = cache_words
         self.words: dict[str, tuple[bytes, str]] = {}
-        self.merged: dict[str, list[int]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
 
     def merge(self, symbols: list[int]) -> list[int]:
-        """Applies merges in order of rank, then place."""
-        n, merges = len(symbols), self.merges
-        if n < 2:
-            return symbols
+        """Applies merges in order of rank, then place.
+
+        An entry of the queue is one integer, rank << shift | place; it is stale
+        if the pair now at that place has another rank.
+        """
+        n, rank, made = len(symbols), self.ranks.get, self.made
+        shift = n.bit_length()
+        mask = (1 << shift) - 1
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = []
+        now, queue = [-1] * n, []
         for i in range(n - 1):
-            if found := merges.get((symbols[i], symbols[i + 1])):
-                queue.append((found[0], i, symbols[i], symbols[i + 1], found[1]))
+            r = rank(symbols[i] << 20 | symbols[i + 1])
+            if r is not None:
+                now[i] = r
+                queue.append(r << shift | i)
         heapify(queue)
         while queue:
-            _, i, a, b, new = heappop(queue)
-            j = right[i]
-            if symbols[i] != a or j >= n or symbols[j] != b:
-                continue  # stale: one of the two has been merged meanwhile
-            symbols[i], symbols[j] = new, -1
+            entry = heappop(queue)
+            i, r = entry & mask, entry >> shift
+            if now[i] != r:
+                continue
+            j, new = right[i], made[r]
+            symbols[i], symbols[j], now[i], now[j] = new, -1, -1, -1
             k = right[i] = right[j]
             if k < n:
                 left[k] = i
-                if found := merges.get((new, symbols[k])):
-                    heappush(queue, (found[0], i, new, symbols[k], found[1]))
+                r = rank(new << 20 | symbols[k])
+                if r is not None:
+                    now[i] = r
+                    heappush(queue, r << shift | i)
             h = left[i]
-            if h >= 0 and (found := merges.get((symbols[h], new))):
-                heappush(queue, (found[0], h, symbols[h], new, found[1]))
+            if h >= 0:
+                r = rank(symbols[h] << 20 | new)
+                if r is None:
+                    now[h] = -1
+                else:
+                    now[h] = r
+                    heappush(queue, r << shift | h)
         return [s for s in symbols if s >= 0]
 
     def piece(self, text: str) -> list[int]:
-        known = self.merged.get(text)
-        if known is None:
-            chars = [self.bytes[b] for b in text.encode()]
-            chars[-1] += self.suffix
-            known = self.merge([self.vocab[c] for c in chars if c in self.vocab])
-            if len(text) <= 64:
-                if len(self.merged) >= self.cache_words:
-                    self.merged.clear()
-                self.merged[text] = known
-        return known
+        chars = [self.bytes[b] for b in text.encode()]
+        chars[-1] += self.suffix
+        symbols = [self.vocab[c] for c in chars if c in self.vocab]
+        return self.merge(symbols) if len(symbols) > 1 else symbols
 
     def word(self, text: str) -> tuple[bytes, str]:
-        """Ids as little-endian 32-bit integers and token strings of text without white space."""
-        ids = [i for p in self.pieces.findall(text) for i in self.piece(p)]
-        made = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
+        """Ids as little-endian 32-bit integers and token strings of text without white space.
+
+        Two generations of words are remembered: when the younger is full, it
+        takes the place of the older, so that frequent words stay.
+        """
+        made = self.older.get(text)
+        if made is None:
+            pieces = (text,) if text.isascii() and text.isalpha() else self.pieces.findall(text)
+            ids = [i for p in pieces for i in self.piece(p)]
+            made = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
         if len(text) <= 64:
             if len(self.words) >= self.cache_words:
+                self.older = self.words.copy()
                 self.words.clear()
             self.words[text] = made
         return made
@@ -125,7 +144,9 @@ class BpeCodec:
             # character by character: a final capital sigma gets no form of its own
             text = text.replace("Σ", "σ").lower()
         known, word = self.words, self.word
-        return [known.get(w) or word(w) for w in self.white.sub(" ", text).split(" ") if w]
+        if NOT_WHITE.search(text):
+            return [known.get(w) or word(w) for w in self.white.sub(" ", text).split(" ") if w]
+        return [known.get(w) or word(w) for w in text.split()]
 
     def encode_decode(self, text: str) -> tuple[bytes, str]:
         """Ids as bytes, and the decoded text."""
