@@ -28,12 +28,13 @@ COMMON = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "par", "sur", "au", "pas", "plus"],
 }
 #: Character classes, each counted in what the earlier ones leave; the last bin is the rest.
-CLASSES = ["[a-z]+", "[A-Z]+", f"[{SPACE}]+", r"[^\x00-\x7F]+", "[0-9]+", r"[#*$%&|<>]+", r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"]
+SYMBOLS = r"[#*$%&|<>]+"
+CLASSES = ["[a-z]+", "[A-Z]+", f"[{SPACE}]+", r"[^\x00-\x7F]+", "[0-9]+", SYMBOLS, r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"]
 WINDOW = 8
 #: Guards and limits of the verdict.
 MIN_CHARS, MIN_WORDS = 300, 60
 #: A limit is a constant plus a multiple of the distance that sampling alone gives, 1 / sqrt(length).
-CLASS_LIMIT, WORD_LIMIT = (0.15, 2.6), (0.24, 1.2)
+CLASS_LIMIT, WORD_LIMIT = (0.16, 3.0), (0.24, 1.2)
 #: Languages whose references may be broadcast; with more, the join is left to Spark.
 BROADCAST_LANGUAGES = 4096
 
@@ -44,8 +45,10 @@ def let(value: Column, body) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    held = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
-    return F.when(held == "", F.array().cast("array<string>")).otherwise(F.split(held, f"[{SPACE}]+"))
+    """The words of a text. One blank is left between words: a split at one plain character is the fast one."""
+    held = F.btrim(F.regexp_replace(text, "[\\x09-\\x0D]+|\\x20{2,}", " "), F.lit(" "))
+    held = F.when(held.contains("  "), F.regexp_replace(held, "\\x20{2,}", " ")).otherwise(held)
+    return F.when(held == "", F.array().cast("array<string>")).otherwise(F.split(held, " "))
 
 
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
@@ -88,14 +91,25 @@ def with_class_counts(docs: DataFrame, text: str, out: str) -> DataFrame:
     return left.withColumn(out, F.array(*n, rest)).drop(*n, f"_left{len(CLASSES)}")
 
 
-def word_counts(words: Column, lang: Column) -> Column:
-    """How often each common word of the language occurs, then the number of other words."""
-    lists = F.create_map(*[x for k, v in COMMON.items() for x in (F.lit(k), F.array(*[F.lit(w) for w in v]))])
-    mine = F.coalesce(F.try_element_at(lists, F.coalesce(lang, F.lit(""))), F.array().cast("array<string>"))
-    bare = F.transform(words, lambda w: F.lower(F.btrim(w, F.lit(".,;:!?\"'()|"))))
-    every = sorted({w for v in COMMON.values() for w in v})
-    counted = let(F.filter(bare, lambda w: w.isin(every)), lambda held: F.transform(mine, lambda v: F.size(F.filter(held, lambda x: x == v)).cast("double")))
-    return let(counted, lambda c: F.concat(c, F.array(F.size(words) - F.aggregate(c, F.lit(0.0), lambda a, x: a + x))))
+def word_counts(text: Column, n_words: Column, lang: Column) -> Column:
+    """How often each common word of the language stands between blanks or marks, then the number of other words."""
+    n = n_words.cast("double")
+
+    def count(held: Column, word: str) -> Column:
+        return F.size(F.filter(held, lambda x: x == word)).cast("double")
+
+    def with_rest(c: Column) -> Column:
+        return F.concat(c, F.array(F.greatest(F.lit(0.0), n - F.aggregate(c, F.lit(0.0), lambda a, x: a + x))))
+
+    def of_language(own: list[str]) -> Column:
+        pattern = f"(?i)(?<![^{SPACE}(\"'])(?:{'|'.join(own)})(?![^{SPACE}.,;:!?\"')])"
+        found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda w: F.lower(w))
+        return let(let(found, lambda held: F.array(*[count(held, w) for w in own])), with_rest)
+
+    out = F.array(n)
+    for name, own in COMMON.items():
+        out = F.when(lang == name, of_language(own)).otherwise(out)
+    return out
 
 
 def normalised(counts: Column) -> Column:
@@ -114,35 +128,35 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """docs with _text, _lang, _chars, _words, _classes and _common."""
+    """docs with the five counts, and _lang, _chars, _classes and _common, which the verdict needs."""
     lang = docs["lang"].cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     held = docs.withColumns({"_text": text_of(docs), "_lang": F.coalesce(lang, F.lit(""))})
-    held = with_class_counts(held.withColumns({"_words": words_of(F.col("_text")), "_chars": F.length("_text")}), "_text", "_classes")
-    return held.withColumns({"_classes": normalised(F.col("_classes")), "_common": normalised(word_counts(F.col("_words"), F.col("_lang")))})
+    held = held.withColumns({"_words": words_of(F.col("_text")), "_chars": F.length("_text")}).withColumn("n_words", F.size("_words").cast("long"))
+    held = with_class_counts(held, "_text", "_counts")
+    lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
+    return held.withColumns({
+        "word_chars": (F.col("_chars") - F.get("_counts", F.lit(CLASSES.index(f"[{SPACE}]+")))).cast("long"),
+        "n_symbols": F.get("_counts", F.lit(CLASSES.index(SYMBOLS))).cast("long"),
+        "n_dup_lines": let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
+        "n_repeat_words": repeated_words(F.col("_words")).cast("long"),
+        "_classes": normalised(F.col("_counts")),
+        "_common": normalised(word_counts(F.col("_text"), F.col("n_words"), F.col("_lang"))),
+    }).drop("_text", "_words", "_counts")
 
 
-def references(docs: DataFrame) -> DataFrame:
-    """(lang, ref_classes, ref_common): means over all documents of MIN_CHARS or more.
+def references(made: DataFrame) -> DataFrame:
+    """(lang, ref_classes, ref_common): means over all measured documents of MIN_CHARS or more.
 
     Documents are reduced to sums of each language before the shuffle.
     """
     widest = 1 + max(map(len, COMMON.values()))
     mean = lambda c, n: F.array(*[F.avg(F.coalesce(F.get(F.col(c), F.lit(i)), F.lit(0.0))) for i in range(n)])
-    held = measured(docs).where(F.col("_chars") >= MIN_CHARS)
+    held = made.where(F.col("_chars") >= MIN_CHARS)
     return held.groupBy(F.col("_lang").alias("lang")).agg(mean("_classes", len(CLASSES) + 1).alias("ref_classes"), mean("_common", widest).alias("ref_common"))
 
 
-def judge(docs: DataFrame, refs: DataFrame) -> DataFrame:
-    """docs with the counts, the two distances, base_failed and kept."""
-    text, words = F.col("_text"), F.col("_words")
-    lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
-    made = measured(docs).withColumns({
-        "n_words": F.size(words).cast("long"),
-        "word_chars": F.length(F.regexp_replace(text, f"[{SPACE}]+", "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).cast("long"),
-        "n_dup_lines": let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
-        "n_repeat_words": repeated_words(words).cast("long"),
-    }).drop("_text", "_words")
+def judge(made: DataFrame, refs: DataFrame) -> DataFrame:
+    """Measured documents with the two distances, base_failed and kept."""
     refs = refs.select(F.col("lang").alias("_ref_lang"), F.col("ref_classes").alias("_ref_classes"), F.col("ref_common").alias("_ref_common"))
     joined = made.join(refs, made["_lang"] == refs["_ref_lang"], "left")
     size = F.size("_common")
@@ -157,13 +171,21 @@ def judge(docs: DataFrame, refs: DataFrame) -> DataFrame:
     return judged.withColumn("kept", kept).drop("_classes", "_common", "_chars", "_lang", "_ref_lang", "_ref_classes", "_ref_common")
 
 
-def quality_rules(docs: DataFrame) -> DataFrame:
+MADE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept")
+
+
+def quality_rules(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """docs judged against the references of their own corpus.
 
     The references are one row a language; they are written once, counted, and
-    broadcast if they are few.
+    broadcast if they are few. Without text in the result the measurements are
+    written too and read twice; with it, texts are measured in either pass,
+    which costs less than writing or shuffling them.
     """
-    made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept")
-    docs = docs.drop(*made)
-    refs = Scratch(docs.sparkSession, "quality").save(references(docs))
-    return judge(docs, F.broadcast(refs) if refs.count() <= BROADCAST_LANGUAGES else refs)
+    docs = docs.drop(*MADE)
+    scratch = Scratch(docs.sparkSession, "quality")
+    made = measured(docs)
+    if not keep_text:
+        made = scratch.save(made.drop("text"))
+    refs = scratch.save(references(made))
+    return judge(made, F.broadcast(refs) if refs.count() <= BROADCAST_LANGUAGES else refs)
