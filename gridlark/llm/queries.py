@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlark.llm import bpe, lines, mixing, quality
+from gridlark.llm import bpe, lines, mixing, near_dedup, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, num=85, den=100)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -40,6 +44,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_near_dedup": op3_near_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op9_mixing": op9_mixing,
