@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlark.llm import bpe, lines, mixing, near_dedup, quality
+from gridlark.llm import bpe, licenses, lines, mixing, near_dedup, quality, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, num=85, den=100)
 
@@ -42,12 +47,19 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_secrets": op2_secrets,
     "op3_near_dedup": op3_near_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op9_mixing": op9_mixing,
+    "op10_licenses": op10_licenses,
 }
 
 SQL: dict[str, str] = {
