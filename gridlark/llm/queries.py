@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlark.llm import bpe, licenses, lines, mixing, near_dedup, quality, secrets
+from gridlark.llm import bpe, licenses, lines, mixing, near_dedup, quality, secrets, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": op3_near_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
 }
