@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlark.llm import bpe, licenses, lines, mixing, near_dedup, quality, secrets, suffixes
+from gridlark.llm import bpe, licenses, lines, mixing, near_dedup, neighbours, quality, secrets, suffixes, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, num=85, den=100)
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 50 == 0, k=5)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -42,6 +46,13 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    out = toxicity.score_documents(docs, model)
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_matches")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
 
@@ -60,8 +71,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secrets": op2_secrets,
     "op3_near_dedup": op3_near_dedup,
+    "op4_neighbours": op4_neighbours,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op7_toxicity": op7_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
