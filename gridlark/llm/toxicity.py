@@ -306,7 +306,7 @@ def cover(sample: DataFrame, proposed: list[str]) -> list[str]:
     inside = np.zeros((len(toxic), len(proposed)), bool)
     for i, hits in enumerate(toxic):
         inside[i, hits] = True
-    least = max(3, math.ceil(0.004 * len(toxic)))
+    least = max(4, math.ceil(0.008 * len(toxic)))
     chosen, left = [], np.ones(len(toxic), bool)
     while len(chosen) < MOST_TERMS and left.any() and len(proposed):
         gain = inside[left].sum(axis=0) - 4 * wrong
