@@ -12,11 +12,19 @@ from pyspark.sql import types as T
 RAW_COLUMNS = ["time", "t1", "t2", "t3", "t4", "theta", "phi", "lon", "lat", "d", "flag"]
 CHANNELS = ("t1", "t2", "t3", "t4")
 
-SAMPLES = T.StructType.fromDDL(
-    "orbit int, utc timestamp_ntz, jd double, tdb string, et double, ltst float, t1 float, t2 float, t3 float, t4 float, "
-    "theta float, phi float, lat float, lon float, d float, bx double, by double, bz double, cx double, cy double, cz double, "
-    "mx double, my double, mz double, nx double, ny double, nz double, ox float, oy float, flag int, orbiter string"
-)
+_KINDS = {"int": T.IntegerType(), "float": T.FloatType(), "double": T.DoubleType(), "string": T.StringType(), "timestamp_ntz": T.TimestampNTZType()}
+
+
+def _schema(**columns: str) -> T.StructType:
+    """A schema from type name = space-separated columns."""
+    return T.StructType([T.StructField(c, _KINDS[kind.rstrip("_")]) for kind, names in columns.items() for c in names.split()])
+
+
+#: The sample table.
+SAMPLES = T.StructType([
+    *_schema(int="orbit", timestamp_ntz="utc", double="jd", string="tdb", double_="et"),
+    *_schema(float="ltst t1 t2 t3 t4 theta phi lat lon d", double="bx by bz cx cy cz mx my mz nx ny nz", float_="ox oy", int="flag", string="orbiter"),
+])
 
 # Physical constants (SI unless named otherwise).
 LIGHT_SPEED, PLANCK, BOLTZMANN, STEFAN_BOLTZMANN = 299792458.0, 6.62607015e-34, 1.380649e-23, 5.670374419e-08
