@@ -7,7 +7,7 @@ hash (the leftmost of equals), so equal windows have equal anchors at equal
 places, and one suffix, with the bytes before it, stands for all the
 neighbouring windows that share its anchor.
 
-1. Documents are packed; a pack is the unit of every later step.
+1. Documents are packed with their anchors; a pack is the unit of every later step.
 2. Packs exchange sorted anchor hashes; anchors of one document only drop out.
    This sieve is lossless: it can only keep too much.
 3. Each pack sorts its remaining suffixes, equal ones of its documents being one
@@ -47,7 +47,7 @@ NULL_ID = (1 << 63) - 1
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
-    """(pack, ids, sizes, data): int64 arrays as bytes, and the texts one after another, compressed."""
+    """(pack, ids, sizes, data, runs): int64 arrays as bytes, and compressed the texts one after another and their anchors."""
     small_batches(docs.sparkSession)
 
     def run(batches):
@@ -57,9 +57,9 @@ def pack_documents(docs: DataFrame) -> DataFrame:
         def pack():
             nonlocal n
             n += 1
-            sizes = np.array([len(p) for p in parts], np.int64)
-            row = [[me << 32 | n], [np.array(ids, np.int64).tobytes()], [sizes.tobytes()], [press.compress(b"".join(parts))]]
-            return pa.RecordBatch.from_arrays([pa.array(row[0], pa.int64()), *(pa.array(x, pa.binary()) for x in row[1:])], names=["pack", "ids", "sizes", "data"])
+            own = Pack(np.array(ids, np.int64).tobytes(), np.array([len(p) for p in parts], np.int64).tobytes(), b"".join(parts))
+            row = [own.ids.tobytes(), own.sizes.tobytes(), press.compress(own.data), press.compress(own.coded_runs())]
+            return pa.RecordBatch.from_arrays([pa.array([me << 32 | n], pa.int64()), *(pa.array([x], pa.binary()) for x in row)], names=["pack", "ids", "sizes", "data", "runs"])
 
         held = 0
         for whole in batches:
@@ -75,40 +75,52 @@ def pack_documents(docs: DataFrame) -> DataFrame:
         if ids:
             yield pack()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "pack long, ids binary, sizes binary, data binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "pack long, ids binary, sizes binary, data binary, runs binary")
+
+
+def gram_hashes(data: bytes, at) -> np.ndarray:
+    """64-bit hashes of the GRAM bytes at places `at`, a slice or an array."""
+    load = np.ndarray((len(data),), np.uint64, np.frombuffer(data + bytes(8), np.uint8).data, strides=(1,))
+    here = lambda by: load[at.start + by : at.stop + by] if isinstance(at, slice) else load[at + by]
+    h = np.array(here(0)) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h ^= here(8)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    h ^= here(GRAM - 8)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 class Pack:
-    """The windows of a pack's documents and their anchors."""
+    """The texts of a pack's documents, their windows and the windows' anchors."""
 
-    def __init__(self, ids: bytes, sizes: bytes, data: bytes):
-        self.ids, self.sizes = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64)
-        self.data = zstandard.ZstdDecompressor().decompress(data) if self.sizes.sum() else b""
+    def __init__(self, ids: bytes, sizes: bytes, data: bytes, runs: bytes | None = None):
+        self.ids, self.sizes, self.data = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64), data
         self.starts = np.r_[0, np.cumsum(self.sizes)]
-        lo, at, grams = [], [], []
+        self._runs = runs
+
+    @classmethod
+    def of_row(cls, row: dict) -> "Pack":
+        open_ = zstandard.ZstdDecompressor().decompress
+        return cls(row["ids"], row["sizes"], open_(row["data"]), open_(row["runs"]))
+
+    def _windows(self):
+        """Of each window: its start and its anchor's place."""
+        lo, at = [], []
         for a in range(0, max(1, len(self.data)), PIECE):
             x = self._piece(a, min(len(self.data), a + PIECE + WINDOW - 1))
             lo.append(x[0])
             at.append(x[1])
-            grams.append(x[2])
-        #: of each window: its start, its anchor's place and its anchor's hash of 48 bits
-        self.window, self.anchor, self.gram = np.concatenate(lo), np.concatenate(at), np.concatenate(grams)
+        return np.concatenate(lo), np.concatenate(at)
 
     def _piece(self, a: int, b: int):
         n = b - a
         if n < WINDOW:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        raw = np.frombuffer(self.data[a:b] + bytes(8), np.uint8)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         k = n - GRAM + 1
-        load = np.ndarray((n,), np.uint64, raw.data, strides=(1,))
-        h = np.array(load[:k]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(32)
-        h ^= load[8 : 8 + k]
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(29)
-        h ^= load[GRAM - 8 : GRAM - 8 + k]
-        h *= np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(31)
+        h = gram_hashes(self.data[a:b], slice(0, k))
         least = (h >> np.uint64(PLACE) << np.uint64(PLACE)) | np.arange(k, dtype=np.uint64)
         step = 1
         while step * 2 <= SPAN:
@@ -125,17 +137,31 @@ class Pack:
             i += 1
         at = np.flatnonzero(ok)
         place = (least[at] & np.uint64((1 << PLACE) - 1)).astype(np.int64)
-        return at + a, place + a, h[place] >> np.uint64(16)
+        return at + a, place + a
+
+    def coded_runs(self) -> bytes:
+        """Neighbouring windows with one anchor, as three numbers each: how many, from the last one to the anchor, from the run before to the first."""
+        window, anchor = self._windows()
+        if not len(window):
+            return b""
+        doc = np.searchsorted(self.starts, window, "right") - 1
+        new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]) | (window[1:] != window[:-1] + 1)])
+        last = np.r_[new[1:], len(window)] - 1
+        lo, hi = window[new], window[last]
+        gap = lo - np.r_[0, hi[:-1] + 1]
+        return (hi - lo + 1).astype(np.uint8).tobytes() + (anchor[new] - hi).astype(np.uint8).tobytes() + gap.astype("<u4").tobytes()
 
     def runs(self):
-        """Neighbouring windows with one anchor: first and last window, anchor, hash, document."""
-        if not len(self.window):
-            none = np.zeros(0, np.int64)
-            return none, none, none, np.zeros(0, np.uint64), none
-        doc = np.searchsorted(self.starts, self.window, "right") - 1
-        new = np.flatnonzero(np.r_[True, (self.anchor[1:] != self.anchor[:-1]) | (doc[1:] != doc[:-1]) | (self.window[1:] != self.window[:-1] + 1)])
-        last = np.r_[new[1:], len(self.window)] - 1
-        return self.window[new], self.window[last], self.anchor[new], self.gram[new], doc[new]
+        """Neighbouring windows with one anchor: first and last window, anchor, hash of 48 bits, document."""
+        coded = self.coded_runs() if self._runs is None else self._runs
+        k = len(coded) // 6
+        many, back = (np.frombuffer(coded, np.uint8, k, i * k).astype(np.int64) for i in (0, 1))
+        gap = np.frombuffer(coded, "<u4", k, 2 * k).astype(np.int64)
+        lo = np.cumsum(gap) + np.cumsum(many) - many
+        hi = lo + many - 1
+        at = hi + back
+        gram = gram_hashes(self.data, at) >> np.uint64(16) if k else np.zeros(0, np.uint64)
+        return lo, hi, at, gram, np.searchsorted(self.starts, lo, "right") - 1
 
     def anchors(self, runs):
         """Distinct anchor hashes, sorted, and whether two documents of the pack have them."""
@@ -369,7 +395,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     def send_anchors(batches):
         for b in batches:
             for row in b.to_pylist():
-                pack = Pack(row["ids"], row["sizes"], row["data"])
+                pack = Pack.of_row(row)
                 grams, many = pack.anchors(pack.runs())
                 to = bucket_of(grams, buckets)
                 for k in np.unique(to).tolist():
@@ -383,7 +409,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     def send_suffixes(batches):
         for b in batches:
             for row in b.to_pylist():
-                pack = Pack(row["ids"], row["sizes"], row["data"])
+                pack = Pack.of_row(row)
                 runs = pack.runs()
                 _, _, _, _, keys, least, grams = pack.suffixes(runs, _shared_of(pack, runs, row["marks"], buckets))
                 to = bucket_of(grams, buckets)
@@ -401,7 +427,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     def remove(batches):
         for b in batches:
             for row in b.to_pylist():
-                pack = Pack(row["ids"], row["sizes"], row["data"])
+                pack = Pack.of_row(row)
                 yield _without(pack, row["marks"], row["gone"], buckets)
 
     return packs.join(marks, "pack", "left").join(gone, "pack", "left").mapInArrow(remove, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
