@@ -15,10 +15,10 @@ from gridlark.schema import BOLTZMANN, LIGHT_SPEED, PLANCK
 class Loss:
     """Terms of the loss tangent: 10 ** (a * tio2 + b * rho / 1000 - c)."""
 
-    tio2: float = 3.0
-    a: float = 0.045
+    tio2: float = 0.0
+    a: float = 0.0
     b: float = 0.312
-    c: float = 3.26
+    c: float = 2.5
 
 
 def permittivity(rho: Column) -> Column:

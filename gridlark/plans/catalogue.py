@@ -352,9 +352,9 @@ def roll_longitude(spark, sf_dir):
     return grids.roll_longitude(cells(spark, sf_dir), 72).select("lat_ix", "lon_ix", "value")
 
 
-@query(f"SELECT CAST(lat_ix // 4 AS INTEGER) AS lat_ix, CAST(lon_ix // 4 AS INTEGER) AS lon_ix, {q('avg(value)', 8)} AS value FROM c GROUP BY ALL", MAP_SQL)
+@query(f"SELECT CAST(lat_ix // 4 AS INTEGER) AS lat_ix, CAST(lon_ix // 4 AS INTEGER) AS lon_ix, {q('avg(w)', 8)} AS value FROM g GROUP BY ALL", MAP_SQL)
 def block_mean_downsample(spark, sf_dir):
-    return grids.block_mean(cells(spark, sf_dir), 4).withColumn("value", r("value", 8))
+    return grids.block_mean(cells(spark, sf_dir).select("lat_ix", "lon_ix", F.col("w").alias("value")), 4).withColumn("value", r("value", 8))
 
 
 @query("SELECT CAST(35 - lat_ix AS INTEGER) AS lat_ix, lon_ix, value FROM c", MAP_SQL)
@@ -544,14 +544,14 @@ def _poly(lat: str, alb: str, h: str, hour: str) -> str:
     return f"(200 + 0.5::DOUBLE * {lat} - 40::DOUBLE * {alb} + 100::DOUBLE * {h} + 0.25::DOUBLE * {lat} * {h} + 1.5::DOUBLE * {hour} - 2::DOUBLE * {alb} * {hour})"
 
 
-@query(f"SELECT key, line, {q(_poly('least(60, abs(lat))', 'least(0.17, (t1 - 180) / 300)', 'least(0.12, greatest(0.03, (t2 - 180) / 1000))', 'least(23.9, ltst * 24)'), 8)} AS tb FROM samples WHERE orbit <= 10")
+@query(f"SELECT key, line, {q(_poly('least(60, abs(lat))', 'least(0.17, (t1 - 180) / 250)', 'least(0.12, greatest(0.03, (round(t2) - 180) / 1000))', 'least(23.9, ltst * 24)'), 8)} AS tb FROM samples WHERE orbit <= 10")
 def multilinear_interp(spark, sf_dir):
     """The table holds a multilinear function, so the answer is that function at the clipped inputs."""
     t = spark.range(1)
     for name, v in {"a_lat": (0, 10, 25, 60), "a_alb": (0, 0.06, 0.17), "a_h": (0.03, 0.05, 0.12), "a_hour": (0, 6, 12.5, 18, 23.9)}.items():
         t = t.withColumn(name, F.explode(F.array(*[F.lit(float(x)) for x in v])))
     t = t.withColumn("v", F.expr(_poly("a_lat", "a_alb", "a_h", "a_hour").replace("::DOUBLE", "D")))
-    s = samples_view(spark, sf_dir).where("orbit <= 10").select("key", "line", F.abs("lat").alias("x1"), ((F.col("t1") - 180) / 300).alias("x2"), ((F.col("t2") - 180) / 1000).alias("x3"), (F.col("ltst") * 24).alias("x4"))
+    s = samples_view(spark, sf_dir).where("orbit <= 10").select("key", "line", F.abs("lat").alias("x1"), ((F.col("t1") - 180) / 250).alias("x2"), ((F.round("t2") - 180) / 1000).alias("x3"), (F.col("ltst") * 24).alias("x4"))
     out = interpolate.multilinear(s, t, {"x1": "a_lat", "x2": "a_alb", "x3": "a_h", "x4": "a_hour"}, "v", "tb")
     return out.select("key", "line", r("tb", 8).alias("tb"))
 

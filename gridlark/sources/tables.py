@@ -21,7 +21,7 @@ def read_orbit_texts(spark: SparkSession, path: str, orbiter: str | None = None,
     END. Of several files of one orbit the last by path counts; files without
     rows give none.
     """
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("wholetext", "true").text(path)
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path, wholetext=True)
     body = F.split(F.regexp_replace("value", r"(?s)\A(?:.*?\r?\n)??END[ \t]*\r?\n[^\n]*(?:\n|\z)", ""), r"\r?\n")
     held = files.select(F.col("_metadata.file_path").alias("file"), F.explode(body).alias("line"))
     held = held.withColumn("orbit", orbit_number(F.col("file")))
