@@ -534,7 +534,7 @@ def centered_norm(spark, sf_dir):
 # --- interpolation
 
 @query(f"""SELECT orbit, CAST(i AS INTEGER) AS i, {q('v[lo + 1] + (v[least(lo + 1, n - 1) + 1] - v[lo + 1]) * (x - lo)')} AS value FROM (
-  SELECT *, CAST(floor(x) AS BIGINT) AS lo FROM (SELECT orbit, v, len(v) AS n, i, least(i * len(v) / 23.0::DOUBLE, len(v) - 1.0::DOUBLE) AS x FROM a, range(24) t(i)))""", "a AS (SELECT orbit, list(t2 ORDER BY key, line) AS v FROM samples WHERE orbit <= 5 GROUP BY orbit)")
+  SELECT *, CAST(floor(x) AS BIGINT) AS lo FROM (SELECT orbit, v, len(v) AS n, i, least(i * len(v) / 23.0::DOUBLE, len(v) - 1.0::DOUBLE) AS x FROM a, range(24) t(i)))""", "a AS (SELECT orbit, list(t2 ORDER BY key, line, t2) AS v FROM samples WHERE orbit <= 5 GROUP BY orbit)")
 def interp1d_time(spark, sf_dir):
     s = samples_view(spark, sf_dir).where("orbit <= 5").groupBy("orbit").agg(F.sort_array(F.collect_list(F.struct("key", "line", "t2"))).alias("v"))
     return s.select("orbit", F.posexplode(interpolate.resample(F.col("v.t2"), 24)).alias("i", "value")).withColumn("value", r("value"))
