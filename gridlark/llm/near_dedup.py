@@ -42,8 +42,10 @@ MISS = 2e-5
 SMALL = 16
 #: Nodes of a block when a dense region is compared across components.
 BLOCK = 2000
+#: Shingles of a block.
+BLOCK_SHINGLES = 1_000_000
 #: Rows of a sorted order that a task holds.
-TASK_ROWS = 40_000
+TASK_ROWS = 160_000
 #: Words that a worker remembers the hashes of.
 CACHE_WORDS = 300_000
 #: Names of nodes that have no doc_id start here.
@@ -243,30 +245,62 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, packed binary")
 
 
-def _across(links_so_far: DataFrame, forest: DataFrame, depth: int, num: int, den: int, bits: int) -> DataFrame:
-    """Candidates between components of one dense region, compared block by block."""
+def _common(codes: np.ndarray, starts: np.ndarray, mask: np.ndarray, i: int, j: np.ndarray) -> np.ndarray:
+    """How many elements row i's set shares with each of the sets of rows j. mask: a scratch byte for each element."""
+    own = codes[starts[i] : starts[i + 1]]
+    mask[own] = 1
+    sizes = starts[j + 1] - starts[j]
+    at = np.repeat(starts[j] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
+    shared = np.add.reduceat(mask[codes[at]], np.r_[0, np.cumsum(sizes)[:-1]], dtype=np.int64)
+    mask[own] = 0
+    return shared
+
+
+def _across(parts: DataFrame, forest: DataFrame, docs: DataFrame, scratch: Scratch, depth: int, size: int, num: int, den: int, bits: int) -> DataFrame:
+    """Links (a, b) between components of one dense region.
+
+    A region's rows are dealt into blocks, by rows and by shingles, and every
+    two blocks meet in one task. There sketches sieve the pairs of different
+    components and full sets decide; pairs that are no links leave no row.
+    """
     region = F.substring("key", 1, 1 + 2 * depth)
-    rows = forest.withColumn("region", region).join(links_so_far, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("region").agg(F.count(F.lit(1)).alias("k"), F.min("component").alias("lo"), F.max("component").alias("hi")).where((F.col("k") > SMALL) & (F.col("lo") < F.col("hi")))
-    mixed = mixed.select("region", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
-    held = rows.join(mixed, "region").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    held = held.select("region", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "node", "n_shingles", "sketch", "component")
+    rows = forest.withColumn("region", region).join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = rows.groupBy("region").agg(F.count(F.lit(1)).alias("k"), F.sum("n_shingles").alias("s"), F.min("component").alias("lo"), F.max("component").alias("hi")).where((F.col("k") > SMALL) & (F.col("lo") < F.col("hi")))
+    mixed = mixed.select("region", F.greatest(F.ceil(F.col("k") / BLOCK), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    held = scratch.save(rows.join(mixed, "region").select("region", "node", "n_shingles", "sketch", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("mine")))
+    if held.isEmpty():
+        return held.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    named = held.select(F.col("node").alias("doc_id")).distinct()
+    text = packed_texts(docs).join(named, "doc_id").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "packed")
+    held = held.join(scratch.save(text), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    held = held.select("region", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "node", "n_shingles", "sketch", "component", "packed")
 
     def compare(table):
+        hashes, open_ = WordHashes(), zstandard.ZstdDecompressor()
         node, n, comp, mine = (table.column(c).to_numpy() for c in ("node", "n_shingles", "component", "mine"))
         sk = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, HASHES // 64)
+        sets = [shingle_set(open_.decompress(z).decode(), size, hashes) for z in table.column("packed").to_pylist()]
+        starts = np.r_[0, np.cumsum([len(x) for x in sets])]
+        values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        del sets
+        mask = np.zeros(len(values), np.uint8)
         p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
         right = np.flatnonzero(mine == q)
-        out = [[], [], []]
+        left, found = [], []
         for i in np.flatnonzero(mine == p):
             j = right[(comp[right] != comp[i]) & (node[right] > node[i] if p == q else True)]
-            for to, x in zip(out, _alike(node, n, sk, np.full(len(j), i), j, num, den, bits)):
-                to.append(x)
-        a, b, same = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "bits": pa.array(same, pa.int32())})
+            j = j[(np.minimum(n[i], n[j]) * den >= np.maximum(n[i], n[j]) * num)]
+            j = j[HASHES - _popcount(sk[i] ^ sk[j]) >= bits]
+            if not len(j):
+                continue
+            shared = _common(codes, starts, mask, i, j)
+            j = j[den * shared >= num * (n[i] + n[j] - shared)]
+            left.append(np.full(len(j), node[i]))
+            found.append(node[j])
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, found))
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
-    return held.groupBy("region", "p", "q").applyInArrow(compare, "a long, b long, bits int")
+    return held.groupBy("region", "p", "q").applyInArrow(compare, "a long, b long")
 
 
 def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -304,11 +338,9 @@ def near_dedup(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) ->
     rest = between(pairs).join(best, ["a", "b"], "left_anti")
     links = scratch.save(links.union(verify(rest, held, size, num, den)))
     parts = scratch.save(connect(links, scratch))
-    more = scratch.save(between(_across(parts, forest, depth, num, den, bits)).join(pairs, ["a", "b"], "left_anti").distinct())
+    more = scratch.save(_across(parts, forest, docs, scratch, depth, size, num, den, bits))
     if not more.isEmpty():
-        added = _texts_of(docs, more).join(held.select("node"), "node", "left_anti")
-        links = scratch.save(links.union(verify(more, held.union(added), size, num, den)))
-        parts = scratch.save(connect(links, scratch))
+        parts = scratch.save(connect(links.union(more), scratch))
     named = nodes.select("fp", "node").join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("c"))
     out = described.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
     component = F.when(F.col("fp").isNull(), F.col("doc_id")).when(F.col("c") < NAMELESS, F.col("c"))
