@@ -92,3 +92,23 @@ def samples_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         (c("l_discount") * 500 + 200).alias("t3"), (c("l_tax") * 500 + 190).alias("t4"),
         c("l_returnflag").alias("mflag"), c("l_orderkey").alias("key"), c("l_linenumber").alias("line"),
     )
+
+
+def read_label_metadata(spark: SparkSession, path: str, pattern: str = "*2C") -> DataFrame:
+    """(file, orbit, key, value) of the KEY = VALUE lines of attached labels; values without quotes; lines that go on are joined."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path, wholetext=True)
+    label = F.regexp_replace(F.regexp_extract("value", r"(?s)\A(.*?)(?:^|\n)END[ \t]*\r?\n", 1), r"\r?\n[ \t]+(?![A-Z_0-9:^]+[ \t]*=)", " ")
+    held = files.select(F.col("_metadata.file_path").alias("file"), F.explode(F.split(label, r"\r?\n")).alias("line"))
+    key, value = F.regexp_extract("line", r"^\s*([\w:^]+)\s*=\s*(.*?)\s*$", 1), F.regexp_extract("line", r"^\s*([\w:^]+)\s*=\s*(.*?)\s*$", 2)
+    return held.select("file", orbit_number(F.col("file")).alias("orbit"), key.alias("key"), F.regexp_replace(value, '^"|"$', "").alias("value")).where("key <> ''")
+
+
+def time_span(samples: DataFrame) -> DataFrame:
+    """(orbit, start, stop): the first and last time of each orbit's table."""
+    return samples.groupBy("orbit").agg(F.min("utc").alias("start"), F.max("utc").alias("stop"))
+
+
+def spot_check(df: DataFrame, n: int = 5, seed: int = 0) -> DataFrame:
+    """n rows drawn by a seeded hash of their content: the same ones on any partitioning."""
+    mark = F.xxhash64(F.lit(seed), *df.columns)
+    return df.withColumn("_m", mark).orderBy("_m").limit(n).drop("_m")

@@ -74,3 +74,23 @@ def test_templates(spark):
     assert templates.round_element("<v>1.23456</v>", "v", 2) == "<v>1.23</v>"
     assert templates.xml_element("a", "<") == "<a>&lt;</a>"
     assert templates.indent("<a><b/></a>") == "<a>\n  <b />\n</a>"
+
+
+def test_label_metadata_and_spans(spark, orbit_files):
+    got = {(r.orbit, r.key): r.value for r in tables.read_label_metadata(spark, orbit_files).collect()}
+    assert got[241, "RECORD_TYPE"] == "STREAM" and got[242, "PDS_VERSION_ID"] == "3"
+    typed = tables.typed_samples(tables.read_orbit_texts(spark, orbit_files, "a"))
+    assert tables.time_span(typed).count() == 2
+    assert tables.spot_check(typed, 2).collect() == tables.spot_check(typed.repartition(3), 2).collect()
+
+
+def test_command_line(spark, tmp_path):
+    from gridlark.__main__ import main
+
+    rows = [("a", 1, float(x), float(x * 2), 100.0, (x % 24) / 24, 240.0, 240.0, 240.0, 240.0, 0) for x in range(-50, 50, 5)]
+    spark.createDataFrame(rows, "orbiter string, orbit int, lat double, lon double, d double, ltst double, t1 double, t2 double, t3 double, t4 double, flag int").write.parquet(f"{tmp_path}/s")
+    main(["map", f"{tmp_path}/s", f"{tmp_path}/m", "--orbiter", "a", "--channel", "2", "--hours", "12", "--resolution", "5", "--kernel-step", "4", "--sigma", "1"])
+    main(["products", f"{tmp_path}/m", f"{tmp_path}/p"])
+    out = spark.read.parquet(f"{tmp_path}/p")
+    assert {r.maptype for r in out.select("maptype").distinct().collect()} == {"TEMP", "STDEV", "LATSHIFT"}
+    assert out.where("maptype = 'TEMP'").agg(F.min("value"), F.max("value")).first()[0] == pytest.approx(240)
