@@ -632,3 +632,44 @@ def heat1d_run(spark, sf_dir):
     points = thermal.sweep(spark, [0.0, 60.0], [0.12], [0.07])
     out = thermal.profile_table(thermal.simulate(points, solver=thermal.Solver(years=0.085)), 24)
     return out.select("run", "lat", "layer", r("z").alias("z"), "ltst", r("temp", 3).alias("temp"))
+
+
+# --- further scalar functions
+
+@query(f"SELECT key, line, {q('pow(10, (t1 - 200) / 10)', 9)} AS power, {q('10 * log10(t1)', 9)} AS db FROM samples")
+def power_decibel(spark, sf_dir):
+    s = samples_view(spark, sf_dir)
+    return s.select("key", "line", r(units.db_to_power(F.col("t1") - 200), 9).alias("power"), r(units.power_to_db(F.col("t1")), 9).alias("db"))
+
+
+@query("SELECT CAST(h AS INTEGER) AS hour, (h + 12) % 24 + 0.0::DOUBLE AS rotated FROM range(24) t(h)", samples=False)
+def rotate_hours(spark, sf_dir):
+    return spark.range(24).select(F.col("id").cast("int").alias("hour"), units.rotate_hours(F.col("id").cast("double")).alias("rotated"))
+
+
+@query(f"SELECT key, line, {q(f'{lit(BODY.distance_au * (1 - BODY.eccentricity ** 2))} / (1 + {lit(BODY.eccentricity)} * cos(2 * pi() * ltst))', 9)} AS distance, {q(f'asin({lit(math.sin(BODY.obliquity))} * sin(2 * pi() * ltst))', 9)} AS declination FROM samples")
+def orbit_parameters(spark, sf_dir):
+    nu = F.col("ltst") * (2 * math.pi)
+    return samples_view(spark, sf_dir).select("key", "line", r(physics.orbit_distance(nu), 9).alias("distance"), r(physics.orbit_declination(nu), 9).alias("declination"))
+
+
+@query(f"SELECT lat_ix, lon_ix, {q('(value - lo) / (hi - lo)')} AS shade FROM c, (SELECT min(value) AS lo, max(value) AS hi FROM c)", MAP_SQL)
+def plain_norm(spark, sf_dir):
+    return residual.plain_norm(cells(spark, sf_dir)).select("lat_ix", "lon_ix", r("shade").alias("shade"))
+
+
+@query(f"SELECT key, line, k, {q('x * r * d * 1737.4')} AS east, {q('y * r * d * 1737.4')} AS north FROM (SELECT * FROM samples WHERE orbit = 7), kernel", kernel_sql(4.0, 7))
+def flat_offsets(spark, sf_dir):
+    s = samples_view(spark, sf_dir).where("orbit = 7").crossJoin(F.broadcast(footprint.kernel(spark, 2, 4.0)))
+    x, y = footprint.flat_offset(F.col("d"), F.col("x_over_rad"), F.col("y_over_rad"), F.col("scaled_rad"))
+    return s.select("key", "line", "k", r(x).alias("east"), r(y).alias("north"))
+
+
+@query(f"SELECT orbit, x, {q('v0 + CASE WHEN x1 > x0 THEN (x - x0) / (x1 - x0) ELSE 0 END * (coalesce(v1, v0) - v0)')} AS v FROM (SELECT orbit, x0, v0, x1, v1, x FROM b, range(0, 91, 10) g(x) WHERE x >= x0 AND (x < x1 OR (x1 IS NULL AND x = x0)))",
+       "a AS (SELECT orbit, floor(lat) + 90 AS x, avg(t1) AS v FROM samples WHERE orbit <= 5 AND lat < 0 GROUP BY ALL UNION ALL SELECT DISTINCT orbit, 0, 200 FROM samples WHERE orbit <= 5 AND orbit NOT IN (SELECT orbit FROM samples WHERE lat < -89)), b AS (SELECT orbit, x AS x0, v AS v0, lead(x) OVER w AS x1, lead(v) OVER w AS v1 FROM a WINDOW w AS (PARTITION BY orbit ORDER BY x))")
+def regular_series(spark, sf_dir):
+    s = samples_view(spark, sf_dir).where("orbit <= 5")
+    a = s.where("lat < 0").groupBy("orbit", (F.floor("lat") + 90).cast("double").alias("x")).agg(F.avg("t1").alias("v"))
+    start = filters.not_member(s.select("orbit").distinct(), s.where("lat < -89").select("orbit"), "orbit").select("orbit", F.lit(0.0).alias("x"), F.lit(200.0).alias("v"))
+    out = interpolate.regular_series(a.union(start), "x", "v", 10.0, ["orbit"])
+    return out.select("orbit", F.col("x").cast("long").alias("x"), r("v").alias("v"))
