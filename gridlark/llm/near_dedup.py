@@ -154,13 +154,18 @@ def _arrays(batches):
     return t.column("node").to_numpy(), t.column("n_shingles").to_numpy(), width("sketch", np.uint64, HASHES // 64), width("key", np.uint8, 1 + 2 * DEPTH)
 
 
-def _pairs_of(key, depth, everything):
-    """Candidate row pairs of a piece of a sorted order."""
+def _regions(key, depth):
+    """Of each row of a piece of a sorted order: the first row, the number and the size of its region."""
     head = key[:, : 1 + 2 * depth]
     new = np.r_[True, (head[1:] != head[:-1]).any(axis=1)]
     first = np.flatnonzero(new)
     region = np.cumsum(new) - 1
-    size = np.diff(np.r_[first, len(key)])[region]
+    return first, region, np.diff(np.r_[first, len(key)])[region]
+
+
+def _pairs_of(key, depth, everything):
+    """Candidate row pairs of a piece of a sorted order."""
+    first, region, size = _regions(key, depth)
     at = np.arange(len(key))
     dense = (size > SMALL) & (at > first[region]) & (not everything)
     left, right = [first[region[dense]], at[dense] - 1], [at[dense], at[dense]]
@@ -176,8 +181,12 @@ def _pairs_of(key, depth, everything):
 PAIRS = "a long, b long, bits int, edge int, node long, n_shingles long, sketch binary, key binary"
 
 
-def candidates(forest: DataFrame, rows: int, depth: int, num: int, den: int, bits: int, scratch: Scratch) -> DataFrame:
-    """(a, b, bits) from the sorted orders. forest: (node, n_shingles, sketch, key), key = tree and label."""
+def candidates(forest: DataFrame, rows: int, depth: int, num: int, den: int, bits: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(a, b, bits) from the sorted orders, and the rows of dense regions.
+
+    forest: (node, n_shingles, sketch, key), key = tree and label. A region that
+    a task's border cuts counts as dense here; its size is known later.
+    """
     parts = max(1, rows // TASK_ROWS)
 
     def run(batches):
@@ -188,11 +197,19 @@ def candidates(forest: DataFrame, rows: int, depth: int, num: int, den: int, bit
         nodes, n, sk, key = _arrays(held)
         a, b, same = _alike(nodes, n, sk, *_pairs_of(key, depth, False), num, den, bits)
         none = lambda k, kind: pa.nulls(k, kind)
+
+        def rows_of(part, edge):
+            k = len(part)
+            return pa.RecordBatch.from_arrays([none(k, pa.int64()), none(k, pa.int64()), none(k, pa.int32()), pa.array([edge] * k, pa.int32()), pa.array(nodes[part]), pa.array(n[part]), pa.array([sk[i].tobytes() for i in part], pa.binary()), pa.array([key[i].tobytes() for i in part], pa.binary())], names=PAIR_NAMES)
+
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(same, pa.int32()), *(none(len(a), k) for k in (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=PAIR_NAMES)
         # the first and last rows of the task, for the regions that its borders cut
         for edge, part in ((me - 1, np.arange(min(SMALL, len(nodes)))), (me, np.arange(max(0, len(nodes) - SMALL), len(nodes)))):
-            k = len(part)
-            yield pa.RecordBatch.from_arrays([none(k, pa.int64()), none(k, pa.int64()), none(k, pa.int32()), pa.array([edge] * k, pa.int32()), pa.array(nodes[part]), pa.array(n[part]), pa.array([sk[i].tobytes() for i in part], pa.binary()), pa.array([key[i].tobytes() for i in part], pa.binary())], names=PAIR_NAMES)
+            yield rows_of(part, edge)
+        _, region, size = _regions(key, depth)
+        dense = np.flatnonzero((size > SMALL) | (region == 0) | (region == region[-1]))
+        for i in range(0, len(dense), 10_000):
+            yield rows_of(dense[i : i + 10_000], None)
 
     found = scratch.save(forest.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node").mapInArrow(run, PAIRS))
 
@@ -204,7 +221,8 @@ def candidates(forest: DataFrame, rows: int, depth: int, num: int, den: int, bit
 
     edges = found.where("edge is not null").select("edge", "node", "n_shingles", "sketch", "key")
     across = edges.groupBy("edge").applyInArrow(border, "a long, b long, bits int")
-    return found.where("a is not null").select("a", "b", "bits").union(across)
+    dense = found.where("a is null and edge is null").select("node", "n_shingles", "sketch", F.substring("key", 1, 1 + 2 * depth).alias("region"))
+    return found.where("a is not null").select("a", "b", "bits").union(across), dense
 
 
 PAIR_NAMES = ["a", "b", "bits", "edge", "node", "n_shingles", "sketch", "key"]
@@ -256,23 +274,19 @@ def _common(codes: np.ndarray, starts: np.ndarray, mask: np.ndarray, i: int, j:
     return shared
 
 
-def _across(parts: DataFrame, forest: DataFrame, docs: DataFrame, scratch: Scratch, depth: int, size: int, num: int, den: int, bits: int) -> DataFrame:
+def _across(parts: DataFrame, dense: DataFrame, texts_of: DataFrame, size: int, num: int, den: int, bits: int) -> DataFrame:
     """Links (a, b) between components of one dense region.
 
     A region's rows are dealt into blocks, by rows and by shingles, and every
     two blocks meet in one task. There sketches sieve the pairs of different
     components and full sets decide; pairs that are no links leave no row.
+    dense: (node, n_shingles, sketch, region); texts_of: (node, packed).
     """
-    region = F.substring("key", 1, 1 + 2 * depth)
-    rows = forest.withColumn("region", region).join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = dense.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = rows.groupBy("region").agg(F.count(F.lit(1)).alias("k"), F.sum("n_shingles").alias("s"), F.min("component").alias("lo"), F.max("component").alias("hi")).where((F.col("k") > SMALL) & (F.col("lo") < F.col("hi")))
     mixed = mixed.select("region", F.greatest(F.ceil(F.col("k") / BLOCK), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    held = scratch.save(rows.join(mixed, "region").select("region", "node", "n_shingles", "sketch", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("mine")))
-    if held.isEmpty():
-        return held.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    named = held.select(F.col("node").alias("doc_id")).distinct()
-    text = packed_texts(docs).join(named, "doc_id").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "packed")
-    held = held.join(scratch.save(text), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    held = rows.join(mixed, "region").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    held = held.join(texts_of, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     held = held.select("region", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "node", "n_shingles", "sketch", "component", "packed")
 
     def compare(table):
@@ -303,10 +317,13 @@ def _across(parts: DataFrame, forest: DataFrame, docs: DataFrame, scratch: Scrat
     return held.groupBy("region", "p", "q").applyInArrow(compare, "a long, b long")
 
 
-def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, packed) of the nodes in pairs: a node has the smallest doc_id of its set."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return packed_texts(docs).join(named.select(F.col("node").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "packed")
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, packed) of the nodes (node): a node has the smallest doc_id of its set.
+
+    A merge join at every size: no bound is known for the number of nodes.
+    """
+    named = nodes.select(F.col("node").alias("doc_id")).distinct().hint("merge")
+    return packed_texts(docs).join(named, "doc_id").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "packed")
 
 
 def near_dedup(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -319,11 +336,12 @@ def near_dedup(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) ->
     nodes = described.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("label").alias("label"), F.first("sketch").alias("sketch"))
     nodes = scratch.save(nodes.withColumn("node", F.coalesce("least", F.lit(NAMELESS) + F.pmod(F.xxhash64("fp"), F.lit(1 << 40)))).drop("least"))
     forest = nodes.select("node", "n_shingles", "sketch", F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.concat(F.unhex(F.lpad(F.hex(t), 2, "0")), F.substring("label", t * 2 * DEPTH + 1, F.lit(2 * DEPTH))))).alias("key"))
-    pairs = candidates(forest, nodes.count() * TREES, depth, num, den, bits, scratch)
+    pairs, dense = candidates(forest, nodes.count() * TREES, depth, num, den, bits, scratch)
     pairs = scratch.save(pairs.groupBy("a", "b").agg(F.max("bits").alias("bits")))
 
-    # the texts of the nodes that any pair names, once
-    held = scratch.save(_texts_of(docs, pairs))
+    # the texts of the nodes that any pair names or that a dense region holds, once
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(dense.select("node"))
+    held = scratch.save(_texts_of(docs, named))
 
     # each node's most alike candidate first: it leaves few pairs between components
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("bits", -F.col("a"))).alias("a")).select("a", "b")
@@ -338,7 +356,7 @@ def near_dedup(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) ->
     rest = between(pairs).join(best, ["a", "b"], "left_anti")
     links = scratch.save(links.union(verify(rest, held, size, num, den)))
     parts = scratch.save(connect(links, scratch))
-    more = scratch.save(_across(parts, forest, docs, scratch, depth, size, num, den, bits))
+    more = scratch.save(_across(parts, dense, held, size, num, den, bits))
     if not more.isEmpty():
         parts = scratch.save(connect(links.union(more), scratch))
     named = nodes.select("fp", "node").join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("c"))
