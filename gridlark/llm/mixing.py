@@ -14,11 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlark.llm._shared import SPACE, text_of
+from gridlark.llm._shared import SPACE, Scratch, text_of
 
 #: Words that the mix may take from a source, as a multiple of its size.
 MOST_RATE = 3.0
 WEIGHTS = (1, 2, 3)
+#: Sources whose table may be broadcast; with more, the join is left to Spark.
+BROADCAST_SOURCES = 4096
 
 
 def n_words(text: Column) -> Column:
@@ -62,14 +64,15 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float =
     """docs with size, source_size, target, copies and taken.
 
     Neither side of the join has texts unless the caller keeps them: sizes are
-    counted in the scan. The per-source side is as small as the number of
-    sources; Spark's measured size decides whether it is broadcast, else a
-    sort-merge join splits a hot source.
+    counted in the scan. The per-source table is written and its rows are
+    counted: few are broadcast, so that no text is shuffled; with many, Spark
+    joins and splits a hot source.
     """
     made = ("size", "source_size", "target", "copies", "taken")
     docs = docs.drop(*made).withColumn("size", n_words(text_of(docs)))
     per = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
-    per = per.select(F.col("source").alias("_src"), "source_size", "target")
+    per = Scratch(docs.sparkSession, "mixing").save(per.select(F.col("source").alias("_src"), "source_size", "target"))
+    per = F.broadcast(per) if per.count() <= BROADCAST_SOURCES else per
     out = docs.join(per, docs["source"].eqNullSafe(per["_src"]), "inner").drop("_src")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
