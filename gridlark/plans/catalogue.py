@@ -432,7 +432,11 @@ def antenna_kernel(spark, sf_dir):
 
 @query(f"SELECT key, line, k, {q('plat')} AS lat, {q('plon')} AS lon FROM p", kernel_sql(4.0, 7) + ", " + PROJECT_SQL.format(where="orbit = 7"))
 def footprint_project(spark, sf_dir):
-    s = samples_view(spark, sf_dir).where("orbit = 7").crossJoin(F.broadcast(footprint.kernel(spark, 2, 4.0)))
+    return _projected(spark, samples_view(spark, sf_dir).where("orbit = 7"))
+
+
+def _projected(spark, samples: DataFrame) -> DataFrame:
+    s = samples.crossJoin(F.broadcast(footprint.kernel(spark, 2, 4.0)))
     lat, lon = footprint.project(F.col("d"), F.col("lat"), F.col("lon"), F.col("x_over_rad"), F.col("y_over_rad"), F.col("scaled_rad"))
     return s.select("key", "line", "k", r(lat).alias("lat"), r(lon).alias("lon"))
 
@@ -536,7 +540,11 @@ def centered_norm(spark, sf_dir):
 @query(f"""SELECT orbit, CAST(i AS INTEGER) AS i, {q('v[lo + 1] + (v[least(lo + 1, n - 1) + 1] - v[lo + 1]) * (x - lo)')} AS value FROM (
   SELECT *, CAST(floor(x) AS BIGINT) AS lo FROM (SELECT orbit, v, len(v) AS n, i, least(i * len(v) / 23.0::DOUBLE, len(v) - 1.0::DOUBLE) AS x FROM a, range(24) t(i)))""", "a AS (SELECT orbit, list(t2 ORDER BY key, line, t2) AS v FROM samples WHERE orbit <= 5 GROUP BY orbit)")
 def interp1d_time(spark, sf_dir):
-    s = samples_view(spark, sf_dir).where("orbit <= 5").groupBy("orbit").agg(F.sort_array(F.collect_list(F.struct("key", "line", "t2"))).alias("v"))
+    return _resampled(samples_view(spark, sf_dir).where("orbit <= 5"))
+
+
+def _resampled(samples: DataFrame) -> DataFrame:
+    s = samples.groupBy("orbit").agg(F.sort_array(F.collect_list(F.struct("key", "line", "t2"))).alias("v"))
     return s.select("orbit", F.posexplode(interpolate.resample(F.col("v.t2"), 24)).alias("i", "value")).withColumn("value", r("value"))
 
 
@@ -546,12 +554,16 @@ def _poly(lat: str, alb: str, h: str, hour: str) -> str:
 
 @query(f"SELECT key, line, {q(_poly('least(60, abs(lat))', 'least(0.17, (t1 - 180) / 250)', 'least(0.12, greatest(0.03, (round(t2) - 180) / 1000))', 'least(23.9, ltst * 24)'), 8)} AS tb FROM samples WHERE orbit <= 10")
 def multilinear_interp(spark, sf_dir):
+    return _multilinear(spark, samples_view(spark, sf_dir).where("orbit <= 10"))
+
+
+def _multilinear(spark, samples: DataFrame) -> DataFrame:
     """The table holds a multilinear function, so the answer is that function at the clipped inputs."""
     t = spark.range(1)
     for name, v in {"a_lat": (0, 10, 25, 60), "a_alb": (0, 0.06, 0.17), "a_h": (0.03, 0.05, 0.12), "a_hour": (0, 6, 12.5, 18, 23.9)}.items():
         t = t.withColumn(name, F.explode(F.array(*[F.lit(float(x)) for x in v])))
     t = t.withColumn("v", F.expr(_poly("a_lat", "a_alb", "a_h", "a_hour").replace("::DOUBLE", "D")))
-    s = samples_view(spark, sf_dir).where("orbit <= 10").select("key", "line", F.abs("lat").alias("x1"), ((F.col("t1") - 180) / 250).alias("x2"), ((F.round("t2") - 180) / 1000).alias("x3"), (F.col("ltst") * 24).alias("x4"))
+    s = samples.select("key", "line", F.abs("lat").alias("x1"), ((F.col("t1") - 180) / 250).alias("x2"), ((F.round("t2") - 180) / 1000).alias("x3"), (F.col("ltst") * 24).alias("x4"))
     out = interpolate.multilinear(s, t, {"x1": "a_lat", "x2": "a_alb", "x3": "a_h", "x4": "a_hour"}, "v", "tb")
     return out.select("key", "line", r("tb", 8).alias("tb"))
 
@@ -607,23 +619,31 @@ LAYERS_SQL = f"""l AS (SELECT key, line AS layer, t2 AS temp, (d - 79) / 2000 AS
   a6 AS (SELECT *, (1 - att) * (1 + ref * att) * (1 - surface) * exp(above) AS weight, (1 - surface) * exp(thru) AS rest FROM a5)"""
 
 
-def _layers(spark, sf_dir) -> DataFrame:
+def _layers(spark, sf_dir, keys: str = "key % 5 = 0") -> DataFrame:
     s = samples_view(spark, sf_dir)
     whole = s.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("line").alias("u")).where("n >= 2 and n = u").select("key")
-    out = s.where("key % 5 = 0").join(whole, "key", "left_semi")
+    out = s.where(keys).join(whole, "key", "left_semi")
     out = out.select("key", F.col("line").alias("layer"), F.col("t2").alias("temp"), ((F.col("d") - 79) / 2000).alias("dz"), (F.col("line") * 90.0 + 1100).alias("rho"))
     return brightness.cross_settings(out, [7.8], [2.5])
 
 
 @query(f"SELECT key, layer, {q('weight', 9)} AS weight, {q('rest', 9)} AS rest FROM a6", LAYERS_SQL)
 def layer_prefix_product(spark, sf_dir):
-    out = brightness.layer_weights(_layers(spark, sf_dir), ["key"], path="dz")
+    return _weights(_layers(spark, sf_dir))
+
+
+def _weights(layers: DataFrame) -> DataFrame:
+    out = brightness.layer_weights(layers, ["key"], path="dz")
     return out.select("key", "layer", r("weight", 9).alias("weight"), r("rest", 9).alias("rest"))
 
 
 @query(f"SELECT key, {q('h / ln(1 / rad + 1) + below', 5)} AS tb FROM (SELECT key, sum(weight / (exp({lit(PLANCK / BOLTZMANN * 1e9 * 7.8)} / temp) - 1)) AS rad, max({lit(PLANCK / BOLTZMANN * 1e9 * 7.8)}) AS h, arg_max((temp + (temp - t1) * 2 / (dz + d1) / coeff) * rest, layer) AS below FROM (SELECT *, lag(temp) OVER w AS t1, lag(dz) OVER w AS d1 FROM a6 WINDOW w AS (PARTITION BY key ORDER BY layer)) GROUP BY key)", LAYERS_SQL)
 def brightness_temperature(spark, sf_dir):
-    out = brightness.brightness_temperature(_layers(spark, sf_dir), ["key", "freq", "c"], path="dz")
+    return _brightness(_layers(spark, sf_dir))
+
+
+def _brightness(layers: DataFrame) -> DataFrame:
+    out = brightness.brightness_temperature(layers, ["key", "freq", "c"], path="dz")
     return out.select("key", r("tb", 5).alias("tb"))
 
 
@@ -660,7 +680,11 @@ def plain_norm(spark, sf_dir):
 
 @query(f"SELECT key, line, k, {q('x * r * d * 1737.4')} AS east, {q('y * r * d * 1737.4')} AS north FROM (SELECT * FROM samples WHERE orbit = 7), kernel", kernel_sql(4.0, 7))
 def flat_offsets(spark, sf_dir):
-    s = samples_view(spark, sf_dir).where("orbit = 7").crossJoin(F.broadcast(footprint.kernel(spark, 2, 4.0)))
+    return _offsets(spark, samples_view(spark, sf_dir).where("orbit = 7"))
+
+
+def _offsets(spark, samples: DataFrame) -> DataFrame:
+    s = samples.crossJoin(F.broadcast(footprint.kernel(spark, 2, 4.0)))
     x, y = footprint.flat_offset(F.col("d"), F.col("x_over_rad"), F.col("y_over_rad"), F.col("scaled_rad"))
     return s.select("key", "line", "k", r(x).alias("east"), r(y).alias("north"))
 
@@ -668,8 +692,58 @@ def flat_offsets(spark, sf_dir):
 @query(f"SELECT orbit, x, {q('v0 + CASE WHEN x1 > x0 THEN (x - x0) / (x1 - x0) ELSE 0 END * (coalesce(v1, v0) - v0)')} AS v FROM (SELECT orbit, x0, v0, x1, v1, x FROM b, range(0, 91, 10) g(x) WHERE x >= x0 AND (x < x1 OR (x1 IS NULL AND x = x0)))",
        "a AS (SELECT orbit, floor(lat) + 90 AS x, avg(t1) AS v FROM samples WHERE orbit <= 5 AND lat < 0 GROUP BY ALL UNION ALL SELECT DISTINCT orbit, 0, 200 FROM samples WHERE orbit <= 5 AND orbit NOT IN (SELECT orbit FROM samples WHERE lat < -89)), b AS (SELECT orbit, x AS x0, v AS v0, lead(x) OVER w AS x1, lead(v) OVER w AS v1 FROM a WINDOW w AS (PARTITION BY orbit ORDER BY x))")
 def regular_series(spark, sf_dir):
-    s = samples_view(spark, sf_dir).where("orbit <= 5")
+    return _regular(samples_view(spark, sf_dir).where("orbit <= 5"))
+
+
+def _regular(s: DataFrame) -> DataFrame:
     a = s.where("lat < 0").groupBy("orbit", (F.floor("lat") + 90).cast("double").alias("x")).agg(F.avg("t1").alias("v"))
     start = filters.not_member(s.select("orbit").distinct(), s.where("lat < -89").select("orbit"), "orbit").select("orbit", F.lit(0.0).alias("x"), F.lit(200.0).alias("v"))
     out = interpolate.regular_series(a.union(start), "x", "v", 10.0, ["orbit"])
     return out.select("orbit", F.col("x").cast("long").alias("x"), r("v").alias("v"))
+
+
+# --- the queries above that take some orbits or keys, over all samples
+
+def _whole(name: str, *filters: str) -> str:
+    """The twin of a query without its filters."""
+    sql = SQL[name]
+    for f in filters:
+        if f not in sql:
+            raise ValueError(f"{name} has no {f}")
+        sql = sql.replace(f, "")
+    return sql
+
+
+@query(_whole("footprint_project", " WHERE orbit = 7"), samples=False)
+def footprint_project_all(spark, sf_dir):
+    return _projected(spark, samples_view(spark, sf_dir))
+
+
+@query(_whole("flat_offsets", " WHERE orbit = 7"), samples=False)
+def flat_offsets_all(spark, sf_dir):
+    return _offsets(spark, samples_view(spark, sf_dir))
+
+
+@query(_whole("interp1d_time", " WHERE orbit <= 5"), samples=False)
+def interp1d_time_all(spark, sf_dir):
+    return _resampled(samples_view(spark, sf_dir))
+
+
+@query(_whole("regular_series", " orbit <= 5 AND"), samples=False)
+def regular_series_all(spark, sf_dir):
+    return _regular(samples_view(spark, sf_dir))
+
+
+@query(_whole("multilinear_interp", " WHERE orbit <= 10"), samples=False)
+def multilinear_interp_all(spark, sf_dir):
+    return _multilinear(spark, samples_view(spark, sf_dir))
+
+
+@query(_whole("layer_prefix_product", " WHERE key % 5 = 0"), samples=False)
+def layer_prefix_product_all(spark, sf_dir):
+    return _weights(_layers(spark, sf_dir, "true"))
+
+
+@query(_whole("brightness_temperature", " WHERE key % 5 = 0"), samples=False)
+def brightness_temperature_all(spark, sf_dir):
+    return _brightness(_layers(spark, sf_dir, "true"))
