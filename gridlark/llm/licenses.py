@@ -1,20 +1,21 @@
 """License scans with a positional rare-token index (operator 10), in DataFrame functions only.
 
 Every license is a template of words with mandatory key phrases. Document
-frequencies of the templates' words come from all documents. A file's licence
-words of highest inverse document frequency are looked up in the templates'
-postings; the differences between a word's place in the file and in the
-template vote for an alignment, and the alignment with most votes is compared
-word by word. A template counts if its alignment agrees well enough and a
-mandatory key phrase stands in the file.
-
-Edge cases: a null or empty text has no words and no labels; with several best
-alignments the first counts; repeated rows are scanned alike; an empty table
-gives an empty result.
+frequencies of the templates' words come from all documents. Of each template
+whose key phrase stands in the file, the words of highest inverse document
+frequency are looked up: so many of its places that any alignment which agrees
+well enough agrees in one of them. The differences between a word's place in
+the file and in the template are the alignments to compare word by word, and
+the best one counts.
+
+Edge cases: a null or empty text has no words and no labels; repeated rows are
+scanned alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +45,8 @@ TEMPLATES = [
     ("cc0", "released under cc0 1 0 universal", ["cc0 1 0"]),
 ]
 VOCABULARY = sorted({w for p in PHRASES for w in p.split()} | {w for _, t, keys in TEMPLATES for x in (t, *keys) for w in x.split()})
-#: A file's licence words that are looked up, and the share of a template's words that must agree.
-RARE, LEAST = 8, 0.5
+#: The share of a template's words that must agree.
+LEAST = 0.5
 
 
 def strings(words: list[str]) -> Column:
@@ -93,21 +94,20 @@ def inverse_frequencies(made: DataFrame) -> dict[str, float]:
     return {r["w"]: r["idf"] for r in rows}
 
 
-def _votes(words: Column, rare: Column, template: list[str]) -> Column:
-    """The alignment with most votes: the place in the file of the template's first word."""
-    spots: dict[str, list[int]] = {}
-    for i, w in enumerate(template):
-        spots.setdefault(w, []).append(i)
-    postings = F.create_map(*[x for w, at in spots.items() for x in (F.lit(w), F.array(*[F.lit(i) for i in at]))])
-    hits = F.filter(F.transform(words, lambda w, i: F.when(F.array_contains(rare, w), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
-    offsets = F.array_sort(F.flatten(F.transform(hits, lambda h: F.transform(F.coalesce(F.try_element_at(postings, h["w"]), F.array().cast("array<int>")), lambda q: h["i"] - q))))
-    start = F.struct(F.lit(None).cast("int").alias("now"), F.lit(0).alias("run"), F.lit(None).cast("int").alias("best"), F.lit(0).alias("most"))
+def rare_places(template: list[str], idf: dict[str, float]) -> dict[str, list[int]]:
+    """Postings of the rarest places: an alignment that differs in all of them agrees in fewer than LEAST."""
+    most = len(template) - math.ceil(LEAST * len(template)) + 1
+    out: dict[str, list[int]] = {}
+    for i in sorted(range(len(template)), key=lambda i: (-idf.get(template[i], math.inf), i))[:most]:
+        out.setdefault(template[i], []).append(i)
+    return out
 
-    def step(a: Column, x: Column) -> Column:
-        run = F.when(a["now"].eqNullSafe(x), a["run"] + 1).otherwise(F.lit(1))
-        return F.struct(x.alias("now"), run.alias("run"), F.when(run > a["most"], x).otherwise(a["best"]).alias("best"), F.greatest(run, a["most"]).alias("most"))
 
-    return F.aggregate(offsets, start, step, lambda a: a["best"])
+def _alignments(words: Column, rare: dict[str, list[int]]) -> Column:
+    """The places in the file where the template's first word would stand."""
+    postings = F.create_map(*[x for w, at in rare.items() for x in (F.lit(w), F.array(*[F.lit(i) for i in at]))])
+    hits = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*rare), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
+    return F.array_distinct(F.flatten(F.transform(hits, lambda h: F.transform(F.element_at(postings, h["w"]), lambda q: h["i"] - q))))
 
 
 def _agreement(words: Column, at: Column, template: list[str]) -> Column:
@@ -122,15 +122,12 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     made = Scratch(docs.sparkSession, "licenses").save(indexed(docs))
     idf = inverse_frequencies(made)
     words, present = F.col("_words"), F.col("_present")
-    weights = F.create_map(*[x for w, v in sorted(idf.items()) for x in (F.lit(w), F.lit(v))]) if idf else F.create_map(F.lit(""), F.lit(0.0))
-    ranked = F.array_sort(F.transform(present, lambda w: F.struct((-F.coalesce(F.try_element_at(weights, w), F.lit(0.0))).alias("k"), w.alias("w"))))
-    out = made.withColumn("_rare", F.when(words.isNotNull(), F.transform(F.slice(ranked, 1, RARE), lambda x: x["w"])))
     none = F.array().cast("array<int>")
     found = {}
     for i, phrase in enumerate(PHRASES):
         p = phrase.split()
         found[f"_p{i}"] = F.when(words.isNotNull() & has_words(present, p), places(words, p)).otherwise(none)
-    out = out.withColumns(found)
+    out = made.withColumns(found)
     at = F.flatten(F.array(*[F.col(c) for c in found]))
     base = F.filter(F.array(*[F.when(F.size(c) > 0, F.lit(PHRASES[p])) for c, p in zip(found, PHRASES)]), lambda x: x.isNotNull())
     scores = {}
@@ -139,7 +136,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         can = F.lit(False)
         for k in keys:
             can = can | (has_words(present, k.split()) & (F.size(places(words, k.split())) > 0))
-        share = let(_votes(words, F.col("_rare"), t), lambda a: _agreement(words, a, t))
+        share = F.array_max(F.transform(_alignments(words, rare_places(t, idf)), lambda a: _agreement(words, a, t)))
         scores[f"_s{i}"] = F.when(words.isNotNull(), F.when(can, share)).otherwise(F.lit(None))
     out = out.withColumns({"_at": at, "_base": base}).withColumns(scores)
     by_label: dict[str, list[str]] = {}
@@ -155,4 +152,4 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         "base_labels": names(F.col("_base")), "labels": names(F.concat("_base", own)),
         "score": F.when(F.size("_base") > 0, F.lit(1.0)).otherwise(top),
     })
-    return out.drop("_words", "_present", "_rare", "_at", "_base", *found, *scores)
+    return out.drop("_words", "_present", "_at", "_base", *found, *scores)
