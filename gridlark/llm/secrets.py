@@ -2,7 +2,8 @@
 
 A document is the first layer. From every layer, lines with URL or Unicode
 escapes and runs of base64 characters are decoded, and what a run decodes to is
-unpacked if it is compressed. Each new layer is scanned and put on the
+unpacked for as long as it is compressed. Bytes that are no readable UTF-8 are
+taken as Latin-1, which loses none. Each new layer is scanned and put on the
 worklist; a layer whose content and place have been seen is not taken up again,
 so the work ends. Every character of a layer knows which characters of the
 document it comes from, so findings in a layer become spans of the document.
@@ -107,20 +108,56 @@ def _unescape(line: str, starts, ends):
     return "".join(chars), s + list(starts[at:]), e + list(ends[at:])
 
 
-def _inflate(raw: bytes) -> bytes | None:
-    """What raw unpacks to, if it begins as a known compressed format does."""
+def _inflater(raw: bytes):
+    """A decompressor if raw begins as a known compressed format does."""
+    if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and int.from_bytes(raw[:2], "big") % 31 == 0:
+        return zlib.decompressobj(47)
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(memlimit=64 << 20)
+    if raw[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().decompressobj()
+    return None
+
+
+def _inflate(raw: bytes, inflater) -> tuple[bytes, bytes, bool]:
+    """What raw unpacks to, what follows the compressed stream, and whether no error was met."""
+    out = bytearray()
     try:
-        if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and int.from_bytes(raw[:2], "big") % 31 == 0:
-            return zlib.decompressobj(47).decompress(raw, MAX_INFLATED)
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, MAX_INFLATED)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor(memlimit=64 << 20).decompress(raw, MAX_INFLATED)
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().decompressobj().decompress(raw)[:MAX_INFLATED]
+        for at in range(0, len(raw), STEP):
+            piece = raw[at : at + STEP]
+            if raw[:4] == b"\x28\xb5\x2f\xfd":
+                out += inflater.decompress(piece)
+            else:
+                out += inflater.decompress(piece, MAX_INFLATED - len(out))
+            if inflater.eof:
+                return bytes(out[:MAX_INFLATED]), inflater.unused_data + raw[at + STEP :], True
+            if len(out) >= MAX_INFLATED:
+                break
     except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
-        return None
-    return None
+        return bytes(out[:MAX_INFLATED]), b"", False
+    return bytes(out[:MAX_INFLATED]), b"", True
+
+
+#: Bytes given to a decompressor at once: what was unpacked before an error is kept.
+STEP = 1 << 12
+
+
+def _unpacked(raw: bytes):
+    """The layers of bytes that raw wraps, compressed ones unpacked until none begins as a compressed format does; none if raw does not."""
+    work, seen = [raw], set()
+    while work:
+        raw = work.pop()
+        mark = hashlib.blake2b(raw, digest_size=16).digest()
+        if mark in seen:
+            continue
+        seen.add(mark)
+        inflater = _inflater(raw)
+        out, rest, whole = _inflate(raw, inflater) if inflater else (b"", b"", False)
+        if not whole and len(seen) > 1:
+            yield raw
+        work += [x for x in (out, rest) if x]
 
 
 def _readable(raw: bytes) -> str | None:
@@ -134,6 +171,14 @@ def _readable(raw: bytes) -> str | None:
 
 
 CONTROL = bytes(b for b in [*range(32), 127] if b not in b"\t\n\r\x0b\x0c")
+#: The shortest secret has 14 characters, and so has at least what it is escaped or encoded to.
+ASCII = re.compile(rb"[\t\n\r\x20-\x7e]{14}")
+
+
+def _any_text(raw: bytes) -> str | None:
+    """raw as text: readable, or else a character a byte; None if no secret can stand in it."""
+    plain = _readable(raw)
+    return plain if plain is not None or not ASCII.search(raw) else raw.decode("latin-1")
 
 
 def _layers(text: str, starts, ends):
@@ -150,17 +195,19 @@ def _layers(text: str, starts, ends):
             raw = binascii.a2b_base64(run[: len(run) - (len(run) % 4 == 1)] + "=" * (-len(run) % 4 if len(run) % 4 != 1 else 0))
         except (binascii.Error, ValueError):
             continue
-        plain = _readable(raw)
+        for inner in _unpacked(raw):
+            if plain := _any_text(inner):
+                yield plain, [starts[m.start()]] * len(plain), [ends[m.start() + len(run) - 1]] * len(plain)
+        plain = _any_text(raw)
         if plain is not None:
             s, e, b = [], [], 0
+            wide = len(plain) < len(raw)
             for c in plain:
-                n = len(c.encode())
+                n = len(c.encode()) if wide else 1
                 s.append(starts[m.start() + b * 4 // 3])
                 e.append(ends[m.start() + min(len(run) - 1, ((b + n) * 4 + 2) // 3 - 1)])
                 b += n
             yield plain, s, e
-        elif (unpacked := _inflate(raw)) is not None and (plain := _readable(unpacked)) is not None:
-            yield plain, [starts[m.start()]] * len(plain), [ends[m.start() + len(run) - 1]] * len(plain)
 
 
 URL_SAFE = str.maketrans("-_", "+/")

@@ -1,0 +1,43 @@
+"""Secrets below several decodings."""
+
+from __future__ import annotations
+
+import base64
+import bz2
+import gzip
+import lzma
+import zlib
+
+import pytest
+import zstandard
+
+from gridlark.llm import secrets
+
+PLAIN = b"password = hunter2hunter2 and more words"
+PACK = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress]
+
+
+def kinds(text: str) -> set[int]:
+    return {k for _, k, _ in secrets.find(text)[1]}
+
+
+@pytest.mark.parametrize("outer", range(5))
+@pytest.mark.parametrize("inner", range(5))
+def test_compressed_in_compressed(outer, inner):
+    text = base64.b64encode(PACK[outer](PACK[inner](PACK[0](PLAIN)))).decode()
+    _, spans, _ = secrets.find(f"say {text} end")
+    assert spans == [(4, 0, 4 + len(text.rstrip("=")))]
+
+
+def test_streams_in_a_row():
+    assert kinds(base64.b64encode(gzip.compress(b"nothing") + bz2.compress(PLAIN)).decode()) == {0}
+    assert kinds(base64.b64encode(gzip.compress(b"nothing") + PLAIN).decode()) == {0}
+
+
+@pytest.mark.parametrize("byte", [b"\x00", b"\x1b", b"\xe9", b"\xff"])
+def test_unreadable_bytes_hide_nothing(byte):
+    text = base64.b64encode(byte + b" " + PLAIN + byte).decode()
+    _, spans, _ = secrets.find(text)
+    a, k, b = spans[0]
+    assert k == 0 and b"password = hunter2hunter2" in base64.b64decode(text[a // 4 * 4 : -(-b // 4) * 4])
+    assert kinds(base64.b64encode(gzip.compress(PLAIN + byte)).decode()) == {0}
