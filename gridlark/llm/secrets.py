@@ -1,7 +1,8 @@
 """Secret scans with a recursive decoding worklist (operator 2).
 
 A document is the first layer. From every layer, lines with URL or Unicode
-escapes and runs of base64 characters are decoded, and what a run decodes to is
+escapes and runs of base64 characters are decoded, also those wrapped over
+consecutive lines and those that begin inside a longer run, and what a run decodes to is
 unpacked for as long as it is compressed. Bytes that are no readable UTF-8 are
 taken as Latin-1, which loses none. Each new layer is scanned and put on the
 worklist; a layer whose content and place have been seen is not taken up again,
@@ -36,6 +37,11 @@ WORDS = ("passw", "secret", "token", "key")
 
 ESCAPED = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Runs on consecutive lines, and the line breaks between them.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+BREAKS = re.compile(r"[ \t]*\r?\n[ \t]*")
+#: What the first bytes of compressed formats are in base64.
+PACKED = re.compile(r"(?=H4sI|Qlpo|/Td6WFoA|KLUv/|eA[E-H]|eF[4-7]|eJ[w-z]|eN[o-r])")
 #: Bytes that a compressed layer may unpack to.
 MAX_INFLATED = 16 << 20
 
@@ -142,11 +148,13 @@ def _inflate(raw: bytes, inflater) -> tuple[bytes, bytes, bool]:
 
 #: Bytes given to a decompressor at once: what was unpacked before an error is kept.
 STEP = 1 << 12
+#: Base64 characters that are unpacked first, to see whether they are compressed at all.
+HEAD = 1 << 12
 
 
-def _unpacked(raw: bytes):
-    """The layers of bytes that raw wraps, compressed ones unpacked until none begins as a compressed format does; none if raw does not."""
-    work, seen = [raw], set()
+def _unpacked(work: list[bytes]):
+    """The bytes of work, compressed ones unpacked until none begins as a compressed format does."""
+    seen = set()
     while work:
         raw = work.pop()
         mark = hashlib.blake2b(raw, digest_size=16).digest()
@@ -155,7 +163,7 @@ def _unpacked(raw: bytes):
         seen.add(mark)
         inflater = _inflater(raw)
         out, rest, whole = _inflate(raw, inflater) if inflater else (b"", b"", False)
-        if not whole and len(seen) > 1:
+        if not whole:
             yield raw
         work += [x for x in (out, rest) if x]
 
@@ -190,24 +198,58 @@ def _layers(text: str, starts, ends):
                 yield _unescape(line, starts[at : at + len(line)], ends[at : at + len(line)])
             at += len(line) + 1
     for m in RUN.finditer(text):
-        run = m[0].rstrip("=").translate(URL_SAFE)
-        try:
-            raw = binascii.a2b_base64(run[: len(run) - (len(run) % 4 == 1)] + "=" * (-len(run) % 4 if len(run) % 4 != 1 else 0))
-        except (binascii.Error, ValueError):
-            continue
-        for inner in _unpacked(raw):
-            if plain := _any_text(inner):
-                yield plain, [starts[m.start()]] * len(plain), [ends[m.start() + len(run) - 1]] * len(plain)
-        plain = _any_text(raw)
-        if plain is not None:
+        run = m[0].rstrip("=")
+        yield from _decoded(run, range(m.start(), m.start() + len(run)), starts, ends)
+    if "\n" in text:
+        for m in WRAPPED.finditer(text):
+            whole = m[0].rstrip("=")
+            run, places, at = [], [], 0
+            for x in BREAKS.finditer(whole):
+                run.append(whole[at : x.start()])
+                places += range(m.start() + at, m.start() + x.start())
+                at = x.end()
+            run.append(whole[at:])
+            places += range(m.start() + at, m.start() + len(whole))
+            if len(places) >= 16:
+                yield from _decoded("".join(run), places, starts, ends)
+
+
+def _bytes_of(run: str) -> bytes:
+    """The bytes of a base64 run; a last character that makes no byte is left out."""
+    n = len(run) - (len(run) % 4 == 1)
+    return binascii.a2b_base64(run[:n] + "=" * (-n % 4))
+
+
+def _decoded(run: str, places, starts, ends):
+    """The layers in a base64 run, whose characters stand at places: each alignment as text, and all that begins as a compressed format does."""
+    run = run.translate(URL_SAFE)
+    for phase in range(4):
+        raw = _bytes_of(run[phase:])
+        plain = _any_text(raw) if not phase or ASCII.search(raw) else None
+        if plain:
             s, e, b = [], [], 0
             wide = len(plain) < len(raw)
             for c in plain:
                 n = len(c.encode()) if wide else 1
-                s.append(starts[m.start() + b * 4 // 3])
-                e.append(ends[m.start() + min(len(run) - 1, ((b + n) * 4 + 2) // 3 - 1)])
+                s.append(starts[places[phase + b * 4 // 3]])
+                e.append(ends[places[min(len(run) - 1, phase + ((b + n) * 4 + 2) // 3 - 1)]])
                 b += n
             yield plain, s, e
+    done = 0
+    for m in PACKED.finditer(run):
+        raw = _bytes_of(run[m.start() : m.start() + HEAD])
+        if m.start() < done or (inflater := _inflater(raw)) is None:
+            continue
+        out, rest, whole = _inflate(raw, inflater)
+        if whole and len(run) > m.start() + HEAD:  # most that only look compressed fail before
+            raw = _bytes_of(run[m.start() :])
+            inflater = _inflater(raw)
+            out, rest, _ = _inflate(raw, inflater)
+        if inflater.eof:  # what begins inside the stream has been unpacked with it
+            done = m.start() + (len(raw) - len(rest)) * 4 // 3
+        for inner in _unpacked([x for x in (out, rest) if x is out or _inflater(x)]):
+            if plain := _any_text(inner):
+                yield plain, [starts[places[m.start()]]] * len(plain), [ends[places[-1]]] * len(plain)
 
 
 URL_SAFE = str.maketrans("-_", "+/")

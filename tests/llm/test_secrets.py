@@ -41,3 +41,30 @@ def test_unreadable_bytes_hide_nothing(byte):
     a, k, b = spans[0]
     assert k == 0 and b"password = hunter2hunter2" in base64.b64decode(text[a // 4 * 4 : -(-b // 4) * 4])
     assert kinds(base64.b64encode(gzip.compress(PLAIN + byte)).decode()) == {0}
+
+
+LONG = b"caf\xc3\xa9 " * 30 + b"password = hunter2hunter2hunter2hunter2hunter2hunter2hunter2hunter2hunter2hunter2hunter2 " + b"\xc3\xa9t\xc3\xa9 " * 30
+
+
+def wrapped(raw: bytes, columns: int, line_end: str) -> str:
+    text = base64.b64encode(raw).decode()
+    return line_end.join(text[i : i + columns] for i in range(0, len(text), columns))
+
+
+@pytest.mark.parametrize("columns", [10, 64, 75, 76])
+@pytest.mark.parametrize("line_end", ["\n", "\r\n", "\n  "])
+@pytest.mark.parametrize("before", ["", "-----BEGIN-----\n", "key material\n", "see token_", "path/"])
+def test_wrapped_base64(columns, line_end, before):
+    plain = before + wrapped(LONG, columns, line_end) + "\nend."
+    at, value = LONG.index(b"password"), b"password = " + b"hunter2" * 11
+    columns_of = [i for i in range(len(before), len(plain)) if not plain[i].isspace()]
+    want = (columns_of[at * 4 // 3], 0, columns_of[((at + len(value)) * 4 + 2) // 3 - 1] + 1)
+    assert want in secrets.find(plain)[1]
+    noise = b" ".join(zlib.crc32(bytes([i])).to_bytes(4, "big").hex().encode() for i in range(200))
+    assert 0 in kinds(before + wrapped(gzip.compress(noise + b" " + PLAIN), columns, line_end) + "\nend.")
+
+
+@pytest.mark.parametrize("before", ["t_", "to_", "tok_", "toke_", "a/b-c_", "x"])
+@pytest.mark.parametrize("raw", [PLAIN, *[f(PLAIN) for f in PACK]])
+def test_joined_to_other_characters(before, raw):
+    assert kinds(before + base64.urlsafe_b64encode(raw).decode().rstrip("=") + "_tail") == {0}
