@@ -650,7 +650,7 @@ def _brightness(layers: DataFrame) -> DataFrame:
 @query()
 def heat1d_run(spark, sf_dir):
     points = thermal.sweep(spark, [0.0, 60.0], [0.12], [0.07])
-    out = thermal.profile_table(thermal.simulate(points, solver=thermal.Solver(years=0.085)), 24)
+    out = thermal.profile_table(thermal.simulate(points), 24)
     return out.select("run", "lat", "layer", r("z").alias("z"), "ltst", r("temp", 3).alias("temp"))
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 
+from gridlark.operators import thermal
 from gridlark.plans import catalogue
+from gridlark.schema import Body
 from gridlark.sources.tables import samples_view
 
 SF = "/root/testdata/sf0.001"
@@ -25,3 +28,11 @@ def test_no_key_with_layers_is_left_out(spark, name):
         lines.setdefault(x["key"], []).append(x["line"])
     want = {k for k, v in lines.items() if len(v) >= 2 and len(v) == len(set(v))}
     assert {x["key"] for x in catalogue.QUERIES[name](spark, SF).select("key").distinct().collect()} == want
+
+
+def test_heat_flow_runs_for_the_whole_equilibration_time(spark):
+    got = catalogue.QUERIES["heat1d_run"](spark, SF).where("lat = 60").toPandas()
+    want = thermal.run_models(np.array([0.12]), np.array([60.0]), np.array([0.07]), Body(), thermal.Solver())[0]["temp"]
+    means = got.groupby("layer")["temp"].mean().sort_index().to_numpy()
+    assert len(means) == len(want)
+    assert np.abs(means - want.mean(axis=1))[20:].max() < 0.5  # below the daily wave
