@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.llm._shared import Scratch, slices, small_batches, texts
+from gridlark.llm._shared import Scratch, slices, texts
 from gridlark.llm.components import connect
 from gridlark.llm.lines import LOWER
 
@@ -109,7 +109,7 @@ def least_bits(similarity: float) -> int:
 
 def describe(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, n_shingles, fp, label, sketch): fp names the set; null for an empty one."""
-    small_batches(docs.sparkSession)
+
 
     def run(batches):
         hashes, (a, b) = WordHashes(), permutations()
@@ -231,7 +231,7 @@ PAIR_NAMES = ["a", "b", "bits", "edge", "node", "n_shingles", "sketch", "key"]
 def verify(pairs: DataFrame, held: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose full sets are alike enough. held: (node, packed text)."""
     both = pairs.join(held.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
-    small_batches(pairs.sparkSession)
+
 
     def run(batches):
         hashes, open_ = WordHashes(), zstandard.ZstdDecompressor()
@@ -252,7 +252,7 @@ def verify(pairs: DataFrame, held: DataFrame, size: int, num: int, den: int) ->
 
 def packed_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, packed): texts compressed before they are shuffled."""
-    small_batches(docs.sparkSession)
+
 
     def run(batches):
         press = zstandard.ZstdCompressor(level=1)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlark.llm._shared import Scratch, map_texts, slices, small_batches, texts
+from gridlark.llm._shared import Scratch, map_texts, slices, texts
 
 #: Labelled rows that the lexicon and the weights are fitted on, about.
 SAMPLE = 12_000
@@ -322,7 +322,7 @@ def cover(sample: DataFrame, proposed: list[str]) -> list[str]:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled rows that are not held out. docs: doc_id, text; labels: doc_id, toxic."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "toxic")
-    small_batches(spark)
+
     own = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id")))
     own = own.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     n = own.count()
