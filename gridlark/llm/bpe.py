@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 import struct
+import sys
 import unicodedata
 from heapq import heapify, heappop, heappush
 
@@ -30,6 +31,48 @@ WHITE = r"\x09-\x0d \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NOT_WHITE = regex.compile("[\x1c-\x1f]")
 #: Words that a generation of a worker's memory holds.
 CACHE_WORDS = 150_000
+# What the library's tables have beyond Unicode 15.1, as first and last code points.
+# Its letters and numbers are those of Unicode 16.
+NEW_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NEW_NUMBERS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
+# First and last code points that the library makes lower case, and what the first becomes (Unicode 17).
+NEW_LOWER = [
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3),
+    (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB),
+]
+# Marks younger than the library's composition tables (Unicode 9), which neither move nor join there.
+YOUNG_MARKS = [
+    (0x7FD, 0x7FD), (0x898, 0x89F), (0x8CA, 0x8D3), (0x9FE, 0x9FE), (0xAFA, 0xAFF), (0xC3C, 0xC3C), (0xD3B, 0xD3C), (0xEBA, 0xEBA), (0x1715, 0x1715), (0x1ABF, 0x1ACE), (0x1DF6, 0x1DFA), (0xA82C, 0xA82C),
+    (0x10D24, 0x10D27), (0x10EAB, 0x10EAC), (0x10EFD, 0x10EFF), (0x10F46, 0x10F50), (0x10F82, 0x10F85), (0x11070, 0x11070), (0x1133B, 0x1133B),
+    (0x1145E, 0x1145E), (0x11839, 0x1183A), (0x11930, 0x11930), (0x1193D, 0x1193E), (0x11943, 0x11943), (0x119E0, 0x119E0), (0x11A34, 0x11A34), (0x11A47, 0x11A47),
+    (0x11A99, 0x11A99), (0x11D42, 0x11D45), (0x11D97, 0x11D97), (0x11F41, 0x11F42), (0x16FF0, 0x16FF1), (0x1E08F, 0x1E08F), (0x1E130, 0x1E136),
+    (0x1E2AE, 0x1E2AE), (0x1E2EC, 0x1E2EF), (0x1E4EC, 0x1E4EF),
+]
+LOWER_TABLE = {c: to + c - a for a, b, to in NEW_LOWER for c in range(a, b + 1)}
+
+
+def class_body(ranges: list[tuple[int, int]]) -> str:
+    return "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in ranges)
+
+
+def assigned(kind: str) -> list[tuple[int, int]]:
+    """First and last code points of the runs whose general category begins with kind."""
+    out: list[tuple[int, int]] = []
+    for c in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(c))[0] == kind:
+            if out and out[-1][1] == c - 1:
+                out[-1] = out[-1][0], c
+            else:
+                out.append((c, c))
+    return out
+
+
+UPPER_YOUNG = regex.compile(f"[{class_body([(a, b) for a, b, _ in NEW_LOWER])}]")
+YOUNG = regex.compile(f"([{class_body(YOUNG_MARKS)}])")
 
 OUT = T.StructType([
     T.StructField("ids", T.BinaryType()),
@@ -45,6 +88,13 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def composed(text: str) -> str:
+    """NFC by the library's tables: nothing moves or joins across a mark that it does not know."""
+    if YOUNG.search(text):
+        return "".join([x if i % 2 else unicodedata.normalize("NFC", x) for i, x in enumerate(YOUNG.split(text))])
+    return unicodedata.normalize("NFC", text)
+
+
 class BpeCodec:
     """Encodes and decodes by a vocabulary file with a normalizer and word ends."""
 
@@ -64,7 +114,9 @@ class BpeCodec:
         self.nfc = any(s["type"] == "NFC" for s in steps)
         self.lower = any(s["type"] == "Lowercase" for s in steps)
         split = next(s for s in spec["pre_tokenizer"]["pretokenizers"] if s["type"] == "Split")
-        self.pieces = regex.compile(split["pattern"]["Regex"].replace(r"\s", WHITE))
+        self.pattern = split["pattern"]["Regex"].replace(r"\s", WHITE)
+        self.pieces = regex.compile(self.pattern)
+        self._exact: regex.Pattern | None = None
         self.white = regex.compile(f"[{WHITE}]+")
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.bytes = byte_alphabet()
@@ -113,6 +165,15 @@ class BpeCodec:
                     heappush(queue, r << shift | h)
         return [s for s in symbols if s >= 0]
 
+    def split(self, text: str) -> list[str]:
+        """The pieces of a word. Where a code point is too young for this Python's tables, letters and numbers are spelled out."""
+        if text.isascii() or not any(unicodedata.category(c) == "Cn" for c in text):
+            return self.pieces.findall(text)
+        if self._exact is None:
+            letters, numbers = class_body(assigned("L") + NEW_LETTERS), class_body(assigned("N") + NEW_NUMBERS)
+            self._exact = regex.compile(self.pattern.replace(r"\p{L}", letters).replace(r"\p{N}", numbers))
+        return self._exact.findall(text)
+
     def piece(self, text: str) -> list[int]:
         chars = [self.bytes[b] for b in text.encode()]
         chars[-1] += self.suffix
@@ -127,7 +188,7 @@ class BpeCodec:
         """
         made = self.older.get(text)
         if made is None:
-            pieces = (text,) if text.isascii() and text.isalpha() else self.pieces.findall(text)
+            pieces = (text,) if text.isascii() and text.isalpha() else self.split(text)
             ids = [i for p in pieces for i in self.piece(p)]
             made = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
         if len(text) <= 64:
@@ -139,10 +200,12 @@ class BpeCodec:
 
     def _plain(self, text: str) -> list[tuple[bytes, str]]:
         if self.nfc and not text.isascii():
-            text = unicodedata.normalize("NFC", text)
+            text = composed(text)
         if self.lower:
             # character by character: a final capital sigma gets no form of its own
             text = text.replace("Σ", "σ").lower()
+            if not text.isascii() and UPPER_YOUNG.search(text):
+                text = text.translate(LOWER_TABLE)
         known, word = self.words, self.word
         if NOT_WHITE.search(text):
             return [known.get(w) or word(w) for w in self.white.sub(" ", text).split(" ") if w]
