@@ -3,15 +3,23 @@
 A document is the first layer. From every layer, lines with URL or Unicode
 escapes and runs of base64 characters are decoded, also those wrapped over
 consecutive lines and those that begin inside a longer run, and what a run decodes to is
-unpacked for as long as it is compressed. Bytes that are no readable UTF-8 are
-taken as Latin-1, which loses none. Each new layer is scanned and put on the
+unpacked for as long as it is compressed. Of bytes that are no readable UTF-8
+the runs of ASCII are taken, since no pattern has other characters, and what
+looks like UTF-16. Each new layer is scanned and put on the
 worklist; a layer whose content and place have been seen is not taken up again,
 so the work ends. Every character of a layer knows which characters of the
 document it comes from, so findings in a layer become spans of the document.
+An escape that was escaped again, however often, is resolved at once.
+
+Compressed layers are unpacked as streams, also one in another, and scanned in
+pieces of PIECE bytes that overlap: memory is bounded, and a secret that is at
+most OVERLAP long is found wherever a cut falls. Only a base64 run that is
+itself longer than a piece is decoded up to the cut and from it.
 
 Edge cases: a null text is an empty text; undecodable runs make no layer; a
-compressed layer of more than MAX_INFLATED bytes is scanned up to there (a
-guard against bombs); repeated rows are scanned alike.
+stream is unpacked for MAX_INFLATED bytes at most (a guard against bombs);
+xz streams that ask for more than XZ_MEMORY bytes make no layer; repeated rows
+are scanned alike.
 """
 
 from __future__ import annotations
@@ -22,6 +30,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from itertools import islice, repeat
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -42,8 +51,10 @@ WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]
 BREAKS = re.compile(r"[ \t]*\r?\n[ \t]*")
 #: What the first bytes of compressed formats are in base64.
 PACKED = re.compile(r"(?=H4sI|Qlpo|/Td6WFoA|KLUv/|eA[E-H]|eF[4-7]|eJ[w-z]|eN[o-r])")
-#: Bytes that a compressed layer may unpack to.
-MAX_INFLATED = 16 << 20
+#: Bytes that a compressed stream may unpack to; bytes of a piece, and those that it shares with the next one.
+MAX_INFLATED, PIECE, OVERLAP = 1 << 30, 16 << 20, 1 << 16
+#: Bytes that unpacking xz may take: enough for its highest preset.
+XZ_MEMORY = 128 << 20
 
 OUT = T.StructType([
     T.StructField("n_assign", T.LongType()), T.StructField("n_access", T.LongType()), T.StructField("n_hex", T.LongType()),
@@ -73,43 +84,62 @@ def _code(escape: str) -> int:
     return int(escape[3:-1] if escape[2] == "{" else escape[2:], 16)
 
 
+def _resolved(line: str, m: re.Match) -> tuple[int, bool, int]:
+    """What the escape m stands for, whether that is a byte, and where it ends: as long as it begins another escape, that one counts."""
+    code, is_byte, end = _code(m[0]), m[0][0] == "%", m.end()
+    while code in (0x25, 0x26, 0x5C):
+        more = ESCAPED.match(chr(code) + line[end : end + LONGEST_ESCAPE])
+        if not more:
+            break
+        end += more.end() - 1
+        code, is_byte = _code(more[0]), more[0][0] == "%"
+    return code, is_byte, end
+
+
+LONGEST_ESCAPE = 11
+
+
 def _unescape(line: str, starts, ends):
-    """A line with its escapes resolved, and where each character comes from; None if nothing changes."""
+    """A line with its escapes resolved, and where each character comes from."""
     chars, s, e, at = [], [], [], 0
-    found = list(ESCAPED.finditer(line))
-    i = 0
-    while i < len(found):
-        m = found[i]
-        chars += line[at : m.start()]
-        s += starts[at : m.start()]
-        e += ends[at : m.start()]
-        if m[0][0] == "%":
-            run = [m]  # neighbouring bytes make characters together
-            while i + 1 < len(found) and found[i + 1][0][0] == "%" and found[i + 1].start() == run[-1].end():
-                i += 1
-                run.append(found[i])
-            k = 0
-            raw = bytes(_code(x[0]) for x in run)
-            while k < len(raw):
-                size = 1 if raw[k] < 0x80 else 2 if raw[k] < 0xE0 else 3 if raw[k] < 0xF0 else 4
-                piece = raw[k : k + size]
-                try:
-                    c = piece.decode()
-                except UnicodeDecodeError:
-                    size, c = 1, chr(raw[k])
-                chars.append(c)
-                s.append(starts[run[k].start()])
-                e.append(ends[run[k + size - 1].end() - 1])
-                k += size
-            at = run[-1].end()
+    run: list[tuple[int, int, int]] = []  # neighbouring bytes make characters together: (byte, start, end)
+
+    def put(c: str, a: int, b: int) -> None:
+        chars.append(c)
+        s.append(starts[a])
+        e.append(ends[b - 1])
+
+    def put_run() -> None:
+        k, raw = 0, bytes(x[0] for x in run)
+        while k < len(raw):
+            size = 1 if raw[k] < 0x80 else 2 if raw[k] < 0xE0 else 3 if raw[k] < 0xF0 else 4
+            try:
+                c = raw[k : k + size].decode()
+            except UnicodeDecodeError:
+                size, c = 1, chr(raw[k])
+            put(c, run[k][1], run[min(k + size, len(run)) - 1][2])
+            k += size
+        run.clear()
+
+    m = ESCAPED.search(line)
+    while m:
+        a = m.start()
+        if run and run[-1][2] != a:
+            put_run()
+        chars += line[at:a]
+        s += starts[at:a]
+        e += ends[at:a]
+        code, is_byte, at = _resolved(line, m)
+        if is_byte:
+            run.append((code, a, at))
         else:
-            code = _code(m[0])
+            if run:
+                put_run()
             if code < 0x110000 and not 0xD800 <= code < 0xE000:
-                chars.append(chr(code))
-                s.append(starts[m.start()])
-                e.append(ends[m.end() - 1])
-            at = m.end()
-        i += 1
+                put(chr(code), a, at)
+        m = ESCAPED.search(line, at)
+    if run:
+        put_run()
     chars += line[at:]
     return "".join(chars), s + list(starts[at:]), e + list(ends[at:])
 
@@ -121,51 +151,129 @@ def _inflater(raw: bytes):
     if raw[:3] == b"BZh":
         return bz2.BZ2Decompressor()
     if raw[:6] == b"\xfd7zXZ\x00":
-        return lzma.LZMADecompressor(memlimit=64 << 20)
+        return lzma.LZMADecompressor(memlimit=XZ_MEMORY)
     if raw[:4] == b"\x28\xb5\x2f\xfd":
         return zstandard.ZstdDecompressor().decompressobj()
     return None
 
 
-def _inflate(raw: bytes, inflater) -> tuple[bytes, bytes, bool]:
-    """What raw unpacks to, what follows the compressed stream, and whether no error was met."""
-    out = bytearray()
-    try:
-        for at in range(0, len(raw), STEP):
-            piece = raw[at : at + STEP]
-            if raw[:4] == b"\x28\xb5\x2f\xfd":
-                out += inflater.decompress(piece)
-            else:
-                out += inflater.decompress(piece, MAX_INFLATED - len(out))
-            if inflater.eof:
-                return bytes(out[:MAX_INFLATED]), inflater.unused_data + raw[at + STEP :], True
-            if len(out) >= MAX_INFLATED:
-                break
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
-        return bytes(out[:MAX_INFLATED]), b"", False
-    return bytes(out[:MAX_INFLATED]), b"", True
+class _Chunks:
+    """An iterator of bytes that takes bytes back."""
 
+    def __init__(self, chunks):
+        self.own, self.back = iter(chunks), []
 
-#: Bytes given to a decompressor at once: what was unpacked before an error is kept.
-STEP = 1 << 12
+    def __iter__(self):
+        return self
+
+    def __next__(self) -> bytes:
+        return self.back.pop() if self.back else next(self.own)
+
+    def put_back(self, raw: bytes) -> None:
+        if raw:
+            self.back.append(raw)
+
+
+class _Stream:
+    """What chunks inflate to, in chunks. Afterwards: whether it ended as it should or failed, and the bytes that are left."""
+
+    def __init__(self, chunks: _Chunks, inflater):
+        self.chunks, self.inflater = chunks, inflater
+        self.ended = self.failed = False
+        self.fed: bytes | None = b""
+        self.rest = b""
+
+    def _feed(self, piece: bytes):
+        d = self.inflater
+        if isinstance(d, ZSTD):
+            yield d.decompress(piece)
+        elif isinstance(d, ZLIB):
+            while piece:
+                yield d.decompress(piece, OUT_BYTES)
+                piece = d.unconsumed_tail
+        else:
+            yield d.decompress(piece, OUT_BYTES)
+            while not d.eof and not d.needs_input:
+                yield d.decompress(b"", OUT_BYTES)
+
+    def __iter__(self):
+        total, step = 0, STEP if not isinstance(self.inflater, ZSTD) else ZSTD_STEP
+        for chunk in self.chunks:
+            if self.fed is not None:
+                self.fed = self.fed + chunk if len(self.fed) < PIECE else None
+            for at in range(0, len(chunk), step):
+                try:
+                    for out in self._feed(chunk[at : at + step]):
+                        total += len(out)
+                        if out:
+                            yield out
+                        if total >= MAX_INFLATED:
+                            return
+                except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+                    self.failed, self.rest = True, chunk[at + step :]
+                    return
+                if self.inflater.eof:
+                    self.ended, self.rest = True, self.inflater.unused_data + chunk[at + step :]
+                    return
+
+
+#: Bytes given to a decompressor at once, fewer where it can't be told how much to give back; and bytes that it gives back.
+STEP, ZSTD_STEP, OUT_BYTES = 1 << 12, 1 << 8, 1 << 20
+ZLIB, ZSTD = type(zlib.decompressobj()), type(zstandard.ZstdDecompressor().decompressobj())
 #: Base64 characters that are unpacked first, to see whether they are compressed at all.
 HEAD = 1 << 12
 
 
-def _unpacked(work: list[bytes]):
-    """The bytes of work, compressed ones unpacked until none begins as a compressed format does."""
-    seen = set()
-    while work:
-        raw = work.pop()
-        mark = hashlib.blake2b(raw, digest_size=16).digest()
-        if mark in seen:
-            continue
-        seen.add(mark)
-        inflater = _inflater(raw)
-        out, rest, whole = _inflate(raw, inflater) if inflater else (b"", b"", False)
-        if not whole:
-            yield raw
-        work += [x for x in (out, rest) if x]
+def _pieces(chunks):
+    held = bytearray()
+    for c in chunks:
+        held += c
+        while len(held) > PIECE:
+            yield bytes(held[:PIECE])
+            del held[: PIECE - OVERLAP]
+    if held:
+        yield bytes(held)
+
+
+def _unpacked(chunks, path: frozenset = frozenset()):
+    """Pieces of the bytes, compressed ones unpacked until none begins as a compressed format does.
+
+    path: the beginnings of the streams around; one that comes again is a cycle.
+    """
+    chunks = _Chunks(chunks)
+    while True:
+        head = b""
+        for c in chunks:
+            head += c
+            if len(head) >= HEAD:
+                break
+        if not head:
+            return
+        chunks.put_back(head)
+        mark = head[:HEAD]
+        if mark in path or (inflater := _inflater(head)) is None:
+            yield from _pieces(chunks)
+            return
+        stream = _Stream(chunks, inflater)
+        yield from _unpacked(iter(stream), path | {mark})
+        if stream.ended:
+            chunks.put_back(stream.rest)
+        elif stream.failed:
+            chunks.put_back(stream.rest)
+            chunks.put_back(stream.fed or b"")
+            yield from _pieces(chunks)
+            return
+        else:
+            return
+
+
+def _whole(raw: bytes) -> bytes:
+    """raw without the parts of characters at its ends that a cut has left."""
+    a = next((k for k in range(min(4, len(raw))) if raw[k] & 0xC0 != 0x80), 0)
+    b = next((k for k in range(1, min(4, len(raw)) + 1) if raw[-k] & 0xC0 != 0x80), 0)
+    if b and raw[-b] >= 0xC0 and b < (2 if raw[-b] < 0xE0 else 3 if raw[-b] < 0xF0 else 4):
+        return raw[a : len(raw) - b]
+    return raw[a:]
 
 
 def _readable(raw: bytes) -> str | None:
@@ -180,13 +288,39 @@ def _readable(raw: bytes) -> str | None:
 
 CONTROL = bytes(b for b in [*range(32), 127] if b not in b"\t\n\r\x0b\x0c")
 #: The shortest secret has 14 characters, and so has at least what it is escaped or encoded to.
-ASCII = re.compile(rb"[\t\n\r\x20-\x7e]{14}")
+ASCII = re.compile(rb"[\t\n\r\x20-\x7e]{14,}")
+#: As much in characters of two bytes, the lower or the higher one first.
+WIDE = re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){14}|(?:\x00[\t\n\r\x20-\x7e]){14}")
 
 
-def _any_text(raw: bytes) -> str | None:
-    """raw as text: readable, or else a character a byte; None if no secret can stand in it."""
+def _texts(raw: bytes):
+    """raw as texts in which secrets can stand, with the place of the first byte and the bytes of a character: UTF-8, else its runs of ASCII; UTF-16."""
     plain = _readable(raw)
-    return plain if plain is not None or not ASCII.search(raw) else raw.decode("latin-1")
+    if plain is not None:
+        yield plain, 0, lambda c: len(c.encode())
+    else:  # nothing that is looked for has other characters
+        for m in ASCII.finditer(raw):
+            yield m[0].decode(), m.start(), lambda c: 1
+    if b"\x00" in raw and (m := WIDE.search(raw)):
+        at = m.start() % 2
+        body = raw[at : at + (len(raw) - at) // 2 * 2]
+        yield body.decode("utf-16-be" if m[0][:1] == b"\x00" else "utf-16-le", "replace"), at, lambda c: 2 if ord(c) < 0x10000 else 4
+
+
+class _Same:
+    """A value many times over, as a sequence."""
+
+    def __init__(self, value: int, n: int):
+        self.value, self.n = value, n
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, i):
+        return _Same(self.value, len(range(*i.indices(self.n)))) if isinstance(i, slice) else self.value
+
+    def __iter__(self):
+        return repeat(self.value, self.n)
 
 
 def _layers(text: str, starts, ends):
@@ -225,31 +359,37 @@ def _decoded(run: str, places, starts, ends):
     run = run.translate(URL_SAFE)
     for phase in range(4):
         raw = _bytes_of(run[phase:])
-        plain = _any_text(raw) if not phase or ASCII.search(raw) else None
-        if plain:
-            s, e, b = [], [], 0
-            wide = len(plain) < len(raw)
+        for plain, b, bytes_of in _texts(raw) if not phase or ASCII.search(raw) or b"\x00" in raw else ():
+            s, e = [], []
             for c in plain:
-                n = len(c.encode()) if wide else 1
+                n = bytes_of(c)
                 s.append(starts[places[phase + b * 4 // 3]])
                 e.append(ends[places[min(len(run) - 1, phase + ((b + n) * 4 + 2) // 3 - 1)]])
                 b += n
             yield plain, s, e
     done = 0
     for m in PACKED.finditer(run):
+        if m.start() < done:
+            continue
         raw = _bytes_of(run[m.start() : m.start() + HEAD])
-        if m.start() < done or (inflater := _inflater(raw)) is None:
+        if (inflater := _inflater(raw)) is None:
             continue
-        out, rest, whole = _inflate(raw, inflater)
-        if whole and len(run) > m.start() + HEAD:  # most that only look compressed fail before
+        probe = _Stream(_Chunks([raw]), inflater)
+        size = sum(len(x) for x in islice(iter(probe), 64))
+        if not probe.failed and len(run) > m.start() + HEAD:  # most that only look compressed fail before
             raw = _bytes_of(run[m.start() :])
-            inflater = _inflater(raw)
-            out, rest, _ = _inflate(raw, inflater)
-        if inflater.eof:  # what begins inside the stream has been unpacked with it
-            done = m.start() + (len(raw) - len(rest)) * 4 // 3
-        for inner in _unpacked([x for x in (out, rest) if x is out or _inflater(x)]):
-            if plain := _any_text(inner):
-                yield plain, [starts[places[m.start()]]] * len(plain), [ends[places[-1]]] * len(plain)
+        elif not size:
+            continue
+        while (inflater := _inflater(raw)) is not None:
+            stream = _Stream(_Chunks([raw]), inflater)
+            for inner in _unpacked(iter(stream), frozenset({raw[:HEAD]})):
+                for plain, _, _ in _texts(_whole(inner)):
+                    yield plain, _Same(starts[places[m.start()]], len(plain)), _Same(ends[places[-1]], len(plain))
+            if not stream.ended:
+                break
+            # what begins inside the stream has been unpacked with it
+            done = max(done, m.start()) + (len(raw) - len(stream.rest)) * 4 // 3
+            raw = stream.rest
 
 
 URL_SAFE = str.maketrans("-_", "+/")
