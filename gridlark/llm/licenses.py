@@ -1,12 +1,13 @@
 """License scans with a positional rare-token index (operator 10), in DataFrame functions only.
 
 Every license is a template of words with mandatory key phrases. Document
-frequencies of the templates' words come from all documents. Of each template
-whose key phrase stands in the file, the words of highest inverse document
-frequency are looked up: so many of its places that any alignment which agrees
-well enough agrees in one of them. The differences between a word's place in
-the file and in the template are the alignments to compare word by word, and
-the best one counts.
+frequencies of the templates' words come from all documents. The words of
+highest inverse document frequency of each template are its postings: so many
+of its places that any alignment which agrees well enough agrees in one of
+them. A file's words are looked up in all postings at once. The differences
+between a word's place in the file and in a template are the alignments to
+compare word by word, and the best one of each template whose key phrase stands
+in the file counts.
 
 Edge cases: a null or empty text has no words and no labels; repeated rows are
 scanned alike; an empty table gives an empty result.
@@ -15,11 +16,12 @@ scanned alike; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.llm._shared import Scratch, text_of
+from gridlark.llm._shared import Scratch, prefix, text_of, without
 from gridlark.llm.quality import let
 
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -43,6 +45,11 @@ TEMPLATES = [
     ("cc-by-sa", "licensed under cc by sa 4 0", ["cc by sa", "creative commons attribution sharealike"]),
     ("cc-by", "licensed under cc by 4 0", ["cc by 4 0", "cc by 3 0", "creative commons attribution 4 0"]),
     ("cc0", "released under cc0 1 0 universal", ["cc0 1 0"]),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ["may be used to endorse or promote products derived from this software"]),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", ["eclipse public license"]),
+    ("boost", "distributed under the boost software license version 1 0", ["boost software license"]),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", ["in no event will the authors be held liable for any damages arising from the use of this software"]),
+    ("artistic", "you may distribute under the terms of either the gnu general public license or the artistic license", ["artistic license"]),
 ]
 VOCABULARY = sorted({w for p in PHRASES for w in p.split()} | {w for _, t, keys in TEMPLATES for x in (t, *keys) for w in x.split()})
 #: The share of a template's words that must agree.
@@ -54,7 +61,7 @@ def strings(words: list[str]) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    cut = F.split(F.lower(text), BREAK)
+    cut = F.split(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), BREAK)
     return let(cut, lambda c: let(F.when(F.get(c, F.lit(0)) == "", F.lit(1)).otherwise(F.lit(0)), lambda a: F.slice(c, a + 1, F.greatest(F.lit(0), F.size(c) - a - F.when((F.size(c) > a) & (F.element_at(c, -1) == ""), F.lit(1)).otherwise(F.lit(0))))))
 
 
@@ -76,21 +83,21 @@ def has_words(present: Column, phrase: list[str]) -> Column:
     return _all([F.array_contains(present, w) for w in sorted(set(phrase))])
 
 
-def indexed(docs: DataFrame) -> DataFrame:
-    """docs without text, with n_words, _present (the licence words) and _words where some phrase can stand."""
-    held = docs.withColumn("_all", words_of(text_of(docs))).drop("text")
-    held = held.withColumns({"n_words": F.size("_all").cast("long"), "_present": F.array_intersect(strings(VOCABULARY), F.col("_all"))})
-    every = [p.split() for p in PHRASES] + [k.split() for _, _, keys in TEMPLATES for k in keys]
-    some = has_words(F.col("_present"), every[0])
-    for p in every[1:]:
-        some = some | has_words(F.col("_present"), p)
-    return held.withColumn("_words", F.when(some, F.col("_all"))).drop("_all")
+def indexed(docs: DataFrame, p: str) -> DataFrame:
+    """docs without text, with n_words and under prefix p present (the licence words) and words where some phrase can stand."""
+    held = without(docs.withColumn(f"{p}all", words_of(text_of(docs))), ["text"])
+    present = F.col(f"{p}present")
+    held = held.withColumns({"n_words": F.size(f"{p}all").cast("long"), f"{p}present": F.array_intersect(strings(VOCABULARY), F.col(f"{p}all"))})
+    some = F.lit(False)
+    for phrase in [*PHRASES, *(k for _, _, keys in TEMPLATES for k in keys)]:
+        some = some | has_words(present, phrase.split())
+    return held.withColumn(f"{p}words", F.when(some, F.col(f"{p}all"))).drop(f"{p}all")
 
 
-def inverse_frequencies(made: DataFrame) -> dict[str, float]:
+def inverse_frequencies(made: DataFrame, p: str) -> dict[str, float]:
     """ln(documents / documents with the word) of each licence word: as many numbers as the templates have words."""
     n = made.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    rows = made.select(F.explode("_present").alias("w")).groupBy("w").agg(F.log(F.lit(float(max(n, 1))) / F.count(F.lit(1))).alias("idf")).collect()
+    rows = made.select(F.explode(f"{p}present").alias("w")).groupBy("w").agg(F.log(F.lit(float(max(n, 1))) / F.count(F.lit(1))).alias("idf")).collect()
     return {r["w"]: r["idf"] for r in rows}
 
 
@@ -103,11 +110,15 @@ def rare_places(template: list[str], idf: dict[str, float]) -> dict[str, list[in
     return out
 
 
-def _alignments(words: Column, rare: dict[str, list[int]]) -> Column:
-    """The places in the file where the template's first word would stand."""
-    postings = F.create_map(*[x for w, at in rare.items() for x in (F.lit(w), F.array(*[F.lit(i) for i in at]))])
-    hits = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*rare), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
-    return F.array_distinct(F.flatten(F.transform(hits, lambda h: F.transform(F.element_at(postings, h["w"]), lambda q: h["i"] - q))))
+def alignments(words: Column, idf: dict[str, float]) -> Column:
+    """(t, a): where in the file the first word of template t would stand, by one look at each word of the file."""
+    postings: dict[str, list[tuple[int, int]]] = {}
+    for t, (_, text, _) in enumerate(TEMPLATES):
+        for w, at in rare_places(text.split(), idf).items():
+            postings.setdefault(w, []).extend((t, i) for i in at)
+    table = F.create_map(*[x for w, at in postings.items() for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(i).alias("i")) for t, i in at]))])
+    hits = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*postings), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
+    return F.array_distinct(F.flatten(F.transform(hits, lambda h: F.transform(F.element_at(table, h["w"]), lambda q: F.struct(q["t"].alias("t"), (h["i"] - q["i"]).alias("a"))))))
 
 
 def _agreement(words: Column, at: Column, template: list[str]) -> Column:
@@ -116,40 +127,45 @@ def _agreement(words: Column, at: Column, template: list[str]) -> Column:
     return F.coalesce(F.aggregate(F.array(*same), F.lit(0.0), lambda a, x: a + x) / len(template), F.lit(0.0))
 
 
+def _best_agreement(words: Column, hits: Column, number: int, template: list[str]) -> Column:
+    own = F.filter(hits, lambda h: h["t"] == number)
+    return F.array_max(F.transform(own, lambda h: _agreement(words, h["a"], template)))
+
+
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """docs without text, with n_words, n_base, first_word, last_word, base_labels, labels and score."""
-    docs = docs.drop("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    made = Scratch(docs.sparkSession, "licenses").save(indexed(docs))
-    idf = inverse_frequencies(made)
-    words, present = F.col("_words"), F.col("_present")
+    docs = without(docs, ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"))
+    p = prefix(docs.columns)
+    made = Scratch(docs.sparkSession, "licenses").save(indexed(docs, p))
+    idf = inverse_frequencies(made, p)
+    words, present, hits = F.col(f"{p}words"), F.col(f"{p}present"), F.col(f"{p}hits")
     none = F.array().cast("array<int>")
-    found = {}
+    found = {f"{p}hits": F.when(words.isNotNull(), alignments(words, idf))}
     for i, phrase in enumerate(PHRASES):
-        p = phrase.split()
-        found[f"_p{i}"] = F.when(words.isNotNull() & has_words(present, p), places(words, p)).otherwise(none)
+        w = phrase.split()
+        found[f"{p}p{i}"] = F.when(words.isNotNull() & has_words(present, w), places(words, w)).otherwise(none)
     out = made.withColumns(found)
-    at = F.flatten(F.array(*[F.col(c) for c in found]))
-    base = F.filter(F.array(*[F.when(F.size(c) > 0, F.lit(PHRASES[p])) for c, p in zip(found, PHRASES)]), lambda x: x.isNotNull())
+    phrases = {f"{p}p{i}": label for i, label in enumerate(PHRASES.values())}
+    base = F.filter(F.array(*[F.when(F.size(c) > 0, F.lit(label)) for c, label in phrases.items()]), lambda x: x.isNotNull())
     scores = {}
     for i, (_, text, keys) in enumerate(TEMPLATES):
         t = text.split()
         can = F.lit(False)
         for k in keys:
             can = can | (has_words(present, k.split()) & (F.size(places(words, k.split())) > 0))
-        share = F.array_max(F.transform(_alignments(words, rare_places(t, idf)), lambda a: _agreement(words, a, t)))
-        scores[f"_s{i}"] = F.when(words.isNotNull(), F.when(can, share)).otherwise(F.lit(None))
-    out = out.withColumns({"_at": at, "_base": base}).withColumns(scores)
+        scores[f"{p}s{i}"] = F.when(words.isNotNull(), F.when(can, _best_agreement(words, hits, i, t))).otherwise(F.lit(None))
+    out = out.withColumns({f"{p}at": F.flatten(F.array(*[F.col(c) for c in phrases])), f"{p}base": base}).withColumns(scores)
     by_label: dict[str, list[str]] = {}
     for i, (label, _, _) in enumerate(TEMPLATES):
-        by_label.setdefault(label, []).append(f"_s{i}")
+        by_label.setdefault(label, []).append(f"{p}s{i}")
     best = {k: F.greatest(F.lit(0.0), *[F.coalesce(F.col(c), F.lit(0.0)) for c in v]) for k, v in by_label.items()}
     own = F.filter(F.array(*[F.when(v >= LEAST, F.lit(k)) for k, v in best.items()]), lambda x: x.isNotNull())
     top = F.greatest(*[F.when(v >= LEAST, v).otherwise(F.lit(0.0)) for v in best.values()])
     names = lambda c: F.concat_ws(",", F.array_sort(F.array_distinct(c)))
     out = out.withColumns({
-        "n_base": F.size("_at").cast("long"),
-        "first_word": F.array_min("_at").cast("long"), "last_word": F.array_max("_at").cast("long"),
-        "base_labels": names(F.col("_base")), "labels": names(F.concat("_base", own)),
-        "score": F.when(F.size("_base") > 0, F.lit(1.0)).otherwise(top),
+        "n_base": F.size(f"{p}at").cast("long"),
+        "first_word": F.array_min(f"{p}at").cast("long"), "last_word": F.array_max(f"{p}at").cast("long"),
+        "base_labels": names(F.col(f"{p}base")), "labels": names(F.concat(f"{p}base", own)),
+        "score": F.when(F.size(f"{p}base") > 0, F.lit(1.0)).otherwise(top),
     })
-    return out.drop("_words", "_present", "_at", "_base", *found, *scores)
+    return out.select(*[c for c in out.columns if not c.startswith(p)])
