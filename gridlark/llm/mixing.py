@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlark.llm._shared import SPACE, Scratch, text_of
+from gridlark.llm._shared import SPACE, Scratch, prefix, quoted, text_of, without
 
 #: Words that the mix may take from a source, as a multiple of its size.
 MOST_RATE = 3.0
@@ -68,21 +68,23 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float =
     counted: few are broadcast, so that no text is shuffled; with many, Spark
     joins and splits a hot source.
     """
-    made = ("size", "source_size", "target", "copies", "taken")
-    docs = docs.drop(*made).withColumn("size", n_words(text_of(docs)))
+    docs = without(docs, MADE).withColumn("size", n_words(text_of(docs)))
+    own = f"{prefix(docs.columns)}source"
     per = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
-    per = Scratch(docs.sparkSession, "mixing").save(per.select(F.col("source").alias("_src"), "source_size", "target"))
+    per = Scratch(docs.sparkSession, "mixing").save(per.select(F.col("source").alias(own), "source_size", "target"))
     per = F.broadcast(per) if per.count() <= BROADCAST_SOURCES else per
-    out = docs.join(per, docs["source"].eqNullSafe(per["_src"]), "inner").drop("_src")
+    out = docs.join(per, docs["source"].eqNullSafe(per[own]), "inner").drop(own)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
     copies = whole + (draw(F.col("doc_id")) < rate - whole).cast("long")
     return out.withColumn("copies", copies.cast("long")).withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
 
 
+MADE = ("size", "source_size", "target", "copies", "taken")
+
+
 def emit_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST_RATE) -> DataFrame:
     """The mixed documents: each as often as its copies, with the input's columns."""
-    names = docs.columns
-    planned = plan_mix(docs.withColumns({f"_in_{c}": F.col(c) for c in ("size", "source_size", "target", "copies", "taken") if c in names}), weights, most)
-    repeated = planned.where("copies > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*[F.col(f"_in_{c}").alias(c) if f"_in_{c}" in planned.columns else F.col(c) for c in names])
+    whole = docs.select("doc_id", "source", "text", F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("whole"))
+    planned = plan_mix(whole, weights, most).where("copies > 0")
+    return planned.select("whole", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("whole.*")
