@@ -16,7 +16,7 @@ Fitted on at most SAMPLE labelled rows, in order of a hash of doc_id; every
 document is scored on its whole text. Only texts are inputs of a score.
 
 Edge cases: a null or empty text has no matches and the score of such; several
-labels of one doc_id count as the largest; null labels are no labels; without
+labels of one doc_id count as the largest, several texts as the first; null labels are no labels; without
 labels of both classes the known terms and fixed weights are used; documents
 without a doc_id are scored and not held out; an empty table gives an empty
 result.
@@ -328,7 +328,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     n = own.count()
     picked = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 24)) < int(min(1.0, sample / max(n, 1)) * (1 << 24)))
     # about `sample` rows, at most twice as many: small enough to broadcast
-    rows = scratch.save(docs.join(F.broadcast(picked.limit(2 * sample)), "doc_id").dropDuplicates(["doc_id"]).select("text", "toxic"))
+    # of several texts of one doc_id the first in order counts, so that reruns agree
+    rows = docs.join(F.broadcast(picked.limit(2 * sample)), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = scratch.save(rows.select("text", "toxic"))
     proposed = propose(rows)
     terms = cover(rows, proposed)
     known = [k + "*" for k in KNOWN if k + "*" not in terms]
@@ -344,6 +346,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     made = rows.mapInArrow(run, "toxic int, found array<int>").toArrow().to_pylist()
     model.learn([(r["toxic"], list(zip(*[iter(r["found"])] * 3))) for r in made])
+    scratch.drop(rows)
     return model
 
 
