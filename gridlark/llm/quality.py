@@ -2,15 +2,18 @@
 
 Every document gets counts (words, characters in words, symbols, repeated lines,
 words in repeated windows) and two histograms: character classes of the text and
-common words of its language. The reference of a language is the mean of its
-documents' normalised histograms. A document fails if its Jensen-Shannon
-distance to its language's reference is too large, where it is long enough for
-the distance to mean something (the guards).
+common words of its language. The reference of a language is the mean of the
+normalised histograms of its documents that pass the base rule and are long
+enough. A document fails if its Jensen-Shannon distance to its language's
+reference is too large, where it is long enough for the distance to mean
+something (the guards). A language with fewer than MIN_REFERENCE such documents
+is compared with the mean over all languages, and by character classes alone.
 
 Edge cases: a null text is an empty text (no words: it fails the base rule); a
 null language is a language of its own; a language without a word list has a
-one-bin word histogram, whose distance is 0; repeated rows are judged alike; an
-empty table gives an empty result.
+one-bin word histogram, whose distance is 0; without any document for a
+reference all distances are 0; repeated rows are judged alike; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.llm._shared import SPACE, Scratch, text_of
+from gridlark.llm._shared import SPACE, Scratch, prefix, text_of, without
 
 # Frequent function words of each language.
 COMMON = {
@@ -33,6 +36,8 @@ CLASSES = ["[a-z]+", "[A-Z]+", f"[{SPACE}]+", r"[^\x00-\x7F]+", "[0-9]+", SYMBOL
 WINDOW = 8
 #: Guards and limits of the verdict.
 MIN_CHARS, MIN_WORDS = 300, 60
+#: Documents that make a language's own reference.
+MIN_REFERENCE = 30
 #: A limit is a constant plus a multiple of the distance that sampling alone gives, 1 / sqrt(length).
 CLASS_LIMIT, WORD_LIMIT = (0.16, 3.0), (0.24, 1.2)
 #: Languages whose references may be broadcast; with more, the join is left to Spark.
@@ -75,20 +80,20 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(words) > window, let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)).otherwise(zero)
 
 
-def with_class_counts(docs: DataFrame, text: str, out: str) -> DataFrame:
-    """docs with `out`, the characters of `text` in each class.
+def with_class_counts(docs: DataFrame, p: str) -> DataFrame:
+    """docs with {p}counts, the characters of {p}text in each class.
 
     Every step is a projection of its own and works on what the step before has
     left: a column that is used twice is not inlined, so each is made once.
     """
-    left = docs.withColumn("_left0", F.col(text))
+    left = docs.withColumn(f"{p}left0", F.col(f"{p}text"))
     for i, pattern in enumerate(CLASSES):
-        left = left.withColumn(f"_left{i + 1}", F.regexp_replace(F.col(f"_left{i}"), pattern, ""))
-        left = left.withColumn(f"_n{i}", (F.length(f"_left{i}") - F.length(f"_left{i + 1}")).cast("double"))
-        left = left.drop(f"_left{i}")
-    rest = F.length(f"_left{len(CLASSES)}").cast("double")
-    n = [f"_n{i}" for i in range(len(CLASSES))]
-    return left.withColumn(out, F.array(*n, rest)).drop(*n, f"_left{len(CLASSES)}")
+        left = left.withColumn(f"{p}left{i + 1}", F.regexp_replace(F.col(f"{p}left{i}"), pattern, ""))
+        left = left.withColumn(f"{p}n{i}", (F.length(f"{p}left{i}") - F.length(f"{p}left{i + 1}")).cast("double"))
+        left = left.drop(f"{p}left{i}")
+    rest = F.length(f"{p}left{len(CLASSES)}").cast("double")
+    n = [f"{p}n{i}" for i in range(len(CLASSES))]
+    return left.withColumn(f"{p}counts", F.array(*n, rest)).drop(*n, f"{p}left{len(CLASSES)}")
 
 
 def word_counts(text: Column, n_words: Column, lang: Column) -> Column:
@@ -127,48 +132,58 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """docs with the five counts, and _lang, _chars, _classes and _common, which the verdict needs."""
-    lang = docs["lang"].cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    held = docs.withColumns({"_text": text_of(docs), "_lang": F.coalesce(lang, F.lit(""))})
-    held = held.withColumns({"_words": words_of(F.col("_text")), "_chars": F.length("_text")}).withColumn("n_words", F.size("_words").cast("long"))
-    held = with_class_counts(held, "_text", "_counts")
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
-    return held.withColumns({
-        "word_chars": (F.col("_chars") - F.get("_counts", F.lit(CLASSES.index(f"[{SPACE}]+")))).cast("long"),
-        "n_symbols": F.get("_counts", F.lit(CLASSES.index(SYMBOLS))).cast("long"),
+def measured(docs: DataFrame, p: str) -> DataFrame:
+    """docs with the five counts and base_failed, and under prefix p lang, chars, classes and common, which the verdict needs."""
+    lang = docs["lang"].cast("string") if "lang" in [c.lower() for c in docs.columns] else F.lit(None).cast("string")
+    text, words, counts = (F.col(f"{p}{x}") for x in ("text", "words", "counts"))
+    held = docs.withColumns({f"{p}text": text_of(docs), f"{p}lang": F.coalesce(lang, F.lit(""))})
+    held = held.withColumns({f"{p}words": words_of(text), f"{p}chars": F.length(f"{p}text")}).withColumn("n_words", F.size(words).cast("long"))
+    held = with_class_counts(held, p)
+    lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
+    held = held.withColumns({
+        "word_chars": (F.col(f"{p}chars") - F.get(counts, F.lit(CLASSES.index(f"[{SPACE}]+")))).cast("long"),
+        "n_symbols": F.get(counts, F.lit(CLASSES.index(SYMBOLS))).cast("long"),
         "n_dup_lines": let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
-        "n_repeat_words": repeated_words(F.col("_words")).cast("long"),
-        "_classes": normalised(F.col("_counts")),
-        "_common": normalised(word_counts(F.col("_text"), F.col("n_words"), F.col("_lang"))),
-    }).drop("_text", "_words", "_counts")
+        "n_repeat_words": repeated_words(words).cast("long"),
+        f"{p}classes": normalised(counts),
+        f"{p}common": normalised(word_counts(text, F.col("n_words"), F.col(f"{p}lang"))),
+    }).drop(f"{p}text", f"{p}words", f"{p}counts")
+    return held.withColumn("base_failed", (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30))
 
 
-def references(made: DataFrame) -> DataFrame:
-    """(lang, ref_classes, ref_common): means over all measured documents of MIN_CHARS or more.
+def references(made: DataFrame, p: str) -> DataFrame:
+    """(lang, n, ref_classes, ref_common): means over the measured documents of MIN_CHARS or more that pass the base rule.
 
     Documents are reduced to sums of each language before the shuffle.
     """
     widest = 1 + max(map(len, COMMON.values()))
     mean = lambda c, n: F.array(*[F.avg(F.coalesce(F.get(F.col(c), F.lit(i)), F.lit(0.0))) for i in range(n)])
-    held = made.where(F.col("_chars") >= MIN_CHARS)
-    return held.groupBy(F.col("_lang").alias("lang")).agg(mean("_classes", len(CLASSES) + 1).alias("ref_classes"), mean("_common", widest).alias("ref_common"))
+    held = made.where((F.col(f"{p}chars") >= MIN_CHARS) & ~F.col("base_failed"))
+    return held.groupBy(F.col(f"{p}lang").alias("lang")).agg(F.count(F.lit(1)).alias("n"), mean(f"{p}classes", len(CLASSES) + 1).alias("ref_classes"), mean(f"{p}common", widest).alias("ref_common"))
 
 
-def judge(made: DataFrame, refs: DataFrame) -> DataFrame:
-    """Measured documents with the two distances, base_failed and kept."""
-    refs = refs.select(F.col("lang").alias("_ref_lang"), F.col("ref_classes").alias("_ref_classes"), F.col("ref_common").alias("_ref_common"))
-    joined = made.join(refs, made["_lang"] == refs["_ref_lang"], "left")
-    size = F.size("_common")
+def pooled_classes(refs: DataFrame) -> Column:
+    """The mean character classes over all languages: as many numbers as there are classes."""
+    total = F.sum("n")
+    row = refs.agg(*[(F.sum(F.col("n") * F.get("ref_classes", F.lit(i))) / total).alias(f"c{i}") for i in range(len(CLASSES) + 1)]).first()
+    return F.array(*[F.lit(x) for x in row]) if row[0] is not None else F.lit(None).cast("array<double>")
+
+
+def judge(made: DataFrame, refs: DataFrame, pooled: Column, p: str) -> DataFrame:
+    """Measured documents with the two distances and kept."""
+    col = lambda x: F.col(f"{p}{x}")
+    own = F.col("n") >= MIN_REFERENCE
+    refs = refs.where(own).select(*[F.col(a).alias(f"{p}{b}") for a, b in (("lang", "ref_lang"), ("ref_classes", "ref_classes"), ("ref_common", "ref_common"))])
+    joined = made.join(refs, made[f"{p}lang"] == refs[f"{p}ref_lang"], "left")
+    distance = lambda long, d: F.when(long, F.coalesce(d, F.lit(0.0))).otherwise(F.lit(0.0))
     judged = joined.withColumns({
-        "class_distance": F.when(F.col("_chars") >= MIN_CHARS, F.coalesce(js_distance(F.col("_classes"), F.col("_ref_classes")), F.lit(0.0))).otherwise(F.lit(0.0)),
-        "word_distance": F.when(F.col("n_words") >= MIN_WORDS, F.coalesce(js_distance(F.col("_common"), F.slice("_ref_common", F.lit(1), size)), F.lit(0.0))).otherwise(F.lit(0.0)),
-        "base_failed": (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30),
+        "class_distance": distance(col("chars") >= MIN_CHARS, js_distance(col("classes"), F.coalesce(col("ref_classes"), pooled))),
+        "word_distance": distance(F.col("n_words") >= MIN_WORDS, js_distance(col("common"), F.slice(col("ref_common"), F.lit(1), F.size(col("common"))))),
     })
     limit = lambda by, n: F.lit(by[0]) + F.lit(by[1]) / F.sqrt(F.greatest(F.lit(1), n))
-    near = (F.col("class_distance") <= limit(CLASS_LIMIT, F.col("_chars"))) & (F.col("word_distance") <= limit(WORD_LIMIT, F.col("n_words")))
+    near = (F.col("class_distance") <= limit(CLASS_LIMIT, col("chars"))) & (F.col("word_distance") <= limit(WORD_LIMIT, F.col("n_words")))
     kept = ~F.col("base_failed") & near
-    return judged.withColumn("kept", kept).drop("_classes", "_common", "_chars", "_lang", "_ref_lang", "_ref_classes", "_ref_common")
+    return judged.withColumn("kept", kept).select(*[c for c in made.columns if not c.startswith(p)], "class_distance", "word_distance", "kept")
 
 
 MADE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept")
@@ -177,15 +192,14 @@ MADE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "
 def quality_rules(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """docs judged against the references of their own corpus.
 
-    The references are one row a language; they are written once, counted, and
-    broadcast if they are few. Without text in the result the measurements are
-    written too and read twice; with it, texts are measured in either pass,
-    which costs less than writing or shuffling them.
+    Measurements are written, with the text if the result is to have it, since
+    references and verdicts both need all of them. The references are one row a
+    language; they are written once, counted, and broadcast if they are few.
     """
-    docs = docs.drop(*MADE)
+    docs = without(docs, MADE)
+    p = prefix(docs.columns)
     scratch = Scratch(docs.sparkSession, "quality")
-    made = measured(docs)
-    if not keep_text:
-        made = scratch.save(made.drop("text"))
-    refs = scratch.save(references(made))
-    return judge(made, F.broadcast(refs) if refs.count() <= BROADCAST_LANGUAGES else refs)
+    made = measured(docs, p)
+    made = scratch.save(made if keep_text else without(made, ["text"]))
+    refs = scratch.save(references(made, p))
+    return judge(made, F.broadcast(refs) if refs.count() <= BROADCAST_LANGUAGES else refs, pooled_classes(refs), p)
