@@ -11,6 +11,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from gridlark.functions.times import local_bin
 from gridlark.operators.footprint import kernel
 from gridlark.operators.residual import fit_latitude_trend, grid_residual, latitude_residual
 from gridlark.plans import maps
@@ -20,25 +21,20 @@ from gridlark.sources.tables import read_maps, read_samples
 
 
 def make_maps(spark: SparkSession, a: argparse.Namespace) -> None:
-    """One output folder a slice; finished ones are skipped, and a slice that fails doesn't stop the others."""
-    samples, failed = read_samples(spark, a.samples), []
-    for orbiter in a.orbiter:
-        for channel in a.channel:
-            k = kernel(spark, channel, a.kernel_step)
-            for lo, hi in maps.time_bins(a.hours):
-                spec = MapSpec(orbiter, channel, (lo, hi), (-a.latitude, a.latitude), resolution=a.resolution)
-                out = maps.footprint_map(samples, spec, k, a.sigma).withColumns({"orbiter": F.lit(orbiter), "channel": F.lit(channel), "bin_start": F.lit(round(lo * 24)), "bin_stop": F.lit(round(hi * 24))})
-                try:
-                    sinks.write_once(out, f"{a.out}/{orbiter}_t{channel}_{round(lo * 24)}_{round(hi * 24)}")
-                except Exception as e:  # noqa: BLE001
-                    failed.append(f"{orbiter} t{channel} {lo:.3f}: {e}")
-    if failed:
-        raise SystemExit("\n".join(failed))
+    """All slices in one pass over the samples; a folder each of orbiter, channel and bin. A finished output is left alone."""
+    samples = read_samples(spark, a.samples).where(F.col("orbiter").isin(*a.orbiter))
+    if a.bin:
+        samples = samples.where(local_bin(F.col("ltst"), a.hours).isin(*[i * a.hours for i in a.bin]))
+    spec = MapSpec("", 1, None, (-a.latitude, a.latitude), resolution=a.resolution, exclude_orbits=tuple(a.exclude_orbit))
+    out = maps.footprint_maps(samples, spec, {c: kernel(spark, c, a.kernel_step) for c in a.channel}, a.hours, a.sigma or None)
+    out = out.withColumn("bin_stop", F.col("bin_start") + a.hours)
+    if not sinks.write_once(out, a.out, ["orbiter", "channel", "bin_start"], a.overwrite):
+        print(f"{a.out} is complete; --overwrite makes it again")
 
 
 def make_products(spark: SparkSession, a: argparse.Namespace) -> None:
     """TEMP, STDEV, LATSHIFT and, with a model, DATMINUS maps."""
-    held = read_maps(spark, f"{a.maps}/*")
+    held = read_maps(spark, a.maps)
     keys = ["orbiter", "channel", "bin_start", "bin_stop", "lat_ix", "lon_ix", "lat", "lon"]
     kinds = [(held.select(*keys, F.col("mean").alias("value")), "TEMP"), (held.select(*keys, F.col("std").alias("value")), "STDEV")]
     temp = kinds[0][0]
@@ -48,6 +44,8 @@ def make_products(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.model:
         kinds.append((grid_residual(temp, spark.read.parquet(a.model)), "DATMINUS"))
     for df, kind in kinds:
+        if a.kind and kind not in a.kind:
+            continue
         sinks.write_maps(df.withColumn("maptype", F.lit(kind)), a.out, mode="append")
 
 
@@ -63,12 +61,16 @@ def main(args: list[str] | None = None) -> None:
     m.add_argument("--resolution", type=float, default=0.25)
     m.add_argument("--latitude", type=float, default=75.0)
     m.add_argument("--kernel-step", type=float, default=0.05)
-    m.add_argument("--sigma", type=float, default=3.0)
+    m.add_argument("--sigma", type=float, default=3.0, help="of the smoothing, in cells; 0 for none")
+    m.add_argument("--bin", nargs="*", type=int, default=[], help="numbers of local-time bins; all by default")
+    m.add_argument("--exclude-orbit", nargs="*", type=int, default=[])
+    m.add_argument("--overwrite", action="store_true")
     m.set_defaults(run=make_maps)
     d = sub.add_parser("products")
     d.add_argument("maps")
     d.add_argument("out")
     d.add_argument("--model")
+    d.add_argument("--kind", nargs="*", default=[], help="TEMP, STDEV, LATSHIFT, DATMINUS; all by default")
     d.set_defaults(run=make_products)
     a = p.parse_args(args)
     a.run(SparkSession.builder.getOrCreate(), a)

@@ -76,6 +76,26 @@ def load_slice(samples: DataFrame, spec: MapSpec) -> DataFrame:
     return out.select("d", "lat", "lon", "ltst", F.col(CHANNELS[spec.channel - 1]).alias("t"), "orbit").where(F.col("t").isNotNull())
 
 
+def load_slices(samples: DataFrame, spec: MapSpec, channels: Iterable[int]) -> DataFrame:
+    """(orbiter, channel, d, lat, lon, ltst, t, orbit): a row a sample and channel, for maps of all orbiters, channels and times in one pass."""
+    where = between_half_open(F.col("lat"), spec.lat_bounds) & between_half_open(F.col("lon"), spec.lon_bounds)
+    if spec.unflagged and "flag" in samples.columns:
+        where = where & (F.col("flag") == 0)
+    if spec.exclude_orbits:
+        where = where & ~F.col("orbit").isin(*spec.exclude_orbits)
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("channel"), F.col(CHANNELS[c - 1]).alias("t")) for c in channels])).alias("_c")
+    out = samples.where(where).select("orbiter", "d", "lat", "lon", "ltst", "orbit", each)
+    return out.select("orbiter", "_c.channel", "d", "lat", "lon", "ltst", "_c.t", "orbit").where(F.col("t").isNotNull())
+
+
+def axes_agree(axes: DataFrame, keys: Iterable[str], columns: Iterable[str]) -> DataFrame:
+    """(keys, columns that differ) of the groups whose rows do not have one value in each of the columns: runs that cannot be stacked."""
+    names, by = list(columns), list(keys)
+    counted = axes.groupBy(*by).agg(*[F.count_distinct(F.struct(c)).alias(f"_n_{c}") for c in names])
+    bad = F.filter(F.array(*[F.when(F.col(f"_n_{c}") > 1, F.lit(c)) for c in names]), lambda x: x.isNotNull())
+    return counted.select(*by, bad.alias("differ")).where(F.size("differ") > 0)
+
+
 def finite_box(grid: DataFrame, value: str = "value") -> dict[str, int]:
     """The index bounds of the valid cells; upper bounds are exclusive."""
     r = grid.where(F.col(value).isNotNull() & ~F.isnan(value)).agg(

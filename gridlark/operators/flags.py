@@ -73,8 +73,12 @@ def orbit_sizes(df: DataFrame) -> DataFrame:
 
 
 def small_orbits(least: int) -> Step:
-    """Orbits with fewer unflagged rows; an orbit without any is not hit."""
-    return lambda df: flag_orbits(df, orbit_sizes(df).where(F.col("n") < least), SMALL_ORBIT)
+    """Orbits with fewer unflagged rows; an orbit without any is not hit. A window by orbit reads the rows before it once."""
+    def step(df: DataFrame) -> DataFrame:
+        n = F.count(F.when(F.col("flag") == 0, F.lit(1))).over(Window.partitionBy("orbit"))
+        return add_bit(df.withColumn("_n", n), (F.col("_n") > 0) & (F.col("_n") < least), SMALL_ORBIT).drop("_n")
+
+    return step
 
 
 def repeated_times(df: DataFrame, key: Column) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlark.functions.units import db_to_power
 from gridlark.operators.grids import Grid, finish_moments, smooth, wrap_longitude
@@ -16,8 +16,8 @@ from gridlark.schema import ANTENNAS, MOON_RADIUS_KM, Antenna
 
 #: Kernel points that may be broadcast and joined in SQL; finer kernels use numpy.
 SQL_KERNEL_POINTS = 5000
-#: Cells that a numpy task holds before it hands sums on.
-HELD_CELLS = 500_000
+#: Footprint points that a numpy task places at once, and cells between the least and the largest of them for plain counting.
+BLOCK_POINTS, SPAN_CELLS = 500_000, 2_000_000
 
 
 def _peak(theta: Column, centre: float, sigma: float) -> Column:
@@ -108,55 +108,98 @@ def footprint_spill(samples: DataFrame, kernel_df: DataFrame, standard: bool = F
     return (r["a"] or 0.0) / 2, (r["b"] or 0.0) / 2
 
 
-def spread_samples(samples: DataFrame, kernel_df: DataFrame, grid: Grid, turn: int, standard: bool = False) -> DataFrame:
-    """Per cell w, wt, wt2 of all samples' footprints, in SQL: the kernel is at most SQL_KERNEL_POINTS rows."""
-    pts = samples.select(F.col("d").cast("double").alias("d"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"), F.col("t").cast("double").alias("t")).crossJoin(F.broadcast(kernel_df))
+def small_kernel(kernel_df: DataFrame) -> DataFrame:
+    """The kernel, to be broadcast; raises if it is too fine for a join."""
+    if kernel_df.limit(SQL_KERNEL_POINTS + 1).count() > SQL_KERNEL_POINTS:
+        raise ValueError(f"the kernel has more than {SQL_KERNEL_POINTS} points: use numpy sums")
+    return F.broadcast(kernel_df)
+
+
+def with_kernel(samples: DataFrame, kernel_df: DataFrame) -> DataFrame:
+    """Each sample with every point of the kernel, of its channel's if the kernel has a channel."""
+    kernel_df = small_kernel(kernel_df)
+    return samples.join(kernel_df, "channel") if "channel" in kernel_df.columns else samples.crossJoin(kernel_df)
+
+
+def _doubles(samples: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return samples.select(*keys, *[F.col(c).cast("double").alias(c) for c in ("d", "lat", "lon", "t")])
+
+
+def spread_samples(samples: DataFrame, kernel_df: DataFrame, grid: Grid, turn: int, standard: bool = False, keys: Sequence[str] = ()) -> DataFrame:
+    """Per keys and cell w, wt, wt2 of all samples' footprints, in SQL: the kernel is at most SQL_KERNEL_POINTS rows."""
+    pts = with_kernel(_doubles(samples, keys), kernel_df)
     lat, lon = project(F.col("d"), F.col("lat"), F.col("lon"), F.col("x_over_rad"), F.col("y_over_rad"), F.col("scaled_rad"), standard)
-    placed = pts.select(grid.lat.index(lat).alias("lat_ix"), grid.lon.index(lon).alias("lon_ix"), "weight", "t")
+    placed = pts.select(*keys, grid.lat.index(lat).alias("lat_ix"), grid.lon.index(lon).alias("lon_ix"), "weight", "t")
     w, t = F.col("weight"), F.col("t")
-    sums = wrap_longitude(placed, turn).where(grid.lat.inside(F.col("lat_ix"))).groupBy("lat_ix", "lon_ix")
+    sums = wrap_longitude(placed, turn).where(grid.lat.inside(F.col("lat_ix"))).groupBy(*keys, "lat_ix", "lon_ix")
     return sums.agg(F.sum(w).alias("w"), F.sum(w * t).alias("wt"), F.sum(w * t * t).alias("wt2"))
 
 
-def spread_samples_dense(samples: DataFrame, kernel_df: DataFrame, grid: Grid, turn: int, standard: bool = False) -> DataFrame:
-    """As spread_samples for fine kernels: each task adds up cells with numpy and hands on partial sums.
+def _block_sums(d, la, lo, t, kernel: tuple, g: Grid, turn: int, standard: bool):
+    """Cells and sums of a block of samples (columns) with all kernel points (rows of a wide array)."""
+    x, y, r, weight = kernel
+    phi = np.radians(la)[:, None]
+    c = r[None, :] * d[:, None]
+    sin_c, cos_c, sin_p, cos_p = np.sin(c), np.cos(c), np.sin(phi), np.cos(phi)
+    p_lat = np.degrees(np.arcsin(np.clip(cos_c * sin_p + y * sin_c * cos_p, -1, 1)))
+    p_lon = lo[:, None] + np.degrees(np.arctan2(x * sin_c, cos_c * cos_p - y * sin_c * (sin_p if standard else cos_p)))
+    i = np.floor((p_lat - g.lat.start) / g.lat.step).astype(np.int64)
+    j = np.floor((p_lon - g.lon.start) / g.lon.step).astype(np.int64) % turn
+    ok = (i >= 0) & (i < g.lat.count)
+    cell = (i * turn + j)[ok]
+    if not len(cell):
+        return cell, np.zeros((3, 0))
+    w, value = np.broadcast_to(weight, ok.shape)[ok], np.broadcast_to(t[:, None], ok.shape)[ok]
+    first = int(cell.min())
+    if int(cell.max()) - first < SPAN_CELLS:
+        at, back = None, cell - first
+    else:
+        at, back = np.unique(cell, return_inverse=True)
+    sums = np.stack([np.bincount(back, x) for x in (w, w * value, w * value * value)])
+    if at is None:
+        at = np.flatnonzero(np.bincount(back))
+        return at + first, sums[:, at]
+    return at, sums
 
-    The kernel goes to the driver: its size depends on resolution, not on data.
-    """
-    k = kernel_df.select("x_over_rad", "y_over_rad", "scaled_rad", "weight").toPandas().to_numpy()
-    x, y, r, weight = (np.ascontiguousarray(k[:, i]) for i in range(4))
-    g = grid
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
+def spread_samples_dense(samples: DataFrame, kernel_df: DataFrame, grid: Grid, turn: int, standard: bool = False, keys: Sequence[str] = ()) -> DataFrame:
+    """As spread_samples for fine kernels: tasks add up blocks of samples with numpy and hand on sums of cells.
 
-        def out() -> pa.RecordBatch:
-            cells = np.fromiter(held, np.int64, len(held))
-            sums = np.array(list(held.values())).reshape(-1, 3)
-            return pa.RecordBatch.from_arrays([pa.array((cells // turn).astype(np.int32)), pa.array((cells % turn).astype(np.int32)), *(pa.array(sums[:, i]) for i in range(3))], names=["lat_ix", "lon_ix", "w", "wt", "wt2"])
+    The kernels go to the driver: their size depends on resolution, not on data.
+    """
+    by_channel = "channel" in kernel_df.columns
+    k = kernel_df.select(*(["channel"] if by_channel else []), "x_over_rad", "y_over_rad", "scaled_rad", "weight").toPandas()
+    parts = {c: p.drop(columns="channel") for c, p in k.groupby("channel")} if by_channel else {None: k}
+    kernels = {c: tuple(np.ascontiguousarray(p.to_numpy(float)[:, i]) for i in range(4)) for c, p in parts.items()}
+    held = _doubles(samples, keys)
+    schema = T.StructType([*[held.schema[c] for c in keys], T.StructField("lat_ix", T.IntegerType()), T.StructField("lon_ix", T.IntegerType()), *[T.StructField(c, T.DoubleType()) for c in ("w", "wt", "wt2")]])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for d, la, lo, t in zip(*(b.column(c).to_pylist() for c in ("d", "lat", "lon", "t"))):
-                c, phi = r * d, math.radians(la)
-                sin_c, cos_c = np.sin(c), np.cos(c)
-                p_lat = np.degrees(np.arcsin(np.clip(cos_c * math.sin(phi) + y * sin_c * math.cos(phi), -1, 1)))
-                p_lon = lo + np.degrees(np.arctan2(x * sin_c, cos_c * math.cos(phi) - y * sin_c * (math.sin(phi) if standard else math.cos(phi))))
-                i = np.floor((p_lat - g.lat.start) / g.lat.step).astype(np.int64)
-                j = np.floor((p_lon - g.lon.start) / g.lon.step).astype(np.int64) % turn
-                ok = (i >= 0) & (i < g.lat.count)
-                cell, back = np.unique(i[ok] * turn + j[ok], return_inverse=True)
-                w = np.bincount(back, weight[ok], len(cell))
-                for key, row in zip(cell.tolist(), np.stack([w, w * t, w * t * t], axis=1)):
-                    held[key] = held[key] + row if key in held else row
-            if len(held) > HELD_CELLS:
-                yield out()
-                held.clear()
-        if held:
-            yield out()
-
-    doubles = samples.select(*[F.col(c).cast("double").alias(c) for c in ("d", "lat", "lon", "t")])
-    parts = doubles.mapInArrow(run, "lat_ix int, lon_ix int, w double, wt double, wt2 double")
-    return parts.groupBy("lat_ix", "lon_ix").agg(*[F.sum(c).alias(c) for c in ("w", "wt", "wt2")])
+            if not b.num_rows:
+                continue
+            own = list(zip(*(b.column(c).to_pylist() for c in keys))) if keys else [()] * b.num_rows
+            names = {key: i for i, key in enumerate(dict.fromkeys(own))}
+            code = np.fromiter((names[x] for x in own), np.int64, len(own))
+            cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("d", "lat", "lon", "t")]
+            for key, i in names.items():
+                kernel = kernels.get(key[list(keys).index("channel")] if by_channel else None)
+                if kernel is None:  # a channel without a kernel, as the join has it
+                    continue
+                rows, step = np.flatnonzero(code == i), max(1, BLOCK_POINTS // max(1, len(kernel[0])))
+                for at in range(0, len(rows), step):
+                    cell, sums = _block_sums(*(c[rows[at : at + step]] for c in cols), kernel, grid, turn, standard)
+                    same = [pa.array([v] * len(cell), b.schema.field(c).type) for c, v in zip(keys, key)]
+                    yield pa.RecordBatch.from_arrays([*same, pa.array((cell // turn).astype(np.int32)), pa.array((cell % turn).astype(np.int32)), *(pa.array(x) for x in sums)], names=schema.fieldNames())
+
+    return held.mapInArrow(run, schema).groupBy(*keys, "lat_ix", "lon_ix").agg(*[F.sum(c).alias(c) for c in ("w", "wt", "wt2")])
+
+
+def spread(samples: DataFrame, kernel_df: DataFrame, grid: Grid, turn: int, standard: bool = False, keys: Sequence[str] = (), dense: bool | None = None) -> DataFrame:
+    """spread_samples, or spread_samples_dense if asked for or if the kernel is too fine for a join."""
+    if dense is None:
+        dense = kernel_df.limit(SQL_KERNEL_POINTS + 1).count() > SQL_KERNEL_POINTS
+    return (spread_samples_dense if dense else spread_samples)(samples, kernel_df, grid, turn, standard, keys)
 
 
 def coverage_threshold(samples: DataFrame, kernel_df: DataFrame, grid: Grid, turn: int, sigma: float | None, gain_db: float, standard: bool = False) -> float:
@@ -164,9 +207,9 @@ def coverage_threshold(samples: DataFrame, kernel_df: DataFrame, grid: Grid, tur
     cases = []
     for order in (F.abs("lat").asc(), F.abs("lat").desc()):
         probe = samples.orderBy(order, "lat", "lon").limit(1)
-        one = spread_samples(probe, kernel_df, grid, turn, standard)
+        one = spread(probe, kernel_df, grid, turn, standard)
         one = smooth(one, sigma, ["w", "wt", "wt2"]) if sigma else one
-        strong = spread_samples(probe, kernel_df.where(F.col("weight") >= 10 ** (gain_db / 10)), grid, turn, standard).select("lat_ix", "lon_ix")
+        strong = spread(probe, kernel_df.where(F.col("weight") >= 10 ** (gain_db / 10)), grid, turn, standard).select("lat_ix", "lon_ix")
         least = one.join(strong, ["lat_ix", "lon_ix"], "left_semi").agg(F.min("w")).first()[0]
         if least is not None:
             cases.append(least)
@@ -175,17 +218,21 @@ def coverage_threshold(samples: DataFrame, kernel_df: DataFrame, grid: Grid, tur
     return float(np.mean(cases))
 
 
-def deconvolve(samples: DataFrame, kernel_df: DataFrame, grid: Grid, turn: int, sigma: float | None = None, threshold: float | None = None, standard: bool = False, dense: bool = False) -> DataFrame:
-    """(lat_ix, lon_ix, w, wt, wt2, mean, std): footprints summed, smoothed once after the sums, and finished."""
-    sums = (spread_samples_dense if dense else spread_samples)(samples, kernel_df, grid, turn, standard)
+def deconvolve(samples: DataFrame, kernel_df: DataFrame, grid: Grid, turn: int, sigma: float | None = None, threshold: float | None = None, standard: bool = False, dense: bool | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, lat_ix, lon_ix, w, wt, wt2, mean, std): footprints summed, smoothed once after the sums, and finished.
+
+    keys part the samples into maps that are made in one pass; with a channel
+    among them the kernel may have one too.
+    """
+    sums = spread(samples, kernel_df, grid, turn, standard, keys, dense)
     if sigma:
-        sums = wrap_longitude(smooth(sums, sigma, ["w", "wt", "wt2"]), turn).groupBy("lat_ix", "lon_ix").agg(*[F.sum(c).alias(c) for c in ("w", "wt", "wt2")])
+        sums = wrap_longitude(smooth(sums, sigma, ["w", "wt", "wt2"], keys=keys), turn).groupBy(*keys, "lat_ix", "lon_ix").agg(*[F.sum(c).alias(c) for c in ("w", "wt", "wt2")])
     return finish_moments(sums, None if threshold is None else F.lit(threshold))
 
 
 def sample_counts(samples: DataFrame, kernel_df: DataFrame, grid: Grid, turn: int, least: float, standard: bool = False) -> DataFrame:
     """(lat_ix, lon_ix, n): samples whose own weight in a cell is at least `least`. samples: with a unique `sample_id`."""
-    pts = samples.crossJoin(F.broadcast(kernel_df))
+    pts = with_kernel(samples, kernel_df)
     lat, lon = project(F.col("d"), F.col("lat"), F.col("lon"), F.col("x_over_rad"), F.col("y_over_rad"), F.col("scaled_rad"), standard)
     placed = wrap_longitude(pts.select("sample_id", grid.lat.index(lat).alias("lat_ix"), grid.lon.index(lon).alias("lon_ix"), "weight"), turn)
     own = placed.groupBy("sample_id", "lat_ix", "lon_ix").agg(F.sum("weight").alias("w"))

@@ -7,8 +7,11 @@ and likewise in longitude.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -118,34 +121,70 @@ def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[tuple[int, flo
     return [(i - r, x / sum(w)) for i, x in enumerate(w)]
 
 
-def smooth(df: DataFrame, sigma: float, columns: list[str], truncate: float = 4.0) -> DataFrame:
-    """Separable Gaussian smoothing of summed planes: two passes, each an explode by the kernel's width and a sum.
+def smooth(df: DataFrame, sigma: float, columns: list[str], truncate: float = 4.0, keys: Sequence[str] = ()) -> DataFrame:
+    """Separable Gaussian smoothing of summed planes (per keys): two passes, each an explode by the kernel's width and a sum.
 
     Smoothing is linear, so it comes after the aggregation of samples.
     """
     kernel = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(w).alias("w")) for o, w in gaussian_weights(sigma, truncate)])
-    out = df.select("lat_ix", "lon_ix", *columns)
+    out = df.select(*keys, "lat_ix", "lon_ix", *columns)
     for axis, other in (("lat_ix", "lon_ix"), ("lon_ix", "lat_ix")):
         spread = out.select("*", F.explode(kernel).alias("_k"))
-        moved = spread.select((F.col(axis) + F.col("_k.o")).cast("int").alias(axis), other, *[(F.col(c) * F.col("_k.w")).alias(c) for c in columns])
-        out = moved.groupBy("lat_ix", "lon_ix").agg(*[F.sum(c).alias(c) for c in columns])
+        moved = spread.select(*keys, (F.col(axis) + F.col("_k.o")).cast("int").alias(axis), other, *[(F.col(c) * F.col("_k.w")).alias(c) for c in columns])
+        out = moved.groupBy(*keys, "lat_ix", "lon_ix").agg(*[F.sum(c).alias(c) for c in columns])
     return out
 
 
-def nearest_fill(df: DataFrame, reach: int, value: str = "value") -> DataFrame:
-    """Null cells get the value of the nearest valid cell within `reach` cells (ties: smaller lat_ix, then lon_ix).
-
-    Each null cell is joined with the cells of its own and the eight
-    neighbouring blocks of side `reach`: an equi-join on block keys.
+def _nearest_in_row(table: pa.Table) -> pa.Table:
+    """Of one grid row's columns with their nearest valid cells (x, dy, y, v): the nearest cell of each hole, by growing distance."""
+    x = table.column("lon_ix").to_numpy()
+    first = int(x.min())
+    n = int(x.max()) - first + 1
+    dy, y, v = np.full(n, np.iinfo(np.int64).max // 4), np.zeros(n, np.int64), np.zeros(n)
+    ok = table.column("dy").is_valid().to_numpy(zero_copy_only=False)
+    dy[x[ok] - first] = table.column("dy").filter(pa.array(ok)).to_numpy() ** 2
+    y[x[ok] - first] = table.column("y").filter(pa.array(ok)).to_numpy()
+    v[x[ok] - first] = table.column("v").filter(pa.array(ok)).to_numpy()
+    holes = x[table.column("hole").to_numpy(zero_copy_only=False)] - first
+    cost, at = dy[holes].copy(), holes.copy()
+    for k in range(1, n):
+        left = np.flatnonzero(cost >= k * k)
+        if not len(left):
+            break
+        for step in (-k, k):
+            i = holes[left] + step
+            own = left[(i >= 0) & (i < n)]
+            i = holes[own] + step
+            c = dy[i] + k * k
+            better = (c < cost[own]) | (c == cost[own]) & ((y[i] < y[at[own]]) | (y[i] == y[at[own]]) & (i < at[own]))
+            cost[own[better]], at[own[better]] = c[better], i[better]
+    found = cost < np.iinfo(np.int64).max // 4
+    return pa.table({"lat_ix": pa.array([table.column("lat_ix")[0].as_py()] * int(found.sum()), pa.int32()), "lon_ix": pa.array(holes[found] + first, pa.int32()), "_fill": pa.array(v[at[found]], pa.float64()), "_d": pa.array(cost[found], pa.int64())})
+
+
+def nearest_fill(df: DataFrame, reach: int | None = None, value: str = "value") -> DataFrame:
+    """Null cells get the value of the nearest valid cell (ties: smaller lat_ix, then lon_ix), within `reach` cells if that is given.
+
+    A distance transform in two passes: along each column of the grid windows
+    find the nearest valid cell above and below, along each row the best of the
+    columns' cells is taken. Either pass holds one line of the grid.
     """
-    block = lambda c: F.floor(F.col(c) / reach).cast("int")
-    valid = df.where(F.col(value).isNotNull()).select(block("lat_ix").alias("_a"), block("lon_ix").alias("_b"), F.col("lat_ix").alias("_y"), F.col("lon_ix").alias("_x"), F.col(value).alias("_v"))
-    nine = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    holes = df.where(F.col(value).isNull()).select("lat_ix", "lon_ix", nine.alias("_n")).select("lat_ix", "lon_ix", (block("lat_ix") + F.col("_n.i")).alias("_a"), (block("lon_ix") + F.col("_n.j")).alias("_b"))
-    dist = (F.pow(F.col("lat_ix") - F.col("_y"), 2) + F.pow(F.col("lon_ix") - F.col("_x"), 2)).alias("_d")
-    near = holes.join(valid, ["_a", "_b"]).select("lat_ix", "lon_ix", "_y", "_x", "_v", dist).where(F.col("_d") <= reach * reach)
-    best = near.groupBy("lat_ix", "lon_ix").agg(F.min_by("_v", F.struct("_d", "_y", "_x")).alias("_fill"))
-    return df.join(best, ["lat_ix", "lon_ix"], "left").withColumn(value, F.coalesce(value, "_fill")).drop("_fill")
+    bounds = df.agg(F.min("lat_ix").alias("_lo"), F.max("lat_ix").alias("_hi"))
+    lattice = df.select("lon_ix").distinct().crossJoin(F.broadcast(bounds)).select("lon_ix", F.explode(F.sequence("_lo", "_hi")).alias("lat_ix"))
+    here = df.select("lat_ix", "lon_ix", F.col(value).cast("double").alias("_v"), F.lit(True).alias("_in"))
+    held = lattice.join(here, ["lat_ix", "lon_ix"], "left")
+    along = Window.partitionBy("lon_ix").orderBy("lat_ix")
+    own = F.when(F.col("_v").isNotNull(), F.struct(F.col("lat_ix").alias("y"), F.col("_v").alias("v")))
+    above = F.last(own, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    below = F.first(own, ignorenulls=True).over(along.rowsBetween(0, Window.unboundedFollowing))
+    held = held.select("lat_ix", "lon_ix", (F.col("_v").isNull() & F.col("_in").isNotNull()).alias("hole"), above.alias("_a"), below.alias("_b"))
+    nearer = F.when(F.col("_b").isNull() | (F.col("lat_ix") - F.col("_a.y") <= F.col("_b.y") - F.col("lat_ix")), F.col("_a")).otherwise(F.col("_b"))
+    held = held.withColumn("_n", nearer).select("lat_ix", "lon_ix", "hole", F.abs(F.col("_n.y") - F.col("lat_ix")).cast("long").alias("dy"), F.col("_n.y").cast("long").alias("y"), F.col("_n.v").alias("v"))
+    rows = held.join(held.where("hole").select("lat_ix").distinct(), "lat_ix", "left_semi")
+    best = rows.groupBy("lat_ix").applyInArrow(_nearest_in_row, "lat_ix int, lon_ix int, _fill double, _d long")
+    if reach is not None:
+        best = best.where(F.col("_d") <= reach * reach)
+    return df.join(best.drop("_d"), ["lat_ix", "lon_ix"], "left").withColumn(value, F.coalesce(value, "_fill")).drop("_fill")
 
 
 def weighted_moments(df: DataFrame, keys: list[str] | None = None, weight: Column | None = None, value: str = "t") -> DataFrame:

@@ -41,9 +41,16 @@ def regular_series(df: DataFrame, axis: str, value: str, step: float, keys: list
     return here.select(*(keys or []), x.alias(axis), (F.col(value) + share * (F.coalesce("_v", F.col(value)) - F.col(value))).alias(value))
 
 
+#: Values that a model axis may have, and lattice cells that may be broadcast; with more, the join is left to Spark.
+MOST_AXIS, BROADCAST_CELLS = 10_000, 50_000
+
+
 def axis_of(table: DataFrame, column: str) -> list[float]:
-    """The sorted distinct values of a model axis (tens of values by construction)."""
-    return [r[0] for r in table.select(column).distinct().orderBy(column).collect()]
+    """The sorted distinct values of a model axis; raises if they are too many for one."""
+    rows = table.select(column).distinct().limit(MOST_AXIS + 1).collect()
+    if len(rows) > MOST_AXIS:
+        raise ValueError(f"{column} has more than {MOST_AXIS} values: no model axis")
+    return sorted(r[0] for r in rows)
 
 
 def _bracket(x: Column, axis: list[float]) -> tuple[Column, Column]:
@@ -58,24 +65,38 @@ def _bracket(x: Column, axis: list[float]) -> tuple[Column, Column]:
     return i, (inside - lo) / (hi - lo)
 
 
+def corner_table(table: DataFrame, lattice: dict[str, list[float]], value: str) -> DataFrame:
+    """(_k_ of each axis, _corners): a row a lattice cell, with the table's values at its 2^n corners; bit j of a corner's place is its side on axis j."""
+    axes = list(lattice)
+    at = {t: F.array_position(F.array(*[F.lit(float(a)) for a in lattice[t]]), F.col(t).cast("double")) - 1 for t in axes}
+    points = table.select(F.col(value).cast("double").alias("_v"), *[at[t].cast("int").alias(f"_k_{t}") for t in axes])
+    spread = points.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(2 ** len(axes) - 1))))
+    lower = {f"_k_{t}": (F.col(f"_k_{t}") - F.shiftright("_c", j).bitwiseAND(F.lit(1))).cast("int") for j, t in enumerate(axes)}
+    spread = spread.withColumns(lower).where(reduce(lambda a, b: a & b, [F.col(f"_k_{t}").between(0, max(0, len(lattice[t]) - 2)) for t in axes]))
+    corners = F.array(*[F.max(F.when(F.col("_c") == i, F.col("_v"))) for i in range(2 ** len(axes))])
+    return spread.groupBy(*lower).agg(corners.alias("_corners"))
+
+
 def multilinear(points: DataFrame, table: DataFrame, axes: dict[str, str], value: str, out: str) -> DataFrame:
-    """points with `out`, interpolated in a complete regular table; inputs are clipped to the axes.
+    """points with `out`, interpolated in a complete regular table; inputs are clipped to the axes, null ones give null.
 
-    axes: column of points to column of table. Each point meets its 2^n corners
-    by an equi-join on axis indices; the weighted corners are summed per point.
+    axes: column of points to column of table. A point meets the one lattice
+    cell that holds it, by an equi-join on axis indices.
     """
-    held = points.withColumn("_pid", F.monotonically_increasing_id())
     lattice = {t: axis_of(table, t) for t in axes.values()}
-    located = held
+    located = points
     for p, t in axes.items():
         i, share = _bracket(F.col(p), lattice[t])
-        located = located.withColumns({f"_i_{t}": i, f"_s_{t}": share})
-    corner = F.explode(F.sequence(F.lit(0), F.lit(2 ** len(axes) - 1))).alias("_c")
-    spread = located.select("_pid", *[f"_{k}_{t}" for t in axes.values() for k in "is"], corner)
-    bit = lambda j: F.shiftright("_c", j).bitwiseAND(F.lit(1))
-    weight = reduce(lambda a, b: a * b, [F.when(bit(j) == 1, F.col(f"_s_{t}")).otherwise(1 - F.col(f"_s_{t}")) for j, t in enumerate(axes.values())])
-    keys = [F.least(F.col(f"_i_{t}") + bit(j), F.lit(len(lattice[t]) - 1)).alias(f"_k_{t}") for j, t in enumerate(axes.values())]
-    wanted = spread.select("_pid", weight.alias("_w"), *keys).where("_w > 0")
-    grid = table.select(F.col(value).cast("double").alias("_v"), *[(F.array_position(F.array(*[F.lit(float(a)) for a in lattice[t]]), F.col(t).cast("double")) - 1).cast("int").alias(f"_k_{t}") for t in axes.values()])
-    summed = wanted.join(grid, [f"_k_{t}" for t in axes.values()]).groupBy("_pid").agg(F.sum(F.col("_w") * F.col("_v")).alias(out))
-    return held.join(summed, "_pid", "left").drop("_pid")
+        located = located.withColumns({f"_k_{t}": F.when(F.col(p).isNotNull(), i).cast("int"), f"_s_{t}": share})
+    cells = corner_table(table, lattice, value)
+    if reduce(lambda a, b: a * b, [max(1, len(v) - 1) for v in lattice.values()]) <= BROADCAST_CELLS:
+        cells = F.broadcast(cells)
+    joined = located.join(cells, [f"_k_{t}" for t in lattice], "left")
+
+    def part(i: int) -> Column:
+        side = lambda j, t: F.col(f"_s_{t}") if i >> j & 1 else 1 - F.col(f"_s_{t}")
+        w = reduce(lambda a, b: a * b, [side(j, t) for j, t in enumerate(lattice)])
+        return F.when(w > 0, w * F.get("_corners", F.lit(i))).otherwise(F.lit(0.0))
+
+    total = reduce(lambda a, b: a + b, [part(i) for i in range(2 ** len(lattice))])
+    return joined.withColumn(out, F.when(F.col("_corners").isNotNull(), total)).select(*points.columns, out)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from gridlark.functions import names, physics, times, units
 from gridlark.operators import brightness, ephemeris, filters, flags, footprint, grids, interpolate, residual, thermal
 from gridlark.plans import maps, templates
-from gridlark.schema import BOLTZMANN, LIGHT_SPEED, MOON_RADIUS_KM, PLANCK, STEFAN_BOLTZMANN, ANTENNAS, Body, MapSpec
+from gridlark.schema import BOLTZMANN, LIGHT_SPEED, MOON_RADIUS_KM, PLANCK, STEFAN_BOLTZMANN, ANTENNAS, Body, MapSpec, conform
+from gridlark.sources import tables
 from gridlark.sources.tables import samples_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,7 +189,24 @@ def flag_mad_outliers(spark, sf_dir):
     return flags.mad_outliers(o, ["mean", "slope"], 2.5).select("orbit")
 
 
-@query()
+def gauss_newton_sql(rows: str, key: str, weight: str = "1", rounds: int = 25) -> str:
+    """fit (key, a, b): the least squares of a * cos(lat) ** b by plain Gauss-Newton steps over rows (key, c = ln cos lat, t)."""
+    return f"""RECURSIVE it AS (SELECT DISTINCT {key}, 231.0::DOUBLE AS a, 0.35::DOUBLE AS b, 0 AS i FROM {rows}
+    UNION ALL SELECT {key}, a + (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), b + (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12), i + 1 FROM (
+      SELECT {key}, a, b, i, sum({weight} * e * e) AS h11, sum({weight} * a * e * e * c) AS h12, sum({weight} * a * a * e * e * c * c) AS h22, sum({weight} * e * (t - a * e)) AS g1, sum({weight} * a * e * c * (t - a * e)) AS g2
+      FROM (SELECT it.*, x.* EXCLUDE ({key}), exp(it.b * x.c) AS e FROM it JOIN {rows} x USING ({key})) WHERE i < {rounds} GROUP BY {key}, a, b, i)),
+  fit AS (SELECT {key}, a, b FROM it WHERE i = {rounds})"""
+
+
+LATMODEL_SQL = MISSION_SQL + """,
+  rows AS (SELECT orbit, t2 AS t, ln(cos(radians(abs(lat)))) AS c FROM m WHERE f0 = 0 AND abs(lat) < 85),
+  """ + gauss_newton_sql("rows", "orbit") + """,
+  med AS (SELECT quantile_cont(a, 0.5) AS ma, quantile_cont(b, 0.5) AS mb FROM fit),
+  mad AS (SELECT quantile_cont(abs(a - ma), 0.5) AS da, quantile_cont(abs(b - mb), 0.5) AS db FROM fit, med),
+  out AS (SELECT orbit FROM fit, med, mad WHERE abs(a - ma) > 3 * da OR abs(b - mb) > 3 * db)"""
+
+
+@query(TALLY.format(f="f0 + CASE WHEN f0 = 0 AND orbit IN (SELECT orbit FROM out) THEN 128 ELSE 0 END", t="m"), LATMODEL_SQL)
 def flag_latmodel(spark, sf_dir):
     return tally(flags.lat_model(3.0, "t2")(started(spark, sf_dir)))
 
@@ -266,11 +284,11 @@ def hour_labels(spark, sf_dir):
     return b.select("bin_start", label.alias("label"), names.bin_clock_label(F.concat(F.lit("TEMP_"), label)).alias("clock"))
 
 
-@query("""SELECT orbit, '<title>Orbit ' || orbit || ' of a: ' || n || ' samples</title>' AS label FROM (SELECT orbit, count(*) AS n FROM samples WHERE orbiter = 'a' GROUP BY orbit)""")
+@query("""SELECT orbiter, orbit, '<title>Orbit ' || orbit || ' of ' || orbiter || ': ' || n || ' samples</title>' AS label FROM (SELECT orbiter, orbit, count(*) AS n FROM samples GROUP BY orbiter, orbit)""")
 def template_fill(spark, sf_dir):
-    o = samples_view(spark, sf_dir).where("orbiter = 'a'").groupBy("orbit").agg(F.count(F.lit(1)).alias("n"))
-    label = templates.fill_column(F.lit("<title>Orbit {orbit} of {orbiter}: {count} samples</title>"), {"orbit": F.col("orbit"), "orbiter": F.lit("a"), "count": F.col("n")})
-    return o.select("orbit", label.alias("label"))
+    o = samples_view(spark, sf_dir).groupBy("orbiter", "orbit").agg(F.count(F.lit(1)).alias("n"))
+    label = templates.fill_column(F.lit("<title>Orbit {orbit} of {orbiter}: {count} samples</title>"), {"orbit": F.col("orbit"), "orbiter": F.col("orbiter"), "count": F.col("n")})
+    return o.select("orbiter", "orbit", label.alias("label"))
 
 
 @query("""SELECT CAST(h AS INTEGER) AS hour, 'a_t2_ltst_' || h || '_' || (h + 2) || '_lat_m' || (75 - h) || '_75_lon_m180_180_deconv' AS name FROM range(0, 24, 2) t(h)""", samples=False)
@@ -321,11 +339,11 @@ def tile_specs(spark, sf_dir):
 
 G5 = grids.full_grid(5.0, (-90.0, 90.0), (-180.0, 180.0))
 CELL_SQL = "CAST(floor((lat + 90) / 5) AS INTEGER) AS lat_ix, CAST(floor((lon + 180) / 5) AS INTEGER) AS lon_ix"
-MAP_SQL = f"g AS (SELECT {CELL_SQL}, count(*)::DOUBLE AS w, sum(t2) AS wt, sum(t2 * t2) AS wt2 FROM samples WHERE orbiter = 'a' GROUP BY ALL), c AS (SELECT lat_ix, lon_ix, w, {q('wt / w', 9)} AS value FROM g)"
+MAP_SQL = f"g AS (SELECT {CELL_SQL}, count(*)::DOUBLE AS w, sum(t2) AS wt, sum(t2 * t2) AS wt2 FROM samples GROUP BY ALL), c AS (SELECT lat_ix, lon_ix, w, {q('wt / w', 9)} AS value FROM g)"
 
 
 def cells(spark, sf_dir, channel: str = "t2") -> DataFrame:
-    s = samples_view(spark, sf_dir).where("orbiter = 'a'").withColumn("t", F.col(channel))
+    s = samples_view(spark, sf_dir).withColumn("t", F.col(channel))
     return grids.finish_moments(grids.weighted_moments(G5.place(s))).withColumn("value", r("mean", 9))
 
 
@@ -376,6 +394,12 @@ def nearest_fill(spark, sf_dir):
     return grids.nearest_fill(c, 4)
 
 
+@query("""SELECT h.lat_ix, h.lon_ix, coalesce(h.value, (SELECT arg_min(v.value, {'d': (v.lat_ix - h.lat_ix) ** 2 + (v.lon_ix - h.lon_ix) ** 2, 'y': v.lat_ix, 'x': v.lon_ix}) FROM x v WHERE v.value IS NOT NULL)) AS value FROM x h""", MAP_SQL + ", x AS (SELECT lat_ix, lon_ix, CASE WHEN lat_ix % 13 < 2 AND lon_ix % 17 < 3 THEN value END AS value FROM c)")
+def nearest_fill_far(spark, sf_dir):
+    c = cells(spark, sf_dir).select("lat_ix", "lon_ix", F.when((F.col("lat_ix") % 13 < 2) & (F.col("lon_ix") % 17 < 3), F.col("value")).alias("value"))
+    return grids.nearest_fill(c)
+
+
 @query("SELECT key, line, orbit FROM (SELECT *, row_number() OVER (PARTITION BY orbit ORDER BY key, line) - 1 AS i, count(*) OVER (PARTITION BY orbit) AS n FROM samples) WHERE i < n - 1 AND i % greatest(1, n // 30) = 0")
 def orbit_downsample(spark, sf_dir):
     return grids.downsample_orbit(samples_view(spark, sf_dir), 30, ["key", "line"]).select("key", "line", "orbit")
@@ -430,13 +454,9 @@ def antenna_kernel(spark, sf_dir):
     return k.select("k", r("x_over_rad", 9).alias("x_over_rad"), r("y_over_rad", 9).alias("y_over_rad"), r("scaled_rad", 12).alias("scaled_rad"), r("weight", 9).alias("weight"))
 
 
-@query(f"SELECT key, line, k, {q('plat')} AS lat, {q('plon')} AS lon FROM p", kernel_sql(4.0, 7) + ", " + PROJECT_SQL.format(where="orbit = 7"))
+@query(f"SELECT key, line, k, {q('plat')} AS lat, {q('plon')} AS lon FROM p", kernel_sql(4.0, 7) + ", " + PROJECT_SQL.format(where="true"))
 def footprint_project(spark, sf_dir):
-    return _projected(spark, samples_view(spark, sf_dir).where("orbit = 7"))
-
-
-def _projected(spark, samples: DataFrame) -> DataFrame:
-    s = samples.crossJoin(F.broadcast(footprint.kernel(spark, 2, 4.0)))
+    s = samples_view(spark, sf_dir).crossJoin(F.broadcast(footprint.kernel(spark, 2, 4.0)))
     lat, lon = footprint.project(F.col("d"), F.col("lat"), F.col("lon"), F.col("x_over_rad"), F.col("y_over_rad"), F.col("scaled_rad"))
     return s.select("key", "line", "k", r(lat).alias("lat"), r(lon).alias("lon"))
 
@@ -472,6 +492,52 @@ def deconv_map(spark, sf_dir):
     return d.select("lat_ix", "lon_ix", r("mean", 8).alias("mean"), r(F.sqrt(F.round(F.col("std") * F.col("std"), 5))).alias("std"))
 
 
+_ALL_BINS = kernel_sql(4.0, 7) + ", " + PROJECT_SQL.format(where="true") + """, sums AS (SELECT orbiter, CAST(floor(ltst * 24 / 6) * 6 AS INTEGER) AS bin_start, CAST(floor((plat + 90.0037) / 5) AS INTEGER) AS lat_ix, CAST((CAST(floor((plon + 180.0037) / 5) AS BIGINT) % 72 + 72) % 72 AS INTEGER) AS lon_ix,
+    sum(weight) AS w, sum(weight * t2) AS wt FROM p WHERE floor((plat + 90.0037) / 5) BETWEEN 0 AND 36 GROUP BY ALL)"""
+
+
+@query(f"SELECT orbiter, CAST(2 AS INTEGER) AS channel, bin_start, lat_ix, lon_ix, {q('wt / w', 8)} AS mean FROM sums", _ALL_BINS)
+def all_bins_deconv(spark, sf_dir):
+    rows = filters.load_slices(samples_view(spark, sf_dir), MapSpec("", 2, None, (-90.0, 90.0), unflagged=False), [2])
+    rows = rows.withColumn("bin_start", times.local_bin(F.col("ltst"), 6))
+    k = footprint.kernel(spark, 2, 4.0).withColumn("channel", F.lit(2))
+    d = footprint.deconvolve(rows, k, G5_OFF, 72, keys=["orbiter", "channel", "bin_start"])
+    return d.select("orbiter", "channel", "bin_start", "lat_ix", "lon_ix", r("mean", 8).alias("mean"))
+
+
+@query(f"SELECT {q('(max(plat) - min(plat)) / 2')} AS lat_spill, {q('(max(plon) - min(plon)) / 2')} AS lon_spill FROM p",
+       kernel_sql(4.0, 7) + ", " + PROJECT_SQL.replace("(SELECT * FROM samples WHERE {where})", "(SELECT max(d) AS d, max(abs(lat)) AS lat, 0.0::DOUBLE AS lon FROM samples WHERE abs(lat) < 75)"))
+def footprint_spill(spark, sf_dir):
+    lat, lon = footprint.footprint_spill(samples_view(spark, sf_dir).where(F.abs("lat") < 75), footprint.kernel(spark, 2, 4.0))
+    return spark.createDataFrame([(lat, lon)], "lat double, lon double").select(r("lat").alias("lat_spill"), r("lon").alias("lon_spill"))
+
+
+@query(f"SELECT key, line, {q('max(plat)')} AS top, {q('avg(cos(radians(plon)))')} AS east FROM p GROUP BY key, line", kernel_sql(4.0, 7) + ", " + PROJECT_SQL.format(where="true").replace("y * sin(r * d) * cos(radians(lat)))) AS plon", "y * sin(r * d) * sin(radians(lat)))) AS plon"))
+def footprint_standard(spark, sf_dir):
+    s = samples_view(spark, sf_dir).crossJoin(F.broadcast(footprint.kernel(spark, 2, 4.0)))
+    lat, lon = footprint.project(F.col("d"), F.col("lat"), F.col("lon"), F.col("x_over_rad"), F.col("y_over_rad"), F.col("scaled_rad"), standard=True, wrap=True)
+    out = s.select("key", "line", lat.alias("plat"), lon.alias("plon")).groupBy("key", "line").agg(F.max("plat").alias("top"), F.avg(F.cos(F.radians("plon"))).alias("east"))
+    return out.select("key", "line", r("top").alias("top"), r("east").alias("east"))
+
+
+_A4 = ANTENNAS[4]
+_EDGE = footprint.side_lobe_edge(_A4, 2.0, 28.0)
+
+
+def side_lobe_sql() -> str:
+    peak = lambda x, at: f"exp(-pow(({x} - {lit(at)}) / {lit(_A4.sigma)}, 2))"
+    main = f"{lit(_A4.main_power)} * ({peak('theta', -_A4.main_width / 2)} + {peak('theta', _A4.main_width / 2)})"
+    s = f"((theta - {lit(_A4.main_width / 2)}) / {lit(_A4.side_ratio)})"
+    side = f"{lit(_A4.main_power - _A4.side_peak)} * ({peak(s, 0.0)} + {peak(s, _A4.main_width)}) + {lit(_A4.side_peak)}"
+    return f"""k0 AS (SELECT id AS k, sqrt(pow((id % 29 - 14) * 2, 2) + pow((id // 29 - 14) * 2, 2)) AS theta FROM range(841) t(id)),
+  k1 AS (SELECT k, CASE WHEN theta < {lit(_A4.main_width / 2)} THEN {main} ELSE {side} END AS gain FROM k0 WHERE theta <= {lit(_EDGE)})"""
+
+
+@query(f"SELECT k, {q('pow(10, (gain - max(gain) OVER ()) / 10)', 9)} AS weight FROM k1", side_lobe_sql(), samples=False)
+def side_lobe_kernel(spark, sf_dir):
+    return footprint.kernel(spark, 4, 2.0, main_only=False).select("k", r("weight", 9).alias("weight"))
+
+
 @query(f"SELECT lat_ix, lon_ix, CASE WHEN w >= 20 THEN {q('wt / w', 8)} END AS mean FROM sums", _DECONV)
 def coverage_mask(spark, sf_dir):
     d = footprint.deconvolve(_slice(spark, sf_dir), footprint.kernel(spark, 2, 4.0), G5_OFF, 72, threshold=20.0)
@@ -486,7 +552,7 @@ def sample_counts(spark, sf_dir):
 
 # --- residuals and display numbers
 
-@query(f"SELECT lat_ix, lon_ix, {q('c.value - e.value', 8)} AS value FROM c JOIN e USING (lat_ix, lon_ix)", MAP_SQL + f", e AS (SELECT {CELL_SQL}, {q('avg(t3)', 9)} AS value FROM samples WHERE orbiter = 'a' GROUP BY ALL)")
+@query(f"SELECT lat_ix, lon_ix, {q('c.value - e.value', 8)} AS value FROM c JOIN e USING (lat_ix, lon_ix)", MAP_SQL + f", e AS (SELECT {CELL_SQL}, {q('avg(t3)', 9)} AS value FROM samples GROUP BY ALL)")
 def grid_residual(spark, sf_dir):
     out = residual.grid_residual(cells(spark, sf_dir).select("lat_ix", "lon_ix", "value"), cells(spark, sf_dir, "t3"), ["lat_ix", "lon_ix"])
     return out.withColumn("value", r("value", 8))
@@ -498,7 +564,7 @@ def lat_trend_residual(spark, sf_dir):
     return residual.latitude_residual(c, 231.0, 0.35).select("lat_ix", "lon_ix", r("value", 8).alias("value"))
 
 
-@query()
+@query(f"SELECT lat_ix, lon_ix, {q('value - fit.a * pow(cos(radians(lat_ix * 5 - 87.5::DOUBLE)), fit.b)', 3)} AS value FROM c, fit", MAP_SQL + ", rows AS (SELECT 1 AS one, value AS t, ln(cos(radians(abs(lat_ix * 5 - 87.5::DOUBLE)))) AS c FROM c), " + gauss_newton_sql("rows", "one"))
 def lat_trend_fit(spark, sf_dir):
     c = cells(spark, sf_dir).withColumn("lat", F.col("lat_ix") * 5 - F.lit(87.5))
     return residual.latitude_residual(c, *residual.fit_latitude_trend(c)).select("lat_ix", "lon_ix", r("value", 3).alias("value"))
@@ -538,13 +604,9 @@ def centered_norm(spark, sf_dir):
 # --- interpolation
 
 @query(f"""SELECT orbit, CAST(i AS INTEGER) AS i, {q('v[lo + 1] + (v[least(lo + 1, n - 1) + 1] - v[lo + 1]) * (x - lo)')} AS value FROM (
-  SELECT *, CAST(floor(x) AS BIGINT) AS lo FROM (SELECT orbit, v, len(v) AS n, i, least(i * len(v) / 23.0::DOUBLE, len(v) - 1.0::DOUBLE) AS x FROM a, range(24) t(i)))""", "a AS (SELECT orbit, list(t2 ORDER BY key, line, t2) AS v FROM samples WHERE orbit <= 5 GROUP BY orbit)")
+  SELECT *, CAST(floor(x) AS BIGINT) AS lo FROM (SELECT orbit, v, len(v) AS n, i, least(i * len(v) / 23.0::DOUBLE, len(v) - 1.0::DOUBLE) AS x FROM a, range(24) t(i)))""", "a AS (SELECT orbit, list(t2 ORDER BY key, line, t2) AS v FROM samples GROUP BY orbit)")
 def interp1d_time(spark, sf_dir):
-    return _resampled(samples_view(spark, sf_dir).where("orbit <= 5"))
-
-
-def _resampled(samples: DataFrame) -> DataFrame:
-    s = samples.groupBy("orbit").agg(F.sort_array(F.collect_list(F.struct("key", "line", "t2"))).alias("v"))
+    s = samples_view(spark, sf_dir).groupBy("orbit").agg(F.sort_array(F.collect_list(F.struct("key", "line", "t2"))).alias("v"))
     return s.select("orbit", F.posexplode(interpolate.resample(F.col("v.t2"), 24)).alias("i", "value")).withColumn("value", r("value"))
 
 
@@ -552,18 +614,14 @@ def _poly(lat: str, alb: str, h: str, hour: str) -> str:
     return f"(200 + 0.5::DOUBLE * {lat} - 40::DOUBLE * {alb} + 100::DOUBLE * {h} + 0.25::DOUBLE * {lat} * {h} + 1.5::DOUBLE * {hour} - 2::DOUBLE * {alb} * {hour})"
 
 
-@query(f"SELECT key, line, {q(_poly('least(60, abs(lat))', 'least(0.17, (t1 - 180) / 250)', 'least(0.12, greatest(0.03, (round(t2) - 180) / 1000))', 'least(23.9, ltst * 24)'), 8)} AS tb FROM samples WHERE orbit <= 10")
+@query(f"SELECT key, line, {q(_poly('least(60, abs(lat))', 'least(0.17, (t1 - 180) / 250)', 'least(0.12, greatest(0.03, (round(t2) - 180) / 1000))', 'least(23.9, ltst * 24)'), 8)} AS tb FROM samples")
 def multilinear_interp(spark, sf_dir):
-    return _multilinear(spark, samples_view(spark, sf_dir).where("orbit <= 10"))
-
-
-def _multilinear(spark, samples: DataFrame) -> DataFrame:
     """The table holds a multilinear function, so the answer is that function at the clipped inputs."""
     t = spark.range(1)
     for name, v in {"a_lat": (0, 10, 25, 60), "a_alb": (0, 0.06, 0.17), "a_h": (0.03, 0.05, 0.12), "a_hour": (0, 6, 12.5, 18, 23.9)}.items():
         t = t.withColumn(name, F.explode(F.array(*[F.lit(float(x)) for x in v])))
     t = t.withColumn("v", F.expr(_poly("a_lat", "a_alb", "a_h", "a_hour").replace("::DOUBLE", "D")))
-    s = samples.select("key", "line", F.abs("lat").alias("x1"), ((F.col("t1") - 180) / 250).alias("x2"), ((F.round("t2") - 180) / 1000).alias("x3"), (F.col("ltst") * 24).alias("x4"))
+    s = samples_view(spark, sf_dir).select("key", "line", F.abs("lat").alias("x1"), ((F.col("t1") - 180) / 250).alias("x2"), ((F.round("t2") - 180) / 1000).alias("x3"), (F.col("ltst") * 24).alias("x4"))
     out = interpolate.multilinear(s, t, {"x1": "a_lat", "x2": "a_alb", "x3": "a_h", "x4": "a_hour"}, "v", "tb")
     return out.select("key", "line", r("tb", 8).alias("tb"))
 
@@ -608,7 +666,7 @@ def radiative_temperature(spark, sf_dir):
     return samples_view(spark, sf_dir).select("key", "line", r(t).alias("noon"))
 
 
-LAYERS_SQL = f"""l AS (SELECT key, line AS layer, t2 AS temp, (d - 79) / 2000 AS dz, 1100 + l2 * 90.0::DOUBLE AS rho FROM (SELECT *, line AS l2 FROM samples WHERE key % 5 = 0) WHERE key IN (SELECT key FROM samples GROUP BY key HAVING count(*) >= 2 AND count(*) = count(DISTINCT line))),
+LAYERS_SQL = f"""l AS (SELECT key, line AS layer, t2 AS temp, (d - 79) / 2000 AS dz, 1100 + l2 * 90.0::DOUBLE AS rho FROM (SELECT *, line AS l2 FROM samples) WHERE key IN (SELECT key FROM samples GROUP BY key HAVING count(*) >= 2 AND count(*) = count(DISTINCT line))),
   a0 AS (SELECT *, pow(1.92, rho / 1000) AS eps, pow(10, 0.312 * rho / 1000 - 2.5) AS tand FROM l),
   a1 AS (SELECT *, {lit(2 * math.pi * 7.8e9 / LIGHT_SPEED)} * sqrt(eps) * tand AS coeff FROM a0),
   a2 AS (SELECT *, exp(-dz * coeff) AS att, coalesce(pow((lead(sqrt(eps)) OVER w - sqrt(eps)) / (lead(sqrt(eps)) OVER w + sqrt(eps)), 2), 0) AS ref,
@@ -619,31 +677,23 @@ LAYERS_SQL = f"""l AS (SELECT key, line AS layer, t2 AS temp, (d - 79) / 2000 AS
   a6 AS (SELECT *, (1 - att) * (1 + ref * att) * (1 - surface) * exp(above) AS weight, (1 - surface) * exp(thru) AS rest FROM a5)"""
 
 
-def _layers(spark, sf_dir, keys: str = "key % 5 = 0") -> DataFrame:
+def _layers(spark, sf_dir) -> DataFrame:
     s = samples_view(spark, sf_dir)
     whole = s.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("line").alias("u")).where("n >= 2 and n = u").select("key")
-    out = s.where(keys).join(whole, "key", "left_semi")
+    out = s.join(whole, "key", "left_semi")
     out = out.select("key", F.col("line").alias("layer"), F.col("t2").alias("temp"), ((F.col("d") - 79) / 2000).alias("dz"), (F.col("line") * 90.0 + 1100).alias("rho"))
     return brightness.cross_settings(out, [7.8], [2.5])
 
 
 @query(f"SELECT key, layer, {q('weight', 9)} AS weight, {q('rest', 9)} AS rest FROM a6", LAYERS_SQL)
 def layer_prefix_product(spark, sf_dir):
-    return _weights(_layers(spark, sf_dir))
-
-
-def _weights(layers: DataFrame) -> DataFrame:
-    out = brightness.layer_weights(layers, ["key"], path="dz")
+    out = brightness.layer_weights(_layers(spark, sf_dir), ["key"], path="dz")
     return out.select("key", "layer", r("weight", 9).alias("weight"), r("rest", 9).alias("rest"))
 
 
 @query(f"SELECT key, {q('h / ln(1 / rad + 1) + below', 5)} AS tb FROM (SELECT key, sum(weight / (exp({lit(PLANCK / BOLTZMANN * 1e9 * 7.8)} / temp) - 1)) AS rad, max({lit(PLANCK / BOLTZMANN * 1e9 * 7.8)}) AS h, arg_max((temp + (temp - t1) * 2 / (dz + d1) / coeff) * rest, layer) AS below FROM (SELECT *, lag(temp) OVER w AS t1, lag(dz) OVER w AS d1 FROM a6 WINDOW w AS (PARTITION BY key ORDER BY layer)) GROUP BY key)", LAYERS_SQL)
 def brightness_temperature(spark, sf_dir):
-    return _brightness(_layers(spark, sf_dir))
-
-
-def _brightness(layers: DataFrame) -> DataFrame:
-    out = brightness.brightness_temperature(layers, ["key", "freq", "c"], path="dz")
+    out = brightness.brightness_temperature(_layers(spark, sf_dir), ["key", "freq", "c"], path="dz")
     return out.select("key", r("tb", 5).alias("tb"))
 
 
@@ -678,72 +728,93 @@ def plain_norm(spark, sf_dir):
     return residual.plain_norm(cells(spark, sf_dir)).select("lat_ix", "lon_ix", r("shade").alias("shade"))
 
 
-@query(f"SELECT key, line, k, {q('x * r * d * 1737.4')} AS east, {q('y * r * d * 1737.4')} AS north FROM (SELECT * FROM samples WHERE orbit = 7), kernel", kernel_sql(4.0, 7))
+@query(f"SELECT key, line, k, {q('x * r * d * 1737.4')} AS east, {q('y * r * d * 1737.4')} AS north FROM samples, kernel", kernel_sql(4.0, 7))
 def flat_offsets(spark, sf_dir):
-    return _offsets(spark, samples_view(spark, sf_dir).where("orbit = 7"))
-
-
-def _offsets(spark, samples: DataFrame) -> DataFrame:
-    s = samples.crossJoin(F.broadcast(footprint.kernel(spark, 2, 4.0)))
+    s = samples_view(spark, sf_dir).crossJoin(F.broadcast(footprint.kernel(spark, 2, 4.0)))
     x, y = footprint.flat_offset(F.col("d"), F.col("x_over_rad"), F.col("y_over_rad"), F.col("scaled_rad"))
     return s.select("key", "line", "k", r(x).alias("east"), r(y).alias("north"))
 
 
 @query(f"SELECT orbit, x, {q('v0 + CASE WHEN x1 > x0 THEN (x - x0) / (x1 - x0) ELSE 0 END * (coalesce(v1, v0) - v0)')} AS v FROM (SELECT orbit, x0, v0, x1, v1, x FROM b, range(0, 91, 10) g(x) WHERE x >= x0 AND (x < x1 OR (x1 IS NULL AND x = x0)))",
-       "a AS (SELECT orbit, floor(lat) + 90 AS x, avg(t1) AS v FROM samples WHERE orbit <= 5 AND lat < 0 GROUP BY ALL UNION ALL SELECT DISTINCT orbit, 0, 200 FROM samples WHERE orbit <= 5 AND orbit NOT IN (SELECT orbit FROM samples WHERE lat < -89)), b AS (SELECT orbit, x AS x0, v AS v0, lead(x) OVER w AS x1, lead(v) OVER w AS v1 FROM a WINDOW w AS (PARTITION BY orbit ORDER BY x))")
+       "a AS (SELECT orbit, floor(lat) + 90 AS x, avg(t1) AS v FROM samples WHERE lat < 0 GROUP BY ALL UNION ALL SELECT DISTINCT orbit, 0, 200 FROM samples WHERE orbit NOT IN (SELECT orbit FROM samples WHERE lat < -89)), b AS (SELECT orbit, x AS x0, v AS v0, lead(x) OVER w AS x1, lead(v) OVER w AS v1 FROM a WINDOW w AS (PARTITION BY orbit ORDER BY x))")
 def regular_series(spark, sf_dir):
-    return _regular(samples_view(spark, sf_dir).where("orbit <= 5"))
-
-
-def _regular(s: DataFrame) -> DataFrame:
+    s = samples_view(spark, sf_dir)
     a = s.where("lat < 0").groupBy("orbit", (F.floor("lat") + 90).cast("double").alias("x")).agg(F.avg("t1").alias("v"))
     start = filters.not_member(s.select("orbit").distinct(), s.where("lat < -89").select("orbit"), "orbit").select("orbit", F.lit(0.0).alias("x"), F.lit(200.0).alias("v"))
     out = interpolate.regular_series(a.union(start), "x", "v", 10.0, ["orbit"])
     return out.select("orbit", F.col("x").cast("long").alias("x"), r("v").alias("v"))
 
 
-# --- the queries above that take some orbits or keys, over all samples
+# --- checks, times and further forms
+
+@query("SELECT orbit, min(utc) AS start, max(utc) AS stop FROM samples GROUP BY orbit")
+def time_span(spark, sf_dir):
+    return tables.time_span(samples_view(spark, sf_dir))
+
 
-def _whole(name: str, *filters: str) -> str:
-    """The twin of a query without its filters."""
-    sql = SQL[name]
-    for f in filters:
-        if f not in sql:
-            raise ValueError(f"{name} has no {f}")
-        sql = sql.replace(f, "")
-    return sql
+@query("SELECT event_id, date_trunc('millisecond', ts) AS utc FROM events", samples=False)
+def parse_utc(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z"))
+    return e.select("event_id", times.parse_utc(text).alias("utc"))
+
+
+@query(f"SELECT event_id, (u + leap + {lit(times.TT_MINUS_TAI)}) / 86400.0::DOUBLE + 2440587.5::DOUBLE AS tdb FROM e", f"e AS (SELECT event_id, epoch_us(ts) / 1000000.0::DOUBLE AS u, {_leap_sql()} AS leap FROM events)", samples=False)
+def tdb_julian_date(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return e.select("event_id", times.tdb_julian_date(times.unix_seconds(F.col("ts"))).alias("tdb"))
+
+
+@query("SELECT event_id, (hour(ts) * 3600 + minute(ts) * 60 + second(ts)) / 86400.0::DOUBLE AS day FROM events", samples=False)
+def hms_fraction(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return e.select("event_id", times.hms_fraction(F.date_format("ts", "HH:mm:ss")).alias("day"))
 
 
-@query(_whole("footprint_project", " WHERE orbit = 7"), samples=False)
-def footprint_project_all(spark, sf_dir):
-    return _projected(spark, samples_view(spark, sf_dir))
+@query("SELECT orbiter, CAST(orbit AS INTEGER) AS orbit, CAST(lat AS FLOAT) AS lat, CAST(t1 AS FLOAT) AS t1, CAST(NULL AS DOUBLE) AS bx FROM samples")
+def conform_schema(spark, sf_dir):
+    out = conform(samples_view(spark, sf_dir))
+    return out.select("orbiter", F.col("orbit").cast("int").alias("orbit"), F.col("lat").cast("float").alias("lat"), F.col("t1").cast("float").alias("t1"), F.col("bx").cast("double").alias("bx"))
 
 
-@query(_whole("flat_offsets", " WHERE orbit = 7"), samples=False)
-def flat_offsets_all(spark, sf_dir):
-    return _offsets(spark, samples_view(spark, sf_dir))
+@query("SELECT key, line, CASE WHEN t2 > 200 AND t2 < 260 AND t2 <= 250 THEN t2 END AS t2 FROM samples")
+def model_mask(spark, sf_dir):
+    return samples_view(spark, sf_dir).select("key", "line", filters.mask_outside(F.col("t2"), 200.0, 260.0, 250.0).alias("t2"))
 
 
-@query(_whole("interp1d_time", " WHERE orbit <= 5"), samples=False)
-def interp1d_time_all(spark, sf_dir):
-    return _resampled(samples_view(spark, sf_dir))
+HOLES_SQL = MAP_SQL + ", x AS (SELECT lat_ix, lon_ix, CASE WHEN lat_ix BETWEEN 4 AND 30 AND lon_ix BETWEEN 10 AND 60 THEN value END AS value FROM c)"
 
 
-@query(_whole("regular_series", " orbit <= 5 AND"), samples=False)
-def regular_series_all(spark, sf_dir):
-    return _regular(samples_view(spark, sf_dir))
+def _holes(spark, sf_dir) -> DataFrame:
+    inside = F.col("lat_ix").between(4, 30) & F.col("lon_ix").between(10, 60)
+    return cells(spark, sf_dir).select("lat_ix", "lon_ix", F.when(inside, F.col("value")).alias("value"))
 
 
-@query(_whole("multilinear_interp", " WHERE orbit <= 10"), samples=False)
-def multilinear_interp_all(spark, sf_dir):
-    return _multilinear(spark, samples_view(spark, sf_dir))
+@query("SELECT min(lat_ix) AS lat_lo, max(lat_ix) AS lat_hi, min(lon_ix) AS lon_lo, max(lon_ix) AS lon_hi FROM x WHERE value IS NOT NULL", HOLES_SQL)
+def finite_box(spark, sf_dir):
+    b = filters.finite_box(_holes(spark, sf_dir))
+    return spark.createDataFrame([tuple(b[k] for k in ("lat_lo", "lat_hi", "lon_lo", "lon_hi"))], "lat_lo int, lat_hi int, lon_lo int, lon_hi int")
 
 
-@query(_whole("layer_prefix_product", " WHERE key % 5 = 0"), samples=False)
-def layer_prefix_product_all(spark, sf_dir):
-    return _weights(_layers(spark, sf_dir, "true"))
+@query("SELECT lat_ix, lon_ix, value FROM x, (SELECT min(lat_ix) AS a, max(lat_ix) AS b, min(lon_ix) AS e, max(lon_ix) AS f FROM x WHERE value IS NOT NULL) WHERE lat_ix >= a AND lat_ix < b AND lon_ix >= e AND lon_ix < f", HOLES_SQL)
+def cut_valid(spark, sf_dir):
+    return filters.cut_valid(_holes(spark, sf_dir))
 
 
-@query(_whole("brightness_temperature", " WHERE key % 5 = 0"), samples=False)
-def brightness_temperature_all(spark, sf_dir):
-    return _brightness(_layers(spark, sf_dir, "true"))
+@query("SELECT orbit, concat_ws(',', CASE WHEN count(DISTINCT mflag) > 1 THEN 'mflag' END, CASE WHEN count(DISTINCT orbiter) > 1 THEN 'orbiter' END) AS differ FROM samples GROUP BY orbit HAVING count(DISTINCT mflag) > 1 OR count(DISTINCT orbiter) > 1")
+def axes_agree(spark, sf_dir):
+    out = filters.axes_agree(samples_view(spark, sf_dir), ["orbit"], ["mflag", "orbiter"])
+    return out.select("orbit", F.concat_ws(",", "differ").alias("differ"))
+
+
+@query(f"""SELECT key, line, {q(f'sqrt({lit(BODY.k_surface)} / ({lit(BODY.rho_surface)} * ({_CP})) * {lit(BODY.day / math.pi)})', 9)} AS skin_depth,
+  {q(f'pow({lit((1 - BODY.albedo) * BODY.solar_constant / (4 * BODY.emissivity * STEFAN_BOLTZMANN))} * cos(radians(lat)), 0.25)')} AS mean_temperature FROM (SELECT key, line, lat, t2 AS t FROM samples)""")
+def skin_depth(spark, sf_dir):
+    s = samples_view(spark, sf_dir)
+    return s.select("key", "line", r(physics.skin_depth(F.col("t2")), 9).alias("skin_depth"), r(physics.mean_equilibrium_temperature(F.col("lat"))).alias("mean_temperature"))
+
+
+@query(f"SELECT {q('max(abs(sqrt(pow(cos(p) * cos(l) * d, 2) + pow(cos(p) * sin(l) * d, 2) + pow(sin(p) * d, 2)) - d))')} AS max_error FROM (SELECT radians(lat) AS p, radians(lon) AS l, d FROM samples)")
+def height_error(spark, sf_dir):
+    out = ephemeris.with_vectors(samples_view(spark, sf_dir).drop("ltst").withColumn("et", F.lit(0.0)))
+    return ephemeris.height_error(out).select(r("max_error").alias("max_error"))

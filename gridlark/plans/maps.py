@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridlark.functions.times import local_bin
 from gridlark.functions.units import hapke_to_albedo, slope_time_shift
 from gridlark.operators.brightness import Loss, brightness_temperature, cross_settings
-from gridlark.operators.filters import load_slice
+from gridlark.operators.filters import between_half_open, load_slice, load_slices
 from gridlark.operators.footprint import deconvolve, footprint_spill
 from gridlark.operators.grids import Axis, Grid, finish_moments, full_grid, weighted_moments
 from gridlark.operators.interpolate import multilinear
@@ -24,17 +26,33 @@ def binned_map(samples: DataFrame, spec: MapSpec) -> DataFrame:
     return grid.with_coordinates(finish_moments(weighted_moments(grid.place(load_slice(samples, spec)))))
 
 
-def footprint_map(samples: DataFrame, spec: MapSpec, kernel: DataFrame, sigma: float | None = 3.0, threshold: float | None = None, dense: bool = True) -> DataFrame:
+def _wide_grid(spec: MapSpec, spill: float) -> Grid:
+    """The spec's grid with latitudes for half a footprint more; longitudes are a full turn."""
+    return Grid(Axis.over(spec.lat_bounds, spec.resolution, spill), Axis.over((-180.0, 180.0), spec.resolution))
+
+
+def _within(cells: DataFrame, spec: MapSpec) -> DataFrame:
+    return cells.where(between_half_open(F.col("lat"), spec.lat_bounds) & between_half_open(F.col("lon"), spec.lon_bounds))
+
+
+def footprint_map(samples: DataFrame, spec: MapSpec, kernel: DataFrame, sigma: float | None = 3.0, threshold: float | None = None, dense: bool | None = None) -> DataFrame:
     """A deconvolved map over the spec's bounds; samples that reach in from outside by half a footprint count."""
-    rows = load_slice(samples, spec).persist()
-    try:
-        spill = footprint_spill(rows, kernel)[0]
-    finally:
-        rows.unpersist()
-    wide = Grid(Axis.over(spec.lat_bounds, spec.resolution, spill), Axis.over((-180.0, 180.0), spec.resolution))
-    turn = wide.lon.count
-    out = wide.with_coordinates(deconvolve(rows, kernel, wide, turn, sigma, threshold, dense=dense))
-    return out.where((F.col("lat") >= spec.lat_bounds[0]) & (F.col("lat") < spec.lat_bounds[1]) & (F.col("lon") >= spec.lon_bounds[0]) & (F.col("lon") < spec.lon_bounds[1]))
+    rows = load_slice(samples, spec)
+    wide = _wide_grid(spec, footprint_spill(rows, kernel)[0])
+    out = wide.with_coordinates(deconvolve(rows, kernel, wide, wide.lon.count, sigma, threshold, dense=dense))
+    return _within(out, spec)
+
+
+def footprint_maps(samples: DataFrame, spec: MapSpec, kernels: Mapping[int, DataFrame], hours: int = 2, sigma: float | None = 3.0, threshold: float | None = None, dense: bool | None = None) -> DataFrame:
+    """(orbiter, channel, bin_start, ...): the maps of all orbiters, channels and local-time bins in one pass over the samples.
+
+    kernels: channel to kernel. The spec gives bounds and resolution alone.
+    """
+    rows = load_slices(samples, spec, kernels).withColumn("bin_start", local_bin(F.col("ltst"), hours))
+    wide = _wide_grid(spec, max(footprint_spill(rows, k)[0] for k in kernels.values()))
+    every = reduce(DataFrame.unionByName, [k.withColumn("channel", F.lit(c)) for c, k in kernels.items()])
+    out = deconvolve(rows, every, wide, wide.lon.count, sigma, threshold, dense=dense, keys=["orbiter", "channel", "bin_start"])
+    return _within(wide.with_coordinates(out), spec)
 
 
 def time_bins(hours: int = 2) -> list[tuple[float, float]]:
@@ -45,8 +63,6 @@ def time_bins(hours: int = 2) -> list[tuple[float, float]]:
 
 def all_bins_map(samples: DataFrame, spec: MapSpec, hours: int = 2) -> DataFrame:
     """Every local-time bin of a channel in one pass: the bin is a grouping key."""
-    from gridlark.functions.times import local_bin
-
     grid = full_grid(spec.resolution, spec.lat_bounds, spec.lon_bounds)
     placed = grid.place(load_slice(samples, spec)).withColumn("bin_start", local_bin(F.col("ltst"), hours))
     return finish_moments(weighted_moments(placed, ["bin_start"]))

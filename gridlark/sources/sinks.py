@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -58,13 +59,23 @@ def write_by_month(df: DataFrame, path: str, ts: str = "utc", mode: str = "error
     write_table(out, path, ["orbiter", "month"], mode=mode)
 
 
-def write_once(df: DataFrame, path: str) -> bool:
-    """Writes unless the output is complete; a failed write leaves no success marker and is redone."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if done.getFileSystem(conf).exists(done):
+def write_once(df: DataFrame, path: str, partition: Sequence[str] = (), overwrite: bool = False) -> bool:
+    """Writes unless the output is complete. Rows go to a folder beside it, which takes its place when all are there:
+    a failed write leaves what was before, and of two writers the later one's rows stand whole."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = place(path).getFileSystem(conf)
+    if not overwrite and fs.exists(place(f"{path}/_SUCCESS")):
         return False
-    df.write.mode("overwrite").parquet(path)
+    beside = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+    try:
+        write_table(df, beside, partition)
+        fs.delete(place(path), True)
+        if not fs.rename(place(beside), place(path)):
+            raise OSError(f"cannot move {beside} to {path}")
+    finally:
+        fs.delete(place(beside), True)
     return True
 
 

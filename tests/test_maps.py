@@ -126,3 +126,72 @@ def test_coverage_threshold_and_side_lobes(spark, samples):
     both = footprint.kernel(spark, 4, 2.0, main_only=False)
     assert both.count() > footprint.kernel(spark, 4, 2.0).count()
     assert footprint.kernel(spark, 4, 2.0, cutoff_db=-10.0).count() < footprint.kernel(spark, 4, 2.0).count()
+
+
+@pytest.mark.parametrize("reach", [None, 3])
+def test_nearest_fill_is_exact_at_any_distance(spark, reach):
+    rng = np.random.default_rng(8)
+    cells = {(i, j): (float(10 * i + j) if rng.random() < 0.03 else None) for i in range(-3, 30) for j in range(2, 41) if rng.random() < 0.9}
+    valid = [k for k, v in cells.items() if v is not None]
+    got = {(r.lat_ix, r.lon_ix): r.value for r in grids.nearest_fill(spark.createDataFrame([(i, j, v) for (i, j), v in cells.items()], "lat_ix int, lon_ix int, value double"), reach).collect()}
+    assert got.keys() == cells.keys()
+    for (i, j), v in cells.items():
+        d, a, b = min(((i - a) ** 2 + (j - b) ** 2, a, b) for a, b in valid)
+        assert got[i, j] == (v if v is not None else cells[a, b] if reach is None or d <= reach * reach else None)
+
+
+def test_nearest_fill_without_valid_cells(spark):
+    df = spark.createDataFrame([(0, 0, None), (4, 2, None)], "lat_ix int, lon_ix int, value double")
+    assert [r.value for r in grids.nearest_fill(df).collect()] == [None, None]
+    assert grids.nearest_fill(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("few", [5, 10_000])
+def test_quantiles_match_numpy(spark, monkeypatch, few):
+    monkeypatch.setattr(residual, "SORTED", few)
+    monkeypatch.setattr(residual, "BINS", 7)
+    rng = np.random.default_rng(2)
+    v = np.round(np.r_[rng.normal(size=300), np.full(100, 0.25), 1e300, -1e300], 2)
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,), (float("nan"),)], "value double")
+    shares = [0.0, 0.02, 0.25, 0.5, 0.77, 0.98, 1.0]
+    assert residual.quantiles(df, "value", shares) == pytest.approx(np.quantile(v, shares).tolist())
+    assert residual.quantiles(df.where("value is null"), "value", [0.5]) == [None]
+
+
+def test_all_maps_in_one_pass_are_the_single_maps(spark, samples):
+    s = samples.withColumns({"t1": F.col("t1") + F.col("lat"), "t2": F.col("t1") - F.col("lon"), "orbiter": F.when(F.col("lon") > 0, "a").otherwise("b")})
+    kernels = {c: footprint.kernel(spark, c, 6.0) for c in (1, 2)}
+    spec = MapSpec("", 1, None, (-60.0, 60.0), resolution=5.0)
+    for dense in (False, True):
+        every = maps.footprint_maps(s, spec, kernels, 12, 1.0, dense=dense).where("mean is not null").collect()
+        for o, c, h in (("a", 1, 0), ("b", 2, 12)):
+            one = maps.footprint_map(s, MapSpec(o, c, (h / 24, (h + 12) / 24), (-60.0, 60.0), resolution=5.0), kernels[c], 1.0).where("mean is not null")
+            want = {(r.lat_ix, r.lon_ix): r for r in one.collect()}
+            got = {(round((r.lat + 60) / 5), round((r.lon + 180) / 5)): r.mean for r in every if (r.orbiter, r.channel, r.bin_start) == (o, c, h)}
+            near = {(round((r.lat + 60) / 5), round((r.lon + 180) / 5)): r.mean for r in want.values()}
+            assert near and got.keys() == near.keys()
+            # edges of a cell may take a point either way where a kernel's spill moves the first row
+            assert np.mean([abs(got[k] - near[k]) < 1e-6 for k in near]) > 0.99
+
+
+def test_a_fine_kernel_is_not_joined(spark, samples, monkeypatch):
+    monkeypatch.setattr(footprint, "SQL_KERNEL_POINTS", 10)
+    k = footprint.kernel(spark, 1, 5.0)
+    grid = grids.Grid(grids.Axis(-90.0037, 5.0, 37), grids.Axis(-180.0037, 5.0, 72))
+    s = samples.withColumn("t", F.col("t1"))
+    with pytest.raises(ValueError):
+        footprint.spread_samples(s, k, grid, 72)
+    assert footprint.spread(s, k, grid, 72).count() > 0
+
+
+def test_interpolation_by_a_shuffled_join_and_with_nulls(spark, monkeypatch):
+    monkeypatch.setattr(interpolate, "BROADCAST_CELLS", 0)
+    t = spark.createDataFrame([(float(a), 7.0, 2.0 * a) for a in (0, 1, 5)], "a double, b double, v double")
+    p = spark.createDataFrame([(2.0, 7.0), (None, 7.0), (2.0, 7.0), (9.0, 1.0)], "x double, y double")
+    got = [r.o for r in interpolate.multilinear(p, t, {"x": "a", "y": "b"}, "v", "o").collect()]
+    assert sorted(x for x in got if x is not None) == [4.0, 4.0, 10.0] and len(got) == 4
+
+
+def test_runs_that_cannot_be_stacked(spark):
+    df = spark.createDataFrame([("x", 1.0, 2), ("x", 1.0, 3), ("y", 1.0, 2), ("y", 1.0, 2)], "run string, start double, n int")
+    assert [(r.run, r.differ) for r in filters.axes_agree(df, ["run"], ["start", "n"]).collect()] == [("x", ["n"])]
