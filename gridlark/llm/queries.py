@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,7 +81,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": op10_licenses,
 }
 
+LOWERED = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+
+def _licenses_sql() -> str:
+    """Every alignment of every template, by a join on words."""
+    quote = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    phrases = ", ".join(f"('{label}', {quote(p.split())}, ' {p} ')" for p, label in licenses.PHRASES.items())
+    templates = ", ".join(f"({t}, '{label}', {quote(text.split())}, {quote(f' {k} ' for k in keys)})" for t, (label, text, keys) in enumerate(licenses.TEMPLATES))
+    return rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        j AS (SELECT *, ' ' || array_to_string(w, ' ') || ' ' AS s FROM d),
+        p(label, words, inside) AS (VALUES {phrases}), t(t, label, words, keys) AS (VALUES {templates}),
+        hit AS (SELECT doc_id, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + len(words)] = words)) AS i FROM j JOIN p ON contains(s, inside)),
+        base AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, list(DISTINCT label) AS labels FROM hit GROUP BY doc_id),
+        can AS (SELECT doc_id, t, len(words) AS n FROM j JOIN t ON len(list_filter(keys, lambda k: contains(s, k))) > 0),
+        tw AS (SELECT t, unnest(words) AS word, unnest(range(len(words))) AS place FROM t),
+        dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS place FROM d WHERE doc_id IN (SELECT doc_id FROM can)),
+        best AS (SELECT doc_id, t, max(k) AS k FROM (SELECT doc_id, t, dw.place - tw.place AS a, count(*) AS k FROM dw JOIN tw USING (word) GROUP BY ALL) GROUP BY ALL),
+        own AS (SELECT doc_id, label, max(k / n::DOUBLE) AS share FROM can JOIN best USING (doc_id, t) JOIN t USING (t) GROUP BY ALL HAVING max(k / n::DOUBLE) >= {licenses.LEAST}),
+        found AS (SELECT doc_id, list(label) AS labels, max(share) AS share FROM own GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(base.n, 0) AS n_base, lo AS first_word, hi AS last_word,
+               array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+               array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ',') AS labels,
+               CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+        FROM d LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
 SQL: dict[str, str] = {
+    "op3_near_dedup": rf"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        e AS (SELECT doc_id, w, unnest(CASE WHEN len(w) >= 3 THEN range(1, len(w) - 1) WHEN len(w) > 0 THEN [1] ELSE [] END) AS i FROM d),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS x FROM e),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        k AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+        reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, k.b FROM reach JOIN k ON reach.r = k.a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN n USING (doc_id)""",
+    "op8_substring_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        b AS (SELECT doc_id, k * 1000 AS o, substr(h, 2000 * k + 1, 2098) AS h FROM (SELECT *, unnest(range(len(h) // 2000 + 1)) AS k FROM d)),
+        w AS (SELECT doc_id, o + i AS i, md5_number(substr(h, 2 * i + 1, 100)) AS s FROM (SELECT *, unnest(range(0, least(1000, len(h) // 2 - 49))) AS i FROM b)),
+        m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING count(*) > 1),
+        hit AS (SELECT doc_id, i FROM w JOIN m USING (s) WHERE least < doc_id),
+        g AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+                SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM hit)),
+        r AS (SELECT doc_id, min(i) AS lo, max(i) + 50 AS hi FROM g GROUP BY doc_id, run),
+        x AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM r),
+        k AS (SELECT doc_id, count(*) AS n_spans, sum(hi - lo) AS gone, max(hi) AS hi, string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS head FROM x JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(hi, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)""",
+    "op10_licenses": _licenses_sql(),
     "op5_line_dedup": r"""
         WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
         e AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),

@@ -329,8 +329,8 @@ def merge_runs(runs: list):
             node //= 2
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """Of one bucket: which of each pack's hashes two documents have, and which are hot."""
+def _shared_anchors(table: pa.Table, least: int = HOT) -> pa.Table:
+    """Of one bucket: which of each pack's hashes two documents have, and which are hot, having `least` places."""
     rows = [unplanes(x) for x in table.column("hashes").to_pylist()]
     size = [len(r) for r in rows]
     plane = lambda name: np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(table.column(name).to_pylist(), size)]).astype(bool)
@@ -339,7 +339,7 @@ def _shared_anchors(table: pa.Table) -> pa.Table:
     new = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]])
     total = lambda x: np.add.reduceat(x[order].astype(np.int64), new)
     packs = np.diff(np.r_[new, len(h)])
-    shared, hot = (packs > 1) | (total(plane("many")) > 0), packs + (HEAVY - 1) * total(plane("heavy")) >= HOT
+    shared, hot = (packs > 1) | (total(plane("many")) > 0), packs + (HEAVY - 1) * total(plane("heavy")) >= least
     out = {}
     for name, x in (("shared", shared), ("hot", hot)):
         own = np.empty(len(h), bool)
@@ -448,8 +448,8 @@ def _by_bucket(to: np.ndarray):
     return zip(own.tolist(), np.split(order, cut[1:]) if len(own) else [])
 
 
-def dedup_substrings(docs: DataFrame) -> DataFrame:
-    """(doc_id, kept, n_bytes, n_removed, n_spans, kept_sha256) of every document; kept is binary."""
+def dedup_substrings(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """(doc_id, kept, n_bytes, n_removed, n_spans, kept_sha256) of every document; kept is binary. hot: see HOT."""
     scratch = Scratch(docs.sparkSession, "suffixes")
     packs = scratch.save(pack_documents(docs), codec="none")
     total = packs.agg(F.sum(F.length("data"))).first()[0] or 0
@@ -468,7 +468,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array([row["pack"]] * len(k), pa.int64()), *(pa.array(x, pa.binary()) for x in arrays)], names=["bucket", "pack", "hashes", "many", "heavy"])
 
     sent = dealt(packs.mapInArrow(send_anchors, "bucket int, pack long, hashes binary, many binary, heavy binary"))
-    bits = sent.groupBy("bucket").applyInArrow(_shared_anchors, "pack long, bucket int, shared binary, hot binary")
+    bits = sent.groupBy("bucket").applyInArrow(lambda t: _shared_anchors(t, hot), "pack long, bucket int, shared binary, hot binary")
     marks = scratch.save(bits.groupBy("pack").agg(F.collect_list(F.struct("bucket", "shared", "hot")).alias("marks")))
 
     def send_suffixes(batches):

@@ -9,7 +9,6 @@ import duckdb
 import numpy as np
 import pytest
 
-import corpus_pipeline
 from gridlark.llm import lines, mixing, near_dedup, neighbours, queries, secrets, suffixes, toxicity
 from gridlark.llm._shared import Scratch
 
@@ -174,17 +173,3 @@ def test_emitted_mix_matches_the_plan(spark):
     assert mixed.columns == docs.columns
     words = mixed.groupBy("source").agg(F.sum(mixing.n_words(F.coalesce("text", F.lit("")))).alias("n")).collect()
     assert {r["source"]: r["sum(taken)"] for r in plan if r["sum(taken)"]} == {r["source"]: r["n"] for r in words if r["n"]}
-
-
-def test_pipeline(spark):
-    sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    scratch, before = Scratch(spark, "stages"), None
-    for name, stage in corpus_pipeline.STAGES:
-        out = scratch.save(stage(spark, docs, sf))
-        assert out.count() > 0, name
-        if name != corpus_pipeline.STAGES[-1][0]:
-            assert out.columns == corpus_pipeline.COLUMNS
-        before, docs = docs, out
-    assert docs.count() == before.count()
-    assert sorted(map(tuple, corpus_pipeline.run(spark, sf).select("doc_id", "n_tokens", "decoded_sha256").collect())) == sorted(map(tuple, docs.select("doc_id", "n_tokens", "decoded_sha256").collect()))
