@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage
 before it kept; run() writes every stage's rows to the shared folder and reads
 them again, so that a lost executor costs no more than its stage.
+
+In every stage a null text is an empty text, rows with equal or null doc_id are
+rows of their own, other columns than those of documents are left out, and an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -12,29 +16,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlark.llm import bpe, lines, mixing, near_dedup, quality
-from gridlark.llm._shared import Scratch
+from gridlark.llm._shared import Scratch, temporary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the base rules or the distribution rules reject."""
+    """Drops the documents that the base rules or the distribution rules reject; one without words is rejected."""
     return quality.quality_rules(docs).where("kept").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that ten documents or more have; n_chars follows the text."""
+    """Drops lines that ten documents or more have; n_chars follows the text. A document that loses all lines stays, with an empty text."""
     out = lines.dedup_lines(docs, min_docs=10)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies (five words, similarity 0.8)."""
+    """Keeps one document of each group of near copies (five words, similarity 0.8), that with the smallest doc_id; all without words stay."""
     return near_dedup.drop_near_copies(docs).select(*COLUMNS)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Emits each document as often as its source's weight asks for."""
+    """Emits each document as often as its source's weight asks for; a null source is a source of its own."""
     return mixing.emit_mix(docs).select(*COLUMNS)
 
 
@@ -52,13 +56,17 @@ STAGES = [
     ("bpe_encode", bpe_encode),
 ]
 
-#: SQL expresses neither near duplicates nor BPE; tests hold the stages against brute force.
+#: SQL does not express BPE; tests/llm/test_pipeline.py holds every stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; the tables between are deleted when the next one is written."""
     scratch = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for _, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir))
+        with temporary():
+            docs = scratch.save(stage(spark, docs, sf_dir))
+        scratch.drop(*before)
+        before = [docs]
     return docs
