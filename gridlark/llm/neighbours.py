@@ -6,7 +6,10 @@ vector's part from the vector. Every row of the table is filed under its most
 probable part; a query is routed to its several most probable parts, and all
 their rows are reranked by exact cosine. How many parts are probed is measured:
 held-out sample rows are searched among held-out rows, and the fewest probes
-that find TARGET of their neighbours are taken.
+that find TARGET of their neighbours are taken. A table of more rows than
+MOST_PARTS parts should hold has a second level: each part gets a router of its
+own, fitted on a bounded sample of the part (SUB_SAMPLE rows), rows are filed
+under parts of parts, and queries are routed through both levels.
 
 Rows of a part are dealt into blocks of bounded size, and so are its queries: a
 part with a third of all rows is many small tasks. Queries with fewer than k
@@ -22,6 +25,8 @@ an empty result.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -31,7 +36,9 @@ from gridlark.llm._shared import Scratch
 
 #: Rows of the sample that the graph and the classifier are fitted on, a third of them held out.
 SAMPLE = 9000
-#: Rows for which one part is made, and the most parts.
+#: Rows of a part's sample that its own router is fitted on.
+SUB_SAMPLE = 3000
+#: Rows for which one part is made, and the most parts of a level.
 PART_ROWS, MOST_PARTS = 1000, 128
 #: Share of held-out neighbours that the probes must find.
 TARGET = 0.95
@@ -202,6 +209,49 @@ def file_rows(rows: DataFrame, router: Router, query: Column) -> DataFrame:
     return rows.withColumn("q", F.coalesce(query, F.lit(False))).mapInArrow(run, "id long, v binary, part int, probes array<int>")
 
 
+def _by_hash(ids: np.ndarray) -> np.ndarray:
+    """An order of the ids that depends on nothing else."""
+    return np.argsort(ids * np.int64(-7046029254386353131), kind="stable")
+
+
+def fit_below(filed: DataFrame, sizes: dict[int, int], k: int, target: float, part_rows: int, most_parts: int, sample: int) -> dict[int, Router]:
+    """A router for each part, fitted in a task on a sample of the part. At most MOST_PARTS small models go to the driver."""
+    shares = F.create_map(*[F.lit(x) for p, n in sizes.items() for x in (p, int(min(1.0, sample / n) * (1 << 24)))])
+    picked = filed.where(F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(1 << 24)) < shares[F.col("part")]).select("part", "id", "v")
+
+    def fit(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        x = _matrix(table.column("v"))[_by_hash(table.column("id").to_numpy())]
+        router = fit_router(x, min(most_parts, max(1, -(-sizes[part] // part_rows))), k, target)
+        return pa.table({"part": pa.array([part], pa.int32()), "router": pa.array([pickle.dumps(router)], pa.binary())})
+
+    return {r["part"]: pickle.loads(r["router"]) for r in picked.groupBy("part").applyInArrow(fit, "part int, router binary").collect()}
+
+
+def file_below(filed: DataFrame, routers: dict[int, Router], most_parts: int) -> DataFrame:
+    """filed with parts of parts: part * most_parts + the part's own part; probes likewise. A part without a sample has one."""
+    held = filed.sparkSession.sparkContext.broadcast(routers)
+
+    def run(batches):
+        below = held.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, part = unit(_matrix(b.column("v"))), b.column("part").to_numpy()
+            leaf = part.astype(np.int64) * most_parts
+            for p in np.unique(part).tolist():
+                if p in below:
+                    own = part == p
+                    leaf[own] += below[p].filed(x[own])
+            probes = b.column("probes").to_pylist()
+            for i, own in enumerate(probes):
+                if own is not None:
+                    probes[i] = [p * most_parts + s for p in own for s in (below[p].routed(x[i : i + 1], below[p].probes)[0].tolist() if p in below else [0])]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(leaf.astype(np.int32)), pa.array(probes, pa.list_(pa.int32()))], names=["id", "v", "part", "probes"])
+
+    return filed.mapInArrow(run, "id long, v binary, part int, probes array<int>")
+
+
 def best_of_block(table: pa.Table, k: int) -> pa.Table:
     """The k nearest rows of a block to each of its queries. Reranked in the same order of operations for every pair."""
     is_query = table.column("is_query").to_numpy()
@@ -252,10 +302,10 @@ def search(filed: DataFrame, queries: DataFrame, parts: DataFrame, k: int) -> Da
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def nearest(vectors: DataFrame, query: Column, k: int = 5, id_column: str = "vec_id", column: str = "embedding", sample: int = SAMPLE) -> DataFrame:
+def nearest(vectors: DataFrame, query: Column, k: int = 5, id_column: str = "vec_id", column: str = "embedding", sample: int = SAMPLE, part_rows: int = PART_ROWS, most_parts: int = MOST_PARTS, sub_sample: int = SUB_SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row where `query` (a condition on `id`) holds.
 
-    sample bounds the rows that go to the driver, where the router is fitted.
+    sample bounds the rows that go to the driver, where the first router is fitted.
     """
     scratch = Scratch(vectors.sparkSession, "nearest")
     held = usable(vectors, id_column, column)
@@ -265,21 +315,29 @@ def nearest(vectors: DataFrame, query: Column, k: int = 5, id_column: str = "vec
     if n:
         share = min(1.0, sample / n)
         picked = held.where(F.pmod(F.xxhash64("id"), F.lit(1 << 24)) < int(share * (1 << 24))).limit(2 * sample).toArrow()
-        order = np.argsort(picked.column("id").to_numpy() * np.int64(-7046029254386353131), kind="stable")
-        x = picked.column("x").combine_chunks().flatten().to_numpy().reshape(-1, dim)[order]
+        x = picked.column("x").combine_chunks().flatten().to_numpy().reshape(-1, dim)[_by_hash(picked.column("id").to_numpy())]
     else:
         x = np.zeros((0, dim))
-    router = fit_router(x, min(MOST_PARTS, max(1, n // PART_ROWS)), k)
-    filed = scratch.save(file_rows(held, router, query))
+    levels = 2 if n > most_parts * part_rows else 1
+    target = TARGET ** (1 / levels)
+    router = fit_router(x, min(most_parts, max(1, n // part_rows)), k, target)
+    filed, all_parts = scratch.save(file_rows(held, router, query)), router.probes == router.parts
+    if levels == 2 and router.parts > 1:
+        sizes = {r["part"]: r["n"] for r in filed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a part
+        routers = fit_below(filed, sizes, k, target, part_rows, most_parts, sub_sample)
+        above, filed = filed, scratch.save(file_below(filed, routers, most_parts))
+        scratch.drop(above)
+        all_parts = all_parts and all(r.probes == r.parts for r in routers.values())
     queries = filed.where("probes is not null")
     sizes = filed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count("probes").alias("own"))
     asked = queries.select(F.explode("probes").alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("asked"))
     parts = scratch.save(sizes.join(asked, "part", "left").na.fill(0, ["asked"]))
     found = scratch.save(search(filed, queries, parts, k))
     short = queries.join(found.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("hits")), "id", "left").where(F.coalesce("hits", F.lit(0)) < min(k, n - 1)).select("id", "v")
-    if n and router.probes < router.parts and not short.isEmpty():
-        everywhere = F.array(*[F.lit(p) for p in range(router.parts)])
-        again = search(filed, short.withColumn("probes", everywhere), sizes.select("part", "n", F.col("own").alias("asked")), k)
-        # every part's limit on askers must hold for the short queries: they are part of all queries
+    if n and not all_parts and not short.isEmpty():
+        # all parts in one row; every part's limit on askers must hold for the short queries: all may be of one kind
+        every = parts.agg(F.collect_list("part").alias("probes"))
+        most = short.count()
+        again = search(filed, short.crossJoin(F.broadcast(every)), parts.select("part", "n", F.lit(most).alias("asked")), k)
         found = found.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(scratch.save(again))
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

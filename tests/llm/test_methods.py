@@ -85,14 +85,16 @@ def test_near_dedup_without_ids(spark):
     assert got == [("3", "3"), ("3", "3"), ("None", "3"), ("None", "None")]
 
 
-def test_router_recall_and_hot_vectors(spark):
+@pytest.mark.parametrize("most_parts", [128, 3])
+def test_router_recall_and_hot_vectors(spark, most_parts):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(20, 16))
     x = np.concatenate([centres[rng.integers(0, 20, 4000)] + 0.6 * rng.normal(size=(4000, 16)), np.repeat(centres[:1], 2000, 0)])
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     from pyspark.sql import functions as F
 
-    got = neighbours.nearest(df, F.col("id") % 100 == 0, k=5, sample=3000).collect()
+    got = neighbours.nearest(df, F.col("id") % 100 == 0, k=5, sample=3000, part_rows=400, most_parts=most_parts).collect()
+    assert len(got) == 300
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     hits = total = 0
     for q in range(0, 6000, 100):
