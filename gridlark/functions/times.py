@@ -50,6 +50,11 @@ def tdb_julian_date(unix: Column) -> Column:
     return julian_date(unix + tai_minus_utc(unix) + TT_MINUS_TAI)
 
 
+def creation_time() -> Column:
+    """The time of the query, UTC, as labels write it: to the second, with a Z."""
+    return F.concat(F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+
+
 def local_bin(ltst: Column, hours: int = 2) -> Column:
     """Start hour of the local-time bin of a day fraction. hours must divide 24."""
     if 24 % hours:

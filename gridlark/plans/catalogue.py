@@ -400,6 +400,15 @@ def nearest_fill_far(spark, sf_dir):
     return grids.nearest_fill(c)
 
 
+@query(f"""SELECT CAST(lat_ix // 4 AS INTEGER) AS lat_ix, CAST(lon_ix // 4 AS INTEGER) AS lon_ix, {q('avg(value)', 8)} AS value FROM (
+  SELECT h.lat_ix - 6 AS lat_ix, h.lon_ix, coalesce(h.value, (SELECT arg_min(v.value, {{'d': (v.lat_ix - h.lat_ix) ** 2 + (v.lon_ix - h.lon_ix) ** 2, 'y': v.lat_ix, 'x': v.lon_ix}}) FROM x v WHERE v.value IS NOT NULL)) AS value FROM x h) GROUP BY ALL""",
+       MAP_SQL + ", lim AS (SELECT quantile_cont(value, 0.3) AS lo FROM c), x AS (SELECT lat_ix, lon_ix, CASE WHEN value > lo THEN value END AS value FROM c, lim WHERE lat_ix >= 6 AND lat_ix < 30)")
+def prepared_source(spark, sf_dir):
+    c = cells(spark, sf_dir).select("lat_ix", "lon_ix", "value")
+    lo = residual.quantiles(c, "value", [0.3])[0]
+    return maps.prepare_source(c, 4, lo=lo, rows=(6, 30)).withColumn("value", r("value", 8))
+
+
 @query("SELECT key, line, orbit FROM (SELECT *, row_number() OVER (PARTITION BY orbit ORDER BY key, line) - 1 AS i, count(*) OVER (PARTITION BY orbit) AS n FROM samples) WHERE i < n - 1 AND i % greatest(1, n // 30) = 0")
 def orbit_downsample(spark, sf_dir):
     return grids.downsample_orbit(samples_view(spark, sf_dir), 30, ["key", "line"]).select("key", "line", "orbit")

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from gridlark.functions.times import local_bin
 from gridlark.functions.units import hapke_to_albedo, slope_time_shift
 from gridlark.operators.brightness import Loss, brightness_temperature, cross_settings
-from gridlark.operators.filters import between_half_open, load_slice, load_slices
+from gridlark.operators.filters import between_half_open, load_slice, load_slices, mask_outside
 from gridlark.operators.footprint import deconvolve, footprint_spill
-from gridlark.operators.grids import Axis, Grid, finish_moments, full_grid, weighted_moments
+from gridlark.operators.grids import Axis, Grid, block_mean, finish_moments, full_grid, nearest_fill, weighted_moments
 from gridlark.operators.interpolate import multilinear
 from gridlark.operators.residual import fit_latitude_trend, grid_residual, latitude_residual
 from gridlark.operators.thermal import profile_table, simulate
@@ -93,5 +93,13 @@ def modelled_map(cells: DataFrame, table: DataFrame, hour: float, max_shift: flo
     return multilinear(held, wide, {"_alb": "albedo", "h": "h", "_lat": "lat", "_hour": "ltst"}, "tb", "tb").drop("_alb", "_lat", "_hour")
 
 
+def prepare_source(raster: DataFrame, factor: int, lo: float | None = None, hi: float | None = None, valid_max: float | None = None, rows: tuple[int, int] | None = None, fill: bool = True) -> DataFrame:
+    """A source raster (lat_ix, lon_ix, value) for modelled maps: cropped to rows, values outside their range and then holes
+    filled by the nearest valid ones, and averaged over factor x factor cells."""
+    held = raster if rows is None else raster.where(between_half_open(F.col("lat_ix"), rows)).withColumn("lat_ix", F.col("lat_ix") - rows[0])
+    held = held.withColumn("value", mask_outside(F.col("value"), lo, hi, valid_max))
+    return block_mean(nearest_fill(held) if fill else held, factor)
+
+
 def residual_map(measured: DataFrame, modelled: DataFrame, keys: Sequence[str] = ("bin_start", "lat_ix", "lon_ix")) -> DataFrame:
     return grid_residual(measured, modelled, keys)

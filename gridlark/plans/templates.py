@@ -30,6 +30,12 @@ def associate(metadata: Mapping[str, object], sources: Mapping[str, Source]) ->
     return out
 
 
+def describe(product: Mapping[str, object], processors: Mapping[str, Callable[[object], object]] = {}, analyzers: Mapping[str, Callable[[Mapping[str, object]], object]] = {}) -> dict[str, object]:
+    """A product's objects with processors applied to those of their names, then what analyzers find in all of them."""
+    held = {k: processors[k](v) if k in processors else v for k, v in product.items()}
+    return held | {k: fn(held) for k, fn in analyzers.items()}
+
+
 def fill(template: str, values: Mapping[str, object]) -> str:
     """The template with its tags replaced; a tag with value None is an error, an unknown tag stays."""
     none = sorted(t for t in tags_in(template) if t in values and values[t] is None)
