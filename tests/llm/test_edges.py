@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from gridlark.llm import _shared, bpe, licenses, lines, mixing, near_dedup, quality, queries, secrets, suffixes, toxicity
 from gridlark.llm._shared import Scratch
+from gridlark.llm.components import connect
 
 SF = "/root/testdata/sf0.001"
 PLAIN = "password = hunter2hunter2"
@@ -272,3 +273,64 @@ def test_all_notices_of_a_file_are_found(spark):
 def test_queries_have_contract_columns(spark):
     for name in ("op1_quality_rules", "op9_mixing"):
         assert queries.QUERIES[name](spark, SF).columns[0] == "doc_id"
+
+
+def test_scores_match_a_plain_search_of_all_terms(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    model = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic"))
+
+    def distance(a: str, b: str) -> int:
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    near: dict[str, tuple[int, int] | None] = {}
+
+    def nearest(word: str) -> tuple[int, int] | None:
+        if word not in near:
+            found = []
+            for k, term in enumerate(model.terms):
+                text, most = term.rstrip("*"), toxicity.edits_of(term.rstrip("*"))
+                ends = range(max(0, len(text) - most), len(text) + most + 1) if term.endswith("*") else [len(word)]
+                if not term.endswith("*") and abs(len(text) - len(word)) > most:
+                    continue
+                d = min(distance(text, word[:e]) for e in ends)
+                if d <= most:
+                    found.append((d, k))
+            near[word] = min(found) if found else None
+        return near[word]
+
+    rows = docs.orderBy("doc_id").collect()[:60]
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, model).collect()}
+    hits = 0
+    for r in rows:
+        held = (r.text or "").lower()
+        at = [(m.span(), m.group()) for m in toxicity.TOKEN.finditer(held)]
+        spans, words = [a for a, _ in at], [w for _, w in at]
+        matches = [(n[1], n[0], toxicity.context_of(held, spans, words, i)) for i, w in enumerate(words) if (n := nearest(toxicity.folded(w)))]
+        hits += len(matches)
+        assert got[r.doc_id].n_matches == len(matches), r.doc_id
+        assert got[r.doc_id].score == pytest.approx(model.score(matches))
+    assert hits
+
+
+def test_components_of_a_random_graph(spark):
+    rng = np.random.default_rng(9)
+    links = {tuple(sorted(map(int, x))) for x in rng.integers(0, 400, (260, 2)) if x[0] != x[1]} | {(1000 + i, 1001 + i) for i in range(60)}
+    parent: dict[int, int] = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    frame = lambda rows: spark.createDataFrame(list(rows), "a long, b long")
+    got = {r.node: r.component for r in connect(frame([*links, *list(links)[:20]]), Scratch(spark, "t")).collect()}
+    assert got == {x: find(x) for x in parent}
+    assert connect(frame([]), Scratch(spark, "t")).count() == 0
