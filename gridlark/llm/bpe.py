@@ -18,6 +18,7 @@ import json
 import struct
 import sys
 import unicodedata
+from array import array
 from heapq import heapify, heappop, heappush
 
 import regex
@@ -30,7 +31,7 @@ from gridlark.llm._shared import map_texts
 WHITE = r"\x09-\x0d \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NOT_WHITE = regex.compile("[\x1c-\x1f]")
 #: Words that a generation of a worker's memory holds.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 300_000
 # What the library's tables have beyond Unicode 15.1, as first and last code points.
 # Its letters and numbers are those of Unicode 16.
 NEW_LETTERS = [
@@ -88,6 +89,15 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def is_latin(text: str) -> bool:
+    """Whether text is of Latin-1 alone, which NFC leaves as it is."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def composed(text: str) -> str:
     """NFC by the library's tables: nothing moves or joins across a mark that it does not know."""
     if YOUNG.search(text):
@@ -95,6 +105,14 @@ def composed(text: str) -> str:
     return unicodedata.normalize("NFC", text)
 
 
+def packed(ids: list[int]) -> bytes:
+    """ids as little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class BpeCodec:
     """Encodes and decodes by a vocabulary file with a normalizer and word ends."""
 
@@ -119,7 +137,10 @@ class BpeCodec:
         self._exact: regex.Pattern | None = None
         self.white = regex.compile(f"[{WHITE}]+")
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.bytes = byte_alphabet()
+        alphabet = byte_alphabet()
+        #: the symbol of each byte, and of each byte at a piece's end; None where the vocabulary has none
+        self.first = [self.vocab.get(alphabet[b]) for b in range(256)]
+        self.last = [self.vocab.get(alphabet[b] + self.suffix) for b in range(256)]
         self.cache_words = cache_words
         self.words: dict[str, tuple[bytes, str]] = {}
         self.older: dict[str, tuple[bytes, str]] = {}
@@ -133,35 +154,32 @@ class BpeCodec:
         n, rank, made = len(symbols), self.ranks.get, self.made
         shift = n.bit_length()
         mask = (1 << shift) - 1
-        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-        now, queue = [-1] * n, []
-        for i in range(n - 1):
-            r = rank(symbols[i] << 20 | symbols[i + 1])
-            if r is not None:
-                now[i] = r
-                queue.append(r << shift | i)
+        now = [rank(a << 20 | b, -1) for a, b in zip(symbols, symbols[1:])]
+        queue = [r << shift | i for i, r in enumerate(now) if r >= 0]
+        if not queue:
+            return symbols
+        now.append(-1)
         heapify(queue)
+        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
         while queue:
             entry = heappop(queue)
             i, r = entry & mask, entry >> shift
             if now[i] != r:
                 continue
             j, new = right[i], made[r]
-            symbols[i], symbols[j], now[i], now[j] = new, -1, -1, -1
+            symbols[i], symbols[j], now[j] = new, -1, -1
             k = right[i] = right[j]
+            r = -1
             if k < n:
                 left[k] = i
-                r = rank(new << 20 | symbols[k])
-                if r is not None:
-                    now[i] = r
+                r = rank(new << 20 | symbols[k], -1)
+                if r >= 0:
                     heappush(queue, r << shift | i)
+            now[i] = r
             h = left[i]
             if h >= 0:
-                r = rank(symbols[h] << 20 | new)
-                if r is None:
-                    now[h] = -1
-                else:
-                    now[h] = r
+                r = now[h] = rank(symbols[h] << 20 | new, -1)
+                if r >= 0:
                     heappush(queue, r << shift | h)
         return [s for s in symbols if s >= 0]
 
@@ -175,9 +193,11 @@ class BpeCodec:
         return self._exact.findall(text)
 
     def piece(self, text: str) -> list[int]:
-        chars = [self.bytes[b] for b in text.encode()]
-        chars[-1] += self.suffix
-        symbols = [self.vocab[c] for c in chars if c in self.vocab]
+        raw = text.encode()
+        symbols = [self.first[b] for b in raw[:-1]]
+        symbols.append(self.last[raw[-1]])
+        if None in symbols:
+            symbols = [s for s in symbols if s is not None]
         return self.merge(symbols) if len(symbols) > 1 else symbols
 
     def word(self, text: str) -> tuple[bytes, str]:
@@ -190,7 +210,7 @@ class BpeCodec:
         if made is None:
             pieces = (text,) if text.isascii() and text.isalpha() else self.split(text)
             ids = [i for p in pieces for i in self.piece(p)]
-            made = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
+            made = packed(ids), self.decode(ids)
         if len(text) <= 64:
             if len(self.words) >= self.cache_words:
                 self.older = self.words.copy()
@@ -199,12 +219,13 @@ class BpeCodec:
         return made
 
     def _plain(self, text: str) -> list[tuple[bytes, str]]:
-        if self.nfc and not text.isascii():
+        plain = text.isascii() or is_latin(text)
+        if self.nfc and not plain:
             text = composed(text)
         if self.lower:
             # character by character: a final capital sigma gets no form of its own
             text = text.replace("Σ", "σ").lower()
-            if not text.isascii() and UPPER_YOUNG.search(text):
+            if not plain and UPPER_YOUNG.search(text):
                 text = text.translate(LOWER_TABLE)
         known, word = self.words, self.word
         if NOT_WHITE.search(text):
@@ -217,7 +238,7 @@ class BpeCodec:
             parts = []
             for i, x in enumerate(self.cut.split(text)):
                 if i % 2:
-                    parts.append((struct.pack("<I", self.special[x]), x))
+                    parts.append((packed([self.special[x]]), x))
                 else:
                     parts.extend(self._plain(x))
         else:
