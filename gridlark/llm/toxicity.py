@@ -38,9 +38,10 @@ from gridlark.llm._shared import Scratch, map_texts, slices, texts
 
 #: Labelled rows that the lexicon and the weights are fitted on, about.
 SAMPLE = 12_000
-#: Terms that counting may propose, and terms that the lexicon may get.
-PROPOSED, MOST_TERMS = 4000, 300
+#: Letters of a beginning of a word that may be a term.
 SHORTEST, LONGEST = 3, 10
+#: A term has to gain so many toxic documents, or this share of them if that is more; each clean one that has it counts as four lost.
+LEAST_GAIN, LEAST_SHARE = 4, 0.008
 #: Words on each side of a match that its context is read from.
 WINDOW = 6
 #: Distinct terms that a counting task holds before it hands them on.
@@ -263,8 +264,8 @@ def beginnings(text: str) -> set[str]:
     return out
 
 
-def propose(sample: DataFrame) -> list[str]:
-    """The terms that stand rather in toxic than in other documents of the sample."""
+def propose(sample: DataFrame, least: int) -> list[str]:
+    """All terms of the sample that can gain `least` toxic documents, the best first."""
 
     def run(batches):
         held: dict[str, list[int]] = {}
@@ -283,12 +284,12 @@ def propose(sample: DataFrame) -> list[str]:
         yield from out()
 
     counts = sample.mapInArrow(run, "term string, p long, n long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-    rated = counts.where("p >= 3 and p > n").orderBy((F.col("p") - 4 * F.col("n")).desc(), F.length("term").desc(), "term").limit(PROPOSED)
-    return [r["term"] for r in rated.collect()]
+    rated = counts.where(F.col("p") - 4 * F.col("n") >= least).collect()
+    return [r["term"] for r in sorted(rated, key=lambda r: (4 * r["n"] - r["p"], -len(r["term"]), r["term"]))]
 
 
-def cover(sample: DataFrame, proposed: list[str]) -> list[str]:
-    """Few of the proposed terms that cover the toxic documents of the sample."""
+def cover(sample: DataFrame, proposed: list[str], least: int) -> list[str]:
+    """Few of the proposed terms that cover the toxic documents of the sample, each gaining `least` of them."""
     at = {t: i for i, t in enumerate(proposed)}
 
     def run(batches):
@@ -306,9 +307,8 @@ def cover(sample: DataFrame, proposed: list[str]) -> list[str]:
     inside = np.zeros((len(toxic), len(proposed)), bool)
     for i, hits in enumerate(toxic):
         inside[i, hits] = True
-    least = max(4, math.ceil(0.008 * len(toxic)))
     chosen, left = [], np.ones(len(toxic), bool)
-    while len(chosen) < MOST_TERMS and left.any() and len(proposed):
+    while left.any() and len(proposed):
         gain = inside[left].sum(axis=0) - 4 * wrong
         # of equals the first: proposed terms are in order of worth, then length
         best = max(range(len(proposed)), key=lambda k: (gain[k], len(proposed[k]), -k))
@@ -331,8 +331,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # of several texts of one doc_id the first in order counts, so that reruns agree
     rows = docs.join(F.broadcast(picked.limit(2 * sample)), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     rows = scratch.save(rows.select("text", "toxic"))
-    proposed = propose(rows)
-    terms = cover(rows, proposed)
+    least = max(LEAST_GAIN, math.ceil(LEAST_SHARE * (rows.agg(F.sum("toxic")).first()[0] or 0)))
+    terms = cover(rows, propose(rows, least), least)
     known = [k + "*" for k in KNOWN if k + "*" not in terms]
     model = Model([*terms, *known])
     names = model.terms
