@@ -145,8 +145,14 @@ def mad_outliers(df: DataFrame, columns: Sequence[str], limit: float) -> DataFra
     return held.where(hit).select(*df.columns)
 
 
+def aggregating(step: Step) -> Step:
+    """Marks a step that reads the plan before it twice."""
+    step.aggregates = True
+    return step
+
+
 def lat_model(limit: float, channel: str = "t1") -> Step:
-    return lambda df: flag_orbits(df, mad_outliers(latitude_fits(df, channel), ["a", "b"], limit), LAT_MODEL)
+    return aggregating(lambda df: flag_orbits(df, mad_outliers(latitude_fits(df, channel), ["a", "b"], limit), LAT_MODEL))
 
 
 def latitude_votes(df: DataFrame, channel: str = "t1", least: int = 10) -> DataFrame:
@@ -165,7 +171,7 @@ def lat_cut_orbits(votes: DataFrame, share: float = 0.98) -> DataFrame:
 
 
 def lat_cut(rules: FlagRules, channel: str = "t1") -> Step:
-    return lambda df: flag_orbits(df, lat_cut_orbits(latitude_votes(df, channel, rules.min_tile_count), rules.vote_percentile), LAT_CUT)
+    return aggregating(lambda df: flag_orbits(df, lat_cut_orbits(latitude_votes(df, channel, rules.min_tile_count), rules.vote_percentile), LAT_CUT))
 
 
 def standard_steps(rules: FlagRules, with_fit: bool = True) -> list[Step]:
@@ -174,11 +180,11 @@ def standard_steps(rules: FlagRules, with_fit: bool = True) -> list[Step]:
     return steps + ([lat_model(rules.mad_limit)] if with_fit else []) + [lat_cut(rules)]
 
 
-def apply_flags(df: DataFrame, first: Step, steps: Sequence[Step]) -> DataFrame:
-    """One lazy plan. A step that aggregates reads the plan before it twice: give steps a persisted or written table when that is dear."""
+def apply_flags(df: DataFrame, first: Step, steps: Sequence[Step], between: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """One lazy plan. A step that aggregates reads the plan before it twice: `between`, which may write a table and read it, comes before each such step."""
     out = first(df)
     for s in steps:
-        out = s(out)
+        out = s(between(out) if between and getattr(s, "aggregates", False) else out)
     return out
 
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlark.functions.names import month_folder
@@ -44,13 +44,13 @@ def write_samples(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     write_table(out, path, ["orbiter"], mode=mode)
 
 
-def write_maps(df: DataFrame, path: str, rows: int | None = None, value: str | None = None, mode: str = "errorifexists") -> None:
-    """Map products keyed by orbiter, channel and maptype. rows: flip to north up; value: store as checked 16-bit steps."""
+def write_maps(df: DataFrame, path: str, rows: int | None = None, value: str | None = None, mode: str = "errorifexists", provenance: Mapping[str, str] | None = None) -> None:
+    """Map products keyed by orbiter, channel and maptype. rows: flip to north up; value: store as checked 16-bit steps; provenance: how they were made."""
     keys = [k for k in ("orbiter", "channel", "maptype") if k in df.columns]
     out = flip_latitude(df, rows) if rows else df
     if value:
         out = check_quantized(quantize(out, value, [*keys, *[k for k in ("bin_start",) if k in df.columns]]), value).drop(value)
-    write_table(out, path, keys, mode=mode)
+    write_table(out, path, keys, mode=mode, metadata=provenance)
 
 
 def write_by_month(df: DataFrame, path: str, ts: str = "utc", mode: str = "errorifexists") -> None:
@@ -59,6 +59,19 @@ def write_by_month(df: DataFrame, path: str, ts: str = "utc", mode: str = "error
     write_table(out, path, ["orbiter", "month"], mode=mode)
 
 
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table's writer has finished it."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+
+
+def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame], overwrite: bool = False) -> DataFrame:
+    """The table at path; made and written first if it isn't complete or is to be made again."""
+    if overwrite or not complete(spark, path):
+        write_once(make(), path, overwrite=True)
+    return spark.read.parquet(path)
+
+
 def write_once(df: DataFrame, path: str, partition: Sequence[str] = (), overwrite: bool = False) -> bool:
     """Writes unless the output is complete. Rows go to a folder beside it, which takes its place when all are there:
     a failed write leaves what was before, and of two writers the later one's rows stand whole."""
@@ -66,7 +79,7 @@ def write_once(df: DataFrame, path: str, partition: Sequence[str] = (), overwrit
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     place = lambda p: jvm.org.apache.hadoop.fs.Path(p)
     fs = place(path).getFileSystem(conf)
-    if not overwrite and fs.exists(place(f"{path}/_SUCCESS")):
+    if not overwrite and complete(spark, path):
         return False
     beside = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
     try:

@@ -75,3 +75,19 @@ def test_summary_counts_disjoint_bits(spark):
     got = {r["bit"]: (r["n"], r["percent"]) for r in flags.summary(df).collect()}
     assert got[1] == (1, 25.0) and got[4] == (2, 50.0) and got[256] == (0, 0.0)
     assert flags.add_bit(df, F.lit(True), 8).where("flag = 8").count() == 1
+
+
+def test_tables_between_steps_change_nothing(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = [(i, "a", i % 9, f"t{i}", float(rng.uniform(-80, 80)), *(float(x) for x in rng.normal(220 + 25 * (i % 9 == 4), 6, 4)), "ok") for i in range(900)]
+    df, cuts = frame(spark, rows), []
+
+    def between(held):
+        cuts.append(len(cuts))
+        held.write.parquet(f"{tmp_path}/{cuts[-1]}")
+        return spark.read.parquet(f"{tmp_path}/{cuts[-1]}")
+
+    rules = flags.FlagRules(channel_spread=40.0, min_orbit_size=5, mad_limit=3.0, vote_percentile=0.5, min_tile_count=1)
+    first, steps = flags.mission({"a": "ok"}), flags.standard_steps(rules)
+    plain, cut = by_id(flags.apply_flags(df, first, steps)), by_id(flags.apply_flags(df, first, steps, between))
+    assert plain == cut and len(cuts) == 2 and {flags.LAT_MODEL, flags.LAT_CUT} & set(plain.values())

@@ -94,3 +94,26 @@ def test_command_line(spark, tmp_path):
     out = spark.read.parquet(f"{tmp_path}/p")
     assert {r.maptype for r in out.select("maptype").distinct().collect()} == {"TEMP", "STDEV", "LATSHIFT"}
     assert out.where("maptype = 'TEMP'").agg(F.min("value"), F.max("value")).first()[0] == pytest.approx(240)
+
+
+def test_cached_tables_and_failed_writes(spark, tmp_path):
+    made = []
+
+    def make(n):
+        made.append(n)
+        return spark.range(n)
+
+    path = f"{tmp_path}/t"
+    assert sinks.cached(spark, path, lambda: make(3)).count() == 3
+    assert sinks.cached(spark, path, lambda: make(4)).count() == 3
+    assert sinks.cached(spark, path, lambda: make(5), overwrite=True).count() == 5 and made == [3, 5]
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(Exception, match="no"):
+        sinks.write_once(bad, path, overwrite=True)
+    assert spark.read.parquet(path).count() == 5 and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_provenance_stays_with_the_maps(spark, tmp_path):
+    df = spark.createDataFrame([("a", 2, "TEMP", 0, 0, 0, 1.0)], "orbiter string, channel int, maptype string, bin_start int, lat_ix int, lon_ix int, value double")
+    sinks.write_maps(df.select("lat_ix", "lon_ix", "value", "orbiter", "channel", "maptype", "bin_start"), f"{tmp_path}/m", provenance={"sigma": "3"})
+    assert {"sigma": "3"} in tables.metadata(spark.read.parquet(f"{tmp_path}/m")).values()
