@@ -48,9 +48,9 @@ MISS, SIEVE = 2e-5, 1e-8
 #: Nodes of a region up to which all its pairs are candidates.
 SMALL = 16
 #: Nodes of a block when a dense region is compared across components.
-BLOCK = 2000
+BLOCK = 300
 #: Shingles of a block.
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES = 150_000
 #: Rows of a sorted order that a task holds.
 TASK_ROWS = 160_000
 #: Words that a worker remembers the hashes of.
