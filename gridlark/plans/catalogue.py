@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridlark.functions import names, physics, times, units
 from gridlark.operators import brightness, ephemeris, filters, flags, footprint, grids, interpolate, residual, thermal
 from gridlark.plans import maps, templates
-from gridlark.schema import BOLTZMANN, LIGHT_SPEED, MOON_RADIUS_KM, PLANCK, STEFAN_BOLTZMANN, ANTENNAS, Body, MapSpec, conform
+from gridlark.schema import AU, BODIES, BODY_COLUMNS, BOLTZMANN, LIGHT_SPEED, MOON_RADIUS_KM, PLANCK, STEFAN_BOLTZMANN, ANTENNAS, Body, MapSpec, conform
 from gridlark.sources import tables
 from gridlark.sources.tables import samples_view
 
@@ -827,3 +827,12 @@ def skin_depth(spark, sf_dir):
 def height_error(spark, sf_dir):
     out = ephemeris.with_vectors(samples_view(spark, sf_dir).drop("ltst").withColumn("et", F.lit(0.0)))
     return ephemeris.height_error(out).select(r("max_error").alias("max_error"))
+
+
+_BODIES_SQL = ", ".join("(" + ", ".join([f"'{k}'", *("NULL" if x is None else lit(x) for x in v)]) + ")" for k, v in BODIES.items())
+
+
+@query(f"SELECT name, semi_major_m / {lit(AU)} AS distance_au, {q(f'pow((1 - albedo) * solar_constant / (4 * emissivity * {lit(STEFAN_BOLTZMANN)}), 0.25)')} AS equator FROM (VALUES {_BODIES_SQL}) b(name, {', '.join(BODY_COLUMNS)})", samples=False)
+def body_catalogue(spark, sf_dir):
+    equator = F.pow((1 - F.col("albedo")) * F.col("solar_constant") / (4 * F.col("emissivity") * STEFAN_BOLTZMANN), F.lit(0.25))
+    return tables.bodies(spark).select("name", (F.col("semi_major_m") / F.lit(AU)).alias("distance_au"), r(equator).alias("equator"))

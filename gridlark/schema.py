@@ -79,6 +79,45 @@ class Body:
     year: float = 365.256 * 86400.0
 
 
+_DAY, _HOUR, AU = 86400.0, 3600.0, 149597870700.0
+# Surface gravity (m/s2), Bond albedo, emissivity, solar constant (W/m2), semi-major axis (m),
+# sidereal year (s), eccentricity, solar day (s), obliquity as catalogued (degrees or radians).
+BODIES = {
+    "Mercury": (3.70, 0.119, 0.95, 9126.6, 57.91e9, 87.969 * _DAY, 0.2056, 4222.6 * _HOUR, 0.01),
+    "Venus": (8.87, 0.750, 0.95, 2613.9, 108.21e9, 224.701 * _DAY, 0.0067, 2802.0 * _HOUR, 177.36),
+    "Earth": (9.798, 0.306, 0.95, 1361.0, 149.60e9, 365.256 * _DAY, 0.0167, 24.0 * _HOUR, 23.45),
+    "Mars": (3.71, 0.250, 0.95, 589.2, 227.92e9, 686.98 * _DAY, 0.0935, 24.6597 * _HOUR, 25.19),
+    "Jupiter": (24.79, 0.343, None, 50.5, 778.57e9, 4332.0 * _DAY, 0.0, 9.9259 * _HOUR, 0.0546288),
+    "Saturn": (10.44, 0.342, None, 14.90, 1433.0e9, 10759.0 * _DAY, 0.0565, 10.656 * _HOUR, 26.73),
+    "Uranus": (8.87, 0.300, None, 3.71, 2872.46e9, 30685.4 * _DAY, 0.0457, 17.24 * _HOUR, 97.77),
+    "Neptune": (11.15, 0.290, None, 1.51, 4495.06e9, 60189.0 * _DAY, 0.0113, 16.11 * _HOUR, 28.32),
+    "Pluto": (0.58, 0.5, 0.95, 0.89, 5906.0e9, 90465.0 * _DAY, 0.2488, 153.2820 * _HOUR, 122.53),
+    "Moon": (1.62, 0.12, 0.95, 1361.0, 149.60e9, 365.256 * _DAY, 0.0167, 29.53059 * _DAY, 0.026878),
+    "Titan": (1.35, 0.22, 0.95, 14.90, 1433.0e9, 10759.0 * _DAY, 0.0565, 15.9452 * _DAY, 26.73),
+    "Europa": (1.31, 0.6, 0.90, 50.5, 778.57e9, 4332.0 * _DAY, 0.0, 3.06822e5, 0.0546288),
+    "Ganymede": (1.43, 0.4, 0.90, 50.5, 778.57e9, 4332.0 * _DAY, 0.0, 6.18192e5, 0.0546288),
+    "Triton": (0.78, 0.76, 0.95, 1.51, 4495.06e9, 60189.0 * _DAY, 0.0113, 5.877 * _DAY, 156.0),
+    "Bennu": (1.0e-5, 0.045, 0.95, 1072.7, 1.685e11, 365.256 * _DAY, 0.204, 15469.2, 3.106686),
+}
+BODY_COLUMNS = ("gravity", "albedo", "emissivity", "solar_constant", "semi_major_m", "year", "eccentricity", "day", "obliquity")
+# Heat flow (W/m2), conductivity at the surface and at depth, density likewise, e-folding scale (m), heat capacity polynomial.
+_ICE = (0.030, 2e-3, 1e-2, 100.0, 450.0, 0.07, (90.0, 7.49))
+SOLIDS = {"Europa": _ICE, "Ganymede": _ICE, "Bennu": (0.0, 7.4e-4, 3.4e-3, 1100.0, 1800.0, 0.07, Body.cp_terms)}
+
+
+def body(name: str) -> Body:
+    """The model's parameters of a catalogued body with a solid surface; the Moon's are the defaults."""
+    if name == "Moon":
+        return Body()
+    if name not in SOLIDS:
+        raise KeyError(f"{name} has no thermal parameters")
+    b, (flow, k_surface, k_depth, rho_surface, rho_depth, h, cp) = dict(zip(BODY_COLUMNS, BODIES[name])), SOLIDS[name]
+    return Body(
+        name=name, solar_constant=b["solar_constant"], albedo=b["albedo"], emissivity=b["emissivity"], heat_flow=flow, k_surface=k_surface, k_depth=k_depth,
+        rho_surface=rho_surface, rho_depth=rho_depth, h=h, cp_terms=cp, distance_au=b["semi_major_m"] / AU, eccentricity=b["eccentricity"], obliquity=b["obliquity"], day=b["day"], year=b["year"],
+    )
+
+
 @dataclass(frozen=True)
 class FlagRules:
     """Thresholds of the quality flags."""

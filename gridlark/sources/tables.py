@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridlark.functions.names import orbit_number
 from gridlark.functions.times import ephemeris_seconds, julian_date, parse_utc, unix_seconds
 from gridlark.functions.units import wrap
-from gridlark.schema import CHANNEL_GHZ, RAW_COLUMNS, nan_to_null
+from gridlark.schema import BODIES, BODY_COLUMNS, CHANNEL_GHZ, RAW_COLUMNS, nan_to_null
 
 
 def read_orbit_texts(spark: SparkSession, path: str, orbiter: str | None = None, pattern: str = "*2C") -> DataFrame:
@@ -72,6 +72,11 @@ def raster(spark: SparkSession, name: str, rows: list[list[float | None]], per_d
     return spark.createDataFrame(cells, "name string, lat_ix int, lon_ix int, value double, ppd int")
 
 
+def bodies(spark: SparkSession) -> DataFrame:
+    """The catalogue of bodies: (name, BODY_COLUMNS)."""
+    return spark.createDataFrame([(k, *v) for k, v in BODIES.items()], ", ".join(["name string", *(f"{c} double" for c in BODY_COLUMNS)]))
+
+
 def metadata(df: DataFrame) -> Mapping[str, dict]:
     """Metadata attached to columns."""
     return {f.name: dict(f.metadata) for f in df.schema if f.metadata}

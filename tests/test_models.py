@@ -74,3 +74,16 @@ def test_failed_points_keep_their_error(spark):
     r = thermal.simulate(bad).first()
     assert r.error is not None and r.layer is None
     assert thermal.profile_table(thermal.simulate(bad)).where(F.col("run") == 0).count() == 0
+
+
+def test_catalogued_bodies():
+    from gridlark.schema import BODIES, BODY_COLUMNS, Body, body
+
+    moon = dict(zip(BODY_COLUMNS, BODIES["Moon"]))
+    assert body("Moon") == Body() and all(moon[c] == getattr(Body(), c) for c in ("albedo", "emissivity", "solar_constant", "day", "year", "eccentricity", "obliquity"))
+    assert 5.2 < body("Europa").distance_au < 5.21 and body("Bennu").k_depth == Body().k_depth
+    try:
+        body("Venus")
+    except KeyError:
+        return
+    raise AssertionError("Venus has no solid parameters")
