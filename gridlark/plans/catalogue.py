@@ -561,10 +561,10 @@ def sample_counts(spark, sf_dir):
 
 # --- residuals and display numbers
 
-@query(f"SELECT lat_ix, lon_ix, {q('c.value - e.value', 8)} AS value FROM c JOIN e USING (lat_ix, lon_ix)", MAP_SQL + f", e AS (SELECT {CELL_SQL}, {q('avg(t3)', 9)} AS value FROM samples GROUP BY ALL)")
+@query(f"SELECT lat_ix, lon_ix, {q('c.value - e.value', 9)} AS value FROM c JOIN e USING (lat_ix, lon_ix)", MAP_SQL + f", e AS (SELECT {CELL_SQL}, {q('avg(t3)', 9)} AS value FROM samples GROUP BY ALL)")
 def grid_residual(spark, sf_dir):
     out = residual.grid_residual(cells(spark, sf_dir).select("lat_ix", "lon_ix", "value"), cells(spark, sf_dir, "t3"), ["lat_ix", "lon_ix"])
-    return out.withColumn("value", r("value", 8))
+    return out.withColumn("value", r("value", 9))
 
 
 @query(f"SELECT lat_ix, lon_ix, {q('value - 231 * pow(cos(radians(lat_ix * 5 - 87.5::DOUBLE)), 0.35::DOUBLE)', 8)} AS value FROM c", MAP_SQL)
