@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlark.llm import bpe, licenses, lines, mixing, near_dedup, neighbours, quality, secrets, suffixes, toxicity
+from gridlark.llm import audit, bpe, licenses, lines, mixing, near_dedup, neighbours, quality, resample, secrets, suffixes, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,20 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), least=0.93)
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text")
+    return resample.resample(docs, target, share=(10, 100), least=20, seed="2024").select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text", "source"), table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return audit.audit(docs, labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secrets": op2_secrets,
@@ -79,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
+    "op11_vector_dedup": op11_vector_dedup,
+    "op12_resampling": op12_resampling,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 LOWERED = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
@@ -159,4 +176,44 @@ SQL: dict[str, str] = {
               FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT doc_id, size, source_size, target,
                CAST((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM j""",
+    "op11_vector_dedup": """
+        WITH RECURSIVE e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+        u AS (SELECT *, sqrt(list_dot_product(v, v)) AS n FROM e WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id WHERE list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.93::DOUBLE),
+        k AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+        reach AS (SELECT vec_id, vec_id AS r FROM e UNION SELECT reach.vec_id, l.b FROM reach JOIN l ON reach.r = l.a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id) c LEFT JOIN k ON k.a = c.vec_id""",
+    "op12_resampling": rf"""
+        WITH tab AS (SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)), lambda c, i: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        x AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM d) GROUP BY word),
+        y AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark) GROUP BY word),
+        h AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM x UNION SELECT word FROM y)),
+        b AS (SELECT word, xor(list_reduce(list_concat([4294967295], list_transform(range(len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))), lambda c, v: xor(t[(xor(c, v) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket FROM h, tab),
+        s AS (SELECT bucket, sum(n) AS n FROM x JOIN b USING (word) GROUP BY bucket), t AS (SELECT bucket, sum(n) AS n FROM y JOIN b USING (word) GROUP BY bucket),
+        z AS (SELECT (SELECT coalesce(sum(n), 0) FROM s)::DOUBLE + 10000 AS big_s, (SELECT coalesce(sum(n), 0) FROM t)::DOUBLE + 10000 AS big_t),
+        g AS (SELECT word, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * big_s / ((coalesce(s.n, 0) + 1)::DOUBLE * big_t))) AS BIGINT) AS gain FROM b LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), z),
+        k AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM (SELECT doc_id, unnest(w) AS word FROM d) JOIN g USING (word) GROUP BY doc_id),
+        o AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                     coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM d LEFT JOIN k USING (doc_id)),
+        r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM o WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) FROM r) * 10 // 100 THEN rank END AS rank FROM o LEFT JOIN r USING (doc_id)""",
+    "op13_filter_audit": r"""
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        q AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+        f AS (SELECT d.doc_id, part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+                     100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t) AS c, regexp_matches(t, '[#$%&*|]') AS dd,
+                     coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false) AS e FROM d LEFT JOIN q ON q.doc_id = d.doc_id),
+        m AS (SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * dd::INT + 16 * e::INT AS mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+        l(x, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        p AS (SELECT v.x || w.x || y.x || z.x || u.x AS filter_order, [v.bit, w.bit, y.bit, z.bit, u.bit] AS bits FROM l v, l w, l y, l z, l u WHERE v.bit | w.bit | y.bit | z.bit | u.bit = 31),
+        s AS (SELECT filter_order, CAST(k AS INTEGER) AS step, bits[k] AS bit, coalesce(list_sum(bits[1:k - 1]), 0) AS before FROM p, range(1, 6) r(k)),
+        o AS (SELECT part, filter_order, step, bit,
+                     coalesce(sum(n) FILTER (WHERE mask & (before | bit) = 0), 0) AS kept, coalesce(sum(n) FILTER (WHERE mask & bit > 0 AND mask & before = 0), 0) AS removed,
+                     coalesce(sum(n) FILTER (WHERE mask & bit > 0 AND mask & before > 0), 0) AS redundant, coalesce(sum(n) FILTER (WHERE mask = bit), 0) AS unique_fails,
+                     coalesce(sum(good) FILTER (WHERE mask & bit > 0 AND mask & before = 0), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE mask & bit > 0 AND mask & before = 0), 0) AS toxic_lost
+              FROM m, (SELECT filter_order, step, bit::BIGINT AS bit, before::BIGINT AS before FROM s) s GROUP BY ALL)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM o""",
 }
