@@ -22,7 +22,7 @@ BLOCK, CARD = 2880, 80
 FITS_TYPES = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
 
 
-def _card_value(text: str) -> str | None:
+def card_value(text: str) -> str | None:
     """The value of a header card, without quotes and comment."""
     text = text.strip()
     if text.startswith("'"):
@@ -44,7 +44,7 @@ def fits_units(raw: bytes) -> Iterator[tuple[int, dict[str, str | None], int]]:
             if key == "END" or not card:
                 break
             if card[8:10] == "= ":
-                header.setdefault(key, _card_value(card[10:]))
+                header.setdefault(key, card_value(card[10:]))
         at = -(-at // BLOCK) * BLOCK
         yield number, header, at
         axes = [int(header.get(f"NAXIS{i + 1}") or 0) for i in range(int(header.get("NAXIS") or 0))]
