@@ -96,19 +96,22 @@ def axes_agree(axes: DataFrame, keys: Iterable[str], columns: Iterable[str]) ->
     return counted.select(*by, bad.alias("differ")).where(F.size("differ") > 0)
 
 
+def valid_bounds(grid: DataFrame, value: str = "value") -> DataFrame:
+    """(lat_lo, lat_hi, lon_lo, lon_hi): one row with the index bounds of the valid cells; upper bounds are exclusive."""
+    ends = [f(c).alias(f"{c[:3]}_{n}") for c in ("lat_ix", "lon_ix") for n, f in (("lo", F.min), ("hi", F.max))]
+    return grid.where(F.col(value).isNotNull() & ~F.isnan(value)).agg(*ends)
+
+
 def finite_box(grid: DataFrame, value: str = "value") -> dict[str, int]:
-    """The index bounds of the valid cells; upper bounds are exclusive."""
-    r = grid.where(F.col(value).isNotNull() & ~F.isnan(value)).agg(
-        F.min("lat_ix").alias("lat_lo"), F.max("lat_ix").alias("lat_hi"), F.min("lon_ix").alias("lon_lo"), F.max("lon_ix").alias("lon_hi")
-    ).first()
-    return r.asDict()
+    """valid_bounds as numbers."""
+    return valid_bounds(grid, value).first().asDict()
 
 
 def cut_valid(grid: DataFrame, value: str = "value") -> DataFrame:
-    b = finite_box(grid, value)
-    if b["lat_lo"] is None:
-        return grid.limit(0)
-    return grid.where(between_half_open(F.col("lat_ix"), (b["lat_lo"], b["lat_hi"])) & between_half_open(F.col("lon_ix"), (b["lon_lo"], b["lon_hi"])))
+    """The cells within the bounds of the valid ones, in one plan."""
+    b = F.broadcast(valid_bounds(grid, value))
+    inside = (F.col("lat_ix") >= F.col("lat_lo")) & (F.col("lat_ix") < F.col("lat_hi")) & (F.col("lon_ix") >= F.col("lon_lo")) & (F.col("lon_ix") < F.col("lon_hi"))
+    return grid.crossJoin(b).where(inside).select(*grid.columns)
 
 
 def abs_lat_crop(df: DataFrame, most: float) -> DataFrame:

@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlark.functions.units import spread
+from gridlark.operators.ranks import exact_quantiles
 from gridlark.schema import CHANNELS, FlagRules
+from gridlark.sources.scratch import written
 
 MISSION, LOW_TEMP, SPREAD, BAD_ORBIT, SMALL_ORBIT, TIME_TWICE, EXCLUDED, LAT_MODEL, LAT_CUT = (1 << i for i in range(9))
 Step = Callable[[DataFrame], DataFrame]
@@ -121,28 +122,70 @@ def fit_cosine_power(lat_deg: np.ndarray, t: np.ndarray, guess: tuple[float, flo
     return (float(a), float(b)) if float(r @ r) <= best[0] else (best[1], best[2])
 
 
-def latitude_fits(df: DataFrame, channel: str = "t1", most_lat: float = 85.0) -> DataFrame:
-    """(orbit, a, b): the latitude model of each orbit with two rows or more."""
-    rows = unflagged(df).where(F.abs("lat") < most_lat).select("orbit", F.col("lat").cast("double"), F.col(channel).cast("double").alias("t")).where("t is not null and not isnan(t)")
-
-    def fit(part: pd.DataFrame) -> pd.DataFrame:
-        a, b = fit_cosine_power(part["lat"].to_numpy(), part["t"].to_numpy())
-        return pd.DataFrame({"orbit": [part["orbit"].iloc[0]], "a": [a], "b": [b]})
-
-    kind = df.schema["orbit"].dataType.simpleString()
-    return rows.groupBy("orbit").applyInPandas(fit, f"orbit {kind}, a double, b double").where("not isnan(a)")
+def _sums(a: Column, b: Column) -> list[Column]:
+    """What a Gauss-Newton step at (a, b) needs of an orbit's rows (c = ln cos lat, t): cost, normal matrix and gradient."""
+    e, c = F.exp(b * F.col("c")), F.col("c")
+    r, d = F.col("t") - a * e, a * e * c
+    return [F.sum(x).alias(n) for n, x in (("cost", r * r), ("h11", e * e), ("h12", e * d), ("h22", d * d), ("g1", e * r), ("g2", d * r))]
+
+
+SUMS = ("cost", "h11", "h12", "h22", "g1", "g2")
+
+
+def _round(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """One damped step of every orbit: the sums at the point it leads to, taken if its cost is no greater. The state is read once, so rounds follow each other in one plan."""
+    k11, k22 = (F.col(h) + F.col("damp") * (F.col(h) + 1e-12) for h in ("h11", "h22"))
+    det = k11 * k22 - F.col("h12") * F.col("h12")
+    da, db = F.try_divide(k22 * F.col("g1") - F.col("h12") * F.col("g2"), det), F.try_divide(k11 * F.col("g2") - F.col("h12") * F.col("g1"), det)
+    da, db = (F.when(F.col("done") | F.isnan(x), F.lit(0.0)).otherwise(F.coalesce(x, F.lit(0.0))) for x in (da, db))
+    trial = state.select(F.col("orbit").alias("_orbit"), F.struct(*[c for c in state.columns if c != "orbit"]).alias("was"), (F.col("a") + da).alias("a"), (F.col("b") + db).alias("b"), (F.greatest(F.abs(da), F.abs(db)) < 1e-10 * F.greatest(F.lit(1.0), F.abs("a"))).alias("small"))
+    held = rows.join(trial, F.col("orbit") == F.col("_orbit"))
+    new = held.groupBy("orbit").agg(F.first("was").alias("was"), F.first("a").alias("a"), F.first("b").alias("b"), F.first("small").alias("small"), *_sums(F.col("a"), F.col("b")))
+    better = ~F.isnan("cost") & (F.col("cost") <= F.col("was.cost"))
+    pick = [F.when(better, F.col(c)).otherwise(F.col(f"was.{c}")).alias(c) for c in ("a", "b", *SUMS)]
+    damp = F.when(better, F.col("was.damp") / 4).otherwise(F.col("was.damp") * 8)
+    return new.select("orbit", *pick, damp.alias("damp"), (F.col("was.done") | F.col("small") | (damp > 1e12)).alias("done"))
+
+
+#: Orbits whose state may be broadcast; with more, the join is left to Spark. Rounds of one job, and of all.
+BROADCAST_ORBITS, ROUNDS, MOST_ROUNDS = 50_000, 4, 60
+
+
+def latitude_fits(df: DataFrame, channel: str = "t1", most_lat: float = 85.0, guess: tuple[float, float] = (231.0, 0.35)) -> DataFrame:
+    """(orbit, a, b): least squares of a * cos(|lat|) ** b for each orbit with two rows or more.
+
+    Damped Gauss-Newton steps from grouped sums: a round reads the rows' two
+    numbers once and leaves six sums an orbit, so an orbit of any size is summed
+    by all tasks, and its damping is a column. The rows' two numbers are written
+    once, and so is the state (a row an orbit) after every few rounds.
+    """
+    c = F.log(F.greatest(F.cos(F.radians(F.abs(F.col("lat").cast("double")))), F.lit(1e-12)))
+    rows = unflagged(df).where(F.abs("lat") < most_lat).select("orbit", c.alias("c"), F.col(channel).cast("double").alias("t")).where("orbit is not null and t is not null and not isnan(t)")
+    rows = written(rows, "fit-rows")
+    a, b = (F.lit(float(x)) for x in guess)
+    state = rows.groupBy("orbit").agg(F.count(F.lit(1)).alias("n"), *_sums(a, b)).where("n >= 2")
+    state = written(state.select("orbit", a.alias("a"), b.alias("b"), *SUMS, F.lit(1e-3).alias("damp"), F.lit(False).alias("done")), "fit")
+    light = F.broadcast if state.limit(BROADCAST_ORBITS + 1).count() <= BROADCAST_ORBITS else lambda x: x
+    for _ in range(MOST_ROUNDS // ROUNDS):
+        for _ in range(ROUNDS):
+            state = _round(rows, light(state))
+        state = written(state, "fit")
+        if state.where("not done").isEmpty():
+            break
+    return state.select("orbit", "a", "b").where("not isnan(a) and not isnan(b)")
 
 
 def mad_outliers(df: DataFrame, columns: Sequence[str], limit: float) -> DataFrame:
-    """Rows where a column is further from its median than `limit` unscaled median absolute deviations."""
-    med = df.agg(*[F.percentile(c, F.lit(0.5)).alias(f"_m_{c}") for c in columns])
-    held = df.crossJoin(F.broadcast(med))
-    mad = held.agg(*[F.percentile(F.abs(F.col(c) - F.col(f"_m_{c}")), F.lit(0.5)).alias(f"_d_{c}") for c in columns])
-    held = held.crossJoin(F.broadcast(mad))
+    """Rows where a column is further from its median than `limit` unscaled median absolute deviations. df is written once."""
+    held = written(df, "outliers")
+    med = {c: m for c, (m,) in exact_quantiles(held, {c: F.col(c) for c in columns}, [0.5]).items() if m is not None}
+    if not med:
+        return held.limit(0)
+    mad = exact_quantiles(held, {c: F.abs(F.col(c) - m) for c, m in med.items()}, [0.5])
     hit = F.lit(False)
-    for c in columns:
-        hit = hit | (F.abs(F.col(c) - F.col(f"_m_{c}")) > limit * F.col(f"_d_{c}"))
-    return held.where(hit).select(*df.columns)
+    for c, m in med.items():
+        hit = hit | (F.abs(F.col(c) - m) > limit * mad[c][0])
+    return held.where(hit)
 
 
 def aggregating(step: Step) -> Step:
@@ -165,9 +208,10 @@ def latitude_votes(df: DataFrame, channel: str = "t1", least: int = 10) -> DataF
 
 
 def lat_cut_orbits(votes: DataFrame, share: float = 0.98) -> DataFrame:
-    """Orbits whose votes exceed the percentile of all orbits with a vote."""
-    limit = votes.agg(F.percentile("votes", F.lit(share)).alias("_limit"))
-    return votes.crossJoin(F.broadcast(limit)).where("votes > _limit").drop("_limit")
+    """Orbits whose votes exceed the percentile of all orbits with a vote. votes is written once."""
+    held = written(votes, "votes")
+    limit = exact_quantiles(held, {"votes": F.col("votes")}, [share])["votes"][0]
+    return held.limit(0) if limit is None else held.where(F.col("votes") > limit)
 
 
 def lat_cut(rules: FlagRules, channel: str = "t1") -> Step:

@@ -99,13 +99,18 @@ def flat_offset(d: Column, x: Column, y: Column, r: Column, radius_km: float = M
     return x * span, y * span
 
 
-def footprint_spill(samples: DataFrame, kernel_df: DataFrame, standard: bool = False) -> tuple[float, float]:
-    """Half the largest extent in degrees of latitude and longitude, for the highest altitude and latitude."""
+def spill(samples: DataFrame, kernel_df: DataFrame, standard: bool = False) -> DataFrame:
+    """(lat_spill, lon_spill): half the largest extent in degrees of latitude and longitude, for the highest altitude and latitude; one row."""
     worst = samples.agg(F.max("d").cast("double").alias("d"), F.max(F.abs("lat")).cast("double").alias("lat"))
     pts = kernel_df.crossJoin(F.broadcast(worst))
     lat, lon = project(F.col("d"), F.col("lat"), F.lit(0.0), F.col("x_over_rad"), F.col("y_over_rad"), F.col("scaled_rad"), standard)
-    r = pts.select(lat.alias("a"), lon.alias("b")).agg((F.max("a") - F.min("a")).alias("a"), (F.max("b") - F.min("b")).alias("b")).first()
-    return (r["a"] or 0.0) / 2, (r["b"] or 0.0) / 2
+    half = lambda c: F.coalesce((F.max(c) - F.min(c)) / 2, F.lit(0.0))
+    return pts.select(lat.alias("a"), lon.alias("b")).agg(half("a").alias("lat_spill"), half("b").alias("lon_spill"))
+
+
+def footprint_spill(samples: DataFrame, kernel_df: DataFrame, standard: bool = False) -> tuple[float, float]:
+    """spill as numbers, from which the axes of a grid are made."""
+    return tuple(spill(samples, kernel_df, standard).first())
 
 
 def small_kernel(kernel_df: DataFrame) -> DataFrame:

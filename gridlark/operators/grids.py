@@ -14,6 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gridlark.operators.order import even_groups
 
 
 @dataclass(frozen=True)
@@ -121,18 +124,67 @@ def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[tuple[int, flo
     return [(i - r, x / sum(w)) for i, x in enumerate(w)]
 
 
-def smooth(df: DataFrame, sigma: float, columns: list[str], truncate: float = 4.0, keys: Sequence[str] = ()) -> DataFrame:
-    """Separable Gaussian smoothing of summed planes (per keys): two passes, each an explode by the kernel's width and a sum.
+#: Cells of a tile's side when planes are smoothed, unless the kernel asks for more.
+TILE = 256
+
+
+def _convolved(grid: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The grid convolved along both axes, without what lies at its borders: both get shorter by the kernel's reach."""
+    for axis in (0, 1):
+        n = grid.shape[axis] - len(weights) + 1
+        part = lambda k: grid[k : k + n] if axis == 0 else grid[:, k : k + n]  # noqa: B023, E731
+        total = weights[0] * part(0)
+        for k in range(1, len(weights)):
+            total += weights[k] * part(k)
+        grid = total
+    return grid
 
-    Smoothing is linear, so it comes after the aggregation of samples.
+
+def smooth(df: DataFrame, sigma: float, columns: list[str], truncate: float = 4.0, keys: Sequence[str] = (), tile: int = TILE) -> DataFrame:
+    """Gaussian smoothing of summed planes (per keys), by dense tiles.
+
+    Smoothing is linear, so it comes after the aggregation of samples. A cell is
+    sent to its tile, and once to each neighbour in whose margin it lies: with
+    margins of the kernel's reach r, (1 + 2 r / tile) ** 2 rows a cell are
+    shuffled. A tile is an array with margins, convolved along both axes; its own
+    cells come out that a cell of the input reaches. A null counts as no cell;
+    cells off the grid that smoothing reaches are there too.
     """
-    kernel = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(w).alias("w")) for o, w in gaussian_weights(sigma, truncate)])
-    out = df.select(*keys, "lat_ix", "lon_ix", *columns)
-    for axis, other in (("lat_ix", "lon_ix"), ("lon_ix", "lat_ix")):
-        spread = out.select("*", F.explode(kernel).alias("_k"))
-        moved = spread.select(*keys, (F.col(axis) + F.col("_k.o")).cast("int").alias(axis), other, *[(F.col(c) * F.col("_k.w")).alias(c) for c in columns])
-        out = moved.groupBy(*keys, "lat_ix", "lon_ix").agg(*[F.sum(c).alias(c) for c in columns])
-    return out
+    kernel = np.array([w for _, w in gaussian_weights(sigma, truncate)])
+    reach = len(kernel) // 2
+    side = max(tile, 2 * reach, 1)
+
+    def tiles(c: str) -> Column:
+        own, inside = F.floor(F.col(c) / side), F.pmod(F.col(c), F.lit(side))
+        around = F.array(own, F.when(inside < reach, own - 1), F.when(inside >= side - reach, own + 1))
+        return F.filter(around, lambda x: x.isNotNull())
+
+    held = df.select(*keys, F.col("lat_ix").cast("int").alias("lat_ix"), F.col("lon_ix").cast("int").alias("lon_ix"), *[F.col(c).cast("double").alias(c) for c in columns])
+    sent = held.withColumn("_ty", F.explode(tiles("lat_ix"))).withColumn("_tx", F.explode(tiles("lon_ix")))
+    schema = T.StructType([*[held.schema[k] for k in keys], *[held.schema[c] for c in ("lat_ix", "lon_ix", *columns)]])
+    whole = side + 2 * reach
+
+    def run(t: pa.Table) -> pa.Table:
+        top, left = (t.column(c)[0].as_py() * side for c in ("_ty", "_tx"))
+        y, x = t.column("lat_ix").to_numpy() - top + reach, t.column("lon_ix").to_numpy() - left + reach
+        there, planes, known = np.zeros((whole, whole)), {}, {}
+        there[y, x] = 1.0
+        near = _convolved(there, np.ones(len(kernel))) > 0.5
+        for c in columns:
+            v = t.column(c).combine_chunks()
+            plane = np.zeros((whole, whole))
+            np.add.at(plane, (y, x), v.fill_null(0.0).to_numpy())
+            planes[c] = _convolved(plane, kernel)[near]
+            if v.null_count:
+                valid = np.zeros((whole, whole))
+                valid[y, x] = v.is_valid().to_numpy(zero_copy_only=False)
+                known[c] = _convolved(valid, np.ones(len(kernel)))[near] > 0.5
+        at = np.nonzero(near)
+        out = {k: pa.array([t.column(k)[0].as_py()] * len(at[0]), t.column(k).type) for k in keys}
+        out |= {"lat_ix": pa.array(at[0] + top, pa.int32()), "lon_ix": pa.array(at[1] + left, pa.int32())}
+        return pa.table(out | {c: pa.array(planes[c], mask=~known[c] if c in known else None) for c in columns})
+
+    return sent.groupBy(*keys, "_ty", "_tx").applyInArrow(run, schema)
 
 
 def _nearest_in_row(table: pa.Table) -> pa.Table:
@@ -223,9 +275,8 @@ def downsample_orbit(df: DataFrame, points: int, order: list[str]) -> DataFrame:
 
 
 def representatives(keys: DataFrame, column: str, n: int) -> DataFrame:
-    """The first key of each of n evenly divided groups of the ordered distinct keys (a small table)."""
-    ranked = keys.select(column).distinct().withColumn("_g", F.ntile(n).over(Window.orderBy(column)))
-    return ranked.groupBy("_g").agg(F.min(column).alias(column)).select(column)
+    """The first key of each of n evenly divided groups of the ordered distinct keys."""
+    return even_groups(keys.select(column).distinct(), [column], n, "_g").groupBy("_g").agg(F.min(column).alias(column)).select(column)
 
 
 def arg_max_row(df: DataFrame, by: str, tie: list[str]) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -11,12 +10,11 @@ from pyspark.sql import functions as F
 
 from gridlark.functions.units import clip, lat_model
 from gridlark.operators.flags import fit_cosine_power
+from gridlark.operators.ranks import exact_quantiles
 
 CELL = ["lat_ix", "lon_ix"]
 #: Latitudes of a grid.
 MOST_ROWS = 100_000
-#: Bins of a pass that counts ranks, and values that are sorted on the driver.
-BINS, SORTED = 4096, 50_000
 
 
 def grid_residual(measured: DataFrame, model: DataFrame, keys: Sequence[str] = ("channel", "bin_start", *CELL), value: str = "value") -> DataFrame:
@@ -109,36 +107,9 @@ def check_quantized(df: DataFrame, value: str = "value", most: float = 2e-3) ->
     return df
 
 
-def _ranked(held: DataFrame, ranks: list[int], lo: float, hi: float, n: int) -> dict[int, float]:
-    """The values at these ranks (from 0) of column v, which has n values from lo to hi: counts by bins, until few are left to sort."""
-    if lo == hi:
-        return dict.fromkeys(ranks, lo)
-    if n <= SORTED:
-        v = np.sort(held.toArrow().column("v").to_numpy())
-        return {r: float(v[r]) for r in ranks}
-    # halves first: the range of two finite numbers may not be one
-    place = F.least(F.lit(BINS - 1), F.floor((F.col("v") / 2 - lo / 2) / (hi / 2 - lo / 2) * BINS))
-    bins = held.groupBy(place.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
-    out, below = {}, 0
-    for x in sorted(bins, key=lambda x: x["b"]):
-        own = [r - below for r in ranks if below <= r < below + x["n"]]
-        if own:
-            inside = held.where((F.col("v") >= x["lo"]) & (F.col("v") <= x["hi"]))
-            out.update({r + below: v for r, v in _ranked(inside, own, x["lo"], x["hi"], x["n"]).items()})
-        below += x["n"]
-    return out
-
-
 def quantiles(df: DataFrame, value: str, shares: Sequence[float]) -> list[float | None]:
-    """Exact quantiles, linear between ranks. Tasks count ranks by bins; no task or driver sorts more than SORTED values."""
-    held = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    span = held.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    if not span["n"]:
-        return [None] * len(shares)
-    at = [(span["n"] - 1) * p for p in shares]
-    need = sorted({r for x in at for r in (math.floor(x), math.ceil(x))})
-    got = _ranked(held, need, span["lo"], span["hi"], span["n"])
-    return [got[math.floor(x)] + (got[math.ceil(x)] - got[math.floor(x)]) * (x - math.floor(x)) for x in at]
+    """Exact quantiles, linear between ranks, in two scans at most."""
+    return exact_quantiles(df, {"v": F.col(value)}, shares)["v"]
 
 
 def clip_percentiles(df: DataFrame, lo: float, hi: float, value: str = "value") -> DataFrame:

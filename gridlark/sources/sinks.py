@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,26 +73,66 @@ def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame], overwr
     return spark.read.parquet(path)
 
 
+class Locked(RuntimeError):
+    """Another writer holds the output."""
+
+
 def write_once(df: DataFrame, path: str, partition: Sequence[str] = (), overwrite: bool = False) -> bool:
-    """Writes unless the output is complete. Rows go to a folder beside it, which takes its place when all are there:
-    a failed write leaves what was before, and of two writers the later one's rows stand whole."""
+    """Writes unless the output is complete; whether it has written.
+
+    A lock beside the output (a file that only one writer can make) keeps others
+    out: they raise Locked. Rows go to a folder beside the output; when all are
+    there, the old output is moved aside, the new one takes its place, and the old
+    one is deleted. If anything fails, what was there before is there again.
+    """
     spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    place = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = place(path).getFileSystem(conf)
-    if not overwrite and complete(spark, path):
+    place = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    at = path.rstrip("/")
+    fs = place(at).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not overwrite and complete(spark, at):
         return False
-    beside = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+    token = uuid.uuid4().hex
+    lock, beside, aside = place(f"{at}__lock"), f"{at}__{token}", place(f"{at}__{token}_old")
+    parent = place(at).getParent()
+    if parent is not None:
+        fs.mkdirs(parent)
+    if not _made(fs, lock):
+        raise Locked(f"{at} is being written; delete {lock} if no writer is left")
     try:
         write_table(df, beside, partition)
-        fs.delete(place(path), True)
-        if not fs.rename(place(beside), place(path)):
-            raise OSError(f"cannot move {beside} to {path}")
+        _replace(fs, place(beside), place(at), aside)
     finally:
         fs.delete(place(beside), True)
+        fs.delete(lock, False)
     return True
 
 
+def _made(fs, path) -> bool:
+    """Whether this call has made the file: false if it was there."""
+    try:
+        return bool(fs.createNewFile(path))
+    except Py4JJavaError as e:
+        if "AlreadyExists" in str(e.java_exception.getClass().getName()):
+            return False
+        raise
+
+
+def _replace(fs, new, at, aside) -> None:
+    """Moves new to at; what was there is moved aside, comes back if that fails, and is deleted last."""
+    was = fs.exists(at)
+    if was and not fs.rename(at, aside):
+        raise OSError(f"cannot move {at} aside")
+    try:
+        if not fs.rename(new, at):
+            raise OSError(f"cannot move {new} to {at}")
+    except BaseException:
+        if was:
+            fs.rename(aside, at)
+        raise
+    if was:
+        fs.delete(aside, True)
+
+
 def write_labels(df: DataFrame, path: str, column: str = "label", mode: str = "errorifexists") -> None:
     """Label text, a file a partition."""
     df.select(F.col(column).alias("value")).write.mode(mode).text(path)
