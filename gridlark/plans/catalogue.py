@@ -22,6 +22,9 @@ from gridlark.sources.tables import samples_view
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+#: Operators that read no table, as queries for tests alone: they are not registered.
+FORMS: dict[str, Query] = {}
+FORMS_SQL: dict[str, str] = {}
 
 SAMPLES_SQL = """samples AS (
   SELECT CASE l_linestatus WHEN 'F' THEN 'a' ELSE 'b' END AS orbiter, l_suppkey AS orbit, l_shipdate AS utc,
@@ -32,13 +35,13 @@ SAMPLES_SQL = """samples AS (
   FROM lineitem)"""
 
 
-def query(sql: str | None = None, ctes: str = "", samples: bool = True) -> Callable[[Query], Query]:
-    """Registers a query under its name; sql follows the common table expressions."""
+def query(sql: str | None = None, ctes: str = "", samples: bool = True, reads: bool = True) -> Callable[[Query], Query]:
+    """Registers a query under its name; sql follows the common table expressions. reads: whether it reads tables."""
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        (QUERIES if reads else FORMS)[fn.__name__] = fn
         if sql is not None:
             parts = [p for p in ((SAMPLES_SQL if samples else ""), ctes) if p]
-            SQL[fn.__name__] = ("WITH RECURSIVE " if "RECURSIVE" in ctes else "WITH ") + ",\n".join(parts).replace("RECURSIVE ", "") + "\n" + sql if parts else sql
+            (SQL if reads else FORMS_SQL)[fn.__name__] = ("WITH RECURSIVE " if "RECURSIVE" in ctes else "WITH ") + ",\n".join(parts).replace("RECURSIVE ", "") + "\n" + sql if parts else sql
         return fn
 
     return register
@@ -291,7 +294,7 @@ def template_fill(spark, sf_dir):
     return o.select("orbiter", "orbit", label.alias("label"))
 
 
-@query("""SELECT CAST(h AS INTEGER) AS hour, 'a_t2_ltst_' || h || '_' || (h + 2) || '_lat_m' || (75 - h) || '_75_lon_m180_180_deconv' AS name FROM range(0, 24, 2) t(h)""", samples=False)
+@query("""SELECT CAST(h AS INTEGER) AS hour, 'a_t2_ltst_' || h || '_' || (h + 2) || '_lat_m' || (75 - h) || '_75_lon_m180_180_deconv' AS name FROM range(0, 24, 2) t(h)""", samples=False, reads=False)
 def product_names(spark, sf_dir):
     h = spark.range(0, 24, 2).select(F.col("id").cast("int").alias("hour"))
     x = F.col("hour").cast("double")
@@ -321,7 +324,7 @@ def local_solar_time(spark, sf_dir):
 
 # --- grids
 
-@query("SELECT CAST(row_number() OVER (ORDER BY lat, albedo, h) - 1 AS BIGINT) AS run, lat, albedo, h FROM (VALUES (0.0::DOUBLE), (30.0), (60.0)) a(lat), (VALUES (0.08::DOUBLE), (0.12)) b(albedo), (VALUES (0.05::DOUBLE), (0.07)) c(h)", samples=False)
+@query("SELECT CAST(row_number() OVER (ORDER BY lat, albedo, h) - 1 AS BIGINT) AS run, lat, albedo, h FROM (VALUES (0.0::DOUBLE), (30.0), (60.0)) a(lat), (VALUES (0.08::DOUBLE), (0.12)) b(albedo), (VALUES (0.05::DOUBLE), (0.07)) c(h)", samples=False, reads=False)
 def param_grid_cross(spark, sf_dir):
     return thermal.sweep(spark, [0.0, 30.0, 60.0], [0.08, 0.12], [0.05, 0.07])
 
@@ -332,7 +335,7 @@ def tile_assign(spark, sf_dir):
     return t.assign(samples_view(spark, sf_dir)).groupBy("tile_lat", "tile_lon").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT CAST(i AS INTEGER) AS tile_lat, CAST(j AS INTEGER) AS tile_lon, i * 4.0::DOUBLE - 75 AS lat_lo, least(75.0::DOUBLE, (i + 1) * 4.0::DOUBLE - 75) AS lat_hi, j * 4.0::DOUBLE - 180 AS lon_lo, least(180.0::DOUBLE, (j + 1) * 4.0::DOUBLE - 180) AS lon_hi FROM range(38) a(i), range(90) b(j)", samples=False)
+@query("SELECT CAST(i AS INTEGER) AS tile_lat, CAST(j AS INTEGER) AS tile_lon, i * 4.0::DOUBLE - 75 AS lat_lo, least(75.0::DOUBLE, (i + 1) * 4.0::DOUBLE - 75) AS lat_hi, j * 4.0::DOUBLE - 180 AS lon_lo, least(180.0::DOUBLE, (j + 1) * 4.0::DOUBLE - 180) AS lon_hi FROM range(38) a(i), range(90) b(j)", samples=False, reads=False)
 def tile_specs(spark, sf_dir):
     return grids.Tiling((-75.0, 75.0), (-180.0, 180.0), 4.0).specs(spark)
 
@@ -429,7 +432,7 @@ def mean_histogram(spark, sf_dir):
     return grids.mean_histogram(samples_view(spark, sf_dir), 12, "t1").withColumn("t1", r("t1"))
 
 
-@query("SELECT x AS target, list_sort(list(lat_ix))[len(list(lat_ix)) // 2 + 1] AS position FROM (SELECT lat_ix, lat_ix * 5.0::DOUBLE - 90 AS lat FROM range(36) t(lat_ix)), (VALUES (-60.0::DOUBLE), (0.0), (45.0)) v(x) WHERE abs(lat - x) <= 6 GROUP BY x", samples=False)
+@query("SELECT x AS target, list_sort(list(lat_ix))[len(list(lat_ix)) // 2 + 1] AS position FROM (SELECT lat_ix, lat_ix * 5.0::DOUBLE - 90 AS lat FROM range(36) t(lat_ix)), (VALUES (-60.0::DOUBLE), (0.0), (45.0)) v(x) WHERE abs(lat - x) <= 6 GROUP BY x", samples=False, reads=False)
 def tick_positions(spark, sf_dir):
     a = spark.range(36).select(F.col("id").alias("lat_ix"), (F.col("id") * 5.0 - 90).alias("lat"))
     return grids.tick_positions(a, "lat_ix", "lat", [-60.0, 0.0, 45.0], 6.0)
@@ -457,7 +460,7 @@ SPREAD_SQL = """sums AS (SELECT CAST(floor((plat + 90.0037) / 5) AS INTEGER) AS
     sum(weight) AS w, sum(weight * t2) AS wt, sum(weight * t2 * t2) AS wt2 FROM p WHERE floor((plat + 90.0037) / 5) BETWEEN 0 AND 36 GROUP BY ALL)"""
 
 
-@query(f"SELECT k, {q('x', 9)} AS x_over_rad, {q('y', 9)} AS y_over_rad, {q('r', 12)} AS scaled_rad, {q('weight', 9)} AS weight FROM kernel", kernel_sql(1.0, 28), samples=False)
+@query(f"SELECT k, {q('x', 9)} AS x_over_rad, {q('y', 9)} AS y_over_rad, {q('r', 12)} AS scaled_rad, {q('weight', 9)} AS weight FROM kernel", kernel_sql(1.0, 28), samples=False, reads=False)
 def antenna_kernel(spark, sf_dir):
     k = footprint.kernel(spark, 2, 1.0)
     return k.select("k", r("x_over_rad", 9).alias("x_over_rad"), r("y_over_rad", 9).alias("y_over_rad"), r("scaled_rad", 12).alias("scaled_rad"), r("weight", 9).alias("weight"))
@@ -517,8 +520,8 @@ def all_bins_deconv(spark, sf_dir):
 @query(f"SELECT {q('(max(plat) - min(plat)) / 2')} AS lat_spill, {q('(max(plon) - min(plon)) / 2')} AS lon_spill FROM p",
        kernel_sql(4.0, 7) + ", " + PROJECT_SQL.replace("(SELECT * FROM samples WHERE {where})", "(SELECT max(d) AS d, max(abs(lat)) AS lat, 0.0::DOUBLE AS lon FROM samples WHERE abs(lat) < 75)"))
 def footprint_spill(spark, sf_dir):
-    lat, lon = footprint.footprint_spill(samples_view(spark, sf_dir).where(F.abs("lat") < 75), footprint.kernel(spark, 2, 4.0))
-    return spark.createDataFrame([(lat, lon)], "lat double, lon double").select(r("lat").alias("lat_spill"), r("lon").alias("lon_spill"))
+    out = footprint.spill(samples_view(spark, sf_dir).where(F.abs("lat") < 75), footprint.kernel(spark, 2, 4.0))
+    return out.select(r("lat_spill").alias("lat_spill"), r("lon_spill").alias("lon_spill"))
 
 
 @query(f"SELECT key, line, {q('max(plat)')} AS top, {q('avg(cos(radians(plon)))')} AS east FROM p GROUP BY key, line", kernel_sql(4.0, 7) + ", " + PROJECT_SQL.format(where="true").replace("y * sin(r * d) * cos(radians(lat)))) AS plon", "y * sin(r * d) * sin(radians(lat)))) AS plon"))
@@ -542,7 +545,7 @@ def side_lobe_sql() -> str:
   k1 AS (SELECT k, CASE WHEN theta < {lit(_A4.main_width / 2)} THEN {main} ELSE {side} END AS gain FROM k0 WHERE theta <= {lit(_EDGE)})"""
 
 
-@query(f"SELECT k, {q('pow(10, (gain - max(gain) OVER ()) / 10)', 9)} AS weight FROM k1", side_lobe_sql(), samples=False)
+@query(f"SELECT k, {q('pow(10, (gain - max(gain) OVER ()) / 10)', 9)} AS weight FROM k1", side_lobe_sql(), samples=False, reads=False)
 def side_lobe_kernel(spark, sf_dir):
     return footprint.kernel(spark, 4, 2.0, main_only=False).select("k", r("weight", 9).alias("weight"))
 
@@ -645,7 +648,7 @@ def hapke_albedo(spark, sf_dir):
     return samples_view(spark, sf_dir).select("key", "line", r(units.hapke_to_albedo((F.col("t1") - 180) / 500)).alias("albedo"))
 
 
-@query(f"SELECT CAST(ppd AS INTEGER) AS ppd, {q('2 * pi() * 1737400 / 360 / ppd')} AS mpp FROM (VALUES (4), (8), (32)) v(ppd)", samples=False)
+@query(f"SELECT CAST(ppd AS INTEGER) AS ppd, {q('2 * pi() * 1737400 / 360 / ppd')} AS mpp FROM (VALUES (4), (8), (32)) v(ppd)", samples=False, reads=False)
 def metres_per_pixel(spark, sf_dir):
     return spark.createDataFrame([(4,), (8,), (32,)], "ppd int").select("ppd", r(units.metres_per_pixel(F.col("ppd"))).alias("mpp"))
 
@@ -706,7 +709,7 @@ def brightness_temperature(spark, sf_dir):
     return out.select("key", r("tb", 5).alias("tb"))
 
 
-@query()
+@query(reads=False)
 def heat1d_run(spark, sf_dir):
     points = thermal.sweep(spark, [0.0, 60.0], [0.12], [0.07])
     out = thermal.profile_table(thermal.simulate(points), 24)
@@ -721,7 +724,7 @@ def power_decibel(spark, sf_dir):
     return s.select("key", "line", r(units.db_to_power(F.col("t1") - 200), 9).alias("power"), r(units.power_to_db(F.col("t1")), 9).alias("db"))
 
 
-@query("SELECT CAST(h AS INTEGER) AS hour, (h + 12) % 24 + 0.0::DOUBLE AS rotated FROM range(24) t(h)", samples=False)
+@query("SELECT CAST(h AS INTEGER) AS hour, (h + 12) % 24 + 0.0::DOUBLE AS rotated FROM range(24) t(h)", samples=False, reads=False)
 def rotate_hours(spark, sf_dir):
     return spark.range(24).select(F.col("id").cast("int").alias("hour"), units.rotate_hours(F.col("id").cast("double")).alias("rotated"))
 
@@ -801,8 +804,7 @@ def _holes(spark, sf_dir) -> DataFrame:
 
 @query("SELECT min(lat_ix) AS lat_lo, max(lat_ix) AS lat_hi, min(lon_ix) AS lon_lo, max(lon_ix) AS lon_hi FROM x WHERE value IS NOT NULL", HOLES_SQL)
 def finite_box(spark, sf_dir):
-    b = filters.finite_box(_holes(spark, sf_dir))
-    return spark.createDataFrame([tuple(b[k] for k in ("lat_lo", "lat_hi", "lon_lo", "lon_hi"))], "lat_lo int, lat_hi int, lon_lo int, lon_hi int")
+    return filters.valid_bounds(_holes(spark, sf_dir))
 
 
 @query("SELECT lat_ix, lon_ix, value FROM x, (SELECT min(lat_ix) AS a, max(lat_ix) AS b, min(lon_ix) AS e, max(lon_ix) AS f FROM x WHERE value IS NOT NULL) WHERE lat_ix >= a AND lat_ix < b AND lon_ix >= e AND lon_ix < f", HOLES_SQL)
@@ -832,7 +834,10 @@ def height_error(spark, sf_dir):
 _BODIES_SQL = ", ".join("(" + ", ".join([f"'{k}'", *("NULL" if x is None else lit(x) for x in v)]) + ")" for k, v in BODIES.items())
 
 
-@query(f"SELECT name, semi_major_m / {lit(AU)} AS distance_au, {q(f'pow((1 - albedo) * solar_constant / (4 * emissivity * {lit(STEFAN_BOLTZMANN)}), 0.25)')} AS equator FROM (VALUES {_BODIES_SQL}) b(name, {', '.join(BODY_COLUMNS)})", samples=False)
+@query(f"SELECT name, semi_major_m / {lit(AU)} AS distance_au, {q(f'pow((1 - albedo) * solar_constant / (4 * emissivity * {lit(STEFAN_BOLTZMANN)}), 0.25)')} AS equator FROM (VALUES {_BODIES_SQL}) b(name, {', '.join(BODY_COLUMNS)})", samples=False, reads=False)
 def body_catalogue(spark, sf_dir):
     equator = F.pow((1 - F.col("albedo")) * F.col("solar_constant") / (4 * F.col("emissivity") * STEFAN_BOLTZMANN), F.lit(0.25))
     return tables.bodies(spark).select("name", (F.col("semi_major_m") / F.lit(AU)).alias("distance_au"), r(equator).alias("equator"))
+
+
+from gridlark.plans import catalogue_tables  # noqa: E402,F401  registers further queries with the names above

@@ -19,14 +19,15 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
+@pytest.mark.parametrize("name", sorted([*catalogue.QUERIES, *catalogue.FORMS]))
 def test_query(spark, duck, name):
-    df = catalogue.QUERIES[name](spark, SF)
+    df = (catalogue.QUERIES | catalogue.FORMS)[name](spark, SF)
     got = df.toPandas()
     assert len(got)
-    if name not in catalogue.SQL:
+    sql = catalogue.SQL | catalogue.FORMS_SQL
+    if name not in sql:
         return
-    want = duck.sql(catalogue.SQL[name]).df()
+    want = duck.sql(sql[name]).df()
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
     got, want = (x[columns].sort_values(columns).reset_index(drop=True) for x in (got, want))
@@ -37,4 +38,13 @@ def test_query(spark, duck, name):
 
 
 def test_every_query_is_covered_by_sql_or_listed():
-    assert set(catalogue.QUERIES) - set(catalogue.SQL) == {"heat1d_run"}
+    assert set(catalogue.QUERIES) == set(catalogue.SQL)
+    assert set(catalogue.FORMS) - set(catalogue.FORMS_SQL) == {"heat1d_run"}
+
+
+def test_registered_queries_read_tables(spark):
+    """Each registered query fails on a folder without tables."""
+    for name, fn in catalogue.QUERIES.items():
+        with pytest.raises(Exception, match="(?i)path"):
+            fn(spark, "/nowhere").count()
+            raise AssertionError(name)

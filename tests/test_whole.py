@@ -31,7 +31,7 @@ def test_no_key_with_layers_is_left_out(spark, name):
 
 
 def test_heat_flow_runs_for_the_whole_equilibration_time(spark):
-    got = catalogue.QUERIES["heat1d_run"](spark, SF).where("lat = 60").toPandas()
+    got = catalogue.FORMS["heat1d_run"](spark, SF).where("lat = 60").toPandas()
     want = thermal.run_models(np.array([0.12]), np.array([60.0]), np.array([0.07]), Body(), thermal.Solver())[0]["temp"]
     means = got.groupby("layer")["temp"].mean().sort_index().to_numpy()
     assert len(means) == len(want)
