@@ -49,7 +49,8 @@ def cells(docs: DataFrame, labels: DataFrame, part: str = "source") -> DataFrame
     The measures are written once, a short row a document. Groups of copies and of
     documents of a part are summed before they are shuffled. The grouped sides of
     both joins are written too, so that Spark shuffles both sides for the join
-    alone and can split a hot text or a hot (null) doc_id.
+    alone and can split a hot text or a hot (null) doc_id; no bound is known for
+    either, so neither is broadcast.
     """
     scratch = Scratch(docs.sparkSession, "audit")
     rows = scratch.save(measured(docs, part))
@@ -57,7 +58,7 @@ def cells(docs: DataFrame, labels: DataFrame, part: str = "source") -> DataFrame
     copied = scratch.save(copied)
     said = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(*[F.max(F.when(F.col(c) == 1, 1).otherwise(0)).alias(k) for c, k in (("quality", "good"), ("toxic", "toxic"))])
     said = scratch.save(said)
-    held = rows.join(copied, "digest", "left").join(said, "doc_id", "left")
+    held = rows.join(copied.hint("merge"), "digest", "left").join(said.hint("merge"), "doc_id", "left")
     copy = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))
     held = held.select("part", (F.col("mask") + F.when(copy, 16).otherwise(0)).alias("mask"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("good", "toxic")])
     one = held.groupBy("part", "mask").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic"))
