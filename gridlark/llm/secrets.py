@@ -11,15 +11,22 @@ so the work ends. Every character of a layer knows which characters of the
 document it comes from, so findings in a layer become spans of the document.
 An escape that was escaped again, however often, is resolved at once.
 
-Compressed layers are unpacked as streams, also one in another, and scanned in
-pieces of PIECE bytes that overlap: memory is bounded, and a secret that is at
-most OVERLAP long is found wherever a cut falls. Only a base64 run that is
-itself longer than a piece is decoded up to the cut and from it.
-
-Edge cases: a null text is an empty text; undecodable runs make no layer; a
-stream is unpacked for MAX_INFLATED bytes at most (a guard against bombs);
-xz streams that ask for more than XZ_MEMORY bytes make no layer; repeated rows
-are scanned alike.
+Layers of compressed bytes are unpacked by a list of open layers, not by calls in
+calls: their number is not bounded. A run's bytes are decoded once for each
+alignment; a place that looks packed is read from there, its header is checked
+first, and places whose headers lead to the same data are tried once. What
+unpacks to more than PIECE bytes is streamed and scanned in pieces that overlap,
+cut where no base64 run goes on, so that a secret of at most OVERLAP bytes and a
+base64 run of at most LONGEST_RUN are found wherever they stand.
+
+Guards, which n_guarded counts where they left something out: a document is
+unpacked to MAX_INFLATED bytes at most, against bombs; an xz or zstd stream that
+asks for more than MEMORY bytes is skipped; a base64 run inside a stream is cut
+at LONGEST_RUN; a nested stream that fails after PIECE bytes is not scanned as
+plain bytes.
+
+Edge cases: a null text is an empty text; undecodable runs make no layer; repeated
+rows are scanned alike.
 """
 
 from __future__ import annotations
@@ -30,8 +37,10 @@ import hashlib
 import lzma
 import re
 import zlib
-from itertools import islice, repeat
+from itertools import chain, repeat
 
+import numpy as np
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -51,14 +60,14 @@ WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]
 BREAKS = re.compile(r"[ \t]*\r?\n[ \t]*")
 #: What the first bytes of compressed formats are in base64.
 PACKED = re.compile(r"(?=H4sI|Qlpo|/Td6WFoA|KLUv/|eA[E-H]|eF[4-7]|eJ[w-z]|eN[o-r])")
-#: Bytes that a compressed stream may unpack to; bytes of a piece, and those that it shares with the next one.
-MAX_INFLATED, PIECE, OVERLAP = 1 << 30, 16 << 20, 1 << 16
-#: Bytes that unpacking xz may take: enough for its highest preset.
-XZ_MEMORY = 128 << 20
+#: Bytes that a document's streams may unpack to; bytes of a piece, those that it shares with the next one, and those of a base64 run that it may be longer by.
+MAX_INFLATED, PIECE, OVERLAP, LONGEST_RUN = 1 << 30, 16 << 20, 1 << 16, 64 << 20
+#: Bytes that unpacking a stream may take: enough for the highest presets.
+MEMORY = 128 << 20
 
 OUT = T.StructType([
     T.StructField("n_assign", T.LongType()), T.StructField("n_access", T.LongType()), T.StructField("n_hex", T.LongType()),
-    T.StructField("base_spans", T.StringType()), T.StructField("spans", T.StringType()), T.StructField("n_layers", T.LongType()),
+    T.StructField("base_spans", T.StringType()), T.StructField("spans", T.StringType()), T.StructField("n_layers", T.LongType()), T.StructField("n_guarded", T.LongType()),
 ])
 
 
@@ -127,8 +136,8 @@ def _unescape(line: str, starts, ends):
         if run and run[-1][2] != a:
             put_run()
         chars += line[at:a]
-        s += starts[at:a]
-        e += ends[at:a]
+        s.extend(starts[at:a])
+        e.extend(ends[at:a])
         code, is_byte, at = _resolved(line, m)
         if is_byte:
             run.append((code, a, at))
@@ -141,53 +150,100 @@ def _unescape(line: str, starts, ends):
     if run:
         put_run()
     chars += line[at:]
-    return "".join(chars), s + list(starts[at:]), e + list(ends[at:])
-
-
-def _inflater(raw: bytes):
-    """A decompressor if raw begins as a known compressed format does."""
-    if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and int.from_bytes(raw[:2], "big") % 31 == 0:
-        return zlib.decompressobj(47)
-    if raw[:3] == b"BZh":
-        return bz2.BZ2Decompressor()
-    if raw[:6] == b"\xfd7zXZ\x00":
-        return lzma.LZMADecompressor(memlimit=XZ_MEMORY)
-    if raw[:4] == b"\x28\xb5\x2f\xfd":
-        return zstandard.ZstdDecompressor().decompressobj()
+    return "".join(chars), np.array(s + list(starts[at:]), np.int64), np.array(e + list(ends[at:]), np.int64)
+
+
+class Budget:
+    """Bytes that a document may still unpack to, and what guards have left out."""
+
+    def __init__(self):
+        self.left, self.guarded = MAX_INFLATED, 0
+
+
+def _deflated(raw: bytes, at: int) -> bool:
+    """Whether a first block of deflated data can begin here."""
+    head = raw[at : at + 5]
+    kind = head[0] >> 1 & 3 if head else 3
+    if kind == 0:
+        return len(head) < 5 or int.from_bytes(head[1:3], "little") ^ int.from_bytes(head[3:5], "little") == 0xFFFF
+    return kind == 1 or kind == 2 and head[0] >> 3 <= 29 and (len(head) < 2 or head[1] & 31 <= 29)
+
+
+def _packed(raw: bytes, at: int, zeros: np.ndarray | None = None) -> tuple[str, int] | None:
+    """The format that begins at a place, and where its decoder is to begin, if the header is one. zeros: places of zero bytes, sorted."""
+    def after_zero(i: int) -> int:
+        if zeros is None:
+            return raw.find(b"\0", i) + 1
+        k = int(np.searchsorted(zeros, i))
+        return int(zeros[k]) + 1 if k < len(zeros) else 0
+
+    head = raw[at : at + 18]
+    if head[:3] == b"\x1f\x8b\x08" and len(head) > 10 and not head[3] & 0xE0:
+        i, flags = at + 10, head[3]
+        if flags & 4:
+            i += 2 + int.from_bytes(raw[i : i + 2], "little")
+        for bit in (8, 16):
+            if flags & bit and not (i := after_zero(i)):
+                return None
+        i += 2 if flags & 2 else 0
+        return ("gzip", i) if _deflated(raw, i) else None
+    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0 and not head[1] & 0x20:
+        return ("zlib", at + 2) if _deflated(raw, at + 2) else None
+    if head[:3] == b"BZh" and head[3:4].isdigit() and head[4:10] in (b"1AY&SY", b"\x17rE8P\x90"):
+        return "bz2", at
+    if head[:6] == b"\xfd7zXZ\0" and len(head) > 12 and zlib.crc32(head[6:8]) == int.from_bytes(head[8:12], "little"):
+        return "xz", at
+    if head[:4] == b"\x28\xb5\x2f\xfd" and len(head) > 6 and not head[4] & 8:
+        return "zstd", at
     return None
 
 
-class _Chunks:
-    """An iterator of bytes that takes bytes back."""
+class _Source:
+    """Chunks of bytes with a buffer before them."""
 
     def __init__(self, chunks):
-        self.own, self.back = iter(chunks), []
-
-    def __iter__(self):
-        return self
-
-    def __next__(self) -> bytes:
-        return self.back.pop() if self.back else next(self.own)
+        self.chunks, self.buf, self.over, self.given = iter(chunks), b"", False, 0
+        #: A stream that is being read from here, and whether the rest is no more tried as one.
+        self.stream: _Stream | None = None
+        self.plain = False
+
+    def fill(self, n: int) -> None:
+        """At least n bytes in the buffer, or all there are."""
+        if len(self.buf) >= n or self.over:
+            return
+        held = [self.buf]
+        many = len(self.buf)
+        while many < n:
+            chunk = next(self.chunks, None)
+            if chunk is None:
+                self.over = True
+                break
+            held.append(chunk)
+            many += len(chunk)
+            self.given += len(chunk)
+        self.buf = b"".join(held)
 
-    def put_back(self, raw: bytes) -> None:
-        if raw:
-            self.back.append(raw)
+    def take(self) -> bytes:
+        """What the buffer has, else the next chunk; nothing at the end."""
+        if not self.buf and not self.over:
+            self.buf = next(self.chunks, b"")
+            self.over, self.given = not self.buf, self.given + len(self.buf)
+        out, self.buf = self.buf, b""
+        return out
 
 
 class _Stream:
-    """What chunks inflate to, in chunks. Afterwards: whether it ended as it should or failed, and the bytes that are left."""
+    """What a source unpacks to, in chunks. At its end the source has the bytes that are left: those after the stream, or all of them if it has failed."""
 
-    def __init__(self, chunks: _Chunks, inflater):
-        self.chunks, self.inflater = chunks, inflater
-        self.ended = self.failed = False
-        self.fed: bytes | None = b""
-        self.rest = b""
+    def __init__(self, src: _Source, kind: str, start: int, budget: Budget):
+        self.src, self.kind, self.start, self.budget = src, kind, start, budget
+        self.failed = self.ended = False
+        self.chunks = self._run()
 
-    def _feed(self, piece: bytes):
-        d = self.inflater
-        if isinstance(d, ZSTD):
+    def _feed(self, d, piece: bytes):
+        if self.kind == "zstd":
             yield d.decompress(piece)
-        elif isinstance(d, ZLIB):
+        elif self.kind in ("gzip", "zlib"):
             while piece:
                 yield d.decompress(piece, OUT_BYTES)
                 piece = d.unconsumed_tail
@@ -196,75 +252,123 @@ class _Stream:
             while not d.eof and not d.needs_input:
                 yield d.decompress(b"", OUT_BYTES)
 
-    def __iter__(self):
-        total, step = 0, STEP if not isinstance(self.inflater, ZSTD) else ZSTD_STEP
-        for chunk in self.chunks:
-            if self.fed is not None:
-                self.fed = self.fed + chunk if len(self.fed) < PIECE else None
-            for at in range(0, len(chunk), step):
-                try:
-                    for out in self._feed(chunk[at : at + step]):
-                        total += len(out)
+    def _run(self):
+        src, fed, many = self.src, [], 0
+        try:
+            if self.kind == "bz2":
+                d = bz2.BZ2Decompressor()
+            elif self.kind == "xz":
+                d = lzma.LZMADecompressor(memlimit=MEMORY)
+            elif self.kind == "zstd":
+                d = zstandard.ZstdDecompressor(max_window_size=MEMORY).decompressobj()
+            else:
+                d = zlib.decompressobj(-15)
+            step = ZSTD_STEP if self.kind == "zstd" else STEP
+            while chunk := src.take():
+                at, many = (self.start if not many else 0), many + len(chunk)
+                if many <= PIECE + OVERLAP or not fed:
+                    fed.append(chunk)
+                for i in range(at, len(chunk), step):
+                    idle = step
+                    for out in self._feed(d, chunk[i : i + step]):
+                        self.budget.left -= len(out)
+                        idle -= len(out)
                         if out:
                             yield out
-                        if total >= MAX_INFLATED:
+                        if self.budget.left < 0:
+                            self.budget.guarded += 1
+                            src.buf, src.over, src.chunks = b"", True, iter(())
                             return
-                except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
-                    self.failed, self.rest = True, chunk[at + step :]
-                    return
-                if self.inflater.eof:
-                    self.ended, self.rest = True, self.inflater.unused_data + chunk[at + step :]
-                    return
+                    self.budget.left -= max(0, idle)  # reading that gives nothing counts too
+                    if d.eof:
+                        src.buf = d.unused_data + chunk[i + step :]
+                        # checksums behind raw data
+                        trailer = {"gzip": 8, "zlib": 4}.get(self.kind, 0)
+                        src.fill(trailer)
+                        src.buf = src.buf[trailer:]
+                        self.ended = True
+                        return
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError, MemoryError) as e:
+            self.failed = True
+            if "emory" in str(e) or "window" in str(e).lower():
+                self.budget.guarded += 1
+            if sum(map(len, fed)) == many:
+                src.buf = b"".join(fed) + src.buf
+            else:
+                self.budget.guarded += 1
 
 
 #: Bytes given to a decompressor at once, fewer where it can't be told how much to give back; and bytes that it gives back.
 STEP, ZSTD_STEP, OUT_BYTES = 1 << 12, 1 << 8, 1 << 20
-ZLIB, ZSTD = type(zlib.decompressobj()), type(zstandard.ZstdDecompressor().decompressobj())
-#: Base64 characters that are unpacked first, to see whether they are compressed at all.
-HEAD = 1 << 12
+#: Where a base64 run, on one line or several, has ended.
+RUN_END = re.compile(rb"[^A-Za-z0-9+/\-_=\r\n\t ]|(?<=[^\r\n\t ])[\t ]+(?=[^\r\n\t ])")
 
 
-def _pieces(chunks):
-    held = bytearray()
-    for c in chunks:
-        held += c
-        while len(held) > PIECE:
-            yield bytes(held[:PIECE])
-            del held[: PIECE - OVERLAP]
-    if held:
-        yield bytes(held)
+def _pieces(src: _Source, budget: Budget):
+    """A source's bytes to its end, in pieces that overlap and split no base64 run that is not too long."""
+    while True:
+        src.fill(PIECE + 1)
+        if len(src.buf) <= PIECE:
+            if src.buf:
+                yield src.buf
+            src.buf = b""
+            return
+        cut, end = PIECE, None
+        if not RUN_END.match(src.buf, PIECE):
+            searched = PIECE
+            while end is None and searched < PIECE + LONGEST_RUN:
+                src.fill(min(searched + (1 << 20), PIECE + LONGEST_RUN))
+                end = RUN_END.search(src.buf, searched)
+                if end is None and src.over:
+                    yield src.buf
+                    src.buf = b""
+                    return
+                searched = len(src.buf)
+            cut = end.start() if end else searched
+            budget.guarded += end is None
+        yield src.buf[:cut]
+        src.buf = src.buf[max(1, cut - OVERLAP) :]
 
 
-def _unpacked(chunks, path: frozenset = frozenset()):
-    """Pieces of the bytes, compressed ones unpacked until none begins as a compressed format does.
+def _contents(first: _Source, budget: Budget):
+    """Pieces of a source's bytes, unpacked until none begins as a compressed format does.
 
-    path: the beginnings of the streams around; one that comes again is a cycle.
+    The open layers are a list: the last one is read; when it has no more, the one
+    below goes on with what its stream left.
     """
-    chunks = _Chunks(chunks)
-    while True:
-        head = b""
-        for c in chunks:
-            head += c
-            if len(head) >= HEAD:
-                break
-        if not head:
-            return
-        chunks.put_back(head)
-        mark = head[:HEAD]
-        if mark in path or (inflater := _inflater(head)) is None:
-            yield from _pieces(chunks)
-            return
-        stream = _Stream(chunks, inflater)
-        yield from _unpacked(iter(stream), path | {mark})
-        if stream.ended:
-            chunks.put_back(stream.rest)
-        elif stream.failed:
-            chunks.put_back(stream.rest)
-            chunks.put_back(stream.fed or b"")
-            yield from _pieces(chunks)
-            return
-        else:
-            return
+    open_, seen = [first], set()
+    while open_:
+        src = open_[-1]
+        if src.stream is not None:
+            # the layer above has read the stream to its end
+            src.plain, src.stream = src.plain or src.stream.failed, None
+        src.fill(PIECE)
+        if not src.buf:
+            open_.pop()
+            continue
+        if not src.plain:
+            mark = xxhash.xxh3_128_digest(src.buf)
+            here = None if mark in seen else _packed(src.buf, 0)
+            if here is not None:
+                seen.add(mark)
+                src.stream = _Stream(src, *here, budget)
+                # a small layer is unpacked whole, so that its stream is closed before the next one is opened
+                held, many = [], 0
+                for out in src.stream.chunks:
+                    held.append(out)
+                    many += len(out)
+                    if many > PIECE:
+                        break
+                more = src.stream.chunks if many > PIECE else ()
+                if many <= PIECE:
+                    src.plain, src.stream = src.plain or src.stream.failed, None
+                    if not src.buf and src.over:
+                        open_.pop()
+                if held:
+                    open_.append(_Source(chain([b"".join(held)], more)))
+                continue
+        yield from _pieces(src, budget)
+        open_.pop()
 
 
 def _whole(raw: bytes) -> bytes:
@@ -294,17 +398,23 @@ WIDE = re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){14}|(?:\x00[\t\n\r\x20-\x7e]){14}
 
 
 def _texts(raw: bytes):
-    """raw as texts in which secrets can stand, with the place of the first byte and the bytes of a character: UTF-8, else its runs of ASCII; UTF-16."""
+    """raw as texts in which secrets can stand, with the place of the first byte of each character and of the last one's end: UTF-8, else its runs of ASCII; UTF-16."""
     plain = _readable(raw)
     if plain is not None:
-        yield plain, 0, lambda c: len(c.encode())
+        if len(plain) == len(raw):
+            yield plain, np.arange(len(raw) + 1)
+        else:
+            code = np.frombuffer(plain.encode("utf-32-le"), np.uint32)
+            yield plain, np.r_[0, np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))]
     else:  # nothing that is looked for has other characters
         for m in ASCII.finditer(raw):
-            yield m[0].decode(), m.start(), lambda c: 1
+            yield m[0].decode(), np.arange(m.start(), m.end() + 1)
     if b"\x00" in raw and (m := WIDE.search(raw)):
         at = m.start() % 2
         body = raw[at : at + (len(raw) - at) // 2 * 2]
-        yield body.decode("utf-16-be" if m[0][:1] == b"\x00" else "utf-16-le", "replace"), at, lambda c: 2 if ord(c) < 0x10000 else 4
+        wide = body.decode("utf-16-be" if m[0][:1] == b"\x00" else "utf-16-le", "replace")
+        code = np.frombuffer(wide.encode("utf-32-le"), np.uint32)
+        yield wide, np.r_[at, at + np.cumsum(2 + 2 * (code >= 0x10000))]
 
 
 class _Same:
@@ -317,13 +427,15 @@ class _Same:
         return self.n
 
     def __getitem__(self, i):
-        return _Same(self.value, len(range(*i.indices(self.n)))) if isinstance(i, slice) else self.value
+        if isinstance(i, slice):
+            return _Same(self.value, len(range(*i.indices(self.n))))
+        return _Same(self.value, len(i)) if isinstance(i, np.ndarray) else self.value
 
     def __iter__(self):
         return repeat(self.value, self.n)
 
 
-def _layers(text: str, starts, ends):
+def _layers(text: str, starts, ends, budget: Budget):
     """The layers that a layer wraps: (text, starts, ends)."""
     if "%" in text or "\\" in text or "&#" in text:
         at = 0
@@ -333,7 +445,7 @@ def _layers(text: str, starts, ends):
             at += len(line) + 1
     for m in RUN.finditer(text):
         run = m[0].rstrip("=")
-        yield from _decoded(run, range(m.start(), m.start() + len(run)), starts, ends)
+        yield from _decoded(run, np.arange(m.start(), m.start() + len(run)), starts, ends, budget)
     if "\n" in text:
         for m in WRAPPED.finditer(text):
             whole = m[0].rstrip("=")
@@ -345,7 +457,7 @@ def _layers(text: str, starts, ends):
             run.append(whole[at:])
             places += range(m.start() + at, m.start() + len(whole))
             if len(places) >= 16:
-                yield from _decoded("".join(run), places, starts, ends)
+                yield from _decoded("".join(run), np.array(places), starts, ends, budget)
 
 
 def _bytes_of(run: str) -> bytes:
@@ -354,83 +466,90 @@ def _bytes_of(run: str) -> bytes:
     return binascii.a2b_base64(run[:n] + "=" * (-n % 4))
 
 
-def _decoded(run: str, places, starts, ends):
+def _decoded(run: str, places: np.ndarray, starts, ends, budget: Budget):
     """The layers in a base64 run, whose characters stand at places: each alignment as text, and all that begins as a compressed format does."""
     run = run.translate(URL_SAFE)
-    for phase in range(4):
-        raw = _bytes_of(run[phase:])
-        for plain, b, bytes_of in _texts(raw) if not phase or ASCII.search(raw) or b"\x00" in raw else ():
-            s, e = [], []
-            for c in plain:
-                n = bytes_of(c)
-                s.append(starts[places[phase + b * 4 // 3]])
-                e.append(ends[places[min(len(run) - 1, phase + ((b + n) * 4 + 2) // 3 - 1)]])
-                b += n
-            yield plain, s, e
-    done = 0
+    raws = [_bytes_of(run[phase:]) for phase in range(4)]
+    for phase, raw in enumerate(raws):
+        for plain, at in _texts(raw) if not phase or ASCII.search(raw) or b"\x00" in raw else ():
+            first = places[phase + at[:-1] * 4 // 3]
+            last = places[np.minimum(len(run) - 1, phase + (at[1:] * 4 + 2) // 3 - 1)]
+            yield plain, starts[first], ends[last]
+    zeros: list[np.ndarray | None] = [None] * 4
+    done, tried = 0, set()
     for m in PACKED.finditer(run):
         if m.start() < done:
             continue
-        raw = _bytes_of(run[m.start() : m.start() + HEAD])
-        if (inflater := _inflater(raw)) is None:
-            continue
-        probe = _Stream(_Chunks([raw]), inflater)
-        size = sum(len(x) for x in islice(iter(probe), 64))
-        if not probe.failed and len(run) > m.start() + HEAD:  # most that only look compressed fail before
-            raw = _bytes_of(run[m.start() :])
-        elif not size:
-            continue
-        while (inflater := _inflater(raw)) is not None:
-            stream = _Stream(_Chunks([raw]), inflater)
-            for inner in _unpacked(iter(stream), frozenset({raw[:HEAD]})):
-                for plain, _, _ in _texts(_whole(inner)):
+        phase, at = m.start() % 4, m.start() // 4 * 3
+        raw = raws[phase]
+        if zeros[phase] is None:
+            zeros[phase] = np.flatnonzero(np.frombuffer(raw, np.uint8) == 0)
+        while (found := _packed(raw, at, zeros[phase])) is not None and (phase, *found) not in tried:
+            tried.add((phase, *found))
+            src = _Source(raw[i : i + READ] for i in range(found[1], len(raw), READ))
+            stream = _Stream(src, found[0], 0, budget)
+            inner = _Source(stream.chunks)
+            inner.fill(1)
+            if not inner.buf and stream.failed:
+                break  # as nearly all that only look packed
+            for piece in _contents(inner, budget):
+                for plain, _ in _texts(_whole(piece)):
                     yield plain, _Same(starts[places[m.start()]], len(plain)), _Same(ends[places[-1]], len(plain))
             if not stream.ended:
                 break
             # what begins inside the stream has been unpacked with it
-            done = max(done, m.start()) + (len(raw) - len(stream.rest)) * 4 // 3
-            raw = stream.rest
+            at = found[1] + src.given - len(src.buf)
+            done = max(done, m.start(), phase + at // 3 * 4)
 
 
+#: Bytes of a run that a decoder is given at a time.
+READ = 1 << 16
 URL_SAFE = str.maketrans("-_", "+/")
 
 
-def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
+def find(text: str, budget: Budget | None = None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
     """Base spans, all spans and the number of layers below the text."""
+    budget = budget or Budget()
     base = scan(text)
     spans, seen, n = set(base), set(), 0
-    work = [(text, range(len(text)), range(1, len(text) + 1))]
+    work = [(text, np.arange(len(text)), np.arange(1, len(text) + 1))] if MAYBE.search(text) else []
     while work:
-        for layer, s, e in _layers(*work.pop()):
+        for layer, s, e in _layers(*work.pop(), budget):
             if not layer:
                 continue
-            mark = (hashlib.blake2b(layer.encode("utf-8", "replace"), digest_size=16).digest(), s[0], e[-1])
+            mark = (hashlib.blake2b(layer.encode("utf-8", "replace"), digest_size=16).digest(), int(s[0]), int(e[-1]))
             if mark in seen:
                 continue
             seen.add(mark)
             n += 1
-            spans.update((s[a], kind, e[b - 1]) for a, kind, b in scan(layer))
+            spans.update((int(s[a]), kind, int(e[b - 1])) for a, kind, b in scan(layer))
             work.append((layer, s, e))
     return base, sorted(spans), n
 
 
+#: What a text has at least if anything can be decoded from it: an escape, or letters enough for a run on one line or several.
+MAYBE = re.compile(r"%[0-9A-Fa-f]|\\[ux]|&#|[A-Za-z0-9+/_-]{16}|[A-Za-z0-9+/_-]\s*\n\s*[A-Za-z0-9+/_-]")
+
+
 def write_spans(spans: list[tuple[int, int, int]]) -> str:
     return ",".join([f"{KINDS[k]}:{a}:{b}" for a, k, b in spans])
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
-    """docs with base counts, base_spans, spans (kind:start:end) and n_layers."""
+    """docs with base counts, base_spans, spans (kind:start:end), n_layers and n_guarded, what guards have left out."""
 
     def start():
         def work(column):
             made = {f.name: [] for f in OUT}
             for t in column:
-                base, spans, n = find(t)
+                budget = Budget()
+                base, spans, n = find(t, budget)
                 for i, k in enumerate(KINDS):
                     made[f"n_{k}"].append(sum(x[1] == i for x in base))
                 made["base_spans"].append(write_spans(base))
                 made["spans"].append(write_spans(spans))
                 made["n_layers"].append(n)
+                made["n_guarded"].append(budget.guarded)
             return made
 
         return work
