@@ -6,7 +6,8 @@ probability equal to the fraction of its source's rate.
 
 Edge cases: a null text has size 0; a null source is a source of its own, last
 in the order; a source without words has target 0 and rate 0; an empty table
-gives an empty result. Equal doc_ids share one draw, so reruns agree.
+gives an empty result. Equal doc_ids share one draw, so reruns agree; a null
+doc_id draws by its text, so that of a source of such rows a part is taken.
 """
 
 from __future__ import annotations
@@ -55,9 +56,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float =
     )
 
 
-def draw(key: Column) -> Column:
-    """A number in [0, 1) that depends on the key alone: 32 bits of its MD5."""
-    return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("null")).cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+def draw(key: Column, text: Column) -> Column:
+    """A number in [0, 1) that depends on the key alone, or on the text where that is null: 32 bits of MD5."""
+    name = F.coalesce(key.cast("string"), F.concat(F.lit("null "), text))
+    return F.conv(F.substring(F.md5(name.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
 def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST_RATE) -> DataFrame:
@@ -76,7 +78,7 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float =
     out = docs.join(per, docs["source"].eqNullSafe(per[own]), "inner").drop(own)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    copies = whole + (draw(F.col("doc_id")) < rate - whole).cast("long")
+    copies = whole + (draw(F.col("doc_id"), text_of(out)) < rate - whole).cast("long")
     return out.withColumn("copies", copies.cast("long")).withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
 
 

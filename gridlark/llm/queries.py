@@ -162,7 +162,7 @@ SQL: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
         FROM k LEFT JOIN c USING (key) GROUP BY doc_id""",
     "op9_mixing": r"""
-        WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+        WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
         s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
         r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM s),
         w AS (SELECT *, CAST(k % 3 + 1 AS DOUBLE) AS w, source_size * 3.0::DOUBLE AS cap FROM r),
@@ -172,7 +172,7 @@ SQL: dict[str, str] = {
         f AS (SELECT arg_min(level, {'r': cap / w, 'k': k}) AS level FROM l WHERE cap >= level * w),
         t AS (SELECT source, source_size, least(cap, coalesce(f.level * w, cap)) AS target FROM l, f),
         j AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-                     CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+                     CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null ' || text)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
               FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT doc_id, size, source_size, target,
                CAST((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM j""",
