@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: File name of an orbit's table; the number is the orbit's.
-ORBIT_FILE = r"_(\d{4})_[AB]\.2[BC]"
+#: File name of an orbit's table; the number is the orbit's, of four digits or more.
+ORBIT_FILE = r"_(\d{4,7})_[AB]\.2[BC]"
 BIN_NAME = r"(\d+)_(\d+)$"
 BROWSE_NAME = r"(?:(\w{3})_)?(t\d)_(\w+?)_(\d+_\d+)(\w+)?\.png"
 

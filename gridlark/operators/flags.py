@@ -225,10 +225,10 @@ def standard_steps(rules: FlagRules, with_fit: bool = True) -> list[Step]:
 
 
 def apply_flags(df: DataFrame, first: Step, steps: Sequence[Step], between: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """One lazy plan. A step that aggregates reads the plan before it twice: `between`, which may write a table and read it, comes before each such step."""
+    """The steps one after another. A step that aggregates reads the plan before it twice, so that is written first, by `between` or to the shared folder."""
     out = first(df)
     for s in steps:
-        out = s(between(out) if between and getattr(s, "aggregates", False) else out)
+        out = s((between or (lambda held: written(held, "flags")))(out) if getattr(s, "aggregates", False) else out)
     return out
 
 

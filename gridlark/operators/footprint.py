@@ -14,8 +14,8 @@ from gridlark.functions.units import db_to_power
 from gridlark.operators.grids import Grid, finish_moments, smooth, wrap_longitude
 from gridlark.schema import ANTENNAS, MOON_RADIUS_KM, Antenna
 
-#: Kernel points that may be broadcast and joined in SQL; finer kernels use numpy.
-SQL_KERNEL_POINTS = 5000
+#: Kernel points that may be broadcast and joined in SQL, beyond which blocks of samples are added up with numpy unless asked otherwise, and of all kernels together on the driver.
+SQL_KERNEL_POINTS, DENSE_POINTS, MOST_KERNEL_POINTS = 5000, 16, 4_000_000
 #: Footprint points that a numpy task places at once, and cells between the least and the largest of them for plain counting.
 BLOCK_POINTS, SPAN_CELLS = 500_000, 2_000_000
 
@@ -168,12 +168,15 @@ def _block_sums(d, la, lo, t, kernel: tuple, g: Grid, turn: int, standard: bool)
 
 
 def spread_samples_dense(samples: DataFrame, kernel_df: DataFrame, grid: Grid, turn: int, standard: bool = False, keys: Sequence[str] = ()) -> DataFrame:
-    """As spread_samples for fine kernels: tasks add up blocks of samples with numpy and hand on sums of cells.
+    """As spread_samples, without a row for each sample and point: tasks add up blocks of samples with numpy and hand on sums of cells.
 
-    The kernels go to the driver: their size depends on resolution, not on data.
+    The kernels go to the driver: their size depends on resolution, not on data,
+    and more than MOST_KERNEL_POINTS raise.
     """
     by_channel = "channel" in kernel_df.columns
-    k = kernel_df.select(*(["channel"] if by_channel else []), "x_over_rad", "y_over_rad", "scaled_rad", "weight").toPandas()
+    k = kernel_df.select(*(["channel"] if by_channel else []), "x_over_rad", "y_over_rad", "scaled_rad", "weight").limit(MOST_KERNEL_POINTS + 1).toPandas()
+    if len(k) > MOST_KERNEL_POINTS:
+        raise ValueError(f"the kernels have more than {MOST_KERNEL_POINTS} points")
     parts = {c: p.drop(columns="channel") for c, p in k.groupby("channel")} if by_channel else {None: k}
     kernels = {c: tuple(np.ascontiguousarray(p.to_numpy(float)[:, i]) for i in range(4)) for c, p in parts.items()}
     held = _doubles(samples, keys)
@@ -201,9 +204,9 @@ def spread_samples_dense(samples: DataFrame, kernel_df: DataFrame, grid: Grid, t
 
 
 def spread(samples: DataFrame, kernel_df: DataFrame, grid: Grid, turn: int, standard: bool = False, keys: Sequence[str] = (), dense: bool | None = None) -> DataFrame:
-    """spread_samples, or spread_samples_dense if asked for or if the kernel is too fine for a join."""
+    """spread_samples_dense, or spread_samples if asked for or if the kernel is a few points: a join has a row for each sample and point."""
     if dense is None:
-        dense = kernel_df.limit(SQL_KERNEL_POINTS + 1).count() > SQL_KERNEL_POINTS
+        dense = kernel_df.limit(DENSE_POINTS + 1).count() > DENSE_POINTS
     return (spread_samples_dense if dense else spread_samples)(samples, kernel_df, grid, turn, standard, keys)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlark.operators.order import even_groups
+from gridlark.sources.scratch import written
 
 
 @dataclass(frozen=True)
@@ -219,8 +220,10 @@ def nearest_fill(df: DataFrame, reach: int | None = None, value: str = "value")
 
     A distance transform in two passes: along each column of the grid windows
     find the nearest valid cell above and below, along each row the best of the
-    columns' cells is taken. Either pass holds one line of the grid.
+    columns' cells is taken. Either pass holds one line of the grid. df is written
+    once, since four steps read it.
     """
+    df = written(df, "holes")
     bounds = df.agg(F.min("lat_ix").alias("_lo"), F.max("lat_ix").alias("_hi"))
     lattice = df.select("lon_ix").distinct().crossJoin(F.broadcast(bounds)).select("lon_ix", F.explode(F.sequence("_lo", "_hi")).alias("lat_ix"))
     here = df.select("lat_ix", "lon_ix", F.col(value).cast("double").alias("_v"), F.lit(True).alias("_in"))
@@ -293,3 +296,14 @@ def tick_positions(df: DataFrame, index: str, value: str, targets: list[float],
     if (missing := len(set(targets)) - out.count()) > 0:
         raise ValueError(f"{missing} targets have no match within {tolerance}")
     return out
+
+
+def end_tiles(df: DataFrame, size: float, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """(end, tile_lat, tile_lon, n): the tiles with rows that are nearest to the equator and furthest from it, by their least absolute latitude; ties: smaller indices."""
+    floor = lambda c: F.floor(F.col(c) / size).cast("int")
+    tiles = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).groupBy(floor(lat).alias("tile_lat"), floor(lon).alias("tile_lon")).agg(F.count(F.lit(1)).alias("n"))
+    away = F.greatest(F.col("tile_lat"), -F.col("tile_lat") - 1)
+    first = lambda sign: F.min(F.struct((sign * away).alias("away"), "tile_lat", "tile_lon", "n"))
+    ends = tiles.agg(first(1).alias("near"), first(-1).alias("far"))
+    both = F.explode(F.array(F.struct(F.lit("near").alias("end"), F.col("near").alias("t")), F.struct(F.lit("far").alias("end"), F.col("far").alias("t")))).alias("e")
+    return ends.select(both).where("e.t is not null").select("e.end", "e.t.tile_lat", "e.t.tile_lon", "e.t.n")

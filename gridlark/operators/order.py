@@ -49,6 +49,15 @@ def even_groups(df: DataFrame, order: Sequence[str], n: int, name: str = "group"
     return held.crossJoin(F.broadcast(total)).withColumn(name, group.cast("int")).drop("_o", "_total")
 
 
+def beside(left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str]) -> DataFrame:
+    """Columns of both, row by row of their orders: a positional concatenation as a join on ordinals. Raises if one has more rows."""
+    a, b = ordinals(left, left_order, "_o"), ordinals(right, right_order, "_o")
+    n, m = a.count(), b.count()
+    if n != m:
+        raise ValueError(f"{n} rows beside {m}")
+    return a.join(b, "_o").drop("_o")
+
+
 # --- dictionaries
 
 def dictionary(df: DataFrame, column: str) -> DataFrame:

@@ -1,11 +1,12 @@
-"""Exact quantiles in two scans: a mergeable sketch brackets them, a count inside the brackets finds them.
+"""Exact quantiles in a few scans: a mergeable sketch brackets them, a count inside the brackets finds them.
 
 The first scan merges KLL sketches, one a column, and counts. Of up to SKETCH
 values a sketch holds all and is exact. With more, an order statistic lies between
 the sketch's quantiles at its rank less and plus the sketch's error; the second
-scan counts what lies before each bracket and how often each value in it occurs.
-If a bracket should fail, or hold more than SORTED values, ranks are counted by
-bins until few values are left.
+scan counts what lies before each bracket and how often each value in it occurs:
+two scans for some ten million values. If brackets hold more than SORTED values,
+what is inside them is counted by bins until few are left: two scans more, each of
+a small share of the values. If a bracket should fail, all values are counted so.
 """
 
 from __future__ import annotations
@@ -73,8 +74,21 @@ def _in_brackets(held: DataFrame, brackets: list[tuple[float, float]], ranks: li
     return out
 
 
+def _narrowed(held: DataFrame, brackets: list[tuple[float, float]], ranks: list[int]) -> dict[int, float] | None:
+    """The values at the ranks if all lie in the brackets: ranks are counted by bins inside them."""
+    v = F.col("v")
+    counts = held.agg(*[x for k, (lo, hi) in enumerate(brackets) for x in (F.count(F.when(v < lo, 1)).alias(f"below{k}"), F.count(F.when((v >= lo) & (v <= hi), 1)).alias(f"inside{k}"))]).first()
+    out = {}
+    for k, (lo, hi) in enumerate(brackets):
+        below, inside = counts[f"below{k}"], counts[f"inside{k}"]
+        own = sorted({r - below for r in ranks if below <= r < below + inside})
+        if own:
+            out.update({r + below: x for r, x in _by_bins(held.where((v >= lo) & (v <= hi)), own, lo, hi, inside).items()})
+    return out if set(ranks) <= set(out) else None
+
+
 def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], shares: Sequence[float]) -> dict[str, list[float | None]]:
-    """Of each column the quantiles, linear between ranks; null and NaN don't count, and a column without values has None. df is read twice at most, as a rule."""
+    """Of each column the quantiles, linear between ranks; null and NaN don't count, and a column without values has None."""
     held = df.select(*[c.cast("double").alias(k) for k, c in columns.items()])
     held = held.select(*[F.when(~F.isnan(k), F.col(k) + F.lit(0.0)).alias(k) for k in columns])
     found = held.agg(*[F.struct(F.count(k).alias("n"), F.min(k).alias("lo"), F.max(k).alias("hi"), F.kll_sketch_agg_double(k, SKETCH).alias("sketch")).alias(k) for k in columns]).first()
@@ -101,6 +115,7 @@ def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], shares: Sequen
             own = held.select(F.col(k).alias("v")).where("v is not null")
             # the ends are known: brackets that reach them are open there
             brackets = [(q[3 * i] if (r + 0.5) / n > ERROR else found[k]["lo"], q[3 * i + 2] if (r + 0.5) / n < 1 - ERROR else found[k]["hi"]) for i, r in enumerate(ranks)]
-            got = _in_brackets(own, _merged(brackets), ranks) or _by_bins(own, sorted(set(ranks)), found[k]["lo"], found[k]["hi"], n)
+            brackets = _merged(brackets)
+            got = _in_brackets(own, brackets, ranks) or _narrowed(own, brackets, ranks) or _by_bins(own, sorted(set(ranks)), found[k]["lo"], found[k]["hi"], n)
         out[k] = [got[math.floor(x)] + (got[math.ceil(x)] - got[math.floor(x)]) * (x - math.floor(x)) for x in at]
     return out

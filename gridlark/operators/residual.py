@@ -108,7 +108,7 @@ def check_quantized(df: DataFrame, value: str = "value", most: float = 2e-3) ->
 
 
 def quantiles(df: DataFrame, value: str, shares: Sequence[float]) -> list[float | None]:
-    """Exact quantiles, linear between ranks, in two scans at most."""
+    """Exact quantiles, linear between ranks."""
     return exact_quantiles(df, {"v": F.col(value)}, shares)["v"]
 
 

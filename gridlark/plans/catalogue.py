@@ -239,7 +239,7 @@ CHAIN_SQL = MISSION_SQL + """,
 
 
 def chained(spark, sf_dir) -> DataFrame:
-    votes = lambda df: flags.flag_orbits(df, flags.lat_cut_orbits(flags.latitude_votes(df, "t2", 2), 0.5), flags.LAT_CUT)
+    votes = flags.aggregating(lambda df: flags.flag_orbits(df, flags.lat_cut_orbits(flags.latitude_votes(df, "t2", 2), 0.5), flags.LAT_CUT))
     steps = [flags.low_temp(190.0), flags.channel_spread(75.0), flags.small_orbits(250), flags.bad_orbits((2, 3)), flags.excluded((40, 60)), votes]
     return flags.apply_flags(samples_view(spark, sf_dir), flags.mission(OK), steps)
 
@@ -484,18 +484,25 @@ def _slice(spark, sf_dir) -> DataFrame:
 _DECONV = kernel_sql(4.0, 7) + ", " + PROJECT_SQL.format(where="orbiter = 'a' AND ltst < 0.25") + ", " + SPREAD_SQL
 
 
-def _spread(spark, sf_dir) -> DataFrame:
-    return footprint.spread_samples(_slice(spark, sf_dir), footprint.kernel(spark, 2, 4.0), G5_OFF, 72)
+_WHOLE = kernel_sql(4.0, 7) + ", " + PROJECT_SQL.format(where="true") + ", " + SPREAD_SQL
 
 
-@query(f"SELECT lat_ix, lon_ix, {q('w', 5)} AS w FROM sums", _DECONV)
+def _all(spark, sf_dir) -> DataFrame:
+    return samples_view(spark, sf_dir).withColumn("t", F.col("t2"))
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    return footprint.spread_samples(rows, footprint.kernel(rows.sparkSession, 2, 4.0), G5_OFF, 72)
+
+
+@query(f"SELECT lat_ix, lon_ix, {q('w', 4)} AS w FROM sums", _WHOLE)
 def weighted_hist2d(spark, sf_dir):
-    return _spread(spark, sf_dir).select("lat_ix", "lon_ix", r("w", 5).alias("w"))
+    return _spread(_all(spark, sf_dir)).select("lat_ix", "lon_ix", r("w", 4).alias("w"))
 
 
 @query(f"SELECT lat_ix, lon_ix, {q('w', 4)} AS w, {q('wt', 3)} AS wt, {q('wt2', 1)} AS wt2 FROM sums", _DECONV)
 def deconv_moments(spark, sf_dir):
-    return _spread(spark, sf_dir).select("lat_ix", "lon_ix", r("w", 4).alias("w"), r("wt", 3).alias("wt"), r("wt2", 1).alias("wt2"))
+    return _spread(_slice(spark, sf_dir)).select("lat_ix", "lon_ix", r("w", 4).alias("w"), r("wt", 3).alias("wt"), r("wt2", 1).alias("wt2"))
 
 
 @query(f"SELECT lat_ix, lon_ix, {q('wt / w', 8)} AS mean, {q('sqrt(round(greatest(0, (wt2 * w - wt * wt) / (w * w)), 5))')} AS std FROM sums", _DECONV)
@@ -550,9 +557,9 @@ def side_lobe_kernel(spark, sf_dir):
     return footprint.kernel(spark, 4, 2.0, main_only=False).select("k", r("weight", 9).alias("weight"))
 
 
-@query(f"SELECT lat_ix, lon_ix, CASE WHEN w >= 20 THEN {q('wt / w', 8)} END AS mean FROM sums", _DECONV)
+@query(f"SELECT lat_ix, lon_ix, CASE WHEN w >= 20 THEN {q('wt / w', 8)} END AS mean FROM sums", _WHOLE)
 def coverage_mask(spark, sf_dir):
-    d = footprint.deconvolve(_slice(spark, sf_dir), footprint.kernel(spark, 2, 4.0), G5_OFF, 72, threshold=20.0)
+    d = footprint.deconvolve(_all(spark, sf_dir), footprint.kernel(spark, 2, 4.0), G5_OFF, 72, threshold=20.0)
     return d.select("lat_ix", "lon_ix", r("mean", 8).alias("mean"))
 
 

@@ -275,3 +275,82 @@ def label_records(spark, sf_dir):
     fits.write_text_files(s.select(F.format_string("orbit_%s.xml", F.col("orbit").cast("string")).alias("name"), text.alias("label")), path)
     found = labels.as_records(labels.read_xml_labels(spark, path, "Product"), {"product": "Logical_ID", "records": "record_count", "instrument": "instrument", "first_band": "band"})
     return found.drop("file")
+
+
+def _label_maps(spark, sf_dir) -> DataFrame:
+    s = samples_view(spark, sf_dir).withColumn("bin_start", times.local_bin(F.col("ltst"), 6))
+    cells_ = G5.place(s).groupBy("orbiter", "bin_start", "lat_ix", "lon_ix").agg(F.avg("t1").alias("TEMP"), F.stddev_pop("t1").alias("STDEV"))
+    long = cells_.select("orbiter", F.lit(2).alias("channel"), "bin_start", (F.col("bin_start") + 6).alias("bin_stop"), "lat_ix", "lon_ix", F.explode(F.create_map(F.lit("TEMP"), F.col("TEMP"), F.lit("STDEV"), F.col("STDEV"))).alias("maptype", "value"))
+    return G5.with_coordinates(long).withColumn("value", F.when(F.col("lat_ix") % 9 > 0, F.col("value")))
+
+
+@query(f"""SELECT lower(orbiter || '_t2_' || maptype) AS stem, '7.8' AS ghz, CAST(max(lat_ix) - min(lat_ix) + 1 AS VARCHAR) AS lines, CAST(count(DISTINCT bin_start) AS VARCHAR) AS bins,
+    CASE WHEN maptype = 'STDEV' THEN 'biased' END AS deviation, max(maptype || '_0_6') AS first_bin, CAST(CAST(sum(CASE WHEN bin_start = 0 AND lat_ix % 9 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS VARCHAR) AS missing, CAST(min(lat_ix) * 5.0::DOUBLE - 90 AS VARCHAR) AS south
+  FROM (SELECT orbiter, maptype, bin_start, lat_ix FROM (SELECT DISTINCT orbiter, CAST(floor(ltst * 24 / 6) * 6 AS INTEGER) AS bin_start, CAST(floor((lat + 90) / 5) AS INTEGER) AS lat_ix, floor((lon + 180) / 5) AS lon_ix FROM samples), (VALUES ('TEMP'), ('STDEV')) m(maptype)) GROUP BY orbiter, maptype""")
+def map_labels(spark, sf_dir):
+    """Maps of all bins to label files, one a product, and the files' elements."""
+    from gridlark.plans import map_labels as plan
+
+    path = scratch_path(spark, "map-labels")
+    fits.write_text_files(plan.map_labels(_label_maps(spark, sf_dir), 0.2, plan.map_rules()), path)
+    found = labels.as_records(labels.read_xml_labels(spark, path, "Product"), {"stem": "logical_id", "ghz": "_frequency", "lines": "lines", "bins": "_count", "deviation": "Deviation", "first_bin": "_name", "missing": "missing", "south": "south"})
+    return found.drop("file")
+
+
+# --- texts, headers and ends
+
+@query("SELECT CAST(orbit AS INTEGER) AS orbit, utc, CAST(lat AS FLOAT) AS lat, CAST(CASE WHEN lon >= 180 THEN lon - 360 ELSE lon END AS FLOAT) AS lon, CAST(d AS FLOAT) AS d, CAST(t1 AS FLOAT) AS t1, CAST(t2 AS FLOAT) AS t2, mflag FROM samples")
+def orbit_texts(spark, sf_dir):
+    """Attached-label text tables, a file an orbit, written in parallel and read back as typed samples."""
+    path = scratch_path(spark, "texts")
+    fits.write_text_files(tables.orbit_texts(samples_view(spark, sf_dir), order=("utc", "key", "line")), path)
+    raw = tables.read_orbit_texts(spark, path, "a")
+    return tables.typed_samples(raw).select("orbit", "utc", "lat", "lon", "d", "t1", "t2", "mflag")
+
+
+@query("SELECT key, line, lat, lon FROM samples ORDER BY md5('7|' || key || '|' || line || '|' || CAST(orbit AS VARCHAR)), key, line, orbit LIMIT 5")
+def spot_check(spark, sf_dir):
+    s = samples_view(spark, sf_dir)
+    return tables.spot_check(s, 5, 7, ["key", "line", "orbit"]).select("key", "line", "lat", "lon")
+
+
+@query("SELECT a.key, a.line, a.t1, b.orbit, b.lat FROM (SELECT *, row_number() OVER (ORDER BY key, line, t1, t2, orbit) AS n FROM samples) a JOIN (SELECT *, row_number() OVER (ORDER BY orbit, lat, lon, t2, key) AS n FROM samples) b USING (n)")
+def positional_concat(spark, sf_dir):
+    """Two tables of one length side by side, each in its own order."""
+    s = samples_view(spark, sf_dir)
+    left = s.select("key", "line", "t1", "t2", F.col("orbit").alias("_orbit"))
+    right = s.select("orbit", "lat", "lon", F.col("t2").alias("_t2"), F.col("key").alias("_key"))
+    out = order.beside(left, right, ["key", "line", "t1", "t2", "_orbit"], ["orbit", "lat", "lon", "_t2", "_key"])
+    return out.select("key", "line", "t1", "orbit", "lat")
+
+
+@query("""SELECT orbit, k AS key, v AS value FROM (SELECT orbit, unnest(['ORBIT', 'ROWS', 'PTYPE']) AS k, unnest([CAST(orbit AS VARCHAR), CAST(count(*) AS VARCHAR), 'TEMP']) AS v FROM samples GROUP BY orbit
+  UNION ALL SELECT orbit, 'LEAST', CASE WHEN orbit % 3 > 0 THEN CAST(min(line) AS VARCHAR) END FROM samples GROUP BY orbit) WHERE v IS NOT NULL""")
+def merged_headers(spark, sf_dir):
+    """Two headers an orbit, merged; one key is replaced, one removed, null values go."""
+    from gridlark.plans.templates import merged_header
+
+    o = samples_view(spark, sf_dir).groupBy("orbit").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("least"))
+    pairs = lambda *xs: F.create_map(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in xs])
+    one = pairs("ORBIT", F.col("orbit"), "PTYPE", F.lit("BASE"), "COMMENT", F.lit("x"))
+    two = pairs("ROWS", F.col("n"), "PTYPE", F.lit("TEMP"), "LEAST", F.when(F.col("orbit") % 3 > 0, F.col("least")))
+    return o.select("orbit", F.explode(merged_header(one, two, without=["COMMENT"])).alias("key", "value"))
+
+
+@query("""SELECT * FROM (SELECT 'near' AS "end", * FROM t ORDER BY greatest(tile_lat, -tile_lat - 1), tile_lat, tile_lon LIMIT 1) UNION ALL SELECT * FROM (SELECT 'far', * FROM t ORDER BY greatest(tile_lat, -tile_lat - 1) DESC, tile_lat, tile_lon LIMIT 1)""",
+       "t AS (SELECT CAST(floor(lat / 4) AS INTEGER) AS tile_lat, CAST(floor(lon / 4) AS INTEGER) AS tile_lon, count(*) AS n FROM samples GROUP BY ALL)")
+def end_tiles(spark, sf_dir):
+    from gridlark.operators import grids
+
+    return grids.end_tiles(samples_view(spark, sf_dir), 4.0)
+
+
+@query("SELECT orbit, n, line FROM (SELECT DISTINCT orbit FROM samples), (VALUES (0, 'orbit'), (5, '  only maps'), (7, 'end')) v(n, line)")
+def label_lines(spark, sf_dir):
+    """Lines of a label an orbit, without those of a block and without marks and comments."""
+    from gridlark.plans.templates import delete_lines_frame
+
+    lines = ["orbit", "{delete:table}", "  only tables", "  {stop:table}", "{delete:map}", "  only maps", "{stop:map}", "end", "<!-- note -->"]
+    o = samples_view(spark, sf_dir).select("orbit").distinct()
+    held = o.select("orbit", F.posexplode(F.array(*[F.lit(x) for x in lines])).alias("n", "line"))
+    return delete_lines_frame(held, ["table"], ["orbit"]).select("orbit", "n", "line")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,3 +94,14 @@ def indent(xml: str, space: str = "  ") -> str:
     root = ET.fromstring(xml)
     ET.indent(root, space)
     return ET.tostring(root, encoding="unicode")
+
+
+def _beside(first: Column, second: Column) -> Column:
+    """Two maps as one; of keys that both have, the second's. map_concat refuses such keys."""
+    return F.map_concat(F.map_filter(first, lambda k, v: ~F.map_contains_key(second, k)), second)
+
+
+def merged_header(*headers: Column, without: Sequence[str] = ()) -> Column:
+    """Maps merged, of equal keys the last one's, without the keys named and without null values."""
+    held = reduce(_beside, headers)
+    return F.map_filter(held, lambda k, v: v.isNotNull() & ~k.isin(*without) if without else v.isNotNull())

@@ -1,8 +1,9 @@
 """Label metadata as tables: nested XML labels as paths and values, fuzzy lookup, fields of records.
 
-Spark's XML reader parses a file's root into a VARIANT, whatever its elements are.
-Levels of it are taken apart by joins with variant_explode until no element has
-content left; the depth is that of the deepest label.
+A file's root is parsed into a VARIANT, whatever its elements are. Levels of it are
+taken apart by joins with variant_explode until no element has content left; the
+depth is that of the deepest label. A VARIANT would hold 1.10 as the number 1.1, so
+texts are marked with a character before they are parsed, which keeps them texts.
 """
 
 from __future__ import annotations
@@ -16,6 +17,10 @@ from gridlark.sources.scratch import written
 
 #: What attributes and the text of an element with attributes are called.
 ATTRIBUTE, TEXT = "_", "_VALUE"
+#: What marks texts and attributes; texts lose it if they have it themselves.
+MARK = "\u2063"
+#: What may stand before the root element.
+PROLOG = r"(?s)\A\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*"
 #: Levels of elements that a label may have.
 MOST_LEVELS = 32
 
@@ -27,12 +32,16 @@ def read_xml_labels(spark: SparkSession, path: str, root: str, pattern: str = "*
     name each has its number, from 0, in brackets. Namespace prefixes stay; an
     attribute's name begins with _. Empty elements have the value null.
     """
-    held = spark.read.format("xml").options(rowTag=root, singleVariantColumn="v", recursiveFileLookup="true", pathGlobFilter=pattern, attributePrefix=ATTRIBUTE, valueTag=TEXT).load(path)
-    now = held.select(F.col("_metadata.file_path").alias("file"), F.lit(root).alias("path"), F.col("v"))
+    files = spark.read.options(recursiveFileLookup="true", pathGlobFilter=pattern).text(path, wholetext=True).where(F.col("value").rlike(PROLOG + f"<{root}[\\s/>]"))
+    body = F.regexp_replace("value", PROLOG, "")
+    marked = F.regexp_replace(F.regexp_replace(body, r">([^<>]*[^<>\s][^<>]*)<", f">{MARK}$1<"), r"=\s*(['\"])", f"=$1{MARK}")
+    # inside a higher-order function, as Spark's generated code for this parser does not compile
+    parsed = F.get(F.transform(F.array(marked), lambda x: F.from_xml(x, F.lit("variant"), {"attributePrefix": ATTRIBUTE, "valueTag": TEXT})), F.lit(0))
+    now = files.select(F.col("_metadata.file_path").alias("file"), F.lit(root).alias("path"), parsed.alias("v"))
     done = None
     for _ in range(MOST_LEVELS):
         now = written(now.withColumn("kind", F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0)), "labels")
-        leaves = now.where("kind not in ('OBJECT', 'ARRAY')").select("file", F.regexp_replace("path", f"/{TEXT}$", "").alias("path"), F.try_variant_get("v", "$", "string").alias("value"))
+        leaves = now.where("kind not in ('OBJECT', 'ARRAY')").select("file", F.regexp_replace("path", f"/{TEXT}$", "").alias("path"), F.replace(F.try_variant_get("v", "$", "string"), F.lit(MARK), F.lit("")).alias("value"))
         done = leaves if done is None else done.union(leaves)
         now = now.where("kind in ('OBJECT', 'ARRAY')")
         if now.isEmpty():

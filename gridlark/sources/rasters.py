@@ -1,7 +1,7 @@
-"""Raster readers: FITS images and PDS3 images with attached labels, as long tables of cells.
+"""Whole-file raster readers: FITS images and PDS3 images with attached labels, as long tables of cells.
 
-A file is read in one task, a block of lines at a time; files are the unit of
-parallel work. Lines keep their order in the file; values are scaled, and blank
+A file is read in one task, wherever Spark can read; `sources.fits` reads large
+files in splits. Lines keep their order in the file; values are scaled, and blank
 or missing ones are null.
 """
 
@@ -66,7 +66,7 @@ def _values(raw: np.ndarray, scale: float, zero: float, blank: float | None) ->
 
 def _files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
-    return files.select(F.col("path").alias("file"), "content").repartition("file")
+    return files.select(F.col("path").alias("file"), "content")
 
 
 def _cells(file: str, name: str, grid: np.ndarray, scale: float, zero: float, blank: float | None) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,7 +113,20 @@ def time_span(samples: DataFrame) -> DataFrame:
     return samples.groupBy("orbit").agg(F.min("utc").alias("start"), F.max("utc").alias("stop"))
 
 
-def spot_check(df: DataFrame, n: int = 5, seed: int = 0) -> DataFrame:
-    """n rows drawn by a seeded hash of their content: the same ones on any partitioning."""
-    mark = F.xxhash64(F.lit(seed), *df.columns)
-    return df.withColumn("_m", mark).orderBy("_m").limit(n).drop("_m")
+def spot_check(df: DataFrame, n: int = 5, seed: int = 0, columns: Sequence[str] | None = None) -> DataFrame:
+    """n rows drawn by a seeded hash of the columns named (by default all): the same ones on any partitioning."""
+    mark = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns or df.columns]).cast("binary"))
+    return df.withColumn("_m", mark).orderBy("_m", *(columns or df.columns)).limit(n).drop("_m")
+
+
+def orbit_texts(samples: DataFrame, label: Sequence[str] = ("PDS_VERSION_ID = 3", "RECORD_TYPE = STREAM"), stem: str = "SAMPLES_20071127", order: Sequence[str] = ("utc",)) -> DataFrame:
+    """(name, label): an attached-label text table for each orbit, as read_orbit_texts reads them, to be written by fits.write_text_files.
+
+    samples: orbit, RAW_COLUMNS' values (time as utc, flag as mflag) and the columns of order. A text holds one orbit's rows.
+    """
+    stamp = F.concat(F.date_format("utc", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z"))
+    own = {"time": stamp, "flag": F.col("mflag")}
+    row = F.concat_ws(" ", *[own.get(c, F.coalesce(F.col(c).cast("string"), F.lit("NaN")) if c in samples.columns else F.lit("0.0")) for c in RAW_COLUMNS])
+    held = samples.groupBy("orbit").agg(F.sort_array(F.collect_list(F.struct(*order, row.alias("_row")))).alias("_rows"))
+    text = F.concat(F.lit("\n".join([*label, "END", "---", ""])), F.array_join(F.transform("_rows", lambda x: x["_row"]), "\n"), F.lit("\n"))
+    return held.select(F.format_string(f"{stem}_%04d_A.2C", F.col("orbit").cast("int")).alias("name"), text.alias("label"))

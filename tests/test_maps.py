@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridlark.operators import filters, footprint, grids, interpolate, residual
+from gridlark.operators import filters, footprint, grids, interpolate, ranks, residual
 from gridlark.plans import maps
 from gridlark.schema import MapSpec
 
@@ -148,8 +148,10 @@ def test_nearest_fill_without_valid_cells(spark):
 
 @pytest.mark.parametrize("few", [5, 10_000])
 def test_quantiles_match_numpy(spark, monkeypatch, few):
-    monkeypatch.setattr(residual, "SORTED", few)
-    monkeypatch.setattr(residual, "BINS", 7)
+    monkeypatch.setattr(ranks, "SKETCH", 16)
+    monkeypatch.setattr(ranks, "ERROR", 0.2)
+    monkeypatch.setattr(ranks, "SORTED", few)
+    monkeypatch.setattr(ranks, "BINS", 7)
     rng = np.random.default_rng(2)
     v = np.round(np.r_[rng.normal(size=300), np.full(100, 0.25), 1e300, -1e300], 2)
     df = spark.createDataFrame([(float(x),) for x in v] + [(None,), (float("nan"),)], "value double")

@@ -52,7 +52,7 @@ def test_z_keys_interleave_bits(spark):
 
 
 XML = """<?xml version="1.0"?>
-<Product xmlns="http://x"><Id><logical_id>urn:a</logical_id><version>1.0</version></Id>
+<!-- a note --><Product xmlns="http://x"><Id><logical_id>urn:a</logical_id><version>1.10</version><flag>true</flag></Id>
 <File size="{n}"><Table><records unit="row">{n}</records><bands><band>a</band><band>b</band></bands></Table><empty/></File></Product>"""
 
 
@@ -63,7 +63,7 @@ def test_nested_labels(spark, tmp_path):
     own = {(r.file.rsplit("/", 1)[1], r.path): r.value for r in got.collect()}
     for n in (1, 22):
         f = f"l{n}.xml"
-        assert own[f, "Product/Id/logical_id"] == "urn:a" and own[f, "Product/File/Table/records"] == str(n) and own[f, "Product/File/_size"] == str(n)
+        assert own[f, "Product/Id/logical_id"] == "urn:a" and own[f, "Product/Id/version"] == "1.10" and own[f, "Product/Id/flag"] == "true" and own[f, "Product/File/Table/records"] == str(n) and own[f, "Product/File/_size"] == str(n)
         assert own[f, "Product/File/Table/records/_unit"] == "row" and [own[f, f"Product/File/Table/bands/band[{k}]"] for k in (0, 1)] == ["a", "b"]
     found = {(r.file.rsplit("/", 1)[1], r.asked): r.value for r in labels.find(got, ["LOGICAL_ID", "record", "absent", "band"]).collect()}
     assert found == {(f"l{n}.xml", a): v for n in (1, 22) for a, v in (("LOGICAL_ID", "urn:a"), ("record", str(n)), ("band", "a"))}
@@ -146,6 +146,14 @@ def test_fits_of_all_orbits_match_the_plain_fit(spark):
     assert flags.latitude_fits(df.limit(0)).count() == 0
 
 
+def test_one_orbit_of_a_million_rows(spark):
+    """All tasks sum it; what meets in one place is six numbers a task."""
+    lat = F.col("id") / 1e6 * 160 - 80
+    df = spark.range(0, 1_000_000, 1, 8).select(F.lit(7).alias("orbit"), lat.alias("lat"), (F.lit(250.0) * F.pow(F.cos(F.radians(lat)), F.lit(0.3))).alias("t1"), F.lit(0).alias("flag"))
+    (r,) = flags.latitude_fits(df).collect()
+    assert (r.orbit, r.a, r.b) == (7, pytest.approx(250, abs=1e-6), pytest.approx(0.3, abs=1e-8))
+
+
 def test_fits_use_no_python_worker(spark):
     seen = []
     real = flags.written
