@@ -52,6 +52,8 @@ MATES, MISS = 48, 0.01
 #: Multiple of the limit's angle up to which MISS holds: balls are found by their centres.
 REACH = 4 / 3
 MOST_DEPTH = 40
+#: Projections that a task holds at a time.
+PROJECTIONS = 2_000_000
 #: Vectors on which the depth is measured.
 SAMPLE = 2000
 #: Units of a block; nodes from which a bucket is looked through for a ball, in so many tables; a ball's largest radius, as a share of the limit's angle.
@@ -75,7 +77,10 @@ def directions(dim: int, tables: int, depth: int) -> tuple[np.ndarray, np.ndarra
 
 
 def buckets(u: np.ndarray, made: tuple[np.ndarray, np.ndarray], tables: int) -> np.ndarray:
-    """32 bits that name the bucket of each unit vector in each table."""
+    """32 bits that name the bucket of each unit vector in each table; PROJECTIONS numbers at a time."""
+    step = max(1, PROJECTIONS // made[0].shape[1])
+    if len(u) > step:
+        return np.concatenate([buckets(u[i : i + step], made, tables) for i in range(0, len(u), step)])
     cells = np.floor((u @ made[0] + made[1]) / WIDTH).astype(np.int64).reshape(len(u), tables, -1)
     h = np.full(cells.shape[:2], 0x9E3779B97F4A7C15, np.uint64)
     for k in range(cells.shape[2]):

@@ -114,8 +114,7 @@ def test_audit_uses_no_python_worker(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "Cartesian" not in plan
 
 
-@pytest.mark.parametrize("size", [1, 40, 1 << 20])
-@pytest.mark.parametrize("run, block", [(7, 3), (1000, 16), (50, 1000)])
+@pytest.mark.parametrize("size, run, block", [(1, 50, 1000), (40, 7, 3), (1 << 20, 1000, 16), (40, 50, 16)])
 def test_draws_are_exact_for_any_cut(spark, monkeypatch, tmp_path, size, run, block):
     """Many runs of several blocks, hot ties, cuts inside blocks: ranks are those of one sort."""
     monkeypatch.setattr(resample, "RUN", run)
@@ -124,7 +123,7 @@ def test_draws_are_exact_for_any_cut(spark, monkeypatch, tmp_path, size, run, bl
     rows = [(None if i % 50 == 0 else rng.randrange(200), 0 if i % 3 else rng.randrange(-50, 50), i) for i in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, score long, row long").repartition(5)
     order = sorted(rows, key=lambda x: (-x[1], x[0] is None, x[0] or 0, x[2]))
-    for most in (0, 1, 123, 600):
+    for most in (0, 123, 600):
         got = {r["row"]: r["rank"] for r in resample.draw(df, most, len(rows), Scratch(spark, "test"), size).collect()}
         assert got == {x[2]: k + 1 for k, x in enumerate(order[:most])}
 
@@ -191,8 +190,7 @@ def vector_rows(rng, dim=24):
     return rows
 
 
-@pytest.mark.parametrize("dense", [256, 8])
-@pytest.mark.parametrize("block", [512, 10])
+@pytest.mark.parametrize("dense, block", [(256, 512), (8, 10), (256, 10)])
 def test_vectors_against_all_pairs(spark, monkeypatch, dense, block):
     """With small limits every way is taken: balls, members of units that are linked in part, blocks of a bucket."""
     monkeypatch.setattr(vectors, "DENSE", dense)
