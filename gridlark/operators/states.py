@@ -32,8 +32,8 @@ from gridlark.schema import LIGHT_SPEED
 SHORTEST, GROWTH = 1.0, 4.0
 #: Seconds for which neighbouring states are put in order together.
 CHUNK = 86400.0
-#: Pieces that may be broadcast; with more, the join is left to Spark.
-BROADCAST_PIECES = 100_000
+#: Pieces that may be broadcast; with more, both sides are sorted and merged.
+BROADCAST_PIECES = 20_000
 
 AXES = ("x", "y", "z")
 
@@ -102,7 +102,7 @@ def covered(samples: DataFrame, pieces: DataFrame, keys: Sequence[str] = (), et:
     # levels are as many as powers of GROWTH lie between the shortest piece and the longest
     levels = whole.agg(F.sort_array(F.collect_set("_level")).alias("_levels"), F.count(F.lit(1)).alias("_pieces")).first()
     levels, n = levels["_levels"], levels["_pieces"]
-    filed = F.broadcast(filed) if n <= BROADCAST_PIECES else filed
+    filed = F.broadcast(filed) if n <= BROADCAST_PIECES else filed.hint("merge")
     asked = timed.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>"))).withColumn("_cell", cell(time, F.col("_level")))
     right = filed.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_level").alias("_l"), F.col("_cell").alias("_c"), "lo", "hi", *content)
     same = (F.col("_level") == F.col("_l")) & (F.col("_cell") == F.col("_c"))
