@@ -138,7 +138,7 @@ def _round(rows: DataFrame, state: DataFrame) -> DataFrame:
     det = k11 * k22 - F.col("h12") * F.col("h12")
     da, db = F.try_divide(k22 * F.col("g1") - F.col("h12") * F.col("g2"), det), F.try_divide(k11 * F.col("g2") - F.col("h12") * F.col("g1"), det)
     da, db = (F.when(F.col("done") | F.isnan(x), F.lit(0.0)).otherwise(F.coalesce(x, F.lit(0.0))) for x in (da, db))
-    trial = state.select(F.col("orbit").alias("_orbit"), F.struct(*[c for c in state.columns if c != "orbit"]).alias("was"), (F.col("a") + da).alias("a"), (F.col("b") + db).alias("b"), (F.greatest(F.abs(da), F.abs(db)) < 1e-10 * F.greatest(F.lit(1.0), F.abs("a"))).alias("small"))
+    trial = state.select(F.col("orbit").alias("_orbit"), F.struct(*[c for c in state.columns if c != "orbit"]).alias("was"), (F.col("a") + da).alias("a"), (F.col("b") + db).alias("b"), (F.greatest(F.abs(da), F.abs(db)) < 1e-8 * F.greatest(F.lit(1.0), F.abs("a"))).alias("small"))
     held = rows.join(trial, F.col("orbit") == F.col("_orbit"))
     new = held.groupBy("orbit").agg(F.first("was").alias("was"), F.first("a").alias("a"), F.first("b").alias("b"), F.first("small").alias("small"), *_sums(F.col("a"), F.col("b")))
     better = ~F.isnan("cost") & (F.col("cost") <= F.col("was.cost"))
