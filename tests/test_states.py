@@ -96,6 +96,23 @@ def test_pieces_of_copied_events_are_those_of_the_sql(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_solar_vectors_of_tied_times_follow_one_order(spark, tmp_path):
+    """Events at one time under other ids and users: the SQL's vectors once its order is told apart by the states."""
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").crossJoin(spark.range(3).withColumnRenamed("id", "_i"))
+    e.withColumns({"event_id": F.col("event_id") + F.col("_i") * 1001, "user_id": F.col("user_id") + F.col("_i") * 15, "value": F.col("value") + F.col("_i")}).drop("_i").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    for t in ("events", "lineitem"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    sql = catalogue.SQL["solar_vectors"]
+    told = sql.replace("(ORDER BY lo)", "(ORDER BY lo, x, y, z, vx, vy, vz)").replace("(SELECT * FROM pieces)", "(SELECT * FROM pieces WHERE hi IS NULL OR hi > lo)")
+    assert told.count("lo, x, y") == told.count("hi > lo") == 1
+    want, got = (x.sort_values(["key", "line", "nx", "mx", "cx"]).reset_index(drop=True) for x in (con.sql(told).df(), catalogue.QUERIES["solar_vectors"](spark, str(tmp_path)).toPandas()))
+    assert len(got) == len(want)
+    for c in want.columns:
+        assert np.allclose(got[c].astype(float), want[c].astype(float), rtol=0, atol=0.011, equal_nan=True), c
+
+
 def test_chebyshev(spark):
     rng = np.random.default_rng(5)
     rows = [(float(k * 10), float(k * 10 + 10), *[[float(x) for x in rng.normal(size=n)] for n in (6, 1, 2)]) for k in range(5) if k != 2]
