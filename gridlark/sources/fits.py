@@ -2,7 +2,9 @@
 
 Reading. The driver lists files and sizes only; a file of more than `split` bytes
 is shared by as many tasks, each of which reads the headers (a few blocks) and
-then its own lines or rows, and no others. Conditions on lat_ix, lon_ix, name and
+then its own lines or rows, and no others. Of tables, splits of several files are
+packed into a task up to READ bytes, so that tasks grow with bytes, not with files.
+Conditions on lat_ix, lon_ix, name and
 file narrow what is read, if spark.sql.python.filterPushdown.enabled is set; the
 options `lines` and `samples` ("from:to") do so always.
 
@@ -28,6 +30,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +42,7 @@ from gridlark.sources.rasters import BLOCK, CARD, CELL_SCHEMA, CELLS, FITS_TYPES
 
 #: Bytes of a file for which one task is made.
 SPLIT = 64 << 20
-#: Bytes of the data units that a task reads at a time.
+#: Bytes of the data units that a task reads at a time, and of the small splits of tables that one task reads.
 READ = 8 << 20
 #: Rows of a written table file; lines of a written image file.
 FILE_ROWS, FILE_LINES = 500_000, 1024
@@ -91,17 +94,42 @@ def headers(file, size: int) -> Iterator[tuple[int, dict[str, str | None], int]]
 
 @dataclass
 class Split(InputPartition):
-    """The share-th of `of` tasks of a file."""
+    """The share-th of `of` parts of a file, and the `more` that follow it."""
 
     file: str
     size: int
     share: int
     of: int
+    more: int = 0
 
     def lines(self, lo: int, hi: int) -> tuple[int, int]:
-        """This task's part of the lines from lo to hi."""
+        """This split's part of the lines from lo to hi."""
         n = max(0, hi - lo)
-        return lo + n * self.share // self.of, lo + n * (self.share + 1) // self.of
+        return lo + n * self.share // self.of, lo + n * (self.share + 1 + self.more) // self.of
+
+
+@dataclass
+class Pack(InputPartition):
+    """Splits that one task reads."""
+
+    splits: list[Split]
+
+
+def packed(splits: list[Split], most: int) -> list[Pack]:
+    """Splits in their order, together up to `most` bytes; neighbours of a file become one."""
+    out, n = [], 0
+    for s in splits:
+        size = -(-s.size // s.of)
+        if not out or n + size > most:
+            out.append(Pack([]))
+            n = 0
+        own = out[-1].splits
+        if own and own[-1].file == s.file:
+            own[-1].more += 1
+        else:
+            own.append(s)
+        n += size
+    return out
 
 
 @dataclass
@@ -401,13 +429,11 @@ class TableWriter(StagedWriter):
             letter, form = TABLE_TYPES[kind]
             c = t.column(i - 1).combine_chunks()
             if kind == "string":
-                # a null text begins with a zero byte, an empty one is blank
-                raw = [b"\0" if x is None else x.encode() for x in c.to_pylist()]
-                width = max(1, max(map(len, raw)))
-                columns.append(np.array([x.ljust(width, b"\0" if x == b"\0" else b" ") for x in raw], f"S{width}"))
-                form, letter = f"S{width}", f"{width}A"
+                columns.append(fixed_texts(c))
+                letter = f"{columns[-1].dtype.itemsize}A"
             elif kind == "boolean":
-                columns.append(np.array([b"\0" if x is None else b"T" if x else b"F" for x in c.to_pylist()], "S1"))
+                true, null = (x.to_numpy(zero_copy_only=False) for x in (c.fill_null(False), c.is_null()))
+                columns.append(np.where(null, b"\0", np.where(true, b"T", b"F")).astype("S1"))
             elif kind in ("float", "double"):
                 columns.append(c.fill_null(math.nan).to_numpy().astype(form))
             else:
@@ -424,6 +450,33 @@ class TableWriter(StagedWriter):
         return [first, cards([("XTENSION", "BINTABLE"), ("BITPIX", 8), ("NAXIS", 2), ("NAXIS1", size), ("NAXIS2", len(data)), ("PCOUNT", 0), ("GCOUNT", 1), ("TFIELDS", len(columns)), *head]), *padded(data.tobytes())]
 
 
+def fixed_texts(c: pa.Array) -> np.ndarray:
+    """Texts as bytes of one width, blanks behind; a null text is zero bytes, an empty one is blank."""
+    n, null = len(c), c.is_null().to_numpy(zero_copy_only=False)
+    raw = c.fill_null("").cast(pa.large_binary())
+    _, at, data = raw.buffers()
+    at = np.frombuffer(at, np.int64)[raw.offset : raw.offset + n + 1]
+    size = np.diff(at)
+    width = max(1, int(size.max()))
+    out = np.full((n, width), ord(" "), np.uint8)
+    out[null] = 0
+    if at[-1] > at[0]:
+        out[np.arange(width) < size[:, None]] = np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+    return out.view(f"S{width}").ravel()
+
+
+def texts(raw: np.ndarray) -> pa.Array:
+    """Bytes of one width as texts, without zero bytes and then blanks behind; null if they begin with a zero byte."""
+    m = np.ascontiguousarray(raw).view(np.uint8).reshape(len(raw), raw.dtype.itemsize)
+    size = lambda kept: np.where(kept.any(axis=1), m.shape[1] - kept[:, ::-1].argmax(axis=1), 0)
+    inside = np.arange(m.shape[1]) < size(m != 0)[:, None]
+    size = size(inside & (m != ord(" ")))
+    at = np.r_[0, np.cumsum(size)].astype(np.int64)
+    data = m[np.arange(m.shape[1]) < size[:, None]]
+    held = pa.Array.from_buffers(pa.large_binary(), len(raw), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data.tobytes())]).cast(pa.string())
+    return pc.if_else(pa.array(m[:, 0] == 0), pa.scalar(None, pa.string()), held)
+
+
 def table_fields(h: dict[str, str | None]) -> list[tuple[str, str, str, int | None]]:
     """(name, Spark type, numpy type, value of null) of a binary table's columns."""
     out = []
@@ -454,6 +507,13 @@ class TableReader(FileReader):
         super().__init__(options)
         self.names = schema.fieldNames()
 
+    def partitions(self) -> list[Pack]:
+        return packed(super().partitions(), READ)
+
+    def read(self, partition: Pack) -> Iterator[pa.RecordBatch]:
+        for s in partition.splits:
+            yield from super().read(s)
+
     def rows(self, file, split: Split) -> Iterator[pa.RecordBatch]:
         for _, h, at in headers(file, split.size):
             if h.get("XTENSION") != "BINTABLE":
@@ -471,10 +531,10 @@ class TableReader(FileReader):
     @staticmethod
     def column(raw: np.ndarray, name: str, kind: str, form: str, null: int | None) -> pa.Array:
         if kind == "string":
-            first = np.frombuffer(np.ascontiguousarray(raw).tobytes(), np.uint8).reshape(len(raw), -1)[:, 0]
-            return pa.array([None if z == 0 else x.rstrip(b" ").decode() for x, z in zip(raw.tolist(), first.tolist())], pa.string())
+            return texts(raw)
         if kind == "boolean":
-            return pa.array([{b"T": True, b"F": False}.get(x) for x in raw.tolist()], pa.bool_())
+            true = raw == b"T"
+            return pa.array(true, mask=~(true | (raw == b"F")))
         own = raw.astype(raw.dtype.newbyteorder("="))
         return pa.array(own, mask=np.isnan(own) if own.dtype.kind == "f" else own == null if null is not None else None)
 

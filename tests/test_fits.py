@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,31 @@ TABLE = "i int, k long, s short, f float, d double, b boolean, t string"
 ROWS = [(1, 2**40, 3, 1.5, 2.5, True, "é text"), (None, None, None, None, None, None, None), (-5, -(2**62), -7, -1.0, 1e300, False, ""), (7, 8, 9, 0.0, math.pi, True, "it's")]
 
 
+def test_small_files_of_a_table_are_read_together(spark, tmp_path):
+    """Tasks grow with bytes, not with files or splits; every row is read once."""
+    fits.write_binary_table(spark.range(1000).coalesce(1), f"{tmp_path}/t", rows=10)
+    back = fits.read_binary_table(spark, f"{tmp_path}/t", split=2000)
+    assert len(list((tmp_path / "t").glob("*.fits"))) == 100 and back.rdd.getNumPartitions() == 1
+    assert sorted(r.id for r in back.collect()) == list(range(1000))
+
+
+@pytest.mark.parametrize("most", [1, 70, 130, 1000])
+def test_packed_splits_cover_all_lines(most):
+    sizes = {"a": 100, "b": 10, "c": 250}
+    packs = fits.packed([fits.Split(f, n, k, -(-n // 60)) for f, n in sizes.items() for k in range(-(-n // 60))], most)
+    got = [(s.file, i) for p in packs for s in p.splits for i in range(*s.lines(0, sizes[s.file]))]
+    assert sorted(got) == [(f, i) for f, n in sizes.items() for i in range(n)] and len(packs) == {1: 8, 70: 7, 130: 4, 1000: 1}[most]
+
+
+def test_texts_of_one_width_and_back():
+    held = pa.array(["x", None, "", "é text", " a ", "it's", "  ", "b\0c", None], pa.string())
+    for part in (held, held.slice(2, 5), held.slice(1, 2)):
+        want = [None if x is None else x.rstrip(" ") for x in part.to_pylist()]
+        assert fits.texts(fits.fixed_texts(part)).to_pylist() == want
+    with pytest.raises(pa.ArrowInvalid):
+        fits.texts(np.array([b"\xff"], "S1"))
+
+
 @pytest.mark.parametrize("rows, split", [(3, 300), (1000, 1 << 20)])
 def test_binary_tables_read_back(spark, tmp_path, rows, split):
     df = spark.createDataFrame(ROWS * 5, TABLE).repartition(3)
