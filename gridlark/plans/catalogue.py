@@ -761,7 +761,7 @@ def plain_norm(spark, sf_dir):
 def flat_offsets(spark, sf_dir):
     s = samples_view(spark, sf_dir).crossJoin(F.broadcast(footprint.kernel(spark, 2, 4.0)))
     x, y = footprint.flat_offset(F.col("d"), F.col("x_over_rad"), F.col("y_over_rad"), F.col("scaled_rad"))
-    return s.select("key", "line", "k", r(x).alias("east"), r(y).alias("north"))
+    return s.select("key", "line", "k", r2(x).alias("east"), r2(y).alias("north"))
 
 
 @query(f"SELECT orbit, x, {q('v0 + CASE WHEN x1 > x0 THEN (x - x0) / (x1 - x0) ELSE 0 END * (coalesce(v1, v0) - v0)')} AS v FROM (SELECT orbit, x0, v0, x1, v1, x FROM b, range(0, 91, 10) g(x) WHERE x >= x0 AND (x < x1 OR (x1 IS NULL AND x = x0)))",

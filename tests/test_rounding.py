@@ -28,6 +28,6 @@ def test_binary_rounding_is_the_twins(spark):
 
 def test_points_are_rounded_without_decimals(spark):
     """Each value of a point is rounded in binary; the decimal way is left for numbers without a fraction."""
-    for name in ("footprint_project",):
+    for name in ("flat_offsets", "footprint_project"):
         plan = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().lower()
         assert plan.count("rint(") >= 2, name
