@@ -305,7 +305,7 @@ def orbit_texts(spark, sf_dir):
     path = scratch_path(spark, "texts")
     fits.write_text_files(tables.orbit_texts(samples_view(spark, sf_dir), order=("utc", "key", "line")), path)
     raw = tables.read_orbit_texts(spark, path, "a")
-    return tables.typed_samples(raw).select("orbit", "utc", "lat", "lon", "d", "t1", "t2", "mflag")
+    return tables.typed_samples(raw, ordered=False).select("orbit", "utc", "lat", "lon", "d", "t1", "t2", "mflag")
 
 
 @query("SELECT key, line, lat, lon FROM samples ORDER BY md5('7|' || key || '|' || line || '|' || CAST(orbit AS VARCHAR)), key, line, orbit LIMIT 5")

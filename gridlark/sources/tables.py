@@ -12,6 +12,9 @@ from gridlark.functions.times import ephemeris_seconds, julian_date, parse_utc,
 from gridlark.functions.units import wrap
 from gridlark.schema import BODIES, BODY_COLUMNS, CHANNEL_GHZ, RAW_COLUMNS, nan_to_null
 
+#: Names of files that may be broadcast.
+BROADCAST_FILES = 100_000
+
 
 def read_orbit_texts(spark: SparkSession, path: str, orbiter: str | None = None, pattern: str = "*2C") -> DataFrame:
     """(orbiter, orbit, raw columns as text, file): attached-label text tables below path, read recursively.
@@ -22,13 +25,24 @@ def read_orbit_texts(spark: SparkSession, path: str, orbiter: str | None = None,
     rows give none.
     """
     files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path, wholetext=True)
+    # names alone tell which files are not the last of their orbit; as there are few, texts are neither read twice nor shuffled
+    names = _text_names(spark, path, pattern)
+    former = names.join(names.groupBy("orbit").agg(F.max("file").alias("_last"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "orbit").where("file < _last").select("file")
+    n = former.count()
     body = F.split(F.regexp_replace("value", r"(?s)\A(?:.*?\r?\n)??END[ \t]*\r?\n[^\n]*(?:\n|\z)", ""), r"\r?\n")
-    held = files.select(F.col("_metadata.file_path").alias("file"), F.explode(body).alias("line"))
-    held = held.withColumn("orbit", orbit_number(F.col("file")))
+    held = files.select(F.col("_metadata.file_path").alias("file"), "value").withColumn("orbit", orbit_number(F.col("file"))).where("orbit is not null")
+    if n:
+        held = held.join(F.broadcast(former) if n <= BROADCAST_FILES else former, "file", "left_anti")
+    held = held.select("file", "orbit", F.explode(body).alias("line"))
     fields = F.split(F.btrim("line"), r"\s+")
     rows = held.where(F.btrim("line") != "").select(F.lit(orbiter).alias("orbiter"), "orbit", *[F.get(fields, F.lit(i)).alias(c) for i, c in enumerate(RAW_COLUMNS)], "file")
-    last = files.select(F.col("_metadata.file_path").alias("file")).groupBy(orbit_number(F.col("file")).alias("orbit")).agg(F.max("file").alias("file"))
-    return rows.join(last, ["orbit", "file"], "left_semi")
+    return rows
+
+
+def _text_names(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """(file, orbit) of the files, whose content is not read; files without a number are left out."""
+    found = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).format("binaryFile").load(path)
+    return found.select(F.col("_metadata.file_path").alias("file")).withColumn("orbit", orbit_number(F.col("file"))).where("orbit is not null")
 
 
 def empty_orbits(spark: SparkSession, path: str, pattern: str = "*2C") -> DataFrame:
@@ -37,14 +51,19 @@ def empty_orbits(spark: SparkSession, path: str, pattern: str = "*2C") -> DataFr
     return names.distinct().join(read_orbit_texts(spark, path, None, pattern).select("orbit").distinct(), "orbit", "left_anti")
 
 
-def typed_samples(raw: DataFrame) -> DataFrame:
-    """Raw text columns to the sample table's types; the flag's zeros-only text becomes '0'; NaN becomes null; longitudes within [-180, 180)."""
+def typed_samples(raw: DataFrame, ordered: bool = True) -> DataFrame:
+    """Raw text columns to the sample table's types; the flag's zeros-only text becomes '0'; NaN becomes null; longitudes within [-180, 180).
+
+    Rows are in order of orbit and time; with ordered=False only within a task, which
+    has all of an orbit's: the order of all reads and parses every text twice.
+    """
     real = {c: F.col(c).cast("float") for c in RAW_COLUMNS if c not in ("time", "flag")}
     out = raw.withColumns(real | {"utc": parse_utc(F.col("time")), "mflag": F.when(F.col("flag").rlike("^0+$"), F.lit("0")).otherwise(F.col("flag"))}).drop("time", "flag")
     seconds = unix_seconds(F.col("utc"))
     out = out.withColumns({"jd": julian_date(seconds), "et": ephemeris_seconds(seconds)})
     in_range = F.when(F.col("lon") <= 360, wrap(F.col("lon").cast("double"), -180.0, 360.0).cast("float")).otherwise(F.col("lon"))
-    return nan_to_null(out.withColumn("lon", in_range)).orderBy("orbit", "jd")
+    out = nan_to_null(out.withColumn("lon", in_range))
+    return out.orderBy("orbit", "jd") if ordered else out.sortWithinPartitions("orbit", "jd")
 
 
 def read_samples(spark: SparkSession, path: str) -> DataFrame:

@@ -32,6 +32,24 @@ def test_orbit_texts(spark, orbit_files):
     assert typed[2][2] == "0"
 
 
+def test_texts_are_read_once_and_not_shuffled(spark, orbit_files):
+    """One scan with content and no exchange, whether or not an orbit has several files; the last by path counts."""
+    typed = lambda: tables.typed_samples(tables.read_orbit_texts(spark, orbit_files, "a"), ordered=False)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    first = plan(typed())
+    assert first.count("FileScan text") == 1 and "Exchange" not in first
+    with open(f"{orbit_files}/X_20071130_0243_A.2C", "w") as f:
+        f.write(LABEL.format(sep="") + "2007-11-30T16:18:16.123Z 1 2 3 4 5 6 7 8 9 0X000000\n" * 2)
+    with open(f"{orbit_files}/unnumbered.2C", "w") as f:
+        f.write(LABEL.format(sep="") + "x\n")
+    second = typed()
+    assert plan(second).count("FileScan text") == 1 and "SortMergeJoin" not in plan(second) and "rangepartitioning" not in plan(second)
+    key = lambda r: (r.orbit, r.utc, r.lon, r.mflag)
+    want = tables.typed_samples(tables.read_orbit_texts(spark, orbit_files, "a")).collect()
+    assert sorted(map(key, second.collect())) == sorted(map(key, want)) and [r.orbit for r in want] == [241, 241, 243, 243]
+    assert {str(r.utc.date()) for r in want if r.orbit == 243} == {"2007-11-30"}
+
+
 def test_conform_adds_and_drops(spark):
     out = conform(spark.createDataFrame([(1, "x")], "ORBIT int, other string"))
     assert out.schema == SAMPLES or [f.name for f in out.schema] == SAMPLES.fieldNames()
