@@ -62,6 +62,12 @@ def r2(x: Column, digits: int = 6) -> Column:
     return F.when(a < 2.0**52, near).otherwise(F.round(x, digits)) + F.lit(0.0)
 
 
+def r1(x: Column, digits: int = 6) -> Column:
+    """As r2 with a third of the code, though slower alone: a row of many r2 makes a method that the JVM does not compile."""
+    scale = 10.0**digits
+    return F.round(x * scale, 0) / scale + F.lit(0.0)
+
+
 def q(expr: str, digits: int = 6) -> str:
     return f"(round({expr}, {digits}) + 0.0::DOUBLE)"
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridlark.functions import times
 from gridlark.operators import filters, order, states, tile_functions
-from gridlark.plans.catalogue import G5, MAP_SQL, cells, lit, q, query, r
+from gridlark.plans.catalogue import G5, MAP_SQL, cells, lit, q, query, r, r1, r2
 from gridlark.schema import CHANNEL_GHZ, LIGHT_SPEED, MOON_RADIUS_KM
 from gridlark.sources import fits, labels, sinks, slices, tables
 from gridlark.sources.scratch import scratch_path
@@ -26,12 +26,13 @@ TIMED_SQL = """timed AS (SELECT key, line, t1, t2, lat, lon, d, 1704067200.0::DO
 
 
 def _states(spark, sf_dir) -> DataFrame:
+    """event_id tells events at one time apart; the SQL leaves their order open."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     n, u = F.col("event_id"), F.col("user_id")
     milli = lambda c: c.cast("double") / 1000.0
     return e.select(
         F.col("event_type").alias("target"), times.unix_seconds(F.col("ts")).alias("et"), (F.col("value") * 10).alias("x"), (n % 97).cast("double").alias("y"), u.cast("double").alias("z"),
-        milli(n % 13 - 6).alias("vx"), milli(u % 7 - 3).alias("vy"), milli(n % 5 - 2).alias("vz"),
+        milli(n % 13 - 6).alias("vx"), milli(u % 7 - 3).alias("vy"), milli(n % 5 - 2).alias("vz"), "event_id",
     )
 
 
@@ -44,7 +45,7 @@ def _timed(spark, sf_dir) -> DataFrame:
 
 @query("SELECT target, lo, hi, x AS x0, x1, z AS z0, z1 FROM pieces", STATES_SQL.format(gap="1e18"), samples=False)
 def ephemeris_pieces(spark, sf_dir):
-    p = states.state_pieces(_states(spark, sf_dir), ["target"])
+    p = states.state_pieces(_states(spark, sf_dir), ["target"], ties=["event_id"])
     return p.select("target", "lo", "hi", F.col("p.x").alias("x0"), F.col("q.x").alias("x1"), F.col("p.z").alias("z0"), F.col("q.z").alias("z1"))
 
 
@@ -64,12 +65,12 @@ ASOF_SQL = f"{STATES_SQL.format(gap='3600')},\n  {TIMED_SQL},\n" + """  found AS
 @query(f"SELECT key, line, target, {q('et', 3)} AS et, lo, {q(_hermite_sql('x'))} AS mx, {q(_hermite_sql('y'))} AS my, {q(_hermite_sql('z'))} AS mz, {q(_slope_sql('x'), 5)} AS mvx FROM found", ASOF_SQL)
 def asof_states(spark, sf_dir):
     """Every sample meets the one piece of its target's table that covers its time, or none."""
-    out = states.covered(_timed(spark, sf_dir), states.state_pieces(_states(spark, sf_dir), ["target"], most_gap=3600.0), ["target"])
+    out = states.covered(_timed(spark, sf_dir), states.state_pieces(_states(spark, sf_dir), ["target"], most_gap=3600.0, ties=["event_id"]), ["target"])
     h = F.col("hi") - F.col("lo")
     s = (F.col("et") - F.col("lo")) / h
     at = {a: states.hermite(s, h, F.col(f"p.{a}"), F.col(f"p.v{a}"), F.col(f"q.{a}"), F.col(f"q.v{a}")) for a in states.AXES}
     lo = F.when(F.col("p").isNotNull(), F.col("lo")).alias("lo")
-    return out.select("key", "line", "target", r("et", 3).alias("et"), lo, *[r(at[a][0]).alias(f"m{a}") for a in states.AXES], r(at["x"][1], 5).alias("mvx"))
+    return out.select("key", "line", "target", r2(F.col("et"), 3).alias("et"), lo, *[r2(at[a][0]).alias(f"m{a}") for a in states.AXES], r2(at["x"][1], 5).alias("mvx"))
 
 
 @query(f"SELECT key, line, {q('c0 + c1 * x + c2 * (2 * x * x - 1) + c3 * (4 * x * x * x - 3 * x)')} AS mx, {q('c3 + c2 * x')} AS my, {q('c1')} AS mz FROM (SELECT t.key, t.line, rec.*, (2 * t.et - rec.hour - (rec.hour + 3600)) / 3600 AS x FROM timed t LEFT JOIN rec ON floor(t.et / 3600) * 3600 = rec.hour)",
@@ -114,10 +115,10 @@ def _sun_sql() -> str:
 def solar_vectors(spark, sf_dir):
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     n, u, ten = F.col("event_id"), F.col("user_id"), F.lit(10.0)
-    sun = e.select(times.unix_seconds(F.col("ts")).alias("et"), (F.lit(149600.0) + F.col("value") * 10).alias("x"), (n % 97 * F.lit(1000.0)).alias("y"), (u * F.lit(100.0)).alias("z"), ((n % 13 - 6) / ten).alias("vx"), ((u % 7 - 3) / ten).alias("vy"), ((n % 5 - 2) / ten).alias("vz"))
+    sun = e.select(times.unix_seconds(F.col("ts")).alias("et"), (F.lit(149600.0) + F.col("value") * 10).alias("x"), (n % 97 * F.lit(1000.0)).alias("y"), (u * F.lit(100.0)).alias("z"), ((n % 13 - 6) / ten).alias("vx"), ((u % 7 - 3) / ten).alias("vy"), ((n % 5 - 2) / ten).alias("vz"), "event_id")
     frame = states.rotation(_TURN * (F.col("et") - 1704067200.0), F.lit(_ALPHA), F.lit(_DELTA))
-    out = states.sun_vectors(_timed(spark, sf_dir), sun, frame, MOON_RADIUS_KM)
-    return out.select("key", "line", *[r(f"{p}{k}", 2).alias(f"{p}{k}") for p in "mbc" for k in "xyz"], r("nx").alias("nx"), r("ltst").alias("ltst"))
+    out = states.sun_vectors(_timed(spark, sf_dir), sun, frame, MOON_RADIUS_KM, ties=["event_id"])
+    return out.select("key", "line", *[r1(F.col(f"{p}{k}"), 2).alias(f"{p}{k}") for p in "mbc" for k in "xyz"], r1(F.col("nx")).alias("nx"), r1(F.col("ltst")).alias("ltst"))
 
 
 # --- files

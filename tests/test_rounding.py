@@ -26,6 +26,22 @@ def test_binary_rounding_is_the_twins(spark):
     assert not any(math.copysign(1, v) < 0 for v in got.values() if v == 0)
 
 
+def test_short_rounding_is_the_twins(spark):
+    """Halves in binary, such that are halves in decimal only (r differs there), null, NaN and infinity, to two digits."""
+    values = [*(n / 1000 for n in range(-20_005, 20_005, 10)), 0.0, -0.0, 0.125, -0.125, 1.005, -1.005, 1040925.385, 4e15, -1e300]
+    rows = [(i, float(v)) for i, v in enumerate(values)]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE t (i BIGINT, v DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    want = dict(con.sql(f"SELECT i, {catalogue.q('v', 2)} FROM t").fetchall())
+    df = spark.createDataFrame([*rows, (-1, None), (-2, math.nan), (-3, math.inf), (-4, -math.inf)], "i long, v double")
+    got = {x.i: (x.v, x.w) for x in df.select("i", catalogue.r1(df.v, 2).alias("v"), catalogue.r(df.v, 2).alias("w")).collect()}
+    assert got[-1] == (None, None) and math.isnan(got[-2][0]) and (got[-3][0], got[-4][0]) == (math.inf, -math.inf)
+    assert {i: v for i, (v, _) in got.items() if i >= 0} == want
+    assert any(v != w for v, w in got.values() if v == v)
+    assert not any(math.copysign(1, v) < 0 for v, _ in got.values() if v == 0)
+
+
 def test_points_are_rounded_without_decimals(spark):
     """Each value of a point is rounded in binary; the decimal way is left for numbers without a fraction."""
     for name in ("flat_offsets", "footprint_project"):

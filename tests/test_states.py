@@ -8,11 +8,13 @@ import random
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from gridlark.operators import states
-from gridlark.plans import catalogue
+from gridlark.plans import catalogue, catalogue_tables
+from gridlark.schema import LIGHT_SPEED
 
 STATE = "et double, x double, y double, z double, vx double, vy double, vz double"
 
@@ -113,6 +115,45 @@ def test_solar_vectors_of_tied_times_follow_one_order(spark, tmp_path):
         assert np.allclose(got[c].astype(float), want[c].astype(float), rtol=0, atol=0.011, equal_nan=True), c
 
 
+@pytest.mark.parametrize("name", ["solar_vectors", "asof_states", "ephemeris_pieces"])
+def test_tied_events_follow_their_number_as_in_the_sql(spark, tmp_path, name):
+    """Events at one time, whose order by number is not that of their states: of so few the unchanged SQL on one thread keeps the file's, by number. Every digit counts."""
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").crossJoin(spark.range(3).withColumnRenamed("id", "_i"))
+    e = e.withColumns({"event_id": F.col("event_id") + F.col("_i") * 1001, "user_id": F.col("user_id") + F.col("_i") * 15, "value": F.col("value") - F.col("_i")})
+    e.drop("_i").coalesce(1).sortWithinPartitions("event_id").write.parquet(f"{tmp_path}/events.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.sql("SET threads = 1")
+    for t in ("events", "lineitem"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want, got = con.sql(catalogue.SQL[name]).fetchall(), [tuple(x) for x in catalogue.QUERIES[name](spark, str(tmp_path)).collect()]
+    assert len(got) == len(want) and sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_ties_come_before_components_and_null_first(spark):
+    rows = [(n, 0.0 if n != 9 else 10.0, x, 0.0, 0.0, 0.0, 0.0, 0.0) for n, x in [(2, 1.0), (1, 5.0), (1, 4.0), (None, 3.0), (9, 7.0)]]
+    table = frame(spark, rows, "n int, ").repartition(3)
+    got = states.state_pieces(table, ties=["n"]).select("lo", "hi", "p.x", "q.x").collect()
+    assert sorted(map(tuple, got)) == [(0.0, 0.0, 3.0, 4.0), (0.0, 0.0, 4.0, 5.0), (0.0, 0.0, 5.0, 1.0), (0.0, 10.0, 1.0, 7.0)]
+    assert states.interpolated(spark.createDataFrame([(0.0,)], "et double"), table, ties=["n"]).first().mx == 1.0
+
+
+def test_hermite_and_light_time_are_the_twins_to_the_last_bit(spark):
+    """Factors are taken in one order on both sides, so that no rounded value differs."""
+    rng = np.random.default_rng(8)
+    rows = [tuple(map(float, (i, *r))) for i, r in enumerate(np.column_stack([rng.random(20_000), rng.uniform(0.1, 3600, 20_000), rng.normal(size=(20_000, 4)) * 1e6]))]
+    names = ("i", "s", "h", "x", "vx", "x1", "vx1")
+    con = duckdb.connect()
+    con.sql(f"CREATE TABLE t ({', '.join(f'{c} DOUBLE' for c in names)})")
+    con.append("t", pd.DataFrame(rows, columns=names))
+    far = "sqrt(x * x + x1 * x1 + h * h)"
+    want = con.sql(f"SELECT i, {catalogue_tables._hermite_sql('x')}, {catalogue_tables._slope_sql('x')}, x - vx * {far} / {LIGHT_SPEED / 1000.0!r}::DOUBLE FROM t ORDER BY i").fetchall()
+    c = F.col
+    late = states.light_time([c("x"), c("x1"), c("h")], [c("vx"), c("vx1"), c("s")], rounds=1)[0]
+    got = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).select("i", *states.hermite(c("s"), c("h"), c("x"), c("vx"), c("x1"), c("vx1")), late).collect()
+    assert [tuple(r) for r in got] == want
+
+
 def test_chebyshev(spark):
     rng = np.random.default_rng(5)
     rows = [(float(k * 10), float(k * 10 + 10), *[[float(x) for x in rng.normal(size=n)] for n in (6, 1, 2)]) for k in range(5) if k != 2]
