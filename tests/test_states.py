@@ -130,6 +130,24 @@ def test_tied_events_follow_their_number_as_in_the_sql(spark, tmp_path, name):
     assert len(got) == len(want) and sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_asof_states_of_many_tied_events_keep_every_sample(spark, tmp_path):
+    """Sixty events at one time: a row a sample, the SQL's once its order is told apart by number and no sample meets a piece of no length. Every digit counts."""
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").crossJoin(spark.range(60).withColumnRenamed("id", "_i"))
+    e = e.withColumns({"event_id": F.col("event_id") + F.col("_i") * 1001, "user_id": F.col("user_id") + F.col("_i") * 15})
+    e.drop("_i").coalesce(1).sortWithinPartitions(F.hash("event_id")).write.parquet(f"{tmp_path}/events.parquet")
+    samples = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    samples.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    for t in ("events", "lineitem"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    told = catalogue.SQL["asof_states"]
+    for old, new in ((" AS vz FROM events", " AS vz, event_id FROM events"), ("ORDER BY lo)", "ORDER BY lo, event_id)"), ("ASOF LEFT JOIN pieces", "ASOF LEFT JOIN (SELECT * FROM pieces WHERE hi > lo)"), ("ASOF JOIN pieces", "ASOF JOIN (SELECT * FROM pieces WHERE hi > lo)")):
+        assert told.count(old) == 1
+        told = told.replace(old, new)
+    want, got = con.sql(told).fetchall(), [tuple(x) for x in catalogue.QUERIES["asof_states"](spark, str(tmp_path)).collect()]
+    assert len(got) == len(want) == samples.count() and sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_ties_come_before_components_and_null_first(spark):
     rows = [(n, 0.0 if n != 9 else 10.0, x, 0.0, 0.0, 0.0, 0.0, 0.0) for n, x in [(2, 1.0), (1, 5.0), (1, 4.0), (None, 3.0), (9, 7.0)]]
     table = frame(spark, rows, "n int, ").repartition(3)
